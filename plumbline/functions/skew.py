@@ -1,0 +1,39 @@
+"""Splitting of large groups."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def with_part(
+    df: DataFrame,
+    keys: list[str],
+    limit: int,
+    spread: Column,
+    weight: Column | None = None,
+    name: str = "part",
+) -> DataFrame:
+    """Number the parts of groups whose total weight (rows by default) exceeds ``limit``.
+
+    Small groups get part 0. A larger group gets ``ceil(weight / limit)`` parts, chosen row by row as
+    ``spread`` modulo that number, so that ``keys + [name]`` is a grouping without unbounded groups. ``spread``
+    must be a non-negative integer computed from the row alone, so that a retried task gives the same part.
+
+    Only the groups over the limit are joined back: the size pass is a partial aggregate, and the joined side is
+    usually empty. No broadcast is forced; adaptive execution picks one from the measured size, and otherwise
+    splits the hot keys of the left side.
+    """
+    weight = F.lit(1) if weight is None else weight
+    parts = f"__{name}_parts"
+    big = (
+        df.groupBy(*keys)
+        .agg(F.sum(weight.cast("bigint")).alias(parts))
+        .filter(F.col(parts) > limit)
+        .withColumn(parts, F.ceil(F.col(parts) / limit).cast("bigint"))
+    )
+    return (
+        df.join(big, keys, "left")
+        .withColumn(name, F.coalesce(F.pmod(spread.cast("bigint"), F.col(parts)), F.lit(0).cast("bigint")))
+        .drop(parts)
+    )
