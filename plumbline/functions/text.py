@@ -110,7 +110,7 @@ def add_days(ts: Column | str, days: int) -> Column:
 def run_date(value: Column | str | None, type_name: str = "timestamp") -> Column:
     """``yyyy-MM-dd`` text to a timestamp; an empty string gives null."""
     c = F.lit(value) if value is None or isinstance(value, str) else value
-    return F.to_timestamp(F.nullif(c, F.lit("")), F.lit("yyyy-MM-dd")).cast(type_name)
+    return F.to_timestamp(F.nullif(c, F.lit("")), "yyyy-MM-dd").cast(type_name)
 
 
 def log_line(ts: Column | str, message: Column | str) -> Column:
@@ -118,7 +118,7 @@ def log_line(ts: Column | str, message: Column | str) -> Column:
 
 
 def log_line_time(line: Column | str) -> Column:
-    return F.to_timestamp(F.substring_index(_c(line), "|", 1), F.lit("dd/MM/yyyy HH:mm:ss"))
+    return F.to_timestamp(F.substring_index(_c(line), "|", 1), "dd/MM/yyyy HH:mm:ss")
 
 
 def log_line_message(line: Column | str) -> Column:
