@@ -6,7 +6,8 @@ from pyspark.sql import SparkSession
 
 SQL_FUNCTIONS = {
     "clean_name(value STRING) RETURNS STRING": (
-        "CASE WHEN value RLIKE r\"(?s)^[^/]*/.*'\" THEN regexp_extract(value, r\"(?s)^[^/]*/(.*)'\", 1) END"
+        "CASE WHEN length(value) - length(substring_index(value, chr(39), -1)) > instr(value, '/') THEN substring(value,"
+        " instr(value, '/') + 1, length(value) - length(substring_index(value, chr(39), -1)) - instr(value, '/') - 1) END"
     ),
     "clean_type(value STRING) RETURNS STRING": "substring_index(value, '/', -1)",
     "run_date(value STRING) RETURNS TIMESTAMP": "to_timestamp(nullif(value, ''), 'yyyy-MM-dd')",

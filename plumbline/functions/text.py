@@ -51,9 +51,11 @@ def cut_name(value: Column | str) -> Column:
 
 
 def clean_name(value: Column | str) -> Column:
-    """Text between the first ``/`` and the last ``'``; null when there is no such text."""
+    """Text between the first ``/`` (or the start, when there is none) and the last ``'``; null without such text."""
     c = _c(value)
-    return F.when(c.rlike("(?s)^[^/]*/.*'"), F.regexp_extract(c, "(?s)^[^/]*/(.*)'", 1))
+    slash = F.instr(c, "/")
+    quote = F.length(c) - F.length(F.substring_index(c, "'", -1))
+    return F.when((quote > 0) & (quote > slash), c.substr(slash + 1, quote - slash - 1))
 
 
 def clean_type(value: Column | str) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.constants import CHECKS, DEFAULT_TIMEOUT, FOREACH_BATCH_MAXIMUM
 from plumbline.functions.text import array_length, clean_name, is_blank, key_name
-from plumbline.operators.graph import redundant_resources
+from plumbline.operators.graph import redundant_keys, redundant_resources
 from plumbline.operators.templates import ACTIVITY_DDL, resources_of_type, with_properties
 
 ALL = tuple(number for number, *_ in CHECKS)
@@ -132,31 +132,39 @@ def _parsed(resources: DataFrame, checks: set[int]) -> DataFrame:
     return rows
 
 
-def _graph_findings(resources: DataFrame, checks: set[int]) -> DataFrame:
-    lowered = F.lower("key")
+def _graph_check(checks: set[int]) -> tuple[tuple[str, ...], Column]:
+    """Kinds the wanted graph checks look at, and the check number of a lower-case key ``k``."""
+    wanted = {kind: check for kind, check in GRAPH_RULES.items() if check in checks}
     number = F.lit(None).cast("int")
-    for kind, check in GRAPH_RULES.items():
-        if check in checks:
-            number = F.when(F.startswith(lowered, F.lit(kind)), F.lit(check)).otherwise(number)
-    rows = redundant_resources(resources).select(
-        "template_id",
-        number.alias("CheckNo"),
-        key_name("key").alias("Name"),
-        F.lit(None).cast("string").alias("BelongsToPipeline"),
+    for kind, check in wanted.items():
+        number = F.when(F.startswith("k", F.lit(kind)), F.lit(check)).otherwise(number)
+    return tuple(wanted), number
+
+
+def _graph_findings(resources: DataFrame, checks: set[int]) -> DataFrame:
+    kinds, number = _graph_check(checks)
+    return (
+        redundant_resources(resources, kinds)
+        .withColumn("k", F.lower("key"))
+        .select(
+            "template_id",
+            number.alias("CheckNo"),
+            key_name("key").alias("Name"),
+            F.lit(None).cast("string").alias("BelongsToPipeline"),
+        )
     )
-    return rows.filter(F.col("CheckNo").isNotNull())
 
 
 def _row_findings(resources: DataFrame, checks: set[int]) -> DataFrame:
     rows = _parsed(resources_of_type(resources, *_kinds_of(checks)), checks)
-    own_name = clean_name("name")
+    rows = rows.withColumn("own_name", clean_name("name"))
 
     def found(check: int, hit: Column, name: Column, pipeline: Column) -> Column:
         return F.when(
             hit, F.struct(F.lit(check).alias("CheckNo"), name.alias("Name"), pipeline.alias("BelongsToPipeline"))
         )
 
-    nothing = F.lit(None).cast("string")
+    own_name, nothing = F.col("own_name"), F.lit(None).cast("string")
     found_here = [
         found(check, (F.col("kind") == kind) & rule(), own_name, nothing)
         for kind, rules in RESOURCE_RULES.items()
@@ -166,11 +174,10 @@ def _row_findings(resources: DataFrame, checks: set[int]) -> DataFrame:
     lists = [F.array_compact(F.array(*found_here))] if found_here else []
     activity_rules = {n: rule for n, rule in ACTIVITY_RULES.items() if n in checks}
     if activity_rules:
-        rows = rows.withColumn("own_name", own_name)
         per_activity = F.transform(
             F.coalesce("p.activities", F.from_json(F.lit("[]"), f"ARRAY<{ACTIVITY_DDL}>")),
             lambda a: F.array_compact(
-                F.array(*[found(n, rule(a), a["name"], F.col("own_name")) for n, rule in activity_rules.items()])
+                F.array(*[found(n, rule(a), a["name"], own_name) for n, rule in activity_rules.items()])
             ),
         )
         lists.append(F.flatten(per_activity))
@@ -223,7 +230,8 @@ def _row_counts(resources: DataFrame) -> DataFrame:
 
 
 def _graph_counts(resources: DataFrame) -> DataFrame:
-    found = _graph_findings(resources, set(GRAPH_RULES.values()))
+    kinds, number = _graph_check(set(GRAPH_RULES.values()))
+    found = redundant_keys(resources, kinds).select("template_id", "k").distinct().withColumn("CheckNo", number)
     return found.groupBy("template_id").agg(
         *[F.count_if(F.col("CheckNo") == check).alias(f"c{check}") for check in sorted(GRAPH_RULES.values())]
     )

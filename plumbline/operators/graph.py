@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,20 +47,25 @@ def g_dependants(resources: DataFrame) -> DataFrame:
     return _first_spelling(_dependant_keys(resources))
 
 
-def redundant_resources(resources: DataFrame) -> DataFrame:
-    """Resources that nothing depends on.
+def redundant_keys(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
+    """Keys ``(template_id, k, key)`` that nothing depends on; ``k`` is the lower-case key.
 
     The used keys are made distinct with map-side combine first, so a target named by very many resources is one
     row per task before the shuffle. Both sides then meet on (template, key), which spreads a large template over
-    all tasks.
+    all tasks. ``kinds`` keeps keys that start with one of these kinds, on both sides before the join.
     """
-    used = _dependant_keys(resources).filter(F.col("key").isNotNull())
-    used = used.select("template_id", F.lower("key").alias("k")).distinct()
-    keys = resources.select("template_id", _resource_key().alias("key")).filter(F.col("key").isNotNull())
-    return (
-        keys.withColumn("k", F.lower("key"))
-        .join(used, ["template_id", "k"], "left_anti")
-        .groupBy("template_id", "k")
-        .agg(F.min("key").alias("key"))
-        .select("template_id", "key")
-    )
+
+    def lowered(keys: DataFrame) -> DataFrame:
+        keys = keys.withColumn("k", F.lower("key")).filter(F.col("k").isNotNull())
+        if kinds:
+            keys = keys.filter(reduce(or_, [F.startswith("k", F.lit(kind)) for kind in kinds]))
+        return keys
+
+    used = lowered(_dependant_keys(resources)).select("template_id", "k").distinct()
+    keys = lowered(resources.select("template_id", _resource_key().alias("key")))
+    return keys.join(used, ["template_id", "k"], "left_anti")
+
+
+def redundant_resources(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
+    """Resources that nothing depends on, each key once."""
+    return _first_spelling(redundant_keys(resources, kinds))

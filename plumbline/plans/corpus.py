@@ -85,12 +85,20 @@ def _previous_key(rows: DataFrame, group: str, key: str) -> DataFrame:
 
 
 def activity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One activity struct per line item, numbered inside (order, block)."""
+    """One activity struct per line item, numbered inside (order, block), and one row without item per order.
+
+    The order rows come last in their block. They are added before the numbering, so that one shuffle serves the
+    window here and the gathering by the caller.
+    """
     lines = table(spark, sf_dir, "lineitem").drop("l_shipdate")
     spread = F.expr("l_partkey * 31 + l_suppkey * 17 + l_linenumber")
     lines = with_part(lines, ["l_orderkey"], MAX_ACTIVITIES, spread, name="block")
-    order = Window.partitionBy("l_orderkey", "block").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    lines = lines.withColumn("rn", F.row_number().over(order))
+    bare = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.lit(0).cast("bigint").alias("block")
+    )
+    lines = lines.unionByName(bare, allowMissingColumns=True)
+    order = [F.asc_nulls_last(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
+    lines = lines.withColumn("rn", F.row_number().over(Window.partitionBy("l_orderkey", "block").orderBy(*order)))
 
     def on(distance: int, condition: Column) -> Column:
         return F.struct(_text("a", F.col("rn") - distance).alias("activity"), F.array(condition).alias("dependencyConditions"))
@@ -118,7 +126,7 @@ def activity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(
         F.col("l_orderkey").alias("o_orderkey"),
         "block",
-        F.struct("rn", activity.alias("activity")).alias("item"),
+        F.when(F.col("l_linenumber").isNotNull(), F.struct("rn", activity.alias("activity"))).alias("item"),
         F.when(F.col("l_quantity") == 50, F.col("l_partkey") % 14).alias("dataset"),
     )
 
@@ -127,10 +135,8 @@ def pipeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pipeline per (order, block). Every order has at least one row, line items or not."""
     orders = table(spark, sf_dir, "orders").drop("o_orderdate")
     orders = orders.withColumn("f", _int_div("o_custkey", 10))
-    lines = activity_rows(spark, sf_dir)
-    bare = orders.select("o_orderkey", F.lit(0).cast("bigint").alias("block"))
     grouped = (
-        lines.unionByName(bare, allowMissingColumns=True)
+        activity_rows(spark, sf_dir)
         .groupBy("o_orderkey", "block")
         # At most MAX_ACTIVITIES items on average, and 14 data sets.
         .agg(F.sort_array(F.collect_list("item")).alias("items"), F.sort_array(F.collect_set("dataset")).alias("datasets"))
