@@ -495,11 +495,11 @@ def st_run_status_stream(spark, sf):
 
 @register
 def st_landing_ingest_stream(spark, sf):
-    source = _written_csv(spark, sf, "arrivals", *CUSTOMER_TEXT)
+    source = _written_csv(spark, sf, "arrivals/customer.csv", *CUSTOMER_TEXT).rsplit("/", 1)[0]
     path = fresh_path(spark, "ingest")
     schema = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING"
     st_landing_ingest(spark, source, path, f"{path}/checkpoint", schema).awaitTermination()
-    return spark.read.parquet(f"{path}/Consume/*").select(*CUSTOMER_TEXT)
+    return spark.read.parquet(f"{path}/Consume/customer").select(*CUSTOMER_TEXT)
 
 
 # Scalar functions -------------------------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +15,14 @@ from plumbline.sources.files import read_csv_inferred
 BINARY_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
+def _arrival(path: Column) -> Column:
+    """The arriving item a file belongs to: the file, or its folder when that is named like a delimited file.
+
+    Spark writes a CSV as a folder of parts; the parts are one data set.
+    """
+    return F.when(path.rlike("[.](csv|txt)/[^/]*$"), F.regexp_extract(path, "^(.*)/[^/]*$", 1)).otherwise(path)
+
+
 def st_landing_ingest(
     spark: SparkSession,
     src: str,
@@ -35,9 +43,9 @@ def st_landing_ingest(
         session = batch.sparkSession
         delimited = defaultdict(list)
         others = []
-        for row in batch.select("path", "extension").collect():
+        for row in batch.select("path", "arrival", "extension").collect():
             if row.extension in ("csv", "txt"):
-                delimited[dataset_of(row.path)].append(row.path)
+                delimited[dataset_of(row.arrival)].append(row.path)
             else:
                 others.append(row.path)
         for name, paths in delimited.items():
@@ -53,7 +61,8 @@ def st_landing_ingest(
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
         .load(src)
-        .select("path", first_dot_extension(F.substring_index("path", "/", -1)).alias("extension"))
+        .select("path", _arrival(F.col("path")).alias("arrival"))
+        .withColumn("extension", first_dot_extension(F.substring_index("arrival", "/", -1)))
     )
     return (
         files.writeStream.foreachBatch(ingest)
