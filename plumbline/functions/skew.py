@@ -5,35 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.session import fresh_path
 
-def with_part(
-    df: DataFrame,
-    keys: list[str],
-    limit: int,
-    spread: Column,
-    weight: Column | None = None,
-    name: str = "part",
-) -> DataFrame:
-    """Number the parts of groups whose total weight (rows by default) exceeds ``limit``.
-
-    Small groups get part 0. A larger group gets ``ceil(weight / limit)`` parts, chosen row by row as
-    ``spread`` modulo that number, so that ``keys + [name]`` is a grouping without unbounded groups. ``spread``
-    must be a non-negative integer computed from the row alone, so that a retried task gives the same part.
-
-    Only the groups over the limit are joined back: the size pass is a partial aggregate, and the joined side is
-    usually empty. No broadcast is forced; adaptive execution picks one from the measured size, and otherwise
-    splits the hot keys of the left side.
+
+def oversized(sizes: DataFrame, weight: str, limit: int) -> DataFrame:
+    """Groups of ``sizes`` whose ``weight`` exceeds ``limit``, with the number of ``parts`` each needs."""
+    big = sizes.filter(F.col(weight) > limit)
+    return big.withColumn("parts", F.ceil(F.col(weight) / limit).cast("bigint")).drop(weight)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write a small table to the scratch folder and read it back.
+
+    Its true size is then known to the planner, which broadcasts it only if that is below the session's
+    threshold, and the join with a large table needs no shuffle in the usual case that it is nearly empty.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def with_part(df: DataFrame, keys: list[str], big: DataFrame, spread: Column, name: str = "part") -> DataFrame:
+    """Number the parts of the groups listed in ``big(keys, parts)``; any other group is part 0.
+
+    A row's part is ``spread`` modulo the number of parts, so ``keys + [name]`` is a grouping without unbounded
+    groups. ``spread`` must be a non-negative integer computed from the row alone, so that a retried task gives
+    the same part. If ``big`` is too large to be broadcast, adaptive execution splits the hot keys of ``df``.
     """
-    weight = F.lit(1) if weight is None else weight
-    parts = f"__{name}_parts"
-    big = (
-        df.groupBy(*keys)
-        .agg(F.sum(weight.cast("bigint")).alias(parts))
-        .filter(F.col(parts) > limit)
-        .withColumn(parts, F.ceil(F.col(parts) / limit).cast("bigint"))
-    )
-    return (
-        df.join(big, keys, "left")
-        .withColumn(name, F.coalesce(F.pmod(spread.cast("bigint"), F.col(parts)), F.lit(0).cast("bigint")))
-        .drop(parts)
-    )
+    part = F.coalesce(F.pmod(spread.cast("bigint"), F.col("parts")), F.lit(0).cast("bigint"))
+    return df.join(big, keys, "left").withColumn(name, part).drop("parts")

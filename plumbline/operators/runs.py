@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.constants import RUNNING, SUCCEEDED
-from plumbline.functions.skew import with_part
+from plumbline.functions.skew import oversized, with_part
 from plumbline.functions.text import is_blank, parse_error
 
 # Errors per row of `r_activity_errors`; more are spread over further pages.
@@ -108,7 +108,8 @@ def r_activity_errors(runs: DataFrame, activity_runs: DataFrame, now: datetime,
     errors = with_part(
         activities.filter("has_error").select("run_id", "ts", *[F.col(c).alias(a) for a, c in _ERROR.items()]),
         ["run_id"],
-        ERROR_PAGE,
+        # The counts again: the planner reuses their shuffle.
+        oversized(counts.select("run_id", "ResponseErrorCount"), "ResponseErrorCount", ERROR_PAGE),
         F.pmod(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(2**62)),
         name="ErrorPage",
     )

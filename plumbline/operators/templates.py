@@ -55,7 +55,7 @@ def shred_resources(templates: DataFrame) -> DataFrame:
 
 
 def resources_of_type(resources: DataFrame, *kinds: str) -> DataFrame:
-    """Keep some kinds, ignoring case. On a table partitioned by ``kind`` this prunes partitions."""
+    """Keep some kinds, ignoring case. The filter is pushed into a scan of stored resources."""
     return resources.filter(F.col("kind").isin([k.lower() for k in kinds]))
 
 

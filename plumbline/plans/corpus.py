@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.constants import TYPE_PREFIX
-from plumbline.functions.skew import with_part
+from plumbline.functions.skew import oversized, with_part, written
 from plumbline.operators.templates import shred_resources
 from plumbline.session import fresh_path
 
@@ -84,34 +84,21 @@ def _previous_key(rows: DataFrame, group: str, key: str) -> DataFrame:
     )
 
 
-def activity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One activity struct per line item, numbered inside (order, block), and one row without item per order.
-
-    The order rows come last in their block. They are added before the numbering, so that one shuffle serves the
-    window here and the gathering by the caller.
-    """
-    lines = table(spark, sf_dir, "lineitem").drop("l_shipdate")
-    spread = F.expr("l_partkey * 31 + l_suppkey * 17 + l_linenumber")
-    lines = with_part(lines, ["l_orderkey"], MAX_ACTIVITIES, spread, name="block")
-    bare = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), F.lit(0).cast("bigint").alias("block")
-    )
-    lines = lines.unionByName(bare, allowMissingColumns=True)
-    order = [F.asc_nulls_last(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
-    lines = lines.withColumn("rn", F.row_number().over(Window.partitionBy("l_orderkey", "block").orderBy(*order)))
+def _activity() -> Column:
+    """The activity of a line item numbered ``rn`` inside its order and block."""
+    rn, open_line = F.col("rn"), F.col("l_linestatus") == "O"
 
     def on(distance: int, condition: Column) -> Column:
-        return F.struct(_text("a", F.col("rn") - distance).alias("activity"), F.array(condition).alias("dependencyConditions"))
+        return F.struct(_text("a", rn - distance).alias("activity"), F.array(condition).alias("dependencyConditions"))
 
-    open_line = F.col("l_linestatus") == "O"
     depends_on = F.array_compact(
         F.array(
-            F.when(F.col("rn") > 1, on(1, F.when(F.col("l_returnflag") == "R", "Failed").otherwise("Succeeded"))),
-            F.when((F.col("rn") > 2) & open_line, on(2, F.lit("Failed"))),
+            F.when(rn > 1, on(1, F.when(F.col("l_returnflag") == "R", "Failed").otherwise("Succeeded"))),
+            F.when((rn > 2) & open_line, on(2, F.lit("Failed"))),
         )
     )
-    activity = F.struct(
-        _text("a", F.col("rn")).alias("name"),
+    return F.struct(
+        _text("a", rn).alias("name"),
         F.when(open_line & (F.col("l_quantity") <= 25), "ForEach").when(open_line, "Copy").otherwise("Lookup").alias("type"),
         _absent_if(F.col("l_discount") == 0, _text("part ", F.col("l_partkey"))).alias("description"),
         depends_on.alias("dependsOn"),
@@ -123,26 +110,43 @@ def activity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("l_quantity") % 2 == 0, (F.col("l_quantity") * 4).cast("int")).alias("batchCount"),
         ).alias("typeProperties"),
     )
-    return lines.select(
-        F.col("l_orderkey").alias("o_orderkey"),
-        "block",
-        F.when(F.col("l_linenumber").isNotNull(), F.struct("rn", activity.alias("activity"))).alias("item"),
-        F.when(F.col("l_quantity") == 50, F.col("l_partkey") % 14).alias("dataset"),
-    )
 
 
 def pipeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pipeline per (order, block). Every order has at least one row, line items or not."""
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
-    orders = orders.withColumn("f", _int_div("o_custkey", 10))
-    grouped = (
-        activity_rows(spark, sf_dir)
-        .groupBy("o_orderkey", "block")
-        # At most MAX_ACTIVITIES items on average, and 14 data sets.
-        .agg(F.sort_array(F.collect_list("item")).alias("items"), F.sort_array(F.collect_set("dataset")).alias("datasets"))
+    """One pipeline per order, or several for an order with more than ``MAX_ACTIVITIES`` line items.
+
+    Orders and line items are put under each other before the numbering, so that a single shuffle on (order, block)
+    serves the numbering, the gathering of the activities and the meeting with the order.
+    """
+    lines = table(spark, sf_dir, "lineitem").drop("l_shipdate").withColumnRenamed("l_orderkey", "o_orderkey")
+    sizes = lines.groupBy("o_orderkey").agg(F.count("*").alias("n"))
+    big = written(oversized(sizes, "n", MAX_ACTIVITIES), "large-orders")
+    spread = F.expr("l_partkey * 31 + l_suppkey * 17 + l_linenumber")
+    lines = with_part(lines, ["o_orderkey"], big, spread, "block").withColumn("is_line", F.lit(True))
+
+    orders = table(spark, sf_dir, "orders").drop("o_orderdate").withColumn("f", _int_div("o_custkey", 10))
+    orders = _previous_key(orders, "f", "o_orderkey").join(big, "o_orderkey", "left")
+    last_block = F.coalesce("parts", F.lit(1)) - 1
+    orders = orders.select(
+        "o_orderkey",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)).alias("block"),
+        F.struct("f", "previous", "o_orderstatus", "o_totalprice", "o_orderpriority").alias("o"),
+    )
+
+    # The order's own row comes last in its block.
+    in_block = [F.asc_nulls_last(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
+    rows = lines.unionByName(orders, allowMissingColumns=True)
+    rows = rows.withColumn("rn", F.row_number().over(Window.partitionBy("o_orderkey", "block").orderBy(*in_block)))
+    # About MAX_ACTIVITIES items at most, and 14 data sets.
+    item = F.when(F.col("is_line"), F.struct("rn", _activity().alias("activity")))
+    dataset = F.when(F.col("l_quantity") == 50, F.col("l_partkey") % 14)
+    p = rows.groupBy("o_orderkey", "block").agg(
+        F.sort_array(F.collect_list(item)).alias("items"),
+        F.sort_array(F.collect_set(dataset)).alias("datasets"),
+        F.first("o", ignorenulls=True).alias("o"),
     )
-    orders = _previous_key(orders, "f", "o_orderkey")
-    p = grouped.join(orders, "o_orderkey")
+    p = p.select("o_orderkey", "block", "items", "datasets", "o.*").filter(F.col("f").isNotNull())
+
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     description = F.when(status == "P", F.lit(None)).when((status == "F") & (key % 2 == 0), F.lit(""))
     properties = F.struct(
@@ -271,9 +275,9 @@ def resource_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(rows: DataFrame) -> DataFrame:
     """Gather resource rows into template documents ``(template_id, part, template)``."""
-    rows = with_part(
-        rows, ["template_id"], MAX_DOCUMENT_BYTES, F.pmod(F.xxhash64("seq", "key", "resource"), F.lit(2**62)), F.length("resource")
-    )
+    sizes = rows.groupBy("template_id").agg(F.sum(F.col("bytes").cast("bigint")).alias("n"))
+    big = written(oversized(sizes, "n", MAX_DOCUMENT_BYTES), "large-templates")
+    rows = with_part(rows, ["template_id"], big, F.pmod(F.xxhash64("seq", "key", "resource"), F.lit(2**62)))
     gathered = rows.groupBy("template_id", "part").agg(
         F.sort_array(F.collect_list(F.struct("seq", "key", "resource"))).alias("items")
     )
@@ -296,10 +300,13 @@ def _corpus_path(spark: SparkSession, sf_dir: str) -> str:
         if key not in _built:
             path = fresh_path(spark, "corpus")
             # Written between the steps, so that sizing and gathering read the rows instead of deriving them twice.
-            resource_rows(spark, sf_dir).write.parquet(f"{path}/rows")
+            rows = resource_rows(spark, sf_dir).withColumn("bytes", F.octet_length("resource"))
+            rows.write.parquet(f"{path}/rows")
             documents(spark.read.parquet(f"{path}/rows")).write.parquet(f"{path}/templates")
             shredded = shred_resources(spark.read.parquet(f"{path}/templates"))
-            shredded.write.partitionBy("kind").parquet(f"{path}/resources")
+            # Sorted inside each task, so a filter on kind skips pages and row groups without a folder per kind,
+            # which would leave many small files.
+            shredded.sortWithinPartitions("kind").write.parquet(f"{path}/resources")
             _built[key] = path
         return _built[key]
 
@@ -310,5 +317,5 @@ def templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus as shredded resources, partitioned by kind."""
+    """The corpus as shredded resources, each file sorted by kind."""
     return spark.read.parquet(f"{_corpus_path(spark, sf_dir)}/resources")

@@ -16,7 +16,7 @@ cut AS (SELECT l.*, CASE WHEN parts IS NULL THEN 0 ELSE (l_partkey * 31 + l_supp
         FROM lineitem l LEFT JOIN big USING (l_orderkey)),
 ord AS (SELECT *, o_custkey // 10 AS f,
                lag(o_orderkey) OVER (PARTITION BY o_custkey // 10 ORDER BY o_orderkey) AS previous FROM orders),
-blocks AS (SELECT l_orderkey AS o_orderkey, block FROM cut UNION SELECT o_orderkey, 0 FROM orders),
+blocks AS (SELECT o_orderkey, unnest(range(coalesce(parts, 1))) AS block FROM orders LEFT JOIN big ON l_orderkey = o_orderkey),
 pl AS (SELECT ord.*, block, 'pl_' || o_orderkey || CASE WHEN block = 0 THEN '' ELSE '_' || block END AS pname,
               CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 THEN ''
                    ELSE 'Order ' || o_orderkey END AS description,

@@ -7,7 +7,7 @@ from compare import TABLES, compare, duck
 from conftest import SF
 
 import __spark_entry__ as driver
-from plumbline.functions.skew import with_part
+from plumbline.functions.skew import oversized, with_part, written
 from plumbline.plans import corpus
 
 HOT = {
@@ -69,7 +69,10 @@ def test_with_part(spark):
     from pyspark.sql import functions as F
 
     df = spark.range(1000).select(F.when(F.col("id") < 900, 0).otherwise(F.col("id")).alias("k"), "id")
-    parts = with_part(df, ["k"], 100, F.col("id")).groupBy("k", "part").count().collect()
+    sizes = df.groupBy("k").agg(F.count("*").alias("n"))
+    big = written(oversized(sizes, "n", 100), "big")
+    assert [tuple(r) for r in big.collect()] == [(0, 9)]
+    parts = with_part(df, ["k"], big, F.col("id")).groupBy("k", "part").count().collect()
     assert sum(r["count"] for r in parts) == 1000
     assert sorted(r.part for r in parts if r.k == 0) == list(range(9))
     assert all(r["count"] == 100 for r in parts if r.k == 0)
