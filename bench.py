@@ -41,8 +41,8 @@ HEADLINE = (
     "i_clean_csv",
     "workspace_tree",
     "st_autoscale_target_batch",
-    "st_autoscale_target_stream",
-    "st_run_status_stream",
+    "st_autoscale_target",
+    "st_run_status",
 )
 
 

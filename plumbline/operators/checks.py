@@ -20,85 +20,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.constants import CHECKS, DEFAULT_TIMEOUT, FOREACH_BATCH_MAXIMUM
-from plumbline.functions.text import array_length, clean_name, is_blank, key_name
+from plumbline.functions.text import clean_name, key_name
 from plumbline.operators.graph import redundant_keys, redundant_resources
 from plumbline.operators.templates import ACTIVITY_DDL, resources_of_type, with_properties
 
 ALL = tuple(number for number, *_ in CHECKS)
 
-
-def _foreach_in_parallel(a: Column) -> Column:
-    sequential = F.lower(F.coalesce(a["typeProperties"]["isSequential"], F.lit(""))) == "true"
-    return (F.lower(a["type"]) == "foreach") & ~sequential
-
-
-# One rule per check on an activity; the argument is the activity struct.
-ACTIVITY_RULES: dict[int, Callable[[Column], Column]] = {
-    7: lambda a: a["policy"]["timeout"] == DEFAULT_TIMEOUT,
-    8: lambda a: is_blank(a["description"]),
-    9: lambda a: _foreach_in_parallel(a) & is_blank(a["typeProperties"]["batchCount"]),
-    10: lambda a: _foreach_in_parallel(a)
-    & (F.coalesce(a["typeProperties"]["batchCount"].try_cast("int"), F.lit(0)) < FOREACH_BATCH_MAXIMUM),
+# Rules are SQL conditions over the parsed properties ``p`` or the activity ``a``.
+_NO_DESCRIPTION = "coalesce(p.description, '') = ''"
+_NO_FOLDER = "coalesce(p.folder.name, '') = ''"
+_NO_ANNOTATIONS = "coalesce(size(p.annotations), 0) <= 0"
+_PARALLEL_FOREACH = "lower(a.type) = 'foreach' AND lower(coalesce(a.typeProperties.isSequential, '')) <> 'true'"
+
+ACTIVITY_RULES = {
+    7: f"a.policy.timeout = '{DEFAULT_TIMEOUT}'",
+    8: "coalesce(a.description, '') = ''",
+    9: f"{_PARALLEL_FOREACH} AND coalesce(a.typeProperties.batchCount, '') = ''",
+    10: f"""{_PARALLEL_FOREACH}
+            AND coalesce(try_cast(a.typeProperties.batchCount AS INT), 0) < {FOREACH_BATCH_MAXIMUM}""",
 }
 
-
-def _impossible_chain() -> tuple[Column, Column]:
-    """Check 2 inside one pipeline row: the column ``failed`` and the flag that reads it.
-
-    An activity with several dependencies waits for the failure of some upstream U; if U itself waits for the
-    success of another upstream in that same failure list, the chain can never run. Both lists span the pipeline.
-    """
-    activities = F.col("p.activities")
-
-    def upstream(a: Column, condition: str) -> Column:
-        hit = F.filter(a["dependsOn"], lambda d: F.array_contains(d["dependencyConditions"], condition))
-        return F.transform(hit, lambda d: F.lower(d["activity"]))
-
-    several = F.filter(activities, lambda a: F.size(a["dependsOn"]) > 1)
-    failed = F.array_compact(F.array_distinct(F.flatten(F.transform(several, lambda a: upstream(a, "Failed")))))
-    waits = F.filter(activities, lambda a: F.array_contains(F.col("failed"), F.lower(a["name"])))
-    succeeded = F.array_compact(F.flatten(F.transform(waits, lambda a: upstream(a, "Succeeded"))))
-    return failed, F.coalesce(F.arrays_overlap(F.col("failed"), succeeded), F.lit(False))
-
-
-def _last_member_lacks_secret() -> Column:
-    """Check 11: the alphabetically last member of ``typeProperties`` has no ``secretName``.
-
-    Only the flag leaves the row, never the secret. A service without members is not flagged.
-    """
-    members = F.transform(
-        F.map_entries("p.typeProperties"),
-        lambda e: F.struct(
-            F.lower(e["key"]).alias("k"), is_blank(F.get_json_object(e["value"], "$.secretName")).alias("lacks")
-        ),
-    )
-    other_type = F.lower(F.coalesce("p.type", F.lit(""))) != "azurekeyvault"
-    return other_type & F.coalesce(F.array_max(members)["lacks"], F.lit(False))
-
+# Check 2 inside one pipeline row. An activity with several dependencies waits for the failure of some upstream U; if
+# U itself waits for the success of another upstream in that same failure list, the chain can never run. Both lists
+# span the pipeline.
+_UPSTREAM = "transform(filter(a.dependsOn, d -> array_contains(d.dependencyConditions, '{}')), d -> lower(d.activity))"
+_FAILED = f"""array_compact(array_distinct(flatten(transform(
+    filter(p.activities, a -> size(a.dependsOn) > 1), a -> {_UPSTREAM.format("Failed")}))))"""
+_IMPOSSIBLE = f"""coalesce(arrays_overlap(failed, array_compact(flatten(transform(
+    filter(p.activities, a -> array_contains(failed, lower(a.name))), a -> {_UPSTREAM.format("Succeeded")})))), false)"""
+
+# Check 11: the alphabetically last member has no secretName. Only the flag leaves the row, never the secret; a
+# service without members is not flagged.
+_LAST_MEMBER_LACKS_SECRET = """lower(coalesce(p.type, '')) <> 'azurekeyvault' AND coalesce(array_max(transform(
+    map_entries(p.typeProperties),
+    e -> struct(lower(e.key) AS k, coalesce(get_json_object(e.value, '$.secretName'), '') = '' AS lacks))).lacks, false)"""
 
 # One rule per check on a resource, by kind.
-RESOURCE_RULES: dict[str, dict[int, Callable[[], Column]]] = {
-    "pipelines": {
-        2: lambda: F.col("impossible"),
-        3: lambda: is_blank("p.description"),
-        4: lambda: is_blank("p.folder.name"),
-        5: lambda: array_length("p.annotations") <= 0,
-    },
-    "dataflows": {6: lambda: is_blank("p.description")},
-    "linkedservices": {
-        11: _last_member_lacks_secret,
-        13: lambda: is_blank("p.description"),
-        14: lambda: array_length("p.annotations") <= 0,
-    },
-    "datasets": {
-        16: lambda: is_blank("p.description"),
-        17: lambda: is_blank("p.folder.name"),
-        18: lambda: array_length("p.annotations") <= 0,
-    },
-    "triggers": {
-        20: lambda: is_blank("p.description"),
-        21: lambda: array_length("p.annotations") <= 0,
-    },
+RESOURCE_RULES = {
+    "pipelines": {2: "impossible", 3: _NO_DESCRIPTION, 4: _NO_FOLDER, 5: _NO_ANNOTATIONS},
+    "dataflows": {6: _NO_DESCRIPTION},
+    "linkedservices": {11: _LAST_MEMBER_LACKS_SECRET, 13: _NO_DESCRIPTION, 14: _NO_ANNOTATIONS},
+    "datasets": {16: _NO_DESCRIPTION, 17: _NO_FOLDER, 18: _NO_ANNOTATIONS},
+    "triggers": {20: _NO_DESCRIPTION, 21: _NO_ANNOTATIONS},
 }
 
 # Checks that read the dependency graph: check number by kind.
@@ -106,12 +69,12 @@ GRAPH_RULES = {"pipelines": 1, "linkedservices": 12, "datasets": 15, "triggers":
 
 # Members each check reads; only those are parsed.
 _MEMBERS = {
-    "description": ("description STRING", {3, 6, 13, 16, 20}),
-    "folder": ("folder STRUCT<name STRING>", {4, 17}),
-    "annotations": ("annotations ARRAY<STRING>", {5, 14, 18, 21}),
-    "activities": (f"activities ARRAY<{ACTIVITY_DDL}>", {2, 7, 8, 9, 10}),
-    "type": ("type STRING", {11}),
-    "typeProperties": ("typeProperties MAP<STRING, STRING>", {11}),
+    "description STRING": {3, 6, 13, 16, 20},
+    "folder STRUCT<name STRING>": {4, 17},
+    "annotations ARRAY<STRING>": {5, 14, 18, 21},
+    f"activities ARRAY<{ACTIVITY_DDL}>": {2, 7, 8, 9, 10},
+    "type STRING": {11},
+    "typeProperties MAP<STRING, STRING>": {11},
 }
 
 
@@ -124,21 +87,18 @@ def _kinds_of(checks: set[int]) -> list[str]:
 
 def _parsed(resources: DataFrame, checks: set[int]) -> DataFrame:
     """Resources with just the members that ``checks`` read."""
-    ddl = ", ".join(text for text, users in _MEMBERS.values() if users & checks)
+    ddl = ", ".join(member for member, users in _MEMBERS.items() if users & checks)
     rows = with_properties(resources.select("template_id", "kind", "name", "properties"), ddl)
     if 2 in checks:
-        failed, impossible = _impossible_chain()
-        rows = rows.withColumn("failed", failed).withColumn("impossible", impossible).drop("failed")
+        rows = rows.selectExpr("*", f"{_FAILED} AS failed").selectExpr("*", f"{_IMPOSSIBLE} AS impossible").drop("failed")
     return rows
 
 
 def _graph_check(checks: set[int]) -> tuple[tuple[str, ...], Column]:
     """Kinds the wanted graph checks look at, and the check number of a lower-case key ``k``."""
     wanted = {kind: check for kind, check in GRAPH_RULES.items() if check in checks}
-    number = F.lit(None).cast("int")
-    for kind, check in wanted.items():
-        number = F.when(F.startswith("k", F.lit(kind)), F.lit(check)).otherwise(number)
-    return tuple(wanted), number
+    cases = " ".join(f"WHEN startswith(k, '{kind}') THEN {check}" for kind, check in wanted.items())
+    return tuple(wanted), F.expr(f"CASE {cases} END")
 
 
 def _graph_findings(resources: DataFrame, checks: set[int]) -> DataFrame:
@@ -155,85 +115,75 @@ def _graph_findings(resources: DataFrame, checks: set[int]) -> DataFrame:
     )
 
 
-def _row_findings(resources: DataFrame, checks: set[int]) -> DataFrame:
-    rows = _parsed(resources_of_type(resources, *_kinds_of(checks)), checks)
-    rows = rows.withColumn("own_name", clean_name("name"))
+def _finding(check: int, condition: str, name: str, pipeline: str) -> str:
+    return f"CASE WHEN {condition} THEN struct({check} AS CheckNo, {name} AS Name, {pipeline} AS BelongsToPipeline) END"
 
-    def found(check: int, hit: Column, name: Column, pipeline: Column) -> Column:
-        return F.when(
-            hit, F.struct(F.lit(check).alias("CheckNo"), name.alias("Name"), pipeline.alias("BelongsToPipeline"))
-        )
 
-    own_name, nothing = F.col("own_name"), F.lit(None).cast("string")
+def _row_findings(resources: DataFrame, checks: set[int]) -> DataFrame:
+    rows = _parsed(resources_of_type(resources, *_kinds_of(checks)), checks).withColumn("own_name", clean_name("name"))
     found_here = [
-        found(check, (F.col("kind") == kind) & rule(), own_name, nothing)
+        _finding(check, f"kind = '{kind}' AND {rule}", "own_name", "CAST(NULL AS STRING)")
         for kind, rules in RESOURCE_RULES.items()
         for check, rule in rules.items()
         if check in checks
     ]
-    lists = [F.array_compact(F.array(*found_here))] if found_here else []
-    activity_rules = {n: rule for n, rule in ACTIVITY_RULES.items() if n in checks}
-    if activity_rules:
-        per_activity = F.transform(
-            F.coalesce("p.activities", F.from_json(F.lit("[]"), f"ARRAY<{ACTIVITY_DDL}>")),
-            lambda a: F.array_compact(
-                F.array(*[found(n, rule(a), a["name"], own_name) for n, rule in activity_rules.items()])
-            ),
+    found_inside = [_finding(n, rule, "a.name", "own_name") for n, rule in ACTIVITY_RULES.items() if n in checks]
+    lists = []
+    if found_here:
+        lists.append(f"array_compact(array({', '.join(found_here)}))")
+    if found_inside:
+        # No activities, no findings: a null list would void the whole concatenation.
+        none = f"from_json('[]', 'ARRAY<{ACTIVITY_DDL}>')"
+        lists.append(
+            f"flatten(transform(coalesce(p.activities, {none}), a -> array_compact(array({', '.join(found_inside)}))))"
         )
-        lists.append(F.flatten(per_activity))
-    findings = F.concat(*lists) if len(lists) > 1 else lists[0]
-    return rows.select("template_id", F.inline(findings))
+    return rows.selectExpr("template_id", f"inline(concat({', '.join(lists)}))")
 
 
 def c_details(resources: DataFrame, checks: Iterable[int] = ALL) -> DataFrame:
     """One row per finding, with the pipeline of an activity."""
-    wanted = set(checks)
+    wanted, graph = set(checks), set(GRAPH_RULES.values())
     branches = []
-    if wanted - set(GRAPH_RULES.values()):
-        branches.append(_row_findings(resources, wanted - set(GRAPH_RULES.values())))
-    if wanted & set(GRAPH_RULES.values()):
+    if wanted - graph:
+        branches.append(_row_findings(resources, wanted - graph))
+    if wanted & graph:
         branches.append(_graph_findings(resources, wanted))
     findings = branches[0] if len(branches) == 1 else branches[0].unionByName(branches[1])
-    return findings.select(
+    return findings.selectExpr(
         "template_id",
         "CheckNo",
-        _text_of(1).alias("Component"),
+        f"{_text_of(1)} AS Component",
         "Name",
-        _text_of(4).alias("CheckDetail"),
-        _text_of(2).alias("Severity"),
+        f"{_text_of(4)} AS CheckDetail",
+        f"{_text_of(2)} AS Severity",
         "BelongsToPipeline",
     )
 
 
-def _text_of(position: int) -> Column:
+def _text_of(position: int) -> str:
     """Fixed text of a check, picked from a literal array by its number."""
-    return F.element_at(F.array(*[F.lit(check[position]) for check in CHECKS]), F.col("CheckNo"))
+    return f"element_at(array({', '.join(repr(check[position]) for check in CHECKS)}), CheckNo)"
 
 
 def _row_counts(resources: DataFrame) -> DataFrame:
-    """Findings per template as one column per check: a single partial-then-final sum.
+    """Findings per template as one column per check: a single partial-then-final aggregate.
 
     Every resource takes part, so a template without findings keeps its row of zeros.
     """
-    checks = set(ALL) - set(GRAPH_RULES.values())
-    rows = _parsed(resources, checks)
     counts = {
-        check: F.when((F.col("kind") == kind) & rule(), 1).otherwise(0)
-        for kind, rules in RESOURCE_RULES.items()
-        for check, rule in rules.items()
+        check: f"count_if(kind = '{kind}' AND {rule})" for kind, rules in RESOURCE_RULES.items() for check, rule in rules.items()
     }
     for check, rule in ACTIVITY_RULES.items():
-        counts[check] = F.when(F.col("kind") == "pipelines", array_length(F.filter("p.activities", rule))).otherwise(0)
-    return rows.groupBy("template_id").agg(
-        *[F.sum(counts[check].cast("bigint")).alias(f"c{check}") for check in sorted(checks)]
-    )
+        counts[check] = f"sum(CASE WHEN kind = 'pipelines' THEN coalesce(size(filter(p.activities, a -> {rule})), 0) ELSE 0 END)"
+    rows = _parsed(resources, set(counts))
+    return rows.groupBy("template_id").agg(*[F.expr(f"{sql} AS c{check}") for check, sql in sorted(counts.items())])
 
 
 def _graph_counts(resources: DataFrame) -> DataFrame:
     kinds, number = _graph_check(set(GRAPH_RULES.values()))
     found = redundant_keys(resources, kinds).select("template_id", "k").distinct().withColumn("CheckNo", number)
     return found.groupBy("template_id").agg(
-        *[F.count_if(F.col("CheckNo") == check).alias(f"c{check}") for check in sorted(GRAPH_RULES.values())]
+        *[F.expr(f"count_if(CheckNo = {check}) AS c{check}") for check in sorted(GRAPH_RULES.values())]
     )
 
 
@@ -248,21 +198,13 @@ def c_summary(resources: DataFrame, as_written: bool = False, templates: DataFra
     wide = parts[0]
     for part in parts[1:]:
         wide = wide.unionByName(part, allowMissingColumns=True)
-    totals = wide.groupBy("template_id").agg(
-        *[F.coalesce(F.sum(f"c{check}"), F.lit(0)).cast("bigint").alias(f"c{check}") for check in ALL]
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(number).alias("CheckNo"),
-                F.col("c5" if as_written and number == 14 else f"c{number}").alias("IssueCount"),
-                F.lit(summary).alias("CheckDetail"),
-                F.lit(severity).alias("Severity"),
-            )
-            for number, _, severity, summary, _ in CHECKS
-        ]
+    totals = wide.groupBy("template_id").agg(*[F.expr(f"coalesce(sum(c{check}), 0) AS c{check}") for check in ALL])
+    rows = ", ".join(
+        f"struct({number} AS CheckNo, c{5 if as_written and number == 14 else number} AS IssueCount,"
+        f" {summary!r} AS CheckDetail, {severity!r} AS Severity)"
+        for number, _, severity, summary, _ in CHECKS
     )
-    return totals.select("template_id", F.inline(rows))
+    return totals.selectExpr("template_id", f"inline(array({rows}))")
 
 
 def c_totals(summary: DataFrame) -> DataFrame:

@@ -15,14 +15,14 @@ def _resource_key() -> Column:
     return F.concat(clean_type("type"), F.lit("|"), clean_name("name"))
 
 
-def _first_spelling(keys: DataFrame) -> DataFrame:
+def _lowered(keys: DataFrame) -> DataFrame:
+    """Keys with their lower-case form ``k``."""
+    return keys.withColumn("k", F.lower("key")).filter(F.col("k").isNotNull())
+
+
+def _once(keys: DataFrame) -> DataFrame:
     """One row per key and template, ignoring case."""
-    return (
-        keys.filter(F.col("key").isNotNull())
-        .groupBy("template_id", F.lower("key").alias("k"))
-        .agg(F.min("key").alias("key"))
-        .select("template_id", "key")
-    )
+    return keys.groupBy("template_id", "k").agg(F.min("key").alias("key")).select("template_id", "key")
 
 
 def _dependant_keys(resources: DataFrame) -> DataFrame:
@@ -40,11 +40,11 @@ def _dependant_keys(resources: DataFrame) -> DataFrame:
 
 
 def g_resources(resources: DataFrame) -> DataFrame:
-    return _first_spelling(resources.select("template_id", _resource_key().alias("key")))
+    return _once(_lowered(resources.select("template_id", _resource_key().alias("key"))))
 
 
 def g_dependants(resources: DataFrame) -> DataFrame:
-    return _first_spelling(_dependant_keys(resources))
+    return _once(_lowered(_dependant_keys(resources)))
 
 
 def redundant_keys(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
@@ -55,17 +55,12 @@ def redundant_keys(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFra
     all tasks. ``kinds`` keeps keys that start with one of these kinds, on both sides before the join.
     """
 
-    def lowered(keys: DataFrame) -> DataFrame:
-        keys = keys.withColumn("k", F.lower("key")).filter(F.col("k").isNotNull())
-        if kinds:
-            keys = keys.filter(reduce(or_, [F.startswith("k", F.lit(kind)) for kind in kinds]))
-        return keys
-
-    used = lowered(_dependant_keys(resources)).select("template_id", "k").distinct()
-    keys = lowered(resources.select("template_id", _resource_key().alias("key")))
+    wanted = reduce(or_, [F.startswith("k", F.lit(kind)) for kind in kinds]) if kinds else F.lit(True)
+    used = _lowered(_dependant_keys(resources)).filter(wanted).select("template_id", "k").distinct()
+    keys = _lowered(resources.select("template_id", _resource_key().alias("key"))).filter(wanted)
     return keys.join(used, ["template_id", "k"], "left_anti")
 
 
 def redundant_resources(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
-    """Resources that nothing depends on, each key once."""
-    return _first_spelling(redundant_keys(resources, kinds))
+    """Resources that nothing depends on, each key once; the join's partitioning serves this step too."""
+    return _once(redundant_keys(resources, kinds))

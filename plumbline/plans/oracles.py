@@ -303,10 +303,12 @@ def _oracles() -> dict[str, str]:
                        WHERE runs.status IN ({_RUNNING}) AND runs.run_id <> latest.run_id GROUP BY runs.pipeline_name) r
             USING (pipeline_name)"""
     )
-    o["r_last_execution"] = f"""SELECT event_id AS "LogId", CAST(user_id % 3 + 1 AS INTEGER) AS "StageId", user_id AS "PipelineId",
+    log_columns = f"""event_id AS "LogId", CAST(user_id % 3 + 1 AS INTEGER) AS "StageId", user_id AS "PipelineId",
         'pl_' || user_id AS "PipelineName", ts AS "StartDateTime", {_STATUS} AS "PipelineStatus",
-        CASE WHEN {_STATUS} NOT IN ({_RUNNING}) THEN ts + INTERVAL 5 MINUTE END AS "EndDateTime"
-        FROM events WHERE event_id // 100 = (SELECT max(event_id) // 100 FROM events) ORDER BY 2, 3"""
+        CASE WHEN {_STATUS} NOT IN ({_RUNNING}) THEN ts + INTERVAL 5 MINUTE END AS "EndDateTime\""""
+    o["r_last_execution"] = f"""SELECT {log_columns} FROM events
+        WHERE event_id // 100 = (SELECT max(event_id) // 100 FROM events) ORDER BY 2, 3"""
+    o["select_star"] = f"""SELECT {log_columns}, event_id // 100 AS "LocalExecutionId" FROM events"""
     o["r_property_lookup"] = """SELECT 'supplier_' || p_partkey AS "PropertyName", s_name AS "PropertyValue"
         FROM part LEFT JOIN supplier ON s_suppkey = p_partkey"""
     o["r_current_execution_counts"] = f"""SELECT CAST(user_id % 3 + 1 AS INTEGER) AS "StageId", {_STATUS} AS "PipelineStatus",
@@ -336,6 +338,9 @@ def _oracles() -> dict[str, str]:
     o["table_list"] = """SELECT n_name || '.' || c_name AS "TableName" FROM customer JOIN nation ON n_nationkey = c_nationkey
         WHERE c_custkey % 2 = 0"""
 
+    o["append_log_entries"] = """SELECT strftime(ts, '%d/%m/%Y %H:%M:%S') || '|' || CASE WHEN event_type = 'error' THEN 'start ' ELSE 'end ' END
+        || event_id AS value FROM events"""
+
     # Ingestion
     o["i_landing_path"] = f"""SELECT event_id, ts, {_HOUR_FOLDER.format(t="ts", h="%I")} AS "ProcessDateFolder" FROM events"""
     o["i_route_files"] = """SELECT name, substr(name, instr(name, '.') + 1) AS extension,
@@ -344,7 +349,7 @@ def _oracles() -> dict[str, str]:
         'Landing/Year=2020/Month=10/Day=20/Hour=03' AS target_folder
         FROM (SELECT 'f_' || page_id || ending AS name, ending FROM (
             SELECT page_id, CASE page_id % 4 WHEN 0 THEN '.xlsx' WHEN 1 THEN '.txt' WHEN 2 THEN '.csv' ELSE '.a.b' END AS ending FROM pages))"""
-    o["i_csv_to_table"] = o["st_landing_ingest_stream"] = _CUSTOMER
+    o["i_csv_to_table"] = o["st_landing_ingest"] = _CUSTOMER
     o["i_copy_table"] = "SELECT * FROM lineitem"
     o["i_copy_all_tables"] = " UNION ALL ".join(
         f"""SELECT '{t}' AS "TableName", count(*) AS "Rows", 'Succeeded' AS "Status" FROM {t}""" for t in _ALL_TABLES
@@ -365,7 +370,7 @@ def _oracles() -> dict[str, str]:
         date_trunc('second', ts) AS logged_at, props AS message FROM events"""
 
     # Metadata tables
-    o["rename_factory"] = _FACTORIES.format(name="'FrameworkFactoryTest'")
+    o["rename_factory"] = _FACTORIES.format(name="'factory_renamed'")
     o["disable_stages"] = _STAGE_ROWS.format(enabled="o_orderkey % 7 + 1 <= 3")
     o["clear_table"] = _STAGE_ROWS.format(enabled="true") + " WHERE false"
     o["generate_workers"] = f"""SELECT n AS "PipelineId", CAST(7 AS BIGINT) AS "DataFactoryId",
@@ -379,13 +384,13 @@ def _oracles() -> dict[str, str]:
 
     # Streaming
     target = "round(least(25.0, CASE WHEN count(value) * 300 * 100 / 3600.0 < 70 THEN 1.0 ELSE avg(value) END), 6)"
-    o["st_autoscale_target_stream"] = f"""SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+    o["st_autoscale_target"] = f"""SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
         count(value) AS samples, {target} AS target FROM events GROUP BY 1"""
     o["st_autoscale_target_batch"] = f"""SELECT start AS window_start, start + INTERVAL 1 HOUR AS window_end, count(value) AS samples,
         {target} AS target FROM (
             SELECT unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS start, value
             FROM events) GROUP BY start"""
-    o["st_run_status_stream"] = _log(f"SELECT run_id, status, last_updated FROM user_run WHERE status NOT IN ({_RUNNING})")
+    o["st_run_status"] = o["st_run_status_batch"] = _log(f"SELECT run_id, status, last_updated FROM user_run WHERE status NOT IN ({_RUNNING})")
 
     # Scalar functions
     hour = "o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER))"

@@ -43,6 +43,14 @@ def register(query: Query) -> Query:
     return query
 
 
+def register_as(name: str) -> Callable[[Query], Query]:
+    def add(query: Query) -> Query:
+        REGISTRY[name] = query
+        return query
+
+    return add
+
+
 def _on_resources(operator: Callable[[DataFrame], DataFrame], name: str | None = None) -> None:
     REGISTRY[name or operator.__name__] = lambda spark, sf: operator(corpus.resources(spark, sf))
 
@@ -338,6 +346,17 @@ def temp_view_sql(spark, sf):
     return catalog.temp_view_sql(table(spark, sf, "documents"), "documents_view", sql, low=0)
 
 
+@register
+def append_log_entries(spark, sf):
+    """Events as formatted log lines, appended to a log folder twice and read back."""
+    path = fresh_path(spark, "log")
+    events = table(spark, sf, "events")
+    for kind, wanted in (("start", F.col("event_type") == "error"), ("end", F.col("event_type") != "error")):
+        message = F.concat(F.lit(f"{kind} "), F.col("event_id").cast("string"))
+        files.append_log_entries(events.filter(wanted).select("ts", message.alias("message")), path, "ts", "message")
+    return files.read_text_lines(spark, path)
+
+
 @register
 def table_list(spark, sf):
     return catalog.table_list(fx.objects(spark, sf), fx.schemas(spark, sf), F.lit(True))
@@ -412,7 +431,7 @@ def i_log_lines(spark, sf):
 
 @register
 def rename_factory(spark, sf):
-    return M.rename_factory(fx.factories(spark, sf), "FrameworkFactoryTest")
+    return M.rename_factory(fx.factories(spark, sf), "factory_renamed")
 
 
 @register
@@ -451,6 +470,12 @@ def drop_fk_statements(spark, sf):
     return M.drop_fk_statements(fx.objects(spark, sf))
 
 
+@register
+def select_star(spark, sf):
+    fx.execution_log(spark, sf).createOrReplaceTempView("execution_log_view")
+    return catalog.select_star(spark, "execution_log_view")
+
+
 # Streaming --------------------------------------------------------------------------------------------------
 
 
@@ -474,27 +499,32 @@ def _samples(events: DataFrame) -> DataFrame:
     return events.select("ts", F.col("value").alias("pending"))
 
 
-@register
-def st_autoscale_target_stream(spark, sf):
+@register_as("st_autoscale_target")
+def autoscale_stream(spark, sf):
     stream = st_autoscale_target(_samples(_event_stream(spark, sf)), 300, "1 hour")
     out = _plain_times(_streamed(spark, stream, ["window_start"]))
     return out.withColumn("target", F.round("target", 6))
 
 
-@register
-def st_autoscale_target_batch(spark, sf):
+@register_as("st_autoscale_target_batch")
+def autoscale_batch(spark, sf):
     out = st_autoscale_target(_samples(table(spark, sf, "events")), 300, "1 hour", slide="30 minutes")
     return _plain_times(out).withColumn("target", F.round("target", 6))
 
 
-@register
-def st_run_status_stream(spark, sf):
+@register_as("st_run_status_batch")
+def run_status_batch(spark, sf):
+    return _plain_times(st_run_status(fx.status_changes(table(spark, sf, "events"))))
+
+
+@register_as("st_run_status")
+def run_status_stream(spark, sf):
     stream = st_run_status(fx.status_changes(_event_stream(spark, sf)))
     return _plain_times(_streamed(spark, stream, ["run_id"]))
 
 
-@register
-def st_landing_ingest_stream(spark, sf):
+@register_as("st_landing_ingest")
+def landing_stream(spark, sf):
     source = _written_csv(spark, sf, "arrivals/customer.csv", *CUSTOMER_TEXT).rsplit("/", 1)[0]
     path = fresh_path(spark, "ingest")
     schema = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING"

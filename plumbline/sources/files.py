@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from plumbline.functions.text import landing_parts
+from plumbline.functions.text import landing_parts, log_line
 
 LANDING_COLUMNS = ("Year", "Month", "Day", "Hour")
 
@@ -23,6 +23,11 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def append_log_entries(df: DataFrame, path: str, ts_col: str, msg_col: str) -> None:
+    """Append ``dd/MM/yyyy HH:mm:ss|message`` lines to a log folder, such as the start and end of a run."""
+    df.select(log_line(ts_col, msg_col).alias("value")).write.mode("append").text(path)
+
+
 def read_csv_inferred(
     spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, multi_line: bool = False
 ) -> DataFrame:
