@@ -33,13 +33,17 @@ def kind_of(type_name: Column) -> Column:
     return F.when(lowered.isin(known), F.substring_index(lowered, "/", -1))
 
 
-def shred_resources(templates: DataFrame) -> DataFrame:
-    """One row per element of ``resources``; ``properties`` stays JSON text."""
+def shred_resources(templates: DataFrame, strict: bool = False) -> DataFrame:
+    """One row per element of ``resources``; ``properties`` stays JSON text.
+
+    A malformed document has no rows; ``strict`` fails the job for it instead.
+    """
+    mode = {"mode": "FAILFAST" if strict else "PERMISSIVE"}
     part = F.col("part") if "part" in templates.columns else F.lit(0).cast("bigint")
     rows = templates.select(
         "template_id",
         part.alias("part"),
-        F.posexplode(F.from_json("template", RESOURCES_DDL)["resources"]).alias("ordinal", "r"),
+        F.posexplode(F.from_json("template", RESOURCES_DDL, mode)["resources"]).alias("ordinal", "r"),
     )
     return rows.select(
         "template_id",

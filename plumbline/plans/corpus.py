@@ -16,6 +16,7 @@ from __future__ import annotations
 import threading
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -311,11 +312,19 @@ def _corpus_path(spark: SparkSession, sf_dir: str) -> str:
         return _built[key]
 
 
+def _stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    try:
+        return spark.read.parquet(f"{_corpus_path(spark, sf_dir)}/{name}")
+    except AnalysisException:  # the scratch folder was cleared meanwhile
+        _built.pop((spark.sparkContext.applicationId, sf_dir), None)
+        return spark.read.parquet(f"{_corpus_path(spark, sf_dir)}/{name}")
+
+
 def templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus as documents."""
-    return spark.read.parquet(f"{_corpus_path(spark, sf_dir)}/templates")
+    return _stored(spark, sf_dir, "templates")
 
 
 def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus as shredded resources, each file sorted by kind."""
-    return spark.read.parquet(f"{_corpus_path(spark, sf_dir)}/resources")
+    return _stored(spark, sf_dir, "resources")

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from conftest import activity, resource, rows
 
 from plumbline.operators import graph as G
@@ -28,6 +29,8 @@ def test_shred_keeps_order_text_and_kind(corpus_of):
 def test_malformed_documents_give_no_rows(spark):
     df = spark.createDataFrame([("a", "not json"), ("b", "{}"), ("c", None)], "template_id STRING, template STRING")
     assert T.shred_resources(df).count() == 0
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        T.shred_resources(df, strict=True).collect()
     assert T.t_factory_name(df).count() == 0
 
 
