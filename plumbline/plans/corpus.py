@@ -17,7 +17,7 @@ import threading
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.constants import TYPE_PREFIX
@@ -35,34 +35,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _int_div(column: str, by: int) -> Column:
-    return F.expr(f"{column} div {by}")
+# Absent members are null and left out by to_json; this one is present and empty.
+_EMPTY = "CAST(array() AS ARRAY<STRING>)"
 
 
-def _absent_if(condition: Column, value: Column) -> Column:
-    """Null fields are left out of the JSON."""
-    return F.when(~condition, value)
+def _resource(kind: str, name: str, depends_on: str, properties: str) -> str:
+    """JSON text of a resource; the arguments are SQL expressions."""
+    return f"""to_json(named_struct(
+        'name', concat("[concat(parameters('factoryName'), '/", {name}, "')]"),
+        'type', '{TYPE_PREFIX}{kind}',
+        'apiVersion', '2018-06-01',
+        'dependsOn', transform({depends_on}, d -> concat("[concat(variables('factoryId'), '/", d, "')]")),
+        'properties', {properties}))"""
 
 
-def _text(prefix: str, value: Column) -> Column:
-    return F.concat(F.lit(prefix), value.cast("string"))
-
-
-def _array_or_empty(empty: Column, value: Column) -> Column:
-    return F.when(empty, F.array().cast("array<string>")).otherwise(F.array(value))
-
-
-def _resource(kind: str, name: Column, depends_on: Column, properties: Column) -> Column:
-    return F.to_json(
-        F.struct(
-            F.concat(F.lit("[concat(parameters('factoryName'), '/"), name, F.lit("')]")).alias("name"),
-            F.lit(TYPE_PREFIX + kind).alias("type"),
-            F.lit("2018-06-01").alias("apiVersion"),
-            F.transform(
-                depends_on, lambda d: F.concat(F.lit("[concat(variables('factoryId'), '/"), d, F.lit("')]"))
-            ).alias("dependsOn"),
-            properties.alias("properties"),
-        )
+def _rows(df: DataFrame, template_id: str, seq: int, key: str, resource: str) -> DataFrame:
+    return df.selectExpr(
+        f"CAST({template_id} AS BIGINT) AS template_id",
+        f"{seq} AS seq",
+        f"CAST({key} AS BIGINT) AS key",
+        f"{resource} AS resource",
     )
 
 
@@ -72,7 +64,7 @@ def _previous_key(rows: DataFrame, group: str, key: str) -> DataFrame:
     A plain ``lag`` over the group would sort a hot group in one task. Keys are cut into blocks: inside a block a
     window finds the neighbour, and the first key of a block takes the largest key of the block before it.
     """
-    blocks = rows.withColumn("block", _int_div(key, KEY_BLOCK))
+    blocks = rows.withColumn("block", F.expr(f"{key} div {KEY_BLOCK}"))
     last = blocks.groupBy(group, "block").agg(F.max(key).alias("last"))
     before = last.select(
         group, "block", F.lag("last").over(Window.partitionBy(group).orderBy("block")).alias("before")
@@ -85,32 +77,29 @@ def _previous_key(rows: DataFrame, group: str, key: str) -> DataFrame:
     )
 
 
-def _activity() -> Column:
-    """The activity of a line item numbered ``rn`` inside its order and block."""
-    rn, open_line = F.col("rn"), F.col("l_linestatus") == "O"
-
-    def on(distance: int, condition: Column) -> Column:
-        return F.struct(_text("a", rn - distance).alias("activity"), F.array(condition).alias("dependencyConditions"))
-
-    depends_on = F.array_compact(
-        F.array(
-            F.when(rn > 1, on(1, F.when(F.col("l_returnflag") == "R", "Failed").otherwise("Succeeded"))),
-            F.when((rn > 2) & open_line, on(2, F.lit("Failed"))),
-        )
-    )
-    return F.struct(
-        _text("a", rn).alias("name"),
-        F.when(open_line & (F.col("l_quantity") <= 25), "ForEach").when(open_line, "Copy").otherwise("Lookup").alias("type"),
-        _absent_if(F.col("l_discount") == 0, _text("part ", F.col("l_partkey"))).alias("description"),
-        depends_on.alias("dependsOn"),
-        F.when(F.col("l_returnflag") == "R", F.struct(F.lit("7.00:00:00").alias("timeout")))
-        .when(F.col("l_returnflag") == "A", F.struct(F.lit("0.12:00:00").alias("timeout")))
-        .alias("policy"),
-        F.struct(
-            F.when(F.col("l_tax") == 0, F.lit(True)).alias("isSequential"),
-            F.when(F.col("l_quantity") % 2 == 0, (F.col("l_quantity") * 4).cast("int")).alias("batchCount"),
-        ).alias("typeProperties"),
-    )
+# The activity of a line item numbered ``rn`` inside its order and block.
+_ACTIVITY = """named_struct(
+    'name', concat('a', rn),
+    'type', CASE WHEN l_linestatus = 'O' AND l_quantity <= 25 THEN 'ForEach' WHEN l_linestatus = 'O' THEN 'Copy'
+                 ELSE 'Lookup' END,
+    'description', CASE WHEN l_discount <> 0 THEN concat('part ', l_partkey) END,
+    'dependsOn', array_compact(array(
+        CASE WHEN rn > 1 THEN named_struct('activity', concat('a', rn - 1), 'dependencyConditions',
+            array(CASE WHEN l_returnflag = 'R' THEN 'Failed' ELSE 'Succeeded' END)) END,
+        CASE WHEN rn > 2 AND l_linestatus = 'O' THEN named_struct('activity', concat('a', rn - 2),
+            'dependencyConditions', array('Failed')) END)),
+    'policy', CASE l_returnflag WHEN 'R' THEN named_struct('timeout', '7.00:00:00')
+                                WHEN 'A' THEN named_struct('timeout', '0.12:00:00') END,
+    'typeProperties', named_struct(
+        'isSequential', CASE WHEN l_tax = 0 THEN true END,
+        'batchCount', CASE WHEN l_quantity % 2 = 0 THEN CAST(l_quantity * 4 AS INT) END))"""
+
+_PIPELINE = """named_struct(
+    'description', CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 THEN ''
+                        ELSE concat('Order ', o_orderkey) END,
+    'folder', CASE WHEN o_orderpriority <> '5-LOW' THEN named_struct('name', o_orderpriority) END,
+    'annotations', CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN array() ELSE array(o_orderstatus) END,
+    'activities', transform(items, i -> i.activity))"""
 
 
 def pipeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,143 +112,93 @@ def pipeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = lines.groupBy("o_orderkey").agg(F.count("*").alias("n"))
     big = written(oversized(sizes, "n", MAX_ACTIVITIES), "large-orders")
     spread = F.expr("l_partkey * 31 + l_suppkey * 17 + l_linenumber")
-    lines = with_part(lines, ["o_orderkey"], big, spread, "block").withColumn("is_line", F.lit(True))
+    lines = with_part(lines, ["o_orderkey"], big, spread, "block").selectExpr("*", "true AS is_line")
 
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate").withColumn("f", _int_div("o_custkey", 10))
+    orders = table(spark, sf_dir, "orders").drop("o_orderdate").withColumn("f", F.expr("o_custkey div 10"))
     orders = _previous_key(orders, "f", "o_orderkey").join(big, "o_orderkey", "left")
-    last_block = F.coalesce("parts", F.lit(1)) - 1
-    orders = orders.select(
+    orders = orders.selectExpr(
         "o_orderkey",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)).alias("block"),
-        F.struct("f", "previous", "o_orderstatus", "o_totalprice", "o_orderpriority").alias("o"),
+        "explode(sequence(0L, coalesce(parts, 1L) - 1)) AS block",
+        "struct(f, previous, o_orderstatus, o_totalprice, o_orderpriority) AS o",
     )
 
-    # The order's own row comes last in its block.
-    in_block = [F.asc_nulls_last(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
-    rows = lines.unionByName(orders, allowMissingColumns=True)
-    rows = rows.withColumn("rn", F.row_number().over(Window.partitionBy("o_orderkey", "block").orderBy(*in_block)))
-    # About MAX_ACTIVITIES items at most, and 14 data sets.
-    item = F.when(F.col("is_line"), F.struct("rn", _activity().alias("activity")))
-    dataset = F.when(F.col("l_quantity") == 50, F.col("l_partkey") % 14)
-    p = rows.groupBy("o_orderkey", "block").agg(
-        F.sort_array(F.collect_list(item)).alias("items"),
-        F.sort_array(F.collect_set(dataset)).alias("datasets"),
-        F.first("o", ignorenulls=True).alias("o"),
-    )
-    p = p.select("o_orderkey", "block", "items", "datasets", "o.*").filter(F.col("f").isNotNull())
-
-    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
-    description = F.when(status == "P", F.lit(None)).when((status == "F") & (key % 2 == 0), F.lit(""))
-    properties = F.struct(
-        description.otherwise(_text("Order ", key)).alias("description"),
-        _absent_if(F.col("o_orderpriority") == "5-LOW", F.struct(F.col("o_orderpriority").alias("name"))).alias("folder"),
-        _absent_if(key % 5 == 0, _array_or_empty(key % 5 == 1, status)).alias("annotations"),
-        F.transform("items", lambda i: i["activity"]).alias("activities"),
-    )
-    datasets = F.transform("datasets", lambda d: _text("datasets/ds_", F.col("f") * 14 + d))
-    chained = (F.col("o_totalprice") > 400000) & F.col("previous").isNotNull()
-    previous = F.when(chained, F.array(_text("pipelines/pl_", F.col("previous")))).otherwise(_nothing())
-    name = F.when(F.col("block") == 0, _text("pl_", key)).otherwise(
-        F.concat(_text("pl_", key), _text("_", F.col("block")))
+    # The order's own row comes last in its block. At most about MAX_ACTIVITIES items are gathered, and 14 data sets.
+    numbered = lines.unionByName(orders, allowMissingColumns=True).selectExpr(
+        "*",
+        """row_number() OVER (PARTITION BY o_orderkey, block ORDER BY l_linenumber NULLS LAST, l_partkey NULLS LAST,
+                                                                  l_suppkey NULLS LAST, l_extendedprice NULLS LAST) AS rn""",
     )
-    return _rows(p, "f", 0, key, _resource("pipelines", name, F.concat(datasets, previous), properties))
-
-
-def _nothing() -> Column:
-    return F.array().cast("array<string>")
-
-
-def _rows(df: DataFrame, f: str | Column, seq: int, key: Column, resource: Column) -> DataFrame:
-    f = F.col(f) if isinstance(f, str) else f
-    return df.select(
-        f.cast("bigint").alias("template_id"), F.lit(seq).alias("seq"), key.cast("bigint").alias("key"), resource.alias("resource")
+    pipelines = (
+        numbered.groupBy("o_orderkey", "block")
+        .agg(
+            F.expr(f"sort_array(collect_list(CASE WHEN is_line THEN struct(rn, {_ACTIVITY} AS activity) END)) AS items"),
+            F.expr("sort_array(collect_set(CASE WHEN l_quantity = 50 THEN l_partkey % 14 END)) AS datasets"),
+            F.expr("first(o, true) AS o"),
+        )
+        .select("o_orderkey", "block", "items", "datasets", "o.*")
+        .filter("f IS NOT NULL")
     )
+    name = "concat('pl_', o_orderkey, CASE WHEN block = 0 THEN '' ELSE concat('_', block) END)"
+    depends_on = f"""concat(
+        transform(datasets, d -> concat('datasets/ds_', f * 14 + d)),
+        CASE WHEN o_totalprice > 400000 AND previous IS NOT NULL THEN array(concat('pipelines/pl_', previous)) ELSE {_EMPTY} END)"""
+    return _rows(pipelines, "f", 0, "o_orderkey", _resource("pipelines", name, depends_on, _PIPELINE))
 
 
 def linked_service_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
-    kind = F.when(segment == "BUILDING", "AzureKeyVault").when(segment == "AUTOMOBILE", "AzureSqlDatabase")
-    secret = F.struct(F.lit("AzureKeyVaultSecret").alias("type"), F.lit("s").alias("secretName"))
-
-    def properties(connection: Column) -> Column:
-        return F.struct(
-            kind.otherwise("AzureBlobFS").alias("type"),
-            _absent_if(F.col("c_acctbal") < 0, F.lit("ok")).alias("description"),
-            _array_or_empty(key % 4 == 0, segment).alias("annotations"),
-            F.struct(connection.alias("connectionString"), _absent_if(key % 2 != 0, F.lit("u")).alias("url")).alias("typeProperties"),
-        )
-
-    def resource(connection: Column) -> Column:
-        return _resource("linkedServices", _text("ls_", key), _nothing(), properties(connection))
+    def resource(connection: str) -> str:
+        properties = f"""named_struct(
+            'type', CASE c_mktsegment WHEN 'BUILDING' THEN 'AzureKeyVault' WHEN 'AUTOMOBILE' THEN 'AzureSqlDatabase'
+                                      ELSE 'AzureBlobFS' END,
+            'description', CASE WHEN c_acctbal >= 0 THEN 'ok' END,
+            'annotations', CASE WHEN c_custkey % 4 = 0 THEN array() ELSE array(c_mktsegment) END,
+            'typeProperties', named_struct('connectionString', {connection},
+                                           'url', CASE WHEN c_custkey % 2 = 0 THEN 'u' END))"""
+        return _resource("linkedServices", "concat('ls_', c_custkey)", _EMPTY, properties)
 
     # The member is an object or a text, so the two shapes are serialised apart.
-    return _rows(
-        table(spark, sf_dir, "customer"),
-        _int_div("c_custkey", 10),
-        1,
-        key,
-        F.when(key % 3 == 0, resource(secret)).otherwise(resource(F.lit("x"))),
-    )
+    secret = "named_struct('type', 'AzureKeyVaultSecret', 'secretName', 's')"
+    either = f"""CASE WHEN c_custkey % 3 = 0 THEN {resource(secret)} ELSE {resource("'x'")} END"""
+    return _rows(table(spark, sf_dir, "customer"), "c_custkey div 10", 1, "c_custkey", either)
 
 
 def dataset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, size, brand = F.col("p_partkey"), F.col("p_size"), F.col("p_brand")
-    f = _int_div("p_partkey", 14)
-    service = _text("ls_", f * 10 + key % 10)
-    properties = F.struct(
-        F.col("p_type").alias("type"),
-        _absent_if(size % 2 == 0, F.col("p_name")).alias("description"),
-        _array_or_empty(size % 3 == 0, brand).alias("annotations"),
-        _absent_if(size < 10, F.struct(brand.alias("name"))).alias("folder"),
-        F.struct(service.alias("referenceName")).alias("linkedServiceName"),
-    )
-    depends_on = F.array(F.concat(F.lit("linkedServices/"), service))
-    return _rows(
-        table(spark, sf_dir, "part"), f, 2, key, _resource("datasets", _text("ds_", key), depends_on, properties)
-    )
+    parts = table(spark, sf_dir, "part").selectExpr("*", "concat('ls_', p_partkey div 14 * 10 + p_partkey % 10) AS service")
+    properties = """named_struct(
+        'type', p_type,
+        'description', CASE WHEN p_size % 2 <> 0 THEN p_name END,
+        'annotations', CASE WHEN p_size % 3 = 0 THEN array() ELSE array(p_brand) END,
+        'folder', CASE WHEN p_size >= 10 THEN named_struct('name', p_brand) END,
+        'linkedServiceName', named_struct('referenceName', service))"""
+    resource = _resource("datasets", "concat('ds_', p_partkey)", "array(concat('linkedServices/', service))", properties)
+    return _rows(parts, "p_partkey div 14", 2, "p_partkey", resource)
 
 
 def trigger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("event_id"), "o_custkey")
-    key, user, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    properties = F.struct(
-        F.when(value < 50, "ScheduleTrigger").otherwise("TumblingWindowTrigger").alias("type"),
-        F.when(user % 2 == 0, "Started").otherwise("Stopped").alias("runtimeState"),
-        _absent_if(user % 3 == 0, F.col("event_type")).alias("description"),
-        _array_or_empty(user % 5 == 0, F.col("event_type")).alias("annotations"),
-    )
-    depends_on = F.when(value <= 100, F.array(_text("pipelines/pl_", key))).otherwise(_nothing())
-    return _rows(
-        events.join(orders, "event_id"),
-        _int_div("o_custkey", 10),
-        3,
-        key,
-        _resource("triggers", _text("tr_", key), depends_on, properties),
-    )
+    events = table(spark, sf_dir, "events").filter("event_type = 'signup'")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS event_id", "o_custkey")
+    properties = """named_struct(
+        'type', CASE WHEN value < 50 THEN 'ScheduleTrigger' ELSE 'TumblingWindowTrigger' END,
+        'runtimeState', CASE WHEN user_id % 2 = 0 THEN 'Started' ELSE 'Stopped' END,
+        'description', CASE WHEN user_id % 3 <> 0 THEN event_type END,
+        'annotations', CASE WHEN user_id % 5 = 0 THEN array() ELSE array(event_type) END)"""
+    depends_on = f"CASE WHEN value <= 100 THEN array(concat('pipelines/pl_', event_id)) ELSE {_EMPTY} END"
+    resource = _resource("triggers", "concat('tr_', event_id)", depends_on, properties)
+    return _rows(events.join(orders, "event_id"), "o_custkey div 10", 3, "event_id", resource)
 
 
 def dataflow_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    properties = F.struct(
-        F.lit("MappingDataFlow").alias("type"),
-        _absent_if(F.col("s_nationkey") % 2 == 0, F.col("s_name")).alias("description"),
-    )
-    return _rows(
-        table(spark, sf_dir, "supplier"), key, 4, key, _resource("dataflows", _text("df_", key), _nothing(), properties)
-    )
+    properties = """named_struct(
+        'type', 'MappingDataFlow',
+        'description', CASE WHEN s_nationkey % 2 <> 0 THEN s_name END)"""
+    resource = _resource("dataflows", "concat('df_', s_suppkey)", _EMPTY, properties)
+    return _rows(table(spark, sf_dir, "supplier"), "s_suppkey", 4, "s_suppkey", resource)
 
 
 def integration_runtime_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("n_nationkey")
-    properties = F.struct(F.when(F.col("n_regionkey") < 2, "Managed").otherwise("SelfHosted").alias("type"))
-    return _rows(
-        table(spark, sf_dir, "nation"),
-        key % 15,
-        5,
-        key,
-        _resource("integrationRuntimes", _text("ir_", key), _nothing(), properties),
-    )
+    properties = "named_struct('type', CASE WHEN n_regionkey < 2 THEN 'Managed' ELSE 'SelfHosted' END)"
+    resource = _resource("integrationRuntimes", "concat('ir_', n_nationkey)", _EMPTY, properties)
+    return _rows(table(spark, sf_dir, "nation"), "n_nationkey % 15", 5, "n_nationkey", resource)
 
 
 def resource_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,19 +214,22 @@ def resource_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(rows: DataFrame) -> DataFrame:
-    """Gather resource rows into template documents ``(template_id, part, template)``."""
-    sizes = rows.groupBy("template_id").agg(F.sum(F.col("bytes").cast("bigint")).alias("n"))
+    """Gather resource rows into template documents ``(template_id, part, template)``.
+
+    The first document of a template holds its name and all kinds that are not too large; a large kind is spread
+    over further documents.
+    """
+    sizes = rows.groupBy("template_id", "seq").agg(F.sum(F.col("bytes").cast("bigint")).alias("n"))
     big = written(oversized(sizes, "n", MAX_DOCUMENT_BYTES), "large-templates")
-    rows = with_part(rows, ["template_id"], big, F.pmod(F.xxhash64("seq", "key", "resource"), F.lit(2**62)))
-    gathered = rows.groupBy("template_id", "part").agg(
-        F.sort_array(F.collect_list(F.struct("seq", "key", "resource"))).alias("items")
-    )
-    body = F.array_join(F.transform("items", lambda i: i["resource"]), ",")
-    name = F.concat(F.lit('{"parameters":{"factoryName":{"type":"string","metadata":"Data Factory name","defaultValue":"factory_'), F.col("template_id"), F.lit('"}},'))
-    head = F.when(F.col("part") == 0, name).otherwise("{")
-    return gathered.select(
-        "template_id", "part", F.concat(head, F.lit('"resources":['), body, F.lit("]}")).alias("template")
+    rows = with_part(rows, ["template_id", "seq"], big, F.pmod(F.xxhash64("seq", "key", "resource"), F.lit(2**62)))
+    gathered = rows.groupBy("template_id", "part").agg(F.expr("sort_array(collect_list(struct(seq, key, resource))) AS items"))
+    name = (
+        """concat('{"parameters":{"factoryName":{"type":"string","metadata":"Data Factory name",',"""
+        """ '"defaultValue":"factory_', template_id, '"}},')"""
     )
+    body = "array_join(transform(items, i -> i.resource), ',')"
+    template = f"""concat(CASE WHEN part = 0 THEN {name} ELSE '{{' END, '"resources":[', {body}, ']}}')"""
+    return gathered.selectExpr("template_id", "part", f"{template} AS template")
 
 
 _built: dict[tuple[str, str], str] = {}
