@@ -29,23 +29,29 @@ def append_log_entries(df: DataFrame, path: str, ts_col: str, msg_col: str) -> N
 
 
 def read_csv_inferred(
-    spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, multi_line: bool = False
+    spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, **options: object
 ) -> DataFrame:
-    """CSV with a header line. Inference reads the data twice; pass ``schema`` when it is known."""
-    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    """CSV with a header line. Inference reads the data twice; pass ``schema`` when it is known.
+
+    Quotes inside a field are escaped by a backslash unless ``options`` say otherwise (``escape='"'``).
+    """
+    reader = spark.read.option("header", True).options(**options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
 
-def read_csv_multiline(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def read_csv_multiline(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, **options: object
+) -> DataFrame:
     """Quoted CSV whose fields may hold line breaks. Such files cannot be split, so keep them many and small."""
-    return read_csv_inferred(spark, path, schema, multi_line=True)
+    return read_csv_inferred(spark, path, schema, multiLine=True, **options)
 
 
-def write_csv_quoted(df: DataFrame, path: str) -> None:
+def write_csv_quoted(df: DataFrame, path: str, **options: object) -> None:
     """CSV with a header line and every field quoted; blanks at the ends of a field are kept."""
-    writer = df.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"')
-    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("quoteAll", True)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.options(**options).csv(path)
 
 
 def write_parquet_roundtrip(df: DataFrame, path: str) -> DataFrame:

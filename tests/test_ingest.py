@@ -39,12 +39,13 @@ def test_multiline_csv_is_cleaned_to_one_line_per_record(spark, dirty):
     assert rows(clean) == [("abc", "abc", "abc", "abc")] * 3
 
 
-def test_quoted_csv_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([(1, ' a "b", c\nd '), (2, "x")], "i INT, t STRING")
-    files.write_csv_quoted(df, str(tmp_path / "q"))
+@pytest.mark.parametrize("options, escaped", [({}, '\\"b\\"'), ({"escape": '"'}, '""b""')])
+def test_quoted_csv_round_trip(spark, tmp_path, options, escaped):
+    df = spark.createDataFrame([(1, ' a "b", c\nd '), (2, "x\\"), (3, '\\"')], "i INT, t STRING")
+    files.write_csv_quoted(df, str(tmp_path / "q"), **options)
     text = "".join(p.read_text() for p in (tmp_path / "q").glob("*.csv"))
-    assert '"1"," a ""b"", c' in text and '"i","t"' in text
-    assert rows(files.read_csv_multiline(spark, str(tmp_path / "q"), "i INT, t STRING")) == rows(df)
+    assert f'"1"," a {escaped}, c' in text and '"i","t"' in text
+    assert rows(files.read_csv_multiline(spark, str(tmp_path / "q"), "i INT, t STRING", **options)) == rows(df)
 
 
 def test_landing_is_partitioned_and_pruned(spark, tmp_path):
