@@ -46,8 +46,32 @@ ACTIVITY_RULES = {
 _UPSTREAM = "transform(filter(a.dependsOn, d -> array_contains(d.dependencyConditions, '{}')), d -> lower(d.activity))"
 _FAILED = f"""array_compact(array_distinct(flatten(transform(
     filter(p.activities, a -> size(a.dependsOn) > 1), a -> {_UPSTREAM.format("Failed")}))))"""
-_IMPOSSIBLE = f"""coalesce(arrays_overlap(failed, array_compact(flatten(transform(
-    filter(p.activities, a -> array_contains(failed, lower(a.name))), a -> {_UPSTREAM.format("Succeeded")})))), false)"""
+# Names compared pair by pair in one pipeline before sorting is used instead.
+PAIR_LIMIT = 100_000
+
+
+def _impossible(rows: DataFrame) -> DataFrame:
+    """Add the flag ``impossible`` of check 2 to rows with activities.
+
+    A small pipeline looks its activities up in the failure list. In a large one, both are sorted together: an
+    activity is in the list if the entry before it is its name from there. That needs distinct activity names, which
+    valid templates have; a large pipeline with repeated names is looked up like a small one.
+    """
+    large = f"CAST(size(failed) AS BIGINT) * size(p.activities) > {PAIR_LIMIT}"
+    distinct = "size(array_distinct(transform(p.activities, a -> lower(a.name)))) = size(p.activities)"
+    together = f"""sort_array(concat(
+        transform(failed, n -> struct(n AS name, false AS waits, CAST(array() AS ARRAY<STRING>) AS upstream)),
+        transform(p.activities,
+                  a -> struct(lower(a.name) AS name, true AS waits, {_UPSTREAM.format("Succeeded")} AS upstream))))"""
+    succeeded = f"""CASE WHEN together IS NULL
+        THEN transform(filter(p.activities, a -> array_contains(failed, lower(a.name))), a -> {_UPSTREAM.format("Succeeded")})
+        ELSE transform(filter(together, (x, i) -> x.waits AND NOT get(together, i - 1).waits
+                                                  AND get(together, i - 1).name = x.name), x -> x.upstream) END"""
+    rows = rows.selectExpr("*", f"{_FAILED} AS failed")
+    rows = rows.selectExpr("*", f"CASE WHEN {large} AND {distinct} THEN {together} END AS together")
+    overlap = f"coalesce(arrays_overlap(failed, array_compact(flatten({succeeded}))), false) AS impossible"
+    return rows.selectExpr("*", overlap).drop("failed", "together")
+
 
 # Check 11: the alphabetically last member has no secretName. Only the flag leaves the row, never the secret; a
 # service without members is not flagged.
@@ -90,7 +114,7 @@ def _parsed(resources: DataFrame, checks: set[int]) -> DataFrame:
     ddl = ", ".join(member for member, users in _MEMBERS.items() if users & checks)
     rows = with_properties(resources.select("template_id", "kind", "name", "properties"), ddl)
     if 2 in checks:
-        rows = rows.selectExpr("*", f"{_FAILED} AS failed").selectExpr("*", f"{_IMPOSSIBLE} AS impossible").drop("failed")
+        rows = _impossible(rows)
     return rows
 
 

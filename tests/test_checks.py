@@ -1,6 +1,8 @@
 """Each check on hand-made documents, and invariants over the derived corpus."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from conftest import SF, activity, resource, rows
 
 from plumbline.functions.constants import CHECKS
@@ -100,6 +102,48 @@ def test_impossible_chain(corpus_of, expected, activities):
     assert found(corpus_of(pipeline_of(*activities)), 2) == (["p"] if expected else [])
 
 
+def brute_force(activities):
+    failed = {
+        d["activity"].lower()
+        for a in activities
+        if len(a["dependsOn"]) > 1
+        for d in a["dependsOn"]
+        if "Failed" in d["dependencyConditions"]
+    }
+    succeeded = {
+        d["activity"].lower()
+        for a in activities
+        if a["name"].lower() in failed
+        for d in a["dependsOn"]
+        if "Succeeded" in d["dependencyConditions"]
+    }
+    return bool(failed & succeeded)
+
+
+NAMES = st.sampled_from(["A", "a", "B", "b", "C", "D", "E", "F", "G"])
+EDGES = st.lists(st.tuples(NAMES, st.sampled_from(["Failed", "Succeeded", "Completed", "failed"])), max_size=3)
+PIPELINES = st.lists(st.lists(st.tuples(NAMES, EDGES), max_size=6), min_size=30, max_size=60)
+
+
+@pytest.mark.parametrize("limit", [C.PAIR_LIMIT, -1])
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(pipelines=PIPELINES)
+def test_impossible_chain_against_brute_force(corpus_of, limit, pipelines):
+    built = [[activity(name, *edges) for name, edges in p] for p in pipelines]
+    r = corpus_of({"a": [resource("pipelines", f"p{i}", {"activities": p}) for i, p in enumerate(built)]})
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(C, "PAIR_LIMIT", limit)
+        assert found(r, 2) == sorted(f"p{i}" for i, p in enumerate(built) if brute_force(p))
+
+
+def test_large_pipeline(corpus_of):
+    # A chain of 3,000 activities, each waiting for the failure of one and the success of another.
+    chain = [activity("a0"), activity("a1")]
+    chain += [activity(f"a{i}", (f"a{i - 1}", "Failed"), (f"a{i - 2}", "Succeeded")) for i in range(2, 3000)]
+    assert brute_force(chain)
+    assert found(corpus_of(pipeline_of(*chain)), 2) == ["p"]
+
+
 def test_impossible_chain_stays_inside_its_pipeline(corpus_of):
     documents = {
         "a": [
