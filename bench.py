@@ -63,7 +63,8 @@ def main() -> None:
         times[name] = round(statistics.median(seconds), 3)
     total = round(sum(times.values()), 3)
     scale = os.path.basename(sf_dir).removeprefix("sf")
-    print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": times, "sf": scale}))
+    sf = float(scale) if scale.replace(".", "", 1).isdigit() else scale
+    print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": times, "sf": sf}))
     spark.stop()
 
 

@@ -11,56 +11,56 @@ from pyspark.sql import functions as F
 from plumbline.functions.text import array_length, clean_name, clean_type
 
 
-def _resource_key() -> Column:
-    return F.concat(clean_type("type"), F.lit("|"), clean_name("name"))
+def _entries(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
+    """Every mention of a key in one pass: ``(template_id, k, key, own)``, ``k`` being the lower-case key.
 
-
-def _lowered(keys: DataFrame) -> DataFrame:
-    """Keys with their lower-case form ``k``."""
-    return keys.withColumn("k", F.lower("key")).filter(F.col("k").isNotNull())
+    ``own`` marks a resource's own key; the others are targets of ``dependsOn``, and a trigger that depends on
+    something mentions itself as used. ``kinds`` keeps keys that start with one of these.
+    """
+    own_key = F.concat(clean_type("type"), F.lit("|"), clean_name("name"))
+
+    def mention(key: Column, own: bool) -> Column:
+        return F.struct(key.alias("key"), F.lit(own).alias("own"))
+
+    none = F.array().cast("array<struct<key:string,own:boolean>>")
+    targets = F.transform("dependsOn", lambda d: mention(F.replace(clean_name(d), F.lit("/"), F.lit("|")), False))
+    used_trigger = (F.col("kind") == "triggers") & (array_length("dependsOn") >= 1)
+    mentions = F.concat(
+        F.array(mention(own_key, True)),
+        F.coalesce(targets, none),
+        F.when(used_trigger, F.array(mention(own_key, False))).otherwise(none),
+    )
+    rows = resources.select("template_id", F.inline(mentions)).withColumn("k", F.lower("key"))
+    rows = rows.filter(F.col("k").isNotNull())
+    return rows.filter(reduce(or_, [F.startswith("k", F.lit(kind)) for kind in kinds])) if kinds else rows
 
 
-def _once(keys: DataFrame) -> DataFrame:
+def _once(entries: DataFrame) -> DataFrame:
     """One row per key and template, ignoring case."""
-    return keys.groupBy("template_id", "k").agg(F.min("key").alias("key")).select("template_id", "key")
-
-
-def _dependant_keys(resources: DataFrame) -> DataFrame:
-    """Keys something depends on; a trigger that depends on something counts as used.
-
-    Self keys of triggers and ``dependsOn`` targets come out of one pass over the resources.
-    """
-    targets = F.transform(
-        F.coalesce("dependsOn", F.array().cast("array<string>")),
-        lambda d: F.replace(clean_name(d), F.lit("/"), F.lit("|")),
-    )
-    is_used_trigger = (F.col("kind") == "triggers") & (array_length("dependsOn") >= 1)
-    own = F.when(is_used_trigger, F.array(_resource_key())).otherwise(F.array().cast("array<string>"))
-    return resources.select("template_id", F.explode(F.concat(targets, own)).alias("key"))
+    return entries.groupBy("template_id", "k").agg(F.min("key").alias("key")).select("template_id", "key")
 
 
 def g_resources(resources: DataFrame) -> DataFrame:
-    return _once(_lowered(resources.select("template_id", _resource_key().alias("key"))))
+    return _once(_entries(resources).filter("own"))
 
 
 def g_dependants(resources: DataFrame) -> DataFrame:
-    return _once(_lowered(_dependant_keys(resources)))
+    return _once(_entries(resources).filter("NOT own"))
 
 
 def redundant_keys(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
-    """Keys ``(template_id, k, key)`` that nothing depends on; ``k`` is the lower-case key.
+    """Lower-case keys ``(template_id, k)`` of resources that nothing depends on.
 
-    The used keys are made distinct with map-side combine first, so a target named by very many resources is one
-    row per task before the shuffle. Both sides then meet on (template, key), which spreads a large template over
-    all tasks. ``kinds`` keeps keys that start with one of these kinds, on both sides before the join.
+    An anti join of resources and targets would read the resources twice and shuffle both sides. Here the mentions
+    are grouped once by (template, key): a target named by very many resources is one row per task before the
+    shuffle, and a large template spreads over all tasks.
     """
-
-    wanted = reduce(or_, [F.startswith("k", F.lit(kind)) for kind in kinds]) if kinds else F.lit(True)
-    used = _lowered(_dependant_keys(resources)).filter(wanted).select("template_id", "k").distinct()
-    keys = _lowered(resources.select("template_id", _resource_key().alias("key"))).filter(wanted)
-    return keys.join(used, ["template_id", "k"], "left_anti")
+    grouped = _entries(resources, kinds).groupBy("template_id", "k")
+    return grouped.agg(F.bool_and("own").alias("unused")).filter("unused").select("template_id", "k")
 
 
 def redundant_resources(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
-    """Resources that nothing depends on, each key once; the join's partitioning serves this step too."""
-    return _once(redundant_keys(resources, kinds))
+    """Resources that nothing depends on, each key once."""
+    grouped = _entries(resources, kinds).groupBy("template_id", "k")
+    unused = grouped.agg(F.bool_and("own").alias("unused"), F.min("key").alias("key")).filter("unused")
+    return unused.select("template_id", "key")

@@ -224,7 +224,7 @@ def documents(rows: DataFrame) -> DataFrame:
     rows = with_part(rows, ["template_id", "seq"], big, F.pmod(F.xxhash64("seq", "key", "resource"), F.lit(2**62)))
     gathered = rows.groupBy("template_id", "part").agg(F.expr("sort_array(collect_list(struct(seq, key, resource))) AS items"))
     name = (
-        """concat('{"parameters":{"factoryName":{"type":"string","metadata":"Data Factory name",',"""
+        """concat('{"parameters":{"factoryName":{"type":"string","metadata":"name",',"""
         """ '"defaultValue":"factory_', template_id, '"}},')"""
     )
     body = "array_join(transform(items, i -> i.resource), ',')"
