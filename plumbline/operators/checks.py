@@ -29,7 +29,7 @@ ALL = tuple(number for number, *_ in CHECKS)
 # Rules are SQL conditions over the parsed properties ``p`` or the activity ``a``.
 _NO_DESCRIPTION = "coalesce(p.description, '') = ''"
 _NO_FOLDER = "coalesce(p.folder.name, '') = ''"
-_NO_ANNOTATIONS = "coalesce(size(p.annotations), 0) <= 0"
+_NO_ANNOTATIONS = "coalesce(array_size(p.annotations), 0) <= 0"
 _PARALLEL_FOREACH = "lower(a.type) = 'foreach' AND lower(coalesce(a.typeProperties.isSequential, '')) <> 'true'"
 
 ACTIVITY_RULES = {
@@ -45,7 +45,7 @@ ACTIVITY_RULES = {
 # span the pipeline.
 _UPSTREAM = "transform(filter(a.dependsOn, d -> array_contains(d.dependencyConditions, '{}')), d -> lower(d.activity))"
 _FAILED = f"""array_compact(array_distinct(flatten(transform(
-    filter(p.activities, a -> size(a.dependsOn) > 1), a -> {_UPSTREAM.format("Failed")}))))"""
+    filter(p.activities, a -> array_size(a.dependsOn) > 1), a -> {_UPSTREAM.format("Failed")}))))"""
 # Names compared pair by pair in one pipeline before sorting is used instead.
 PAIR_LIMIT = 100_000
 
@@ -57,8 +57,8 @@ def _impossible(rows: DataFrame) -> DataFrame:
     activity is in the list if the entry before it is its name from there. That needs distinct activity names, which
     valid templates have; a large pipeline with repeated names is looked up like a small one.
     """
-    large = f"CAST(size(failed) AS BIGINT) * size(p.activities) > {PAIR_LIMIT}"
-    distinct = "size(array_distinct(transform(p.activities, a -> lower(a.name)))) = size(p.activities)"
+    large = f"CAST(array_size(failed) AS BIGINT) * array_size(p.activities) > {PAIR_LIMIT}"
+    distinct = "array_size(array_distinct(transform(p.activities, a -> lower(a.name)))) = array_size(p.activities)"
     together = f"""sort_array(concat(
         transform(failed, n -> struct(n AS name, false AS waits, CAST(array() AS ARRAY<STRING>) AS upstream)),
         transform(p.activities,
@@ -198,7 +198,7 @@ def _row_counts(resources: DataFrame) -> DataFrame:
         check: f"count_if(kind = '{kind}' AND {rule})" for kind, rules in RESOURCE_RULES.items() for check, rule in rules.items()
     }
     for check, rule in ACTIVITY_RULES.items():
-        counts[check] = f"sum(CASE WHEN kind = 'pipelines' THEN coalesce(size(filter(p.activities, a -> {rule})), 0) ELSE 0 END)"
+        counts[check] = f"sum(CASE WHEN kind = 'pipelines' THEN coalesce(array_size(filter(p.activities, a -> {rule})), 0) ELSE 0 END)"
     rows = _parsed(resources, set(counts))
     return rows.groupBy("template_id").agg(*[F.expr(f"{sql} AS c{check}") for check, sql in sorted(counts.items())])
 

@@ -135,7 +135,7 @@ def r_activity_errors(runs: DataFrame, activity_runs: DataFrame, now: datetime,
 
 def r_running_gate(
     runs: DataFrame,
-    requests: DataFrame,
+    requests: DataFrame | tuple[str, str],
     now: datetime,
     days: int,
     known: DataFrame | None = None,
@@ -144,9 +144,11 @@ def r_running_gate(
     """Whether another run of the pipeline is in progress or queued, for each ``(pipeline_name, this_run_id)``.
 
     The running rows are counted per run and per name, and the run's own rows subtracted, so requests never pair
-    up with the runs. ``known`` holds the valid names; requests for others are dropped. ``strict`` fails the job
-    for a blocked request.
+    up with the runs. A single request may be given as a pair. ``known`` holds the valid names; requests for others
+    are dropped. ``strict`` fails the job for a blocked request.
     """
+    if isinstance(requests, tuple):
+        requests = runs.sparkSession.createDataFrame([requests], "pipeline_name STRING, this_run_id STRING")
     if known is not None:
         requests = requests.join(known.select("pipeline_name"), "pipeline_name", "left_semi")
     running = in_last_days(runs, "last_updated", now, days).filter(F.col("status").isin(*RUNNING))

@@ -1,4 +1,4 @@
-"""Run registered queries next to their SQL oracles: ``python tests/compare.py <sf_dir> [query ...]``."""
+"""Run registered queries next to their SQL oracles: ``python tests/compare.py <sf_dir> [query ...] [spark setting=value ...]``."""
 
 from __future__ import annotations
 
@@ -72,8 +72,10 @@ def main() -> int:
     import __spark_entry__ as driver
     from plumbline.session import local_session
 
-    sf_dir, wanted = sys.argv[1], sys.argv[2:]
-    spark, con = local_session(), duck(sf_dir)
+    sf_dir = sys.argv[1]
+    wanted = [a for a in sys.argv[2:] if "=" not in a]
+    conf = dict(a.split("=", 1) for a in sys.argv[2:] if "=" in a)
+    spark, con = local_session(**conf), duck(sf_dir)
     oracles, failed = driver.oracle_sql(), []
     for name, query in driver.queries().items():
         if wanted and name not in wanted:

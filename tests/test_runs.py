@@ -125,6 +125,7 @@ def test_strict_gate_fails_the_job(spark, runs):
     with pytest.raises(Exception, match="still has a run in progress"):
         R.r_running_gate(runs, blocked, NOW, 7, strict=True).collect()
     assert R.r_running_gate(runs, free, NOW, 7, strict=True).first().blocked is False
+    assert rows(R.r_running_gate(runs, ("a", "r2"), NOW, 7).select("RunningCount", "blocked")) == [(1, True)]
 
 
 def test_last_execution(spark):
