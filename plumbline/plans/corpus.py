@@ -13,6 +13,7 @@ executor lost later costs no rebuild.
 
 from __future__ import annotations
 
+import math
 import threading
 from functools import reduce
 
@@ -27,7 +28,7 @@ from plumbline.session import fresh_path
 
 MAX_ACTIVITIES = 1000
 MAX_DOCUMENT_BYTES = 4 * 1024 * 1024
-# Consecutive order keys per block when the previous order of a template is looked up.
+# Least number of consecutive order keys per block when the previous order of a template is looked up.
 KEY_BLOCK = 4096
 
 
@@ -46,7 +47,7 @@ def _resource(kind: str, name: str, depends_on: str, properties: str) -> str:
         'type', '{TYPE_PREFIX}{kind}',
         'apiVersion', '2018-06-01',
         'dependsOn', transform({depends_on}, d -> concat("[concat(variables('factoryId'), '/", d, "')]")),
-        'properties', {properties}))"""
+        'properties', {properties}), map('ignoreNullFields', 'true'))"""
 
 
 def _rows(df: DataFrame, template_id: str, seq: int, key: str, resource: str) -> DataFrame:
@@ -62,9 +63,11 @@ def _previous_key(rows: DataFrame, group: str, key: str) -> DataFrame:
     """``previous``: the next lower ``key`` of the same group.
 
     A plain ``lag`` over the group would sort a hot group in one task. Keys are cut into blocks: inside a block a
-    window finds the neighbour, and the first key of a block takes the largest key of the block before it.
+    window finds the neighbour, and the first key of a block takes the largest key of the block before it. Blocks are
+    about as wide as there are blocks, so neither window sees more than the square root of the largest key.
     """
-    blocks = rows.withColumn("block", F.expr(f"{key} div {KEY_BLOCK}"))
+    width = max(KEY_BLOCK, math.isqrt(rows.agg(F.max(key)).first()[0] or 0))
+    blocks = rows.withColumn("block", F.expr(f"{key} div {width}"))
     last = blocks.groupBy(group, "block").agg(F.max(key).alias("last"))
     before = last.select(
         group, "block", F.lag("last").over(Window.partitionBy(group).orderBy("block")).alias("before")

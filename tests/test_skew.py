@@ -4,7 +4,7 @@ import shutil
 
 import pytest
 from compare import TABLES, compare, duck
-from conftest import SF
+from conftest import SF, rows
 
 import __spark_entry__ as driver
 from plumbline.functions.skew import oversized, with_part, written
@@ -77,3 +77,13 @@ def test_with_part(spark):
     assert sorted(r.part for r in parts if r.k == 0) == list(range(9))
     assert all(r["count"] == 100 for r in parts if r.k == 0)
     assert all(r.part == 0 for r in parts if r.k != 0)
+
+
+def test_previous_key_across_blocks(spark, monkeypatch):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(corpus, "KEY_BLOCK", 7)
+    df = spark.range(300).select((F.xxhash64("id") % 4).alias("g"), "id").filter(F.xxhash64("id", F.lit(1)) % 3 != 0)
+    plain = df.withColumn("previous", F.lag("id").over(Window.partitionBy("g").orderBy("id")))
+    assert rows(corpus._previous_key(df, "g", "id").select("g", "id", "previous")) == rows(plain)
