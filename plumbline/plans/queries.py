@@ -525,11 +525,13 @@ def run_status_stream(spark, sf):
 
 @register_as("st_landing_ingest")
 def landing_stream(spark, sf):
-    source = _written_csv(spark, sf, "arrivals/customer.csv", *CUSTOMER_TEXT).rsplit("/", 1)[0]
+    """Customers arriving as a CSV, landed and published as a table."""
+    name = f"customer_{uuid.uuid4().hex}"
+    source = _written_csv(spark, sf, f"arrivals/{name}.csv", *CUSTOMER_TEXT).rsplit("/", 1)[0]
     path = fresh_path(spark, "ingest")
     schema = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING"
-    st_landing_ingest(spark, source, path, f"{path}/checkpoint", schema).awaitTermination()
-    return spark.read.parquet(f"{path}/Consume/customer").select(*CUSTOMER_TEXT)
+    st_landing_ingest(spark, source, path, f"{path}/checkpoint", schema, publish=True).awaitTermination()
+    return spark.table(name).select(*CUSTOMER_TEXT)
 
 
 # Scalar functions -------------------------------------------------------------------------------------------

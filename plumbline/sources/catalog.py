@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,14 @@ def publish_table(df: DataFrame, name: str, path: str | None = None) -> DataFram
     return spark.table(quoted(name))
 
 
+def publish_folder(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Drop and recreate a table over a partitioned Parquet folder, in place; returns it."""
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
+    spark.catalog.createTable(quoted(name), path, "parquet")
+    spark.catalog.recoverPartitions(quoted(name))
+    return spark.table(quoted(name))
+
+
 def temp_view_sql(df: DataFrame, view: str, sql: str, **args: object) -> DataFrame:
     """Register a view and query it; ``args`` fill named parameters of the statement."""
     df.createOrReplaceTempView(view)
@@ -36,5 +44,5 @@ def table_list(objects: DataFrame, schemas: DataFrame, schema: str | Column) ->
     return tables.join(s, "schema_id").select(F.concat_ws(".", "schema_name", "name").alias("TableName"))
 
 
-def select_star(spark, table: str) -> DataFrame:
+def select_star(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from plumbline.functions.text import first_dot_extension
 from plumbline.operators.ingest import dataset_of
+from plumbline.sources.catalog import publish_folder
 from plumbline.sources.files import read_csv_inferred
 
 BINARY_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -31,12 +32,14 @@ def st_landing_ingest(
     schema: str | None = None,
     max_files: int = 1000,
     trigger: dict | None = None,
+    publish: bool = False,
 ) -> StreamingQuery:
     """Take each arriving file once: delimited files to ``Consume/<name>``, any other unchanged to ``Landing``.
 
     The stream carries file names only; at most ``max_files`` of them come to the driver per batch, which sorts
     them by route and starts distributed reads. Every write replaces its own ``batch=`` folder, so a repeated
-    batch leaves no duplicates. ``schema`` saves the inference pass when all delimited files share one.
+    batch leaves no duplicates. ``schema`` saves the inference pass when all delimited files share one. ``publish``
+    makes each data set a table of its name.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
@@ -51,6 +54,8 @@ def st_landing_ingest(
         for name, paths in delimited.items():
             rows = read_csv_inferred(session, paths, schema)
             rows.write.mode("overwrite").parquet(f"{dst}/Consume/{name}/batch={batch_id}")
+            if publish:
+                publish_folder(session, name, f"{dst}/Consume/{name}")
         if others:
             copied = session.read.format("binaryFile").load(others)
             copied.write.mode("overwrite").parquet(f"{dst}/Landing/batch={batch_id}")

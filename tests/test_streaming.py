@@ -94,3 +94,20 @@ def test_landing_takes_each_file_once(spark, tmp_path):
     assert run() == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
     assert spark.read.parquet(f"{out}/Consume/MyPeople").count() == 2
     assert rows(spark.read.parquet(f"{out}/Landing").select(F.length("content"))) == [(2,)]
+
+
+def test_landing_publishes_tables(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def run(text, name):
+        (source / name).write_text(text)
+        st_landing_ingest(spark, str(source), out, checkpoint, publish=True).awaitTermination()
+        return rows(spark.table("landedpeople").select("id", "name"))
+
+    assert run("id,name\n1,a\n", "landed people.csv") == [(1, "a")]
+    # A second file of the same name extends the data set.
+    (source / "more").mkdir()
+    assert run("id,name\n2,b\n", "more/landed people.txt") == [(1, "a"), (2, "b")]
+    spark.sql("DROP TABLE landedpeople")
