@@ -38,7 +38,8 @@ def first_upper(value: Column | str) -> Column:
 
 def replace_ci(value: Column | str, search: str, replacement: str) -> Column:
     """Replace every occurrence, ignoring case; ``search`` is plain text."""
-    return F.regexp_replace(_c(value), "(?i)" + re.escape(search), replacement.replace("\\", "\\\\").replace("$", "\\$"))
+    literal = replacement.replace("\\", "\\\\").replace("$", "\\$")
+    return F.regexp_replace(_c(value), "(?i)" + re.escape(search), literal)
 
 
 def cut_name(value: Column | str) -> Column:

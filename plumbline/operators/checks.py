@@ -57,14 +57,15 @@ def _impossible(rows: DataFrame) -> DataFrame:
     activity is in the list if the entry before it is its name from there. That needs distinct activity names, which
     valid templates have; a large pipeline with repeated names is looked up like a small one.
     """
+    waits_for = _UPSTREAM.format("Succeeded")
     large = f"CAST(array_size(failed) AS BIGINT) * array_size(p.activities) > {PAIR_LIMIT}"
     distinct = "array_size(array_distinct(transform(p.activities, a -> lower(a.name)))) = array_size(p.activities)"
     together = f"""sort_array(concat(
         transform(failed, n -> struct(n AS name, false AS waits, CAST(array() AS ARRAY<STRING>) AS upstream)),
         transform(p.activities,
-                  a -> struct(lower(a.name) AS name, true AS waits, {_UPSTREAM.format("Succeeded")} AS upstream))))"""
+                  a -> struct(lower(a.name) AS name, true AS waits, {waits_for} AS upstream))))"""
     succeeded = f"""CASE WHEN together IS NULL
-        THEN transform(filter(p.activities, a -> array_contains(failed, lower(a.name))), a -> {_UPSTREAM.format("Succeeded")})
+        THEN transform(filter(p.activities, a -> array_contains(failed, lower(a.name))), a -> {waits_for})
         ELSE transform(filter(together, (x, i) -> x.waits AND NOT get(together, i - 1).waits
                                                   AND get(together, i - 1).name = x.name), x -> x.upstream) END"""
     rows = rows.selectExpr("*", f"{_FAILED} AS failed")
@@ -77,7 +78,8 @@ def _impossible(rows: DataFrame) -> DataFrame:
 # service without members is not flagged.
 _LAST_MEMBER_LACKS_SECRET = """lower(coalesce(p.type, '')) <> 'azurekeyvault' AND coalesce(array_max(transform(
     map_entries(p.typeProperties),
-    e -> struct(lower(e.key) AS k, coalesce(get_json_object(e.value, '$.secretName'), '') = '' AS lacks))).lacks, false)"""
+    e -> struct(lower(e.key) AS k,
+                coalesce(get_json_object(e.value, '$.secretName'), '') = '' AS lacks))).lacks, false)"""
 
 # One rule per check on a resource, by kind.
 RESOURCE_RULES = {
@@ -195,10 +197,13 @@ def _row_counts(resources: DataFrame) -> DataFrame:
     Every resource takes part, so a template without findings keeps its row of zeros.
     """
     counts = {
-        check: f"count_if(kind = '{kind}' AND {rule})" for kind, rules in RESOURCE_RULES.items() for check, rule in rules.items()
+        check: f"count_if(kind = '{kind}' AND {rule})"
+        for kind, rules in RESOURCE_RULES.items()
+        for check, rule in rules.items()
     }
     for check, rule in ACTIVITY_RULES.items():
-        counts[check] = f"sum(CASE WHEN kind = 'pipelines' THEN coalesce(array_size(filter(p.activities, a -> {rule})), 0) ELSE 0 END)"
+        inside = f"coalesce(array_size(filter(p.activities, a -> {rule})), 0)"
+        counts[check] = f"sum(CASE WHEN kind = 'pipelines' THEN {inside} ELSE 0 END)"
     rows = _parsed(resources, set(counts))
     return rows.groupBy("template_id").agg(*[F.expr(f"{sql} AS c{check}") for check, sql in sorted(counts.items())])
 

@@ -75,9 +75,12 @@ def i_csv_to_table(
 def i_clean_csv(df: DataFrame) -> DataFrame:
     """Remove line breaks inside text fields, so that each record is one line."""
     texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
-    return df.select(
-        *[F.regexp_replace(F.col(f"`{c}`"), "[\\r\\n]+", "").alias(c) if c in texts else F.col(f"`{c}`") for c in df.columns]
-    )
+
+    def cleaned(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        return F.regexp_replace(column, "[\\r\\n]+", "").alias(name) if name in texts else column
+
+    return df.select(*[cleaned(name) for name in df.columns])
 
 
 def i_copy_table(source, target, table: str) -> int:
@@ -118,7 +121,9 @@ def i_render_connection(df: DataFrame, template_col: str, params_col: str) -> Da
 LAKE_MEMBERS = ("dataLakeStoreUri", "servicePrincipalId", "servicePrincipalKey", "tenant")
 
 
-def i_pick_linked_service(resources: DataFrame, service_type: str, members: tuple[str, ...] = LAKE_MEMBERS) -> DataFrame:
+def i_pick_linked_service(
+    resources: DataFrame, service_type: str, members: tuple[str, ...] = LAKE_MEMBERS
+) -> DataFrame:
     """The last linked service of a type in each template, with some members; secret ones are hidden."""
     rows = resources.filter(F.col("kind") == "linkedservices").withColumn(
         "p", F.from_json("properties", "type STRING, typeProperties MAP<STRING, STRING>")

@@ -118,10 +118,11 @@ def t_component_summary(resources: DataFrame, templates: DataFrame | None = None
     )
     label = first_upper(replace_ci("type", TYPE_PREFIX, ""))
     # Rows per type are components, the second element sums to the activity row.
-    entries = F.array(
-        F.struct(F.lit(False).alias("activity"), label.alias("ComponentType"), F.col("n").alias("Count")),
-        F.struct(F.lit(True).alias("activity"), F.lit("Activities").alias("ComponentType"), F.col("activities").alias("Count")),
-    )
+
+    def entry(activity: bool, name: Column, count: str) -> Column:
+        return F.struct(F.lit(activity).alias("activity"), name.alias("ComponentType"), F.col(count).alias("Count"))
+
+    entries = F.array(entry(False, label, "n"), entry(True, F.lit("Activities"), "activities"))
     rows = counts.select("template_id", F.inline(entries))
     if templates is not None:
         rows = rows.unionByName(
@@ -156,9 +157,8 @@ def t_pipeline_info(resources: DataFrame) -> DataFrame:
         F.col("p.folder.name").alias("FolderName"),
         array_length(F.filter("p.activities", lambda a: a["name"].isNotNull())).cast("bigint").alias("n"),
     )
-    grouped = rows.groupBy(
-        "template_id", F.lower("name").alias("k1"), F.lower("Description").alias("k2"), F.lower("FolderName").alias("k3")
-    ).agg(
+    lowered = [F.lower(c).alias(f"lower_{c}") for c in ("name", "Description", "FolderName")]
+    grouped = rows.groupBy("template_id", *lowered).agg(
         F.min("name").alias("name"),
         F.min("Description").alias("Description"),
         F.min("FolderName").alias("FolderName"),
@@ -223,4 +223,5 @@ def t_dataflow_info(resources: DataFrame) -> DataFrame:
 
 
 def t_trigger_info(resources: DataFrame) -> DataFrame:
-    return _name_and_type(resources, "triggers", "TriggerName", "type STRING, runtimeState STRING", Status="runtimeState")
+    ddl = "type STRING, runtimeState STRING"
+    return _name_and_type(resources, "triggers", "TriggerName", ddl, Status="runtimeState")

@@ -166,14 +166,16 @@ def linked_service_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dataset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").selectExpr("*", "concat('ls_', p_partkey div 14 * 10 + p_partkey % 10) AS service")
+    service = "concat('ls_', p_partkey div 14 * 10 + p_partkey % 10) AS service"
+    parts = table(spark, sf_dir, "part").selectExpr("*", service)
     properties = """named_struct(
         'type', p_type,
         'description', CASE WHEN p_size % 2 <> 0 THEN p_name END,
         'annotations', CASE WHEN p_size % 3 = 0 THEN array() ELSE array(p_brand) END,
         'folder', CASE WHEN p_size >= 10 THEN named_struct('name', p_brand) END,
         'linkedServiceName', named_struct('referenceName', service))"""
-    resource = _resource("datasets", "concat('ds_', p_partkey)", "array(concat('linkedServices/', service))", properties)
+    depends_on = "array(concat('linkedServices/', service))"
+    resource = _resource("datasets", "concat('ds_', p_partkey)", depends_on, properties)
     return _rows(parts, "p_partkey div 14", 2, "p_partkey", resource)
 
 
@@ -225,7 +227,8 @@ def documents(rows: DataFrame) -> DataFrame:
     sizes = rows.groupBy("template_id", "seq").agg(F.sum(F.col("bytes").cast("bigint")).alias("n"))
     big = written(oversized(sizes, "n", MAX_DOCUMENT_BYTES), "large-templates")
     rows = with_part(rows, ["template_id", "seq"], big, F.pmod(F.xxhash64("seq", "key", "resource"), F.lit(2**62)))
-    gathered = rows.groupBy("template_id", "part").agg(F.expr("sort_array(collect_list(struct(seq, key, resource))) AS items"))
+    items = F.expr("sort_array(collect_list(struct(seq, key, resource))) AS items")
+    gathered = rows.groupBy("template_id", "part").agg(items)
     name = (
         """concat('{"parameters":{"factoryName":{"type":"string","metadata":"name",',"""
         """ '"defaultValue":"factory_', template_id, '"}},')"""
