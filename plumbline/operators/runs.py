@@ -107,14 +107,11 @@ def r_activity_errors(runs: DataFrame, activity_runs: DataFrame, now: datetime,
     counts = activities.groupBy("run_id").agg(
         F.count("*").alias("ResponseCount"), F.count_if("has_error").alias("ResponseErrorCount")
     )
-    errors = with_part(
-        activities.filter("has_error").select("run_id", "ts", *[F.col(c).alias(a) for a, c in _ERROR.items()]),
-        ["run_id"],
-        # The counts again: the planner reuses their shuffle.
-        oversized(counts.select("run_id", "ResponseErrorCount"), "ResponseErrorCount", ERROR_PAGE),
-        F.pmod(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(2**62)),
-        name="ErrorPage",
-    )
+    errors = activities.filter("has_error").select("run_id", "ts", *[F.col(c).alias(a) for a, c in _ERROR.items()])
+    # The large runs are counted in a pass of their own, which shuffles one row per task and run.
+    sizes = errors.groupBy("run_id").agg(F.count("*").alias("n"))
+    spread = F.pmod(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(2**62))
+    errors = with_part(errors, ["run_id"], oversized(sizes, "n", ERROR_PAGE), spread, "ErrorPage")
     pages = errors.groupBy("run_id", "ErrorPage").agg(
         F.sort_array(F.collect_list(F.struct("ts", *_ERROR))).alias("timed")
     )
