@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plumbline.functions.constants import BULK_BATCH
 
@@ -18,25 +17,22 @@ def read_jdbc_table(
 ) -> DataFrame:
     """A database table; with a numeric ``column`` it is read by ``partitions`` parallel range queries.
 
-    The range is asked of the database first (one row), so no part is left with most of the table by a stale
-    bound. Filters and columns are pushed into the queries by Spark.
+    The database itself is asked for the range first (one row), so that no part is left with most of the table by a
+    stale bound. Spark pushes filters and columns into the queries.
     """
     properties = properties or {}
     if column is None or partitions <= 1:
         return spark.read.jdbc(url, table, properties=properties)
-    bounds = (
-        spark.read.jdbc(url, table, properties=properties)
-        .agg(F.min(column).alias("low"), F.max(column).alias("high"))
-        .first()
-    )
-    if bounds.low is None or bounds.low == bounds.high:
+    query = f"(SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}) bounds"
+    low, high = spark.read.jdbc(url, query, properties=properties).first()
+    if low is None or low == high:
         return spark.read.jdbc(url, table, properties=properties)
     return spark.read.jdbc(
         url,
         table,
         column=column,
-        lowerBound=int(bounds.low),
-        upperBound=int(bounds.high) + 1,
+        lowerBound=int(low),
+        upperBound=int(high) + 1,
         numPartitions=partitions,
         properties=properties,
     )

@@ -131,11 +131,8 @@ class Recorder:
         self.calls.append((url, table, options))
         return self
 
-    def agg(self, *columns):
-        return self
-
     def first(self):
-        return type("Bounds", (), dict(zip(("low", "high"), self.bounds)))
+        return self.bounds
 
     @property
     def read(self):
@@ -160,6 +157,7 @@ def test_jdbc_reads_in_parallel_ranges(spark):
     assert recorder.calls[-1][2] == {
         "column": "id", "lowerBound": 10, "upperBound": 91, "numPartitions": 8, "properties": {},
     }
+    assert recorder.calls[0][1] == "(SELECT MIN(id) AS low, MAX(id) AS high FROM T) bounds"
     single = Recorder((None, None))
     jdbc.read_jdbc_table(single, "jdbc:x", "T", column="id", partitions=8)
     assert single.calls[-1][2] == {"properties": {}}
