@@ -2,20 +2,41 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import plumbline
 from plumbline.session import fresh_path
 
 #: Bytes of text handled at once inside a task; working arrays are a small multiple of it. A longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that their Python workers need no installation."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(plumbline.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="plumbline-"), "plumbline_code.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(root.rglob("*.py")):
+                out.write(source, source.relative_to(root.parent))
+        sc.addPyFile(str(archive))
+        _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import language_id, sharding
+from plumbline.llm import decontaminate, language_id, packing, sharding
 from plumbline.llm.base import remainder, table, utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +44,27 @@ def op4_sharding(spark, sf):
         sharding.shard_of("doc_id", 41).alias("grown_shard"),
     )
     return sharding.with_slots(digest)
+
+
+@register
+def op5_decontamination(spark, sf):
+    """Words of every document that lie in a window of 10 words of any benchmark item."""
+    found = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), width=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@register
+def op9_packing(spark, sf):
+    """Pieces of all documents in sequences of at most 2048 ids."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pack_documents(table(spark, sf, "documents"), vocabulary)
+    return pieces.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step"
+    )
