@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, language_id, packing, sharding
+from plumbline.llm import ctw, decontaminate, language_id, packing, sharding
 from plumbline.llm.base import remainder, table, utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,20 @@ def op9_packing(spark, sf):
     return pieces.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step"
     )
+
+
+@register
+def op6_ctw(spark, sf):
+    """log10 probability of every whole text, learned from the rows that are not held out."""
+    docs = table(spark, sf, "documents")
+    scored = ctw.score_texts(docs, learn=remainder("doc_id", 10) != 0)
+    return scored.select(
+        "doc_id",
+        (~F.col("learn")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        F.col("base_log10").alias("base_score"),
+        F.col("log10_probability").alias("score"),
+        "bits_per_byte",
+    )
