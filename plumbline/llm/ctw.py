@@ -6,11 +6,12 @@ of its children's, so the prediction mixes the estimates of all depths from 0 to
 training texts and stay fixed while texts are scored. A text ends with an end symbol, so the probabilities of all
 texts sum to one.
 
-How it runs: texts are dealt to blocks of some megabytes by a hash of the row. Each block yields its distinct
-(DEPTH + 1)-byte strings and words with their training counts, Spark sums these over the corpus, the trees are
-weighted in buckets of two-byte contexts, and each block gets back what it asked for and scores its texts. Nothing
-that grows with the corpus is broadcast or collected; the driver sees the nodes of depth 0 and 1 only, at most
-257 * 255 of them. The count tables grow with the input.
+How it runs: texts are dealt to blocks of some megabytes by a hash of the row. Each block asks for its distinct
+(DEPTH + 1)-byte strings and words, along with their training counts, in one packed row per bucket of keys. A bucket
+merges what all blocks counted, row by row, so that it never holds more than its distinct keys; the trees are
+weighted inside the buckets, which share two-byte contexts; and each block gets its answers back and scores its
+texts. Nothing that grows with the corpus is broadcast or collected; the driver sees the nodes of depth 0 and 1 only,
+at most 257 * 255 of them. The count tables grow with the input.
 
 Null and empty texts are the end symbol alone. Without any training text every bit has probability 1/2. Repeated rows
 count and are scored as often as they occur.
@@ -18,24 +19,28 @@ count and are scored as often as they occur.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.base import as_arrays, shuffle_width, slices, stored, utf8, volume
+from plumbline.llm.words import mix
 
-DEPTH = 4
+DEPTH = 5
 #: Bytes of text per block; a block's counts are a small multiple of it.
 BLOCK_BYTES = 8 << 20
 #: Neither byte occurs in UTF-8.
 BEGIN, END = 0xFE, 0xFF
 _GRAM, _WORD = 0, 1
-_LINE_END = b" "  # never a word, so it stands for the end token
+_END_TOKEN = b" "  # never a word
 
 
 def _strings(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -55,35 +60,122 @@ def _strings(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _words(text: bytes) -> list[bytes]:
-    return [*text.lower().split(), _LINE_END]
+    return [*text.lower().split(), _END_TOKEN]
 
 
-def _block_counts(table: pa.Table) -> pa.Table:
-    """Distinct strings and words of a block, with their counts in its training texts."""
-    grams, words, learn_words = [], Counter(), Counter()
-    for batch in table.combine_chunks().to_batches():
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers by byte plane, compressed: high bytes of sorted or small numbers cost next to nothing."""
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _unpack(packed: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _pack_keys(kind: int, keys: np.ndarray | list[bytes]) -> bytes:
+    return _pack(np.diff(keys, prepend=0)) if kind == _GRAM else zstandard.ZstdCompressor(1).compress(b"\n".join(keys))
+
+
+def _unpack_keys(kind: int, packed: bytes) -> np.ndarray | list[bytes]:
+    return np.cumsum(_unpack(packed, np.int64)) if kind == _GRAM else zstandard.ZstdDecompressor().decompress(packed).split(b"\n")
+
+
+def _by_bucket(kind: int, keys: np.ndarray | list[bytes], buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Buckets of keys, and which keys each holds, in order. Strings with equal two-byte contexts share a bucket."""
+    if kind == _GRAM:
+        at = mix((keys >> 8).astype(np.uint64) & np.uint64(0xFFFF)) % np.uint64(buckets)
+    else:
+        at = np.fromiter((zlib.crc32(w) for w in keys), np.uint64, len(keys)) % np.uint64(buckets)
+    order = np.argsort(at, kind="stable")
+    found, first = np.unique(at[order], return_index=True)
+    return zip(found.tolist(), np.split(order, first[1:]), strict=True)
+
+
+def _block_keys(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Distinct strings and words of a block, both in order, with their counts in its training texts."""
+    grams, words, learned = [], set(), Counter()
+    for batch in rows.combine_chunks().to_batches():
         for part in slices(batch, "text"):
             learn = part.column("learn").to_numpy(zero_copy_only=False).astype(bool)
-            data, at = as_arrays(part.column("text"))
-            value, first = _strings(data, at)
+            value, first = _strings(*as_arrays(part.column("text")))
             weight = np.repeat(learn, np.diff(np.append(first, len(value))))
             found, inverse = np.unique(value, return_inverse=True)
-            grams.append((found, np.bincount(inverse, weights=weight, minlength=len(found)).astype(np.int64)))
+            grams.append((found, np.bincount(inverse, weights=weight, minlength=len(found))))
             for text, own in zip(part.column("text"), learn, strict=True):
-                (learn_words if own else words).update(_words(bytes(text.as_buffer())))
+                (learned if own else words).update(_words(bytes(text.as_buffer())))
     keys, inverse = np.unique(np.concatenate([g for g, _ in grams]), return_inverse=True)
     n = np.bincount(inverse, weights=np.concatenate([c for _, c in grams]), minlength=len(keys)).astype(np.int64)
-    names = [*learn_words, *(w for w in words if w not in learn_words)]
-    block = table["block"][0].as_py()
-    return pa.table(
-        {
-            "block": pa.array(np.full(len(keys) + len(names), block, np.int64)),
-            "kind": pa.array(np.repeat([_GRAM, _WORD], [len(keys), len(names)]).astype(np.int32)),
-            "gram": pa.concat_arrays([pa.array(keys), pa.array(np.full(len(names), -1, np.int64))]),
-            "word": pa.concat_arrays([pa.nulls(len(keys), pa.binary()), pa.array(names, pa.binary())]),
-            "n": pa.concat_arrays([pa.array(n), pa.array([learn_words[w] for w in names], pa.int64())]),
-        }
-    )
+    names = sorted(words.union(learned))
+    return keys, n, names, np.array([learned[w] for w in names], np.int64)
+
+
+def _ask(rows: pa.Table, buckets: int) -> pa.Table:
+    grams, gram_counts, words, word_counts = _block_keys(rows)
+    out = []
+    for kind, keys, counts in ((_GRAM, grams, gram_counts), (_WORD, words, word_counts)):
+        for bucket, at in _by_bucket(kind, keys, buckets):
+            own = keys[at] if kind == _GRAM else [keys[k] for k in at]
+            out.append((rows["block"][0].as_py(), kind, bucket, _pack_keys(kind, own), _pack(counts[at])))
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _KINDS, strict=True)], names=["block", "kind", "bucket", "keys", "n"])
+
+
+_KINDS = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+_PACKED = "block bigint, kind int, bucket int, keys binary, n binary"
+
+
+def _merge_grams(sums: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if sums is None:
+        return keys, n
+    found, inverse = np.unique(np.concatenate([sums[0], keys]), return_inverse=True)
+    return found, np.bincount(inverse, weights=np.concatenate([sums[1], n]), minlength=len(found)).astype(np.int64)
+
+
+def _rows_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield {c: batch.column(c)[k].as_py() for c in batch.schema.names}
+
+
+def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(_KINDS)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _KINDS, strict=True)], ["block", "kind", "bucket", "keys", "n"])
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Corpus counts per bucket, from the rows of all blocks in the order of buckets."""
+    for (kind, bucket), rows in groupby(_rows_in_order(batches), lambda r: (r["kind"], r["bucket"])):
+        if kind == _WORD:
+            total: Counter = Counter()
+            for row in rows:
+                for word, n in zip(_unpack_keys(kind, row["keys"]), _unpack(row["n"], np.int64).tolist(), strict=True):
+                    total[word] += n
+            keys, counts = list(total), np.array(list(total.values()), np.int64)
+        else:
+            sums, held, size = None, [], 0
+            for row in rows:  # merge when as much has come as is held already
+                held.append((_unpack_keys(kind, row["keys"]), _unpack(row["n"], np.int64)))
+                size += len(held[-1][0])
+                if size > max(1 << 20, 0 if sums is None else len(sums[0])):
+                    sums, held, size = _merge_grams(sums, *map(np.concatenate, zip(*held, strict=True))), [], 0
+            if held:
+                sums = _merge_grams(sums, *map(np.concatenate, zip(*held, strict=True)))
+            keys, counts = _merge_grams(sums, np.zeros(0, np.int64), np.zeros(0, np.int64))
+        yield _as_batch([(-1, kind, bucket, _pack_keys(kind, keys), _pack(counts))])
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Values of the keys that blocks ask for; a bucket's own row, block -1, comes before the asking rows."""
+    for row in _rows_in_order(batches):
+        kind, keys = row["kind"], _unpack_keys(row["kind"], row["keys"])
+        if row["block"] < 0:
+            if kind == _GRAM:
+                known, values = keys, _unpack(row["n"], np.float64)
+            else:
+                known = dict(zip(keys, _unpack(row["n"], np.int64).tolist(), strict=True))
+        else:
+            found = values[np.searchsorted(known, keys)] if kind == _GRAM else np.array([known[w] for w in keys], np.int64)
+            yield _as_batch([(row["block"], kind, row["bucket"], b"", _pack(found))])
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -140,26 +232,24 @@ def _tree(keys: np.ndarray, n: np.ndarray) -> list[dict[str, np.ndarray]]:
     return levels
 
 
-def _roots(table: pa.Table) -> pa.Table:
-    """Nodes of depth 2 of one bucket, summed up for depth 1: (last byte, decision, counts, sum of the logs)."""
-    order = np.argsort(table["gram"].to_numpy())
-    level = _tree(table["gram"].to_numpy()[order], table["n"].to_numpy()[order])[0]
-    upper, inverse = np.unique(level["ids"] & 0xFFFF, return_inverse=True)
-    total = lambda k: np.bincount(inverse, weights=level[k], minlength=len(upper))
-    return pa.table({"node": pa.array(upper), "zeros": total("zeros"), "ones": total("ones"), "log": total("log")})
+def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes of depth 2 of each bucket, summed up for depth 1: (last byte and decision, counts, sum of the logs)."""
+    for row in _rows_in_order(batches):
+        level = _tree(_unpack_keys(_GRAM, row["keys"]), _unpack(row["n"], np.int64))[0]
+        upper, inverse = np.unique(level["ids"] & 0xFFFF, return_inverse=True)
+        sums = [np.bincount(inverse, weights=level[k], minlength=len(upper)) for k in ("zeros", "ones", "log")]
+        yield pa.RecordBatch.from_arrays([pa.array(upper), *map(pa.array, sums)], ["node", "zeros", "ones", "log"])
 
 
 def _bit_probability(zeros: np.ndarray, ones: np.ndarray, bit: np.ndarray) -> np.ndarray:
     return (np.where(bit == 1, ones, zeros) + 0.5) / (zeros + ones + 1)
 
 
-def _string_logs(table: pa.Table, top: np.ndarray, low: np.ndarray) -> pa.Table:
+def _string_logs(keys: np.ndarray, n: np.ndarray, top: np.ndarray, low: np.ndarray) -> np.ndarray:
     """log10 probability of the last byte of each string of a bucket after the bytes before it.
 
     ``top`` and ``low``: zeros, ones and share of the nodes of depth 0 (by decision) and 1 (by byte and decision).
     """
-    order = np.argsort(table["gram"].to_numpy())
-    keys, n = table["gram"].to_numpy()[order], table["n"].to_numpy()[order]
     levels, (decision, bit) = _tree(keys, n), _decisions(keys & 0xFF)
     mixed = np.full(decision.shape, 0.5)
     for level in levels[::-1]:
@@ -168,28 +258,29 @@ def _string_logs(table: pa.Table, top: np.ndarray, low: np.ndarray) -> pa.Table:
     last = ((keys >> 8) & 0xFF)[:, None]
     for zeros, ones, share in ([x[last, decision] for x in low], [x[decision] for x in top]):
         mixed = np.where(zeros + ones > 0, share * _bit_probability(zeros, ones, bit) + (1 - share) * mixed, 0.5)
-    return pa.table({"gram": pa.array(keys), "log": pa.array(np.log10(mixed).sum(axis=1))})
-
-
-def _score_block(rows: pa.Table, learned: pa.Table) -> pa.Table:
-    """Scores of a block's texts from the strings and words the block asked for."""
-    is_word = pc.equal(learned["kind"], _WORD)
-    grams, words = learned.filter(pc.invert(is_word)), learned.filter(is_word)
-    keys = grams["gram"].to_numpy()
-    order = np.argsort(keys)
-    keys, logs = keys[order], grams["value"].to_numpy()[order]
-    cost = dict(zip(words["word"].to_pylist(), zip(words["value"].to_pylist(), words["known"].to_pylist(), strict=True), strict=True))
+    return np.log10(mixed).sum(axis=1)
+
+
+def _score_block(rows: pa.Table, answers: pa.Table, buckets: int, tokens: int, vocabulary: int) -> pa.Table:
+    """Scores of a block's texts from the answers to what it asked for."""
+    keys, _, words, _ = _block_keys(rows)
+    logs, counts = np.zeros(len(keys)), np.zeros(len(words), np.int64)
+    packed = {(a["kind"], a["bucket"]): a["n"] for a in answers.to_pylist()}
+    for kind, own, values in ((_GRAM, keys, logs), (_WORD, words, counts)):
+        for bucket, at in _by_bucket(kind, own, buckets):
+            values[at] = _unpack(packed[kind, bucket], values.dtype.type)
+    cost = np.log10((counts + 0.1) / (tokens + 0.1 * (vocabulary + 1))).tolist()
+    value_of = dict(zip(words, zip(cost, (counts > 0).tolist(), strict=True), strict=True))
     out: list[list] = [[], [], [], [], []]
     for batch in rows.combine_chunks().to_batches():
         for part in slices(batch, "text"):
             data, at = as_arrays(part.column("text"))
             value, first = _strings(data, at)
             found, inverse = np.unique(value, return_inverse=True)
-            total = np.add.reduceat(logs[np.searchsorted(keys, found)][inverse], first)
-            out[0] += total.tolist()
+            out[0] += np.add.reduceat(logs[np.searchsorted(keys, found)][inverse], first).tolist()
             out[1] += np.diff(at).tolist()
             for text in part.column("text"):
-                own = [cost[w] for w in _words(bytes(text.as_buffer()))]
+                own = [value_of[w] for w in _words(bytes(text.as_buffer()))]
                 out[2].append(sum(c for c, _ in own))
                 out[3].append(len(own))
                 out[4].append(sum(k for _, k in own))
@@ -209,13 +300,14 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
     blocks = max(shuffle_width(spark), -(-size // BLOCK_BYTES))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(learn, F.lit(False)).alias("learn"), utf8(text).alias("text"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    wanted = rows.groupBy("block").applyInArrow(_block_counts, "block bigint, kind int, gram bigint, word binary, n bigint")
-    wanted = stored(wanted, "block-counts", "kind")
-
-    grams = wanted.filter(F.col("kind") == _GRAM).groupBy("gram").agg(F.sum("n").alias("n"))
-    bucket = F.pmod(F.xxhash64(F.shiftright("gram", 8).bitwiseAND(0xFFFF)), F.lit(max(64, shuffle_width(spark))))
-    grams = stored(grams.withColumn("bucket", bucket), "grams")
-    roots = grams.groupBy("bucket").applyInArrow(_roots, "node bigint, zeros double, ones double, log double")
+    buckets = max(64, shuffle_width(spark))
+    asked = stored(rows.groupBy("block").applyInArrow(lambda t: _ask(t, buckets), _PACKED), "asked", "kind")
+    together = lambda df: df.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket", "block")
+    merged = stored(together(asked.select("block", "kind", "bucket", "keys", "n")).mapInArrow(_merge, _PACKED), "counted", "kind")
+    merged = merged.select("block", "kind", "bucket", "keys", "n")
+    grams, words = merged.filter(F.col("kind") == _GRAM), merged.filter(F.col("kind") == _WORD)
+
+    roots = grams.mapInArrow(_roots, "node bigint, zeros double, ones double, log double")
     depth_1 = roots.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log")]).toPandas()  # at most 256 * 255
     low, top = np.zeros((3, 256, 256)), np.zeros((3, 256))
     last, decision = depth_1["node"].to_numpy() >> 8, depth_1["node"].to_numpy() & 0xFF
@@ -224,24 +316,26 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
     zeros, ones, below = (np.bincount(decision, weights=x, minlength=256) for x in (depth_1["zeros"], depth_1["ones"], log))
     top[:] = zeros, ones, _weigh(zeros, ones, below)[1]
     sent = spark.sparkContext.broadcast((top, low))
-    gram_logs = grams.groupBy("bucket").applyInArrow(lambda t: _string_logs(t, *sent.value), "gram bigint, log double")
-
-    words = wanted.filter(F.col("kind") == _WORD).groupBy("word").agg(F.sum("n").alias("c"))
-    words = stored(words, "words")
-    sums = words.agg(F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("bigint")).alias("v")).first()
-    n, v = sums["n"] or 0, sums["v"] or 0
-    cost = F.log10((F.col("c") + 0.1) / F.lit(n + 0.1 * (v + 1)))
-
-    asked = wanted.select("block", "kind", "gram", "word")
-    answers = asked.filter(F.col("kind") == _GRAM).join(gram_logs, "gram").select(
-        "block", "kind", "gram", "word", F.col("log").alias("value"), F.lit(True).alias("known")
-    ).unionByName(
-        asked.filter(F.col("kind") == _WORD).join(words, "word").select("block", "kind", "gram", "word", cost.alias("value"), (F.col("c") > 0).alias("known"))
+
+    def logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows_in_order(batches):
+            found = _string_logs(_unpack_keys(_GRAM, row["keys"]), _unpack(row["n"], np.int64), *sent.value)
+            yield _as_batch([(-1, _GRAM, row["bucket"], row["keys"], _pack(found))])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows_in_order(batches):
+            n = _unpack(row["n"], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([int(n.sum())]), pa.array([int((n > 0).sum())])], ["n", "v"])
+
+    total = words.mapInArrow(sums, "n bigint, v bigint").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+    n, v = total["n"] or 0, total["v"] or 0
+    values = grams.mapInArrow(logs, _PACKED).unionByName(words)
+    questions = asked.select("block", "kind", "bucket", "keys", F.lit(b"").alias("n"))
+    answers = together(values.unionByName(questions)).mapInArrow(_answer, _PACKED)
+    scored = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        lambda own, found: _score_block(own, found, buckets, n, v),
+        "doc_id bigint, learn boolean, score double, bytes bigint, base double, n bigint, known bigint",
     )
-    grouped = rows.groupBy("block")
-    scored = grouped.cogroup(answers.groupBy("block")).applyInArrow(
-        _score_block, "doc_id bigint, learn boolean, score double, bytes bigint, base double, n bigint, known bigint"
-    )
     return scored.select(
         "doc_id",
         "learn",
