@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import ctw, decontaminate, language_id, packing, sharding
+from plumbline.llm import ctw, decontaminate, language_id, packing, sharding, toxicity
 from plumbline.llm.base import remainder, table, utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,17 @@ def op6_ctw(spark, sf):
         F.col("log10_probability").alias("score"),
         "bits_per_byte",
     )
+
+
+@register
+def op7_toxicity(spark, sf):
+    """Toxicity of every whole text, learned from the labels of rows that are not held out."""
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = toxicity.train(docs, labels.filter(remainder("doc_id", 3) != 1))
+    rated = toxicity.rate(docs.select("doc_id", "text"), model)
+    return rated.select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
+    )

@@ -45,9 +45,11 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD_BYTES) -> Words:
+def words_of(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD_BYTES, longest: int | None = None) -> Words:
     """Words of texts that lie one after the other in ``data``; ``kind`` maps a byte to what is hashed, 0 between words.
 
+    With ``longest``, only so many bytes of a word are hashed.
+
     Equal words have equal hashes; different ones collide with a probability of about length / 2^64.
     """
     low = kind[data]
@@ -60,6 +62,8 @@ def words_of(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD_BYTE
     last = inside.copy()
     last[:-1] &= ~inside[1:] | begins[1:n]
     start, end = np.flatnonzero(fresh), np.flatnonzero(last) + 1
+    if longest:
+        end = np.minimum(end, start + longest)
     powers = _power_table(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(low.astype(np.uint64) * powers[0, :n], out=total[1:])
