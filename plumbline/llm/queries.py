@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import ctw, decontaminate, language_id, packing, sharding, toxicity
+from plumbline.llm import ctw, decontaminate, language_id, outliers, packing, sharding, toxicity
 from plumbline.llm.base import remainder, table, utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +99,12 @@ def op7_toxicity(spark, sf):
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@register
+def op10_outliers(spark, sf):
+    """Counts of every whole text, and whether it passes the base rule and the robust outlier test."""
+    judged = outliers.judge(outliers.statistics(table(spark, sf, "documents")))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )

@@ -274,7 +274,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     ).otherwise(0.0)
     strong = counts.filter((F.col("bad") > 0) & (share > model.base)).withColumn("gain", gain).filter(F.col("gain") > float(np.log(10.0 * looked_at)))
     shrunk = (F.col("bad") + 2 * model.base) / (F.col("bad") + F.col("good") + 2)
-    found = strong.withColumn("share", shrunk).filter("share >= 0.5").orderBy(F.desc("gain"), "feature").limit(FEATURES).toPandas()
+    found = strong.withColumn("share", shrunk).filter("share >= 0.75").orderBy(F.desc("gain"), "feature").limit(FEATURES).toPandas()
     hashes = found["feature"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     model.features, model.share = hashes[order], found["share"].to_numpy(float)[order]
