@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import ctw, decontaminate, language_id, outliers, packing, sharding, toxicity
+from plumbline.llm import ctw, decontaminate, language_id, outliers, packing, sharding, toxicity, warc
 from plumbline.llm.base import remainder, table, utf8
+from plumbline.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,3 +109,20 @@ def op10_outliers(spark, sf):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
     )
+
+
+@register
+def op8_warc(spark, sf):
+    """Pages written as WARC records and read back along the chain of records."""
+    path = fresh_path(spark, "warc")
+    warc.write_archives(table(spark, sf, "pages"), path)
+    found = warc.records(spark, path)
+    page_id = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(.*)>$', 1) AS bigint)")
+    revisit = F.col("record_type") == "revisit"
+    return found.select(
+        page_id("record_id").alias("page_id"),
+        F.when(revisit, F.col("claimed_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(revisit, F.col("claimed_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        page_id("refers_to").alias("refers_to"),
+    )
