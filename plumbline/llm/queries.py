@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import ctw, decontaminate, language_id, outliers, packing, sharding, toxicity, warc
+from plumbline.llm import ctw, decontaminate, jaccard_join, language_id, outliers, packing, sharding, toxicity, warc
 from plumbline.llm.base import remainder, table, utf8
 from plumbline.session import fresh_path
 
@@ -23,6 +23,12 @@ def register(query: Query) -> Query:
     return query
 
 
+@register
+def op1_jaccard_join(spark, sf):
+    """Class, copies and links of every document: sets of five words in a row, similarity 0.8 or more."""
+    return jaccard_join.jaccard_join(table(spark, sf, "documents"), n=5, threshold=0.8)
+
+
 @register
 def op3_language_id(spark, sf):
     """Language of every whole text, learned from the rows that are not held out."""
