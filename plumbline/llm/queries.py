@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import ctw, decontaminate, jaccard_join, language_id, outliers, packing, sharding, toxicity, warc
+from plumbline.llm import chat_tools, ctw, decontaminate, jaccard_join, language_id, outliers, packing, sharding, toxicity, warc
 from plumbline.llm.base import remainder, table, utf8
 from plumbline.session import fresh_path
 
@@ -29,6 +29,42 @@ def op1_jaccard_join(spark, sf):
     return jaccard_join.jaccard_join(table(spark, sf, "documents"), n=5, threshold=0.8)
 
 
+#: Tools that the turns of ``conversations`` are taken to call.
+TOOL_SCHEMAS = (
+    ("search", "limit", "integer", True, 1.0, 40.0, None),
+    ("search", "query", "string", True, None, None, None),
+    ("lookup", "limit", "integer", False, 0.0, None, None),
+    ("lookup", "query", "string", True, None, None, ["The", "In", "De"]),
+)
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Assistant turns as tool calls, each after the call two turns before, and user turns as answers to the turn before."""
+    tool = "CASE length(text) % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'lookup' ELSE 'unlisted' END"
+    query = "split(text, ' ')[0]"
+    arguments = f"""CASE WHEN length(text) % 17 = 0 THEN concat('{{"query": ', length(text))
+        ELSE concat('{{"query": ', to_json(named_struct('q', {query})), ', "limit": ', length(text) % 60, '}}') END"""
+    arguments = arguments.replace(f"to_json(named_struct('q', {query}))", f"regexp_extract(to_json(named_struct('q', {query})), '^.\"q\":(.*).$', 1)")
+    call = f"""named_struct('id', concat('call_', turn), 'name', {tool}, 'arguments', {arguments},
+        'after', CASE WHEN turn >= 2 THEN concat('call_', turn - 2) END)"""
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("role") == "user", "tool").otherwise(F.col("role")).alias("role"),
+        "text",
+        F.expr(f"CASE WHEN role = 'assistant' THEN array({call}) END").alias("calls"),
+        F.expr("CASE WHEN role = 'user' THEN concat('call_', turn - 1) END").alias("call_id"),
+    )
+
+
+@register
+def op2_chat_tools(spark, sf):
+    """Calls and results of all conversations: linked, in topological order, validated, as canonical JSON."""
+    kinds = "tool string, param string, type string, required boolean, minimum double, maximum double, choices array<string>"
+    found = chat_tools.format_tool_calls(tool_messages(table(spark, sf, "conversations")), spark.createDataFrame(TOOL_SCHEMAS, kinds))
+    return found.withColumn("faults", F.array_join("faults", ","))
+
+
 @register
 def op3_language_id(spark, sf):
     """Language of every whole text, learned from the rows that are not held out."""
