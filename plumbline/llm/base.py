@@ -82,6 +82,11 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         start = stop
 
 
+def whole_rows(docs: DataFrame) -> Column:
+    """All columns as one struct ``_doc``, so that no column of the input clashes with those of an operator."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+
+
 def by_slices(df: DataFrame, column: str, each: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``each`` to bounded slices of the rows, in Arrow batches and without a shuffle."""
 

@@ -30,12 +30,13 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.base import as_arrays, by_slices, stored, utf8
+from plumbline.llm.base import as_arrays, by_slices, slices, stored, utf8, whole_rows
 from plumbline.llm.words import mix, windows, words_of
 
 WIDTH = 64
@@ -357,12 +358,8 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.union(stars.select("root", "root")).distinct()
 
 
-def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = RECALL) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): class_id, n_copies, n_links.
-
-    ``class_id`` is the least doc_id of the class, ``n_copies`` the number of rows with an equal set of shingles, the
-    row included, and ``n_links`` the number of other sets that its set is linked to.
-    """
+def _classes(docs: DataFrame, n: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, rep), and per rep its class: root, least doc_id of the rep and of the class, copies and links."""
     if not 0 < threshold <= 1:
         raise ValueError("the threshold is above 0 and at most 1")
     rows = stored(representatives(docs, n), "representatives")
@@ -374,5 +371,31 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
     roots = components(edges).withColumnRenamed("node", "rep")
     named = groups.drop("sampled", "size").join(roots, "rep", "left").join(counts, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     classes = named.groupBy("root").agg(F.min("least").alias("class_id"))
-    named = stored(named.join(classes, "root").select("rep", "class_id", "n_copies", F.coalesce("links", F.lit(0)).alias("n_links")), "classes")
-    return rows.select("doc_id", "rep").join(named, "rep").select("doc_id", "class_id", "n_copies", "n_links")
+    named = named.join(classes, "root").select("rep", "root", "least", "class_id", "n_copies", F.coalesce("links", F.lit(0)).alias("n_links"))
+    return rows.select("doc_id", "rep"), stored(named, "classes")
+
+
+def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = RECALL) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): class_id, n_copies, n_links.
+
+    ``class_id`` is the least doc_id of the class, ``n_copies`` the number of rows with an equal set of shingles, the
+    row included, and ``n_links`` the number of other sets that its set is linked to.
+    """
+    rows, named = _classes(docs, n, threshold, recall)
+    return rows.join(named, "rep").select("doc_id", "class_id", "n_copies", "n_links")
+
+
+def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = RECALL) -> DataFrame:
+    """One row of each class of ``docs``, one with the least doc_id (null only if all are), with all its columns."""
+    _, named = _classes(docs, n, threshold, recall)
+    chosen = named.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "rep")).alias("_kept"))
+    chosen = stored(chosen.select(F.col("_kept.rep").alias("_rep"), F.col("_kept.least").alias("_least")), "kept")
+
+    @F.pandas_udf("bigint")
+    def rep_of(texts: pd.Series) -> pd.Series:
+        batch = pa.RecordBatch.from_arrays([pa.Array.from_pandas(texts, type=pa.large_binary())], ["text"])
+        found = [_sets(part, n)[2] for part in slices(batch, "text")]
+        return pd.Series(np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64))
+
+    rows = docs.select(whole_rows(docs), rep_of(utf8("text")).alias("_rep")).join(chosen, "_rep")
+    return rows.filter(F.col("_doc.doc_id").cast("bigint").eqNullSafe(F.col("_least"))).dropDuplicates(["_rep"]).select("_doc.*")
