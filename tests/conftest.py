@@ -12,10 +12,11 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from plumbline.session import local_session
 
-    session = local_session("4", name="plumbline-tests", memory="6g")
+    shared = {"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
+    session = local_session("4", name="plumbline-tests", memory="6g", **shared)
     yield session
     session.stop()
 
