@@ -32,6 +32,8 @@ VECTOR = {
 }
 FLOOR = {"v_words": 0.3, "v_length": 0.1, "v_symbols": 0.3, "v_lines": 0.4, "v_repeats": 0.12}
 CORE, STEPS, LEAST = 0.75, 4, 100
+#: Parts of every group in joins of rows with group estimates, whose rows are repeated so often.
+PARTS = 64
 #: Quantiles of the chi-squared distribution with five degrees of freedom: the median, and the one of 0.999999.
 CHI2_MEDIAN, CUTOFF = 4.351, 35.89
 
@@ -63,6 +65,13 @@ def statistics(docs: DataFrame) -> DataFrame:
     ).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
+def _with_estimates(rows: DataFrame, estimates: DataFrame, group: str) -> DataFrame:
+    """Join rows with the estimates of their group, in parts, so that rows of one group meet in no single task."""
+    parts = estimates.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns if c != group]), F.lit(PARTS)).cast("int")
+    return rows.withColumn("_part", part).join(parts, [group, "_part"]).drop("_part")
+
+
 def _squared_distance(values: list[str]) -> Column:
     """Mahalanobis distance, squared, by forward substitution with the factor's columns."""
     solved: list[Column] = []
@@ -92,7 +101,7 @@ def robust_scatter(rows: DataFrame, group: str, floor: dict[str, float], core: f
     values = list(floor)
     median = {v: F.percentile_approx(v, 0.5).alias(f"m_{v}") for v in values}
     centre = stored(rows.groupBy(group).agg(*median.values()), "centre")
-    spread = rows.join(centre, group).groupBy(group).agg(
+    spread = _with_estimates(rows, centre, group).groupBy(group).agg(
         *[F.first(f"m_{v}").alias(f"m_{v}") for v in values],
         *[F.percentile_approx(F.abs(F.col(v) - F.col(f"m_{v}")), 0.5).alias(f"mad_{v}") for v in values],
     )
@@ -103,9 +112,9 @@ def robust_scatter(rows: DataFrame, group: str, floor: dict[str, float], core: f
     )
     found = _factored(start, values, floor)
     for _ in range(steps):
-        distances = rows.join(found, group).select(group, *values, _squared_distance(values).alias("_d"))
+        distances = _with_estimates(rows, found, group).select(group, *values, _squared_distance(values).alias("_d"))
         border = stored(distances.groupBy(group).agg(F.percentile_approx("_d", core, F.lit(1000)).alias("_border")), "border")
-        inner = distances.join(border, group).filter("_d <= _border")
+        inner = _with_estimates(distances, border, group).filter("_d <= _border")
         found = _factored(
             inner.groupBy(group).agg(
                 *[F.avg(v).alias(f"m_{v}") for v in values],
@@ -114,7 +123,7 @@ def robust_scatter(rows: DataFrame, group: str, floor: dict[str, float], core: f
             values,
             floor,
         )
-    typical = rows.join(found, group).groupBy(group).agg(
+    typical = _with_estimates(rows, found, group).groupBy(group).agg(
         F.percentile_approx(_squared_distance(values), 0.5, F.lit(1000)).alias("_median"), F.count(F.lit(1)).alias("n_fitted")
     )
     # The core is narrower than the whole; a scale below one would only sharpen a floor.
@@ -134,6 +143,6 @@ def judge(stats: DataFrame, least: int = LEAST, cutoff: float = CUTOFF) -> DataF
     columns = [c for c in own.columns if c != "_group"]
     shared = whole.withColumn("_all", F.lit(1)).select("_all", *[F.col(c).alias(f"w_{c}") for c in columns])
     filled = groups.withColumn("_all", F.lit(1)).join(shared, "_all", "left").select("_group", *[F.coalesce(c, f"w_{c}").alias(c) for c in columns])
-    judged = rows.join(stored(filled, "groups"), "_group", "left").withColumn("distance", _squared_distance(names) / F.col("scale"))
+    judged = _with_estimates(rows, stored(filled, "groups"), "_group").withColumn("distance", _squared_distance(names) / F.col("scale"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(False))
     return judged.select(*stats.columns, "distance", kept.alias("kept"))
