@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.base import slices, stored, utf8
-from plumbline.llm.words import Words, mix, words_of
+from plumbline.llm.words import WORD_BYTES, Words, mix, words_of
 
 LABELLED = 200_000
 FEATURES = 50_000
@@ -44,15 +44,16 @@ LOOK_ALIKES = {
 }
 #: Log costs of the channel: a look-alike for a letter, one kept as a break, a shortened run, dropped spaces.
 SUBSTITUTED, BROKEN, SHORTENED, JOINED = -1.0, -5.0, -2.0, -2.0
-CACHED_SPANS = 200_000
+CACHED_WORDS = 400_000
 _SYMBOLS = 64
 _MARKS = "".join(re.escape(c) for c in LOOK_ALIKES)
-_SPAN = re.compile(
-    rf"(?<![^\W_])[^\W_](?:[ .\-_*]{{1,2}}[^\W_]){{3,}}(?![^\W_])"  # single letters, spaced out
-    rf"|[^\W\d_]*[{_MARKS}]+[^\W\d_][\w{_MARKS}]*(?<=[\w])"  # look-alikes before a letter
-    rf"|[^\W\d_]{{2,}}[0-9]{{1,2}}(?![\w])"  # a digit or two at the end of a word
-    rf"|[^\W_]*([^\W\d_])\1\1[^\W_]*"  # a letter three times
-)
+_NOT_LAST = "".join(c for c in LOOK_ALIKES if not c.isalnum())
+_SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*]{1,2}[^\W_]){3,}(?![^\W_])")  # single letters, spaced out
+_RUN = re.compile(rf"[\w{_MARKS}]+")
+#: A look-alike before a letter, a digit or two at the end, a letter three times.
+_DISGUISE = re.compile(rf"[{_MARKS}][^\W\d_]|[^\W\d_][0-9]{{1,2}}$|([^\W\d_])\1\1")
+#: What any disguised word of a text holds; most texts have none.
+_HINT = re.compile(rf"[{_MARKS}][^\W\d_]|[^\W\d_][0-9]|([^\W\d_])\1\1")
 
 
 @cache
@@ -114,7 +115,7 @@ def _readings(span: str) -> list[tuple[float, list[Position]]]:
         return [(c, int(symbol_of[ord(c)]) if len(c) == 1 else 0, 0.0)]
 
     out = []
-    spaced = re.fullmatch(r"[^\W_](?:[ .\-_*]{1,2}[^\W_]){3,}", span)
+    spaced = _SPACED.fullmatch(span)
     for text, cost in [(span, 0.0)] + ([(re.sub(r"[ .\-_*]+", "", span), JOINED)] if spaced else []):
         forms = {text: cost}
         for most in (2, 1):
@@ -184,15 +185,51 @@ class Model:
 _restored: dict[tuple[float, str], str] = {}
 
 
+def _spans(word: str) -> list[tuple[int, int]]:
+    """Parts of a word that may be disguised: runs of letters and look-alikes without symbols at their end."""
+    runs = ((m.start(), m.start() + len(m[0].rstrip(_NOT_LAST))) for m in _RUN.finditer(word))
+    return [(a, b) for a, b in runs if _DISGUISE.search(word[a:b])]
+
+
+def _with_single_letters(texts: list[str]) -> np.ndarray:
+    """Texts with three words of one letter or more; a disguise by blanks has that many at least."""
+    raw = [t.encode("utf-8", "replace") + b" " for t in texts]
+    inside = WORD_BYTES[np.frombuffer(b" " + b"".join(raw), np.uint8)] > 0
+    alone = inside[1:] & ~inside[:-1] & np.append(~inside[2:], True)
+    starts = np.cumsum([0, *(len(r) for r in raw[:-1])])
+    return np.flatnonzero(np.add.reduceat(alone.astype(np.int64), starts) >= 3)
+
+
 def restore(texts: list[str], characters: np.ndarray) -> list[str]:
-    """Texts in lower case with every disguised span in its likeliest reading."""
-    if len(_restored) > CACHED_SPANS:
+    """Texts in lower case with every disguised span in its likeliest reading. Words seen lately are looked up."""
+    if not texts:
+        return []
+    if len(_restored) > CACHED_WORDS:
         _restored.clear()
+    model = float(characters[0, 0, 1])  # readings depend on the model
     low = [t.lower() for t in texts]
-    key = float(characters[0, 0, 1])  # readings depend on the model
-    new = list({m[0] for t in low for m in _SPAN.finditer(t) if (key, m[0]) not in _restored})
-    _restored.update(((key, s), r) for s, r in zip(new, decode(new, characters), strict=True))
-    return [_SPAN.sub(lambda m: _restored[key, m[0]], t) for t in low]
+    single = _with_single_letters(low)
+    spaced = list({s for k in single for s in _SPACED.findall(low[k])})
+    if spaced:
+        reading = dict(zip(spaced, decode(spaced, characters), strict=True))
+        for k in single:
+            low[k] = _SPACED.sub(lambda m: reading[m[0]], low[k])
+    hinted = {k: {w for w in set(t.split()) if _HINT.search(w)} for k, t in enumerate(low) if _HINT.search(t)}
+    new = [w for w in set().union(*hinted.values()) if (model, w) not in _restored]
+    found = {w: _spans(w) for w in new}
+    pieces = list({w[a:b] for w, spans in found.items() for a, b in spans})
+    clear = dict(zip(pieces, decode(pieces, characters), strict=True))
+    for word, spans in found.items():
+        out, at = [], 0
+        for a, b in spans:
+            out += [word[at:a], clear[word[a:b]]]
+            at = b
+        _restored[model, word] = "".join([*out, word[at:]])
+    for k, words in hinted.items():
+        changed = {w: r for w in words if (r := _restored[model, w]) != w}
+        if changed:
+            low[k] = re.sub(r"\S+", lambda m, c=changed: c.get(m[0], m[0]), low[k])
+    return low
 
 
 def _features(texts: list[str]) -> tuple[Words, np.ndarray, np.ndarray]:
