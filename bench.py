@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -49,7 +51,8 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = local_session(os.environ.get("BENCH_CPUS", "8"), name="bench")
+    shared = tempfile.mkdtemp(prefix="bench-")
+    spark = local_session(os.environ.get("BENCH_CPUS", "8"), name="bench", **{"spark.checkpoint.dir": shared})
     times: dict[str, float] = {}
     start = time.perf_counter()
     corpus.resources(spark, sf_dir)
@@ -66,6 +69,7 @@ def main() -> None:
     sf = float(scale) if scale.replace(".", "", 1).isdigit() else scale
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": times, "sf": sf}))
     spark.stop()
+    shutil.rmtree(shared, ignore_errors=True)
 
 
 if __name__ == "__main__":

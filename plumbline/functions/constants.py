@@ -52,6 +52,13 @@ FOREACH_BATCH_MAXIMUM = 50
 RUNNING = ("InProgress", "Queued")
 SUCCEEDED = "Succeeded"
 
+# Fixed value: what the gate says about a pipeline that still runs; # stands for its name.
+STILL_RUNNING = (
+    "Provided pipeline name (#) still has a run in progress or queued given the query range parameters set in the"
+    " properties table."
+)
+UNKNOWN_PIPELINE = "Provided pipeline name (#) is not known."
+
 # Notebook language to file extension and export format.
 LANGUAGE_EXTENSION = {"SCALA": ".scala", "PYTHON": ".ipynb", "SQL": ".sql", "R": ".r"}
 LANGUAGE_FORMAT = {"SCALA": "SOURCE", "PYTHON": "JUPYTER", "SQL": "SOURCE", "R": "SOURCE"}

@@ -147,21 +147,27 @@ def redact(key: Column, value: Column) -> Column:
     return F.when(key.rlike(SECRET_KEYS), F.lit("<redacted>")).otherwise(value)
 
 
+_PLACEHOLDER = r"@\{linkedService\(\)\.([^{}]*)\}|@dataset\(\)\.(\w+)"
+
+
 def fill_parameters(template: Column | str, params: Column | str) -> Column:
     """Fill ``@{linkedService().Key}`` and ``@dataset().Key`` from a map; unknown keys stay, secrets are redacted.
 
-    Longer keys are filled first, so that ``@dataset().DB`` does not eat the head of ``@dataset().DBName``.
+    The text is cut at its placeholders once and each is looked up by its whole key, so a key never fills the head of
+    a longer one and a value is never searched for placeholders.
     """
-    entries = F.array_sort(
-        F.map_entries(_c(params)),
-        lambda a, b: F.length(b["key"]) - F.length(a["key"]),
-    )
-    def fill(text: Column, e: Column) -> Column:
-        value = F.coalesce(redact(e["key"], e["value"]), F.lit(""))
-        text = F.replace(text, F.concat(F.lit("@{linkedService()."), e["key"], F.lit("}")), value)
-        return F.replace(text, F.concat(F.lit("@dataset()."), e["key"]), value)
-
-    return F.aggregate(entries, _c(template), fill)
+    text, pattern = _c(template), F.lit(_PLACEHOLDER)
+
+    def filled(piece: Column, placeholder: Column) -> Column:
+        key = F.coalesce(
+            F.nullif(F.regexp_extract(placeholder, _PLACEHOLDER, 1), F.lit("")), F.regexp_extract(placeholder, _PLACEHOLDER, 2)
+        )
+        value = F.coalesce(redact(key, F.try_element_at(_c(params), key)), F.lit(""))
+        known = F.coalesce(F.array_contains(F.map_keys(_c(params)), key), F.lit(False))
+        return F.concat(piece, F.when(placeholder.isNull(), F.lit("")).when(known, value).otherwise(placeholder))
+
+    pieces = F.split(text, _PLACEHOLDER, -1)
+    return F.array_join(F.zip_with(pieces, F.regexp_extract_all(text, pattern, F.lit(0)), filled), "")
 
 
 def _lookup(value: Column | str, table: dict[str, str]) -> Column:

@@ -1,8 +1,8 @@
 """The 21 template checks: details, per-template summary and totals.
 
 Checks on a single resource are evaluated inside its row, so one scan and one JSON parse serve all of them and
-nothing is shuffled before the final count. Only checks 1, 12, 15 and 19 need the dependency graph; their branch
-reads the narrow columns ``name, type, dependsOn``. No check needs a join.
+nothing is shuffled before the final count. Only checks 1, 12, 15 and 19 need the dependency graph: details read it in
+a branch of the narrow columns ``name, type, dependsOn``, the summary in the same pass. No check needs a join.
 
 Names are compared ignoring case, dependency conditions are not. "Missing" is null or empty, a missing array has
 length 0, and an unset batch count fails both check 9 and check 10.
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.constants import CHECKS, DEFAULT_TIMEOUT, FOREACH_BATCH_MAXIMUM
 from plumbline.functions.text import clean_name, key_name
-from plumbline.operators.graph import redundant_keys, redundant_resources
+from plumbline.operators.graph import mentions, of_kinds, redundant_resources
 from plumbline.operators.templates import ACTIVITY_DDL, resources_of_type, with_properties
 
 ALL = tuple(number for number, *_ in CHECKS)
@@ -46,32 +46,34 @@ ACTIVITY_RULES = {
 _UPSTREAM = "transform(filter(a.dependsOn, d -> array_contains(d.dependencyConditions, '{}')), d -> lower(d.activity))"
 _FAILED = f"""array_compact(array_distinct(flatten(transform(
     filter(p.activities, a -> array_size(a.dependsOn) > 1), a -> {_UPSTREAM.format("Failed")}))))"""
-# Names compared pair by pair in one pipeline before sorting is used instead.
-PAIR_LIMIT = 100_000
 
 
 def _impossible(rows: DataFrame) -> DataFrame:
-    """Add the flag ``impossible`` of check 2 to rows with activities.
+    """Add the flag ``impossible`` of check 2 to rows with activities, near linear in their number.
 
-    A small pipeline looks its activities up in the failure list. In a large one, both are sorted together: an
-    activity is in the list if the entry before it is its name from there. That needs distinct activity names, which
-    valid templates have; a large pipeline with repeated names is looked up like a small one.
+    Activities are sorted by name and those of one name put together. They are sorted again with the failure list: a
+    name is in the list if the entry before it is the same name from there.
     """
     waits_for = _UPSTREAM.format("Succeeded")
-    large = f"CAST(array_size(failed) AS BIGINT) * array_size(p.activities) > {PAIR_LIMIT}"
-    distinct = "array_size(array_distinct(transform(p.activities, a -> lower(a.name)))) = array_size(p.activities)"
-    together = f"""sort_array(concat(
-        transform(failed, n -> struct(n AS name, false AS waits, CAST(array() AS ARRAY<STRING>) AS upstream)),
-        transform(p.activities,
-                  a -> struct(lower(a.name) AS name, true AS waits, {waits_for} AS upstream))))"""
-    succeeded = f"""CASE WHEN together IS NULL
-        THEN transform(filter(p.activities, a -> array_contains(failed, lower(a.name))), a -> {waits_for})
-        ELSE transform(filter(together, (x, i) -> x.waits AND NOT get(together, i - 1).waits
-                                                  AND get(together, i - 1).name = x.name), x -> x.upstream) END"""
-    rows = rows.selectExpr("*", f"{_FAILED} AS failed")
-    rows = rows.selectExpr("*", f"CASE WHEN {large} AND {distinct} THEN {together} END AS together")
+    rows = rows.selectExpr(
+        "*",
+        f"{_FAILED} AS failed",
+        f"""sort_array(transform(coalesce(p.activities, from_json('[]', 'ARRAY<{ACTIVITY_DDL}>')),
+            a -> struct(lower(a.name) AS name, {waits_for} AS upstream))) AS sorted""",
+    )
+    rows = rows.selectExpr(
+        "*",
+        """filter(IF(array_size(sorted) = 0, CAST(array() AS ARRAY<INT>), sequence(0, array_size(sorted) - 1)),
+            i -> i = 0 OR NOT get(sorted, i).name <=> get(sorted, i - 1).name) AS starts""",
+    )
+    named = """transform(starts, (s, k) -> struct(get(sorted, s).name AS name, true AS waits, flatten(transform(
+        slice(sorted, s + 1, coalesce(get(starts, k + 1), array_size(sorted)) - s), x -> x.upstream)) AS upstream))"""
+    listed = "transform(failed, n -> struct(n AS name, false AS waits, CAST(array() AS ARRAY<STRING>) AS upstream))"
+    rows = rows.selectExpr("*", f"sort_array(concat({listed}, {named})) AS together")
+    succeeded = """transform(filter(together, (x, i) -> x.waits AND NOT get(together, i - 1).waits
+                                             AND get(together, i - 1).name = x.name), x -> x.upstream)"""
     overlap = f"coalesce(arrays_overlap(failed, array_compact(flatten({succeeded}))), false) AS impossible"
-    return rows.selectExpr("*", overlap).drop("failed", "together")
+    return rows.selectExpr("*", overlap).drop("failed", "sorted", "starts", "together")
 
 
 # Check 11: the alphabetically last member has no secretName. Only the flag leaves the row, never the secret; a
@@ -114,7 +116,7 @@ def _kinds_of(checks: set[int]) -> list[str]:
 def _parsed(resources: DataFrame, checks: set[int]) -> DataFrame:
     """Resources with just the members that ``checks`` read."""
     ddl = ", ".join(member for member, users in _MEMBERS.items() if users & checks)
-    rows = with_properties(resources.select("template_id", "kind", "name", "properties"), ddl)
+    rows = with_properties(resources.select("template_id", "kind", "name", "type", "dependsOn", "properties"), ddl)
     if 2 in checks:
         rows = _impossible(rows)
     return rows
@@ -191,29 +193,43 @@ def _text_of(position: int) -> str:
     return f"element_at(array({', '.join(repr(check[position]) for check in CHECKS)}), CheckNo)"
 
 
-def _row_counts(resources: DataFrame) -> DataFrame:
-    """Findings per template as one column per check: a single partial-then-final aggregate.
-
-    Every resource takes part, so a template without findings keeps its row of zeros.
-    """
+def _tallies() -> dict[int, str]:
+    """Findings of one parsed resource, by check."""
     counts = {
-        check: f"count_if(kind = '{kind}' AND {rule})"
+        check: f"CASE WHEN kind = '{kind}' AND {rule} THEN 1 ELSE 0 END"
         for kind, rules in RESOURCE_RULES.items()
         for check, rule in rules.items()
     }
     for check, rule in ACTIVITY_RULES.items():
         inside = f"coalesce(array_size(filter(p.activities, a -> {rule})), 0)"
-        counts[check] = f"sum(CASE WHEN kind = 'pipelines' THEN {inside} ELSE 0 END)"
-    rows = _parsed(resources, set(counts))
-    return rows.groupBy("template_id").agg(*[F.expr(f"{sql} AS c{check}") for check, sql in sorted(counts.items())])
+        counts[check] = f"CASE WHEN kind = 'pipelines' THEN {inside} ELSE 0 END"
+    return dict(sorted(counts.items()))
+
 
+def _counts(resources: DataFrame) -> DataFrame:
+    """Findings per template as one column per check, from one pass over the resources.
 
-def _graph_counts(resources: DataFrame) -> DataFrame:
-    kinds, number = _graph_check(set(GRAPH_RULES.values()))
-    found = redundant_keys(resources, kinds).withColumn("CheckNo", number)
-    return found.groupBy("template_id").agg(
-        *[F.expr(f"count_if(CheckNo = {check}) AS c{check}") for check in sorted(GRAPH_RULES.values())]
+    A resource gives an entry with its own findings, whose key is null, and one for every key it mentions. Entries
+    are summed by (template, key), which tells the keys that nothing depends on, and then by template. Every resource
+    takes part, so a template without findings keeps its row of zeros.
+    """
+    tallies, kinds = _tallies(), tuple(GRAPH_RULES)
+    rows = _parsed(resources, set(tallies))
+    own = ", ".join(f"CAST({sql} AS BIGINT) AS c{check}" for check, sql in tallies.items())
+    none = ", ".join(f"CAST(NULL AS BIGINT) AS c{check}" for check in tallies)
+    rows = rows.withColumn("mentioned", mentions()).selectExpr(
+        "template_id",
+        f"""inline(concat(
+            array(struct(CAST(NULL AS STRING) AS k, CAST(NULL AS BOOLEAN) AS own, true AS row, {own})),
+            transform(mentioned, m -> struct(lower(m.key) AS k, m.own AS own, false AS row, {none}))))""",
     )
+    by_key = rows.filter(F.col("row") | of_kinds("k", kinds)).groupBy("template_id", "k").agg(
+        F.bool_and("own").alias("unused"), *[F.sum(f"c{check}").alias(f"c{check}") for check in tallies]
+    )
+    unused = [
+        F.count_if(F.col("unused") & F.startswith("k", F.lit(kind))).alias(f"c{check}") for kind, check in GRAPH_RULES.items()
+    ]
+    return by_key.groupBy("template_id").agg(*unused, *[F.sum(f"c{check}").alias(f"c{check}") for check in tallies])
 
 
 def c_summary(resources: DataFrame, as_written: bool = False, templates: DataFrame | None = None) -> DataFrame:
@@ -221,13 +237,11 @@ def c_summary(resources: DataFrame, as_written: bool = False, templates: DataFra
 
     ``templates`` adds templates that hold no resources at all.
     """
-    parts = [_row_counts(resources), _graph_counts(resources)]
+    totals = _counts(resources)
     if templates is not None:
-        parts.append(templates.select("template_id"))
-    wide = parts[0]
-    for part in parts[1:]:
-        wide = wide.unionByName(part, allowMissingColumns=True)
-    totals = wide.groupBy("template_id").agg(*[F.expr(f"coalesce(sum(c{check}), 0) AS c{check}") for check in ALL])
+        totals = totals.unionByName(templates.select("template_id"), allowMissingColumns=True)
+        totals = totals.groupBy("template_id").agg(*[F.sum(f"c{check}").alias(f"c{check}") for check in ALL])
+    totals = totals.fillna(0)
     rows = ", ".join(
         f"struct({number} AS CheckNo, c{5 if as_written and number == 14 else number} AS IssueCount,"
         f" {summary!r} AS CheckDetail, {severity!r} AS Severity)"

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from plumbline.functions.text import array_length, clean_name, clean_type
 
 
-def _entries(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
-    """Every mention of a key in one pass: ``(template_id, k, key, own)``, ``k`` being the lower-case key.
+def mentions() -> Column:
+    """Every key a resource mentions, as an array of ``(key, own)``.
 
     ``own`` marks a resource's own key; the others are targets of ``dependsOn``, and a trigger that depends on
-    something mentions itself as used. ``kinds`` keeps keys that start with one of these.
+    something mentions itself as used.
     """
     own_key = F.concat(clean_type("type"), F.lit("|"), clean_name("name"))
 
@@ -25,14 +25,23 @@ def _entries(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
     none = F.array().cast("array<struct<key:string,own:boolean>>")
     targets = F.transform("dependsOn", lambda d: mention(F.replace(clean_name(d), F.lit("/"), F.lit("|")), False))
     used_trigger = (F.col("kind") == "triggers") & (array_length("dependsOn") >= 1)
-    mentions = F.concat(
+    return F.concat(
         F.array(mention(own_key, True)),
         F.coalesce(targets, none),
         F.when(used_trigger, F.array(mention(own_key, False))).otherwise(none),
     )
-    rows = resources.select("template_id", F.inline(mentions)).withColumn("k", F.lower("key"))
+
+
+def of_kinds(k: Column | str, kinds: tuple[str, ...]) -> Column:
+    """Whether a lower-case key starts with one of ``kinds``."""
+    return reduce(or_, [F.startswith(k, F.lit(kind)) for kind in kinds])
+
+
+def _entries(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
+    """Every mention in one pass: ``(template_id, k, key, own)``, ``k`` being the lower-case key, of some kinds or all."""
+    rows = resources.select("template_id", F.inline(mentions())).withColumn("k", F.lower("key"))
     rows = rows.filter(F.col("k").isNotNull())
-    return rows.filter(reduce(or_, [F.startswith("k", F.lit(kind)) for kind in kinds])) if kinds else rows
+    return rows.filter(of_kinds("k", kinds)) if kinds else rows
 
 
 def _once(entries: DataFrame) -> DataFrame:
@@ -48,19 +57,13 @@ def g_dependants(resources: DataFrame) -> DataFrame:
     return _once(_entries(resources).filter("NOT own"))
 
 
-def redundant_keys(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
-    """Lower-case keys ``(template_id, k)`` of resources that nothing depends on.
+def redundant_resources(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
+    """Resources that nothing depends on, each key once.
 
     An anti join of resources and targets would read the resources twice and shuffle both sides. Here the mentions
     are grouped once by (template, key): a target named by very many resources is one row per task before the
     shuffle, and a large template spreads over all tasks.
     """
     grouped = _entries(resources, kinds).groupBy("template_id", "k")
-    return grouped.agg(F.bool_and("own").alias("unused")).filter("unused").select("template_id", "k")
-
-
-def redundant_resources(resources: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
-    """Resources that nothing depends on, each key once."""
-    grouped = _entries(resources, kinds).groupBy("template_id", "k")
     unused = grouped.agg(F.bool_and("own").alias("unused"), F.min("key").alias("key")).filter("unused")
     return unused.select("template_id", "key")

@@ -93,11 +93,14 @@ def i_copy_table(source, target, table: str) -> int:
     return seen.get["rows"]
 
 
-def i_copy_all_tables(spark: SparkSession, source, target, tables: DataFrame, threads: int = 8) -> DataFrame:
+def i_copy_all_tables(
+    spark: SparkSession, source, target, tables: DataFrame, threads: int = 8, strict: bool = False
+) -> DataFrame:
     """Truncate and load every table named in ``tables(TableName)``; one row per table with its outcome.
 
-    Only the names come to the driver. Each copy is an independent distributed job; a few run side by side. A
-    failed copy does not stop the others.
+    Only the names come to the driver, and a name may be listed once. Each copy is an independent distributed job; a
+    few run side by side. A failed copy does not stop the others; with ``strict`` it fails the call once all have
+    ended.
     """
 
     def copy(table: str) -> tuple[str, int | None, str]:
@@ -107,8 +110,13 @@ def i_copy_all_tables(spark: SparkSession, source, target, tables: DataFrame, th
             return table, None, f"Failed: {type(error).__name__}"
 
     names = [row.TableName for row in tables.select("TableName").collect()]
+    if len(set(names)) < len(names):
+        raise ValueError("a table is listed more than once")
     with ThreadPoolExecutor(max_workers=threads) as pool:
         results = list(pool.map(copy, names))
+    failed = [f"{table}: {status}" for table, _, status in results if status != "Succeeded"]
+    if strict and failed:
+        raise RuntimeError("; ".join(failed))
     return spark.createDataFrame(results, "TableName STRING, Rows BIGINT, Status STRING")
 
 

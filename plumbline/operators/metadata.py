@@ -5,10 +5,11 @@ Files are immutable here, so a change is a new DataFrame to be written elsewhere
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.text import fk_table, two_digits
+from plumbline.functions.text import fk_table
+from plumbline.session import fresh_path
 
 
 def rename_factory(factories: DataFrame, name: str) -> DataFrame:
@@ -20,24 +21,38 @@ def disable_stages(stages: DataFrame, above: int = 3) -> DataFrame:
     return stages.withColumn("Enabled", enabled)
 
 
-def clear_table(df: DataFrame) -> DataFrame:
-    """The table without its rows."""
-    return df.filter(F.lit(False))
-
-
 def _stage(number: Column) -> Column:
     return F.when(number <= 100, 1).when(number <= 200, 2).when(number <= 300, 3)
 
 
-def generate_workers(spark: SparkSession, factories: DataFrame, factory_name: str, n: int = 300) -> DataFrame:
-    """``n`` enabled workers of one factory, in stages of 100; from 301 on the stage is null.
+def numbered(df: DataFrame, *order: str) -> DataFrame:
+    """Add ``n``, from 1 in the order of some columns: ranges of rows are numbered side by side.
 
-    The number comes from ``range``, so ids are handed out in parallel. More than one factory of the name fails,
-    as a scalar subquery does.
+    The rows are written once, so that a repeated task can't number them otherwise. Only one count per task meets in
+    the window.
+    """
+    spark = df.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(width, *order).sortWithinPartitions(*order)
+    dealt = dealt.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    path = fresh_path(spark, "numbered")
+    dealt.write.parquet(path)
+    dealt = spark.read.schema(dealt.schema).parquet(path)
+    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    n = F.col("_before") + F.col("_at") - F.shiftleft(F.col("_part").cast("bigint"), 33) + 1
+    return dealt.join(starts, "_part").select(*df.columns, n.alias("n"))
+
+
+def generate_workers(rows: DataFrame, key: str, factories: DataFrame, factory_name: str) -> DataFrame:
+    """An enabled worker of one factory per row, numbered by ``key``, in stages of 100; from 301 on the stage is null.
+
+    More than one factory of the name fails, as a scalar subquery does.
     """
     factory = factories.filter(F.col("DataFactoryName") == factory_name).select("DataFactoryId").scalar()
-    number = F.col("id")
-    return spark.range(1, n + 1).select(
+    number = F.col("n")
+    return numbered(rows.select(key), key).select(
         number.alias("PipelineId"),
         factory.alias("DataFactoryId"),
         _stage(number).alias("StageId"),
@@ -47,38 +62,8 @@ def generate_workers(spark: SparkSession, factories: DataFrame, factory_name: st
     )
 
 
-def generate_worker_params(workers: DataFrame, seed: int = 0) -> DataFrame:
-    """A wait time of two random digits per worker; seeded, so that a retried task gives the same."""
-    return workers.select(
-        "PipelineId", F.lit("WaitTime").alias("ParameterName"), two_digits("PipelineId", seed).alias("ParameterValue")
-    )
-
-
-# Fixed value: the worker pipeline document.
-WORKER_TEMPLATE = """{
-  "name": "PipelineName",
-  "properties": {
-    "description": "Perform test worker.",
-    "activities": [
-      {"name": "JustWait", "type": "Wait", "dependsOn": [], "userProperties": [],
-       "typeProperties": {"waitTimeInSeconds": {"value": "@pipeline().parameters.WaitTime", "type": "Expression"}}}
-    ],
-    "parameters": {"WaitTime": {"type": "int", "defaultValue": 5}},
-    "folder": {"name": "_Workers"},
-    "annotations": ["_Workers"]
-  }
-}"""
-
-
-def generate_worker_documents(spark: SparkSession, n: int = 300, template: str = WORKER_TEMPLATE) -> DataFrame:
-    """One copy of the template document per worker, named ``Wait <n>``."""
-    name = F.concat(F.lit("Wait "), F.col("id").cast("string"))
-    document = F.from_json(F.lit(template), F.schema_of_json(F.lit(template))).withField("name", name)
-    return spark.range(1, n + 1).select(name.alias("PipelineName"), F.to_json(document).alias("Document"))
-
-
-def drop_fk_statements(objects: DataFrame) -> DataFrame:
-    """Statement text per foreign key; it is returned, never executed."""
+def drop_fk_statements(objects: DataFrame, schema: str = "SalesLT") -> DataFrame:
+    """Statement text per foreign key of a schema; it is returned, never executed."""
     name = F.col("name")
-    statement = F.concat(F.lit("ALTER TABLE SalesLT."), fk_table(name), F.lit(" DROP CONSTRAINT "), name)
+    statement = F.concat(F.lit(f"ALTER TABLE {schema}."), fk_table(name), F.lit(" DROP CONSTRAINT "), name)
     return objects.filter(F.lower(F.trim("type")) == "f").select(statement.alias("Statement"))

@@ -13,13 +13,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.constants import RUNNING, SUCCEEDED
-from plumbline.functions.skew import oversized, with_part
+from plumbline.functions.constants import RUNNING, STILL_RUNNING, SUCCEEDED, UNKNOWN_PIPELINE
 from plumbline.functions.text import is_blank, parse_error
 
-# Errors per row of `r_activity_errors`; more are spread over further pages.
-ERROR_PAGE = 1000
-
 
 def in_last_days(df: DataFrame, column: str, now: datetime, days: int) -> DataFrame:
     type_name = df.schema[column].dataType.simpleString()
@@ -98,37 +94,30 @@ def r_activity_error_rows(activity_runs: DataFrame, now: datetime, days: int = 7
 
 
 def r_activity_errors(runs: DataFrame, activity_runs: DataFrame, now: datetime, days: int = 7) -> DataFrame:
-    """Per run: activities seen, activities with an error code, and the errors in time order.
+    """Header of each run with its activity errors, one row per error; null error fields for a run without any.
 
-    The error list comes in pages of about ``ERROR_PAGE`` errors, one row each, so a run with very many errors
-    never becomes one huge row; nearly every run has just page 0. Counts are of the whole run on every page.
+    Nothing is gathered per run, so a run may have any number of errors. The counts are ``r_activity_error_counts``.
     """
-    activities = _with_error(activity_runs, now, days)
-    counts = activities.groupBy("run_id").agg(
-        F.count("*").alias("ResponseCount"), F.count_if("has_error").alias("ResponseErrorCount")
+    errors = r_activity_error_rows(activity_runs, now, days).withColumnRenamed("RunId", "run_id")
+    return runs.join(errors, "run_id", "left").select(
+        F.col("pipeline_name").alias("PipelineName"),
+        F.col("status").alias("PipelineStatus"),
+        F.col("run_id").alias("RunId"),
+        *_ERROR,
     )
-    errors = activities.filter("has_error").select("run_id", "ts", *[F.col(c).alias(a) for a, c in _ERROR.items()])
-    # The large runs are counted in a pass of their own, which shuffles one row per task and run.
-    sizes = errors.groupBy("run_id").agg(F.count("*").alias("n"))
-    spread = F.pmod(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(2**62))
-    errors = with_part(errors, ["run_id"], oversized(sizes, "n", ERROR_PAGE), spread, "ErrorPage")
-    pages = errors.groupBy("run_id", "ErrorPage").agg(
-        F.sort_array(F.collect_list(F.struct("ts", *_ERROR))).alias("timed")
+
+
+def r_activity_error_counts(runs: DataFrame, activity_runs: DataFrame, now: datetime, days: int = 7) -> DataFrame:
+    """Per run: activities seen, and activities with an error code."""
+    counts = _with_error(activity_runs, now, days).groupBy("run_id").agg(
+        F.count("*").alias("ResponseCount"), F.count_if("has_error").alias("ResponseErrorCount")
     )
-    no_errors = F.expr("CAST(array() AS ARRAY<STRUCT<" + ", ".join(f"{a}: STRING" for a in _ERROR) + ">>)")
-    plain = F.transform("timed", lambda t: F.struct(*[t[a].alias(a) for a in _ERROR]))
-    return (
-        runs.join(counts, "run_id", "left")
-        .join(pages, "run_id", "left")
-        .select(
-            F.col("pipeline_name").alias("PipelineName"),
-            F.col("status").alias("PipelineStatus"),
-            F.col("run_id").alias("RunId"),
-            F.coalesce("ResponseCount", F.lit(0)).alias("ResponseCount"),
-            F.coalesce("ResponseErrorCount", F.lit(0)).alias("ResponseErrorCount"),
-            F.coalesce("ErrorPage", F.lit(0)).alias("ErrorPage"),
-            F.coalesce(plain, no_errors).alias("Errors"),
-        )
+    return runs.join(counts, "run_id", "left").select(
+        F.col("pipeline_name").alias("PipelineName"),
+        F.col("status").alias("PipelineStatus"),
+        F.col("run_id").alias("RunId"),
+        F.coalesce("ResponseCount", F.lit(0)).alias("ResponseCount"),
+        F.coalesce("ResponseErrorCount", F.lit(0)).alias("ResponseErrorCount"),
     )
 
 
@@ -143,30 +132,28 @@ def r_running_gate(
     """Whether another run of the pipeline is in progress or queued, for each ``(pipeline_name, this_run_id)``.
 
     The running rows are counted per run and per name, and the run's own rows subtracted, so requests never pair
-    up with the runs. A single request may be given as a pair. ``known`` holds the valid names; requests for others
-    are dropped. ``strict`` fails the job for a blocked request.
+    up with the runs. A single request may be given as a pair. ``known`` holds the valid names; a request for another
+    name is blocked and says so (``known`` is false). ``strict`` fails the job for a blocked request.
     """
     if isinstance(requests, tuple):
         requests = runs.sparkSession.createDataFrame([requests], "pipeline_name STRING, this_run_id STRING")
-    if known is not None:
-        requests = requests.join(known.select("pipeline_name"), "pipeline_name", "left_semi")
+    if known is None:
+        requests = requests.withColumn("known", F.lit(True))
+    else:
+        valid = known.select("pipeline_name", F.lit(True).alias("known")).distinct()
+        requests = requests.join(valid, "pipeline_name", "left").withColumn("known", F.coalesce("known", F.lit(False)))
     running = in_last_days(runs, "last_updated", now, days).filter(F.col("status").isin(*RUNNING))
     per_run = running.groupBy("pipeline_name", "run_id").agg(F.count("*").alias("own"))
     per_name = per_run.groupBy("pipeline_name").agg(F.sum("own").alias("total"))
     others = F.coalesce("total", F.lit(0)) - F.coalesce("own", F.lit(0))
-    message = F.concat(
-        F.lit("Provided pipeline name ("),
-        "pipeline_name",
-        F.lit(
-            ") still has a run in progress or queued given the query range parameters set in the properties table."
-        ),
-    )
     gate = (
         requests.join(per_name, "pipeline_name", "left")
         .join(per_run.withColumnRenamed("run_id", "this_run_id"), ["pipeline_name", "this_run_id"], "left")
-        .select("pipeline_name", "this_run_id", others.alias("RunningCount"))
+        .select("pipeline_name", "this_run_id", "known", others.alias("RunningCount"))
     )
-    blocked = F.col("RunningCount") >= 1
+    blocked = (F.col("RunningCount") >= 1) | ~F.col("known")
+    template = F.when(F.col("known"), F.lit(STILL_RUNNING)).otherwise(F.lit(UNKNOWN_PIPELINE))
+    message = F.replace(template, F.lit("#"), F.col("pipeline_name"))
     text = F.when(blocked, F.raise_error(message) if strict else message)
     return gate.withColumns({"blocked": blocked, "message": text})
 
@@ -180,11 +167,10 @@ def r_last_execution(log: DataFrame) -> DataFrame:
 
 
 def r_property_lookup(properties: DataFrame, names: DataFrame | str) -> DataFrame:
-    """First value of each requested property; null when it is not set."""
-    if isinstance(names, str):
-        found = properties.filter(F.col("PropertyName") == names)
-        return found.select("PropertyName", "PropertyValue").limit(1)
+    """Least value of each requested property; null when it is not set, no row when a single name is not."""
     first = properties.groupBy("PropertyName").agg(F.min("PropertyValue").alias("PropertyValue"))
+    if isinstance(names, str):
+        return first.filter(F.col("PropertyName") == names)
     return names.join(first, "PropertyName", "left")
 
 

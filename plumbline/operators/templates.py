@@ -33,10 +33,16 @@ def kind_of(type_name: Column) -> Column:
     return F.when(lowered.isin(known), F.substring_index(lowered, "/", -1))
 
 
-def shred_resources(templates: DataFrame, strict: bool = False) -> DataFrame:
+def unparsable_documents(templates: DataFrame) -> DataFrame:
+    """Documents that are null or no JSON object, without their text."""
+    parsed = F.from_json("template", "MAP<STRING, STRING>")
+    return templates.filter(parsed.isNull()).drop("template")
+
+
+def shred_resources(templates: DataFrame, strict: bool = True) -> DataFrame:
     """One row per element of ``resources``; ``properties`` stays JSON text.
 
-    A malformed document has no rows; ``strict`` fails the job for it instead.
+    A malformed document fails the job. With ``strict`` off it has no rows; ``unparsable_documents`` names it.
     """
     mode = {"mode": "FAILFAST" if strict else "PERMISSIVE"}
     part = F.col("part") if "part" in templates.columns else F.lit(0).cast("bigint")

@@ -6,32 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import language_extension, language_format
+from plumbline.session import fresh_path
 
 
-def workspace_tree(items: DataFrame, root: str = "/", max_depth: int = 100) -> DataFrame:
+def workspace_tree(items: DataFrame, root: str = "/") -> DataFrame:
     """Notebooks and libraries reachable from ``root`` through listed directories, each once.
 
-    ``items(path, parent, object_type, language)``. Only directories go through the recursion, one level per
-    step; the items themselves join once at the end. Spark's guard on the recursion's rows is lifted because the
-    walk must be whole; a tree deeper than ``max_depth`` fails rather than being cut.
+    ``items(path, parent, object_type, language)``. The walk goes on until a level holds no directory. Each level of
+    directories is written, so the plan stays flat; the items themselves join once at the end. A directory that is
+    met again would never let the walk end and is named in an error.
     """
     spark = items.sparkSession
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    directories = items.filter(F.col("object_type") == "DIRECTORY").select("path", "parent")
-    reached = spark.sql(
-        f"""
-        WITH RECURSIVE reached(path) MAX RECURSION LEVEL {max_depth} AS (
-            SELECT CAST(:root AS STRING)
-            UNION ALL
-            SELECT d.path FROM {{directories}} d JOIN reached ON d.parent = reached.path
-        )
-        SELECT path AS parent FROM reached
-        """,
-        args={"root": root},
-        directories=directories,
-    )
+    directories = items.filter(F.col("object_type") == "DIRECTORY").select("path", "parent").distinct()
+    folder, level = fresh_path(spark, "tree"), 0
+    spark.range(1).select(F.lit(root).alias("parent")).write.parquet(f"{folder}/level=0")
+    while True:
+        reached = spark.read.parquet(folder)
+        last = reached.filter(F.col("level") == level).select("parent")
+        level += 1
+        below = directories.join(last, "parent").select(F.col("path").alias("parent"))
+        below.write.parquet(f"{folder}/level={level}")
+        found = spark.read.schema("parent STRING").parquet(f"{folder}/level={level}")
+        again = found.join(reached.select("parent"), "parent", "left_semi").first()
+        if again:
+            raise ValueError(f"directory {again['parent']} lies in a cycle")
+        if found.isEmpty():
+            break
     leaves = items.filter(F.col("object_type").isin("NOTEBOOK", "LIBRARY"))
-    return leaves.join(reached, "parent").select("path", "language", F.col("object_type").alias("type"))
+    everything = spark.read.parquet(folder).select("parent").distinct()
+    return leaves.join(everything, "parent").select("path", "language", F.col("object_type").alias("type"))
 
 
 def export_manifest(tree: DataFrame, out_root: str) -> DataFrame:

@@ -5,8 +5,9 @@ activities, customers linked services, parts datasets, sign-up events triggers,
 integration runtimes. The rows are written to JSON documents and the operators shred them again, while the SQL
 oracle computes from the base tables.
 
-Nothing here gathers an unbounded group: an order with more than ``MAX_ACTIVITIES`` line items becomes several
-pipelines, and a template larger than ``MAX_DOCUMENT_BYTES`` several documents. Documents and shredded resources
+A pipeline holds a range of line numbers of its order, and a document a range of keys of its template, with parts that
+rise with the key. Both follow from the row alone, so no size is measured and a group holds no more than the distinct
+keys of its range. Documents and shredded resources
 are written once per application and input folder to the shared scratch folder and read from there, so an
 executor lost later costs no rebuild.
 """
@@ -22,12 +23,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.constants import TYPE_PREFIX
-from plumbline.functions.skew import oversized, with_part, written
 from plumbline.operators.templates import shred_resources
 from plumbline.session import fresh_path
 
-MAX_ACTIVITIES = 1000
-MAX_DOCUMENT_BYTES = 4 * 1024 * 1024
+# Line numbers per pipeline, and keys per document.
+LINES = 1000
+KEYS = 1 << 20
 # Least number of consecutive order keys per block when the previous order of a template is looked up.
 KEY_BLOCK = 4096
 
@@ -105,42 +106,41 @@ _PIPELINE = """named_struct(
     'activities', transform(items, i -> i.activity))"""
 
 
+def _gathered(lines: DataFrame) -> DataFrame:
+    """Activities and data sets of each (order, block); rows without ``is_line`` are the orders themselves."""
+    numbered = lines.selectExpr(
+        "*",
+        """row_number() OVER (PARTITION BY o_orderkey, block ORDER BY l_linenumber NULLS LAST, l_partkey NULLS LAST,
+                                                                  l_suppkey NULLS LAST, l_extendedprice NULLS LAST) AS rn""",
+    )
+    return numbered.groupBy("o_orderkey", "block").agg(
+        F.expr(f"sort_array(collect_list(CASE WHEN is_line THEN struct(rn, {_ACTIVITY} AS activity) END)) AS items"),
+        F.expr("sort_array(collect_set(CASE WHEN l_quantity = 50 THEN l_partkey % 14 END)) AS datasets"),
+        F.expr("first(o, true) AS o"),
+    )
+
+
 def pipeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pipeline per order, or several for an order with more than ``MAX_ACTIVITIES`` line items.
+    """A pipeline for each order, and one more for every further block of ``LINES`` line numbers it has.
 
-    Orders and line items are put under each other before the numbering, so that a single shuffle on (order, block)
-    serves the numbering, the gathering of the activities and the meeting with the order.
+    Orders and the line items of block 0 are put under each other before the numbering, so that a single shuffle on
+    (order, block) serves the numbering, the gathering of the activities and the meeting with the order. Further
+    blocks, a filter on the scan, meet the order in a join.
     """
     lines = table(spark, sf_dir, "lineitem").drop("l_shipdate").withColumnRenamed("l_orderkey", "o_orderkey")
-    sizes = lines.groupBy("o_orderkey").agg(F.count("*").alias("n"))
-    big = written(oversized(sizes, "n", MAX_ACTIVITIES), "large-orders")
-    spread = F.expr("l_partkey * 31 + l_suppkey * 17 + l_linenumber")
-    lines = with_part(lines, ["o_orderkey"], big, spread, "block").selectExpr("*", "true AS is_line")
+    lines = lines.selectExpr("*", f"greatest(0L, coalesce(l_linenumber, 0) div {LINES}) AS block", "true AS is_line")
+    later = F.coalesce(F.col("l_linenumber") >= LINES, F.lit(False))
 
     orders = table(spark, sf_dir, "orders").drop("o_orderdate").withColumn("f", F.expr("o_custkey div 10"))
-    orders = _previous_key(orders, "f", "o_orderkey").join(big, "o_orderkey", "left")
+    orders = _previous_key(orders, "f", "o_orderkey")
     orders = orders.selectExpr(
-        "o_orderkey",
-        "explode(sequence(0L, coalesce(parts, 1L) - 1)) AS block",
-        "struct(f, previous, o_orderstatus, o_totalprice, o_orderpriority) AS o",
-    )
-
-    # The order's own row comes last in its block. At most about MAX_ACTIVITIES items are gathered, and 14 data sets.
-    numbered = lines.unionByName(orders, allowMissingColumns=True).selectExpr(
-        "*",
-        """row_number() OVER (PARTITION BY o_orderkey, block ORDER BY l_linenumber NULLS LAST, l_partkey NULLS LAST,
-                                                                  l_suppkey NULLS LAST, l_extendedprice NULLS LAST) AS rn""",
-    )
-    pipelines = (
-        numbered.groupBy("o_orderkey", "block")
-        .agg(
-            F.expr(f"sort_array(collect_list(CASE WHEN is_line THEN struct(rn, {_ACTIVITY} AS activity) END)) AS items"),
-            F.expr("sort_array(collect_set(CASE WHEN l_quantity = 50 THEN l_partkey % 14 END)) AS datasets"),
-            F.expr("first(o, true) AS o"),
-        )
-        .select("o_orderkey", "block", "items", "datasets", "o.*")
-        .filter("f IS NOT NULL")
+        "o_orderkey", "0L AS block", "struct(f, previous, o_orderstatus, o_totalprice, o_orderpriority) AS o"
     )
+    first = _gathered(lines.filter(~later).unionByName(orders, allowMissingColumns=True))
+    # The row number is of the line item alone: the order's own row comes last in its block.
+    missing = F.lit(None).cast(orders.schema["o"].dataType).alias("o")
+    more = _gathered(lines.filter(later).select("*", missing)).drop("o").join(orders.drop("block"), "o_orderkey")
+    pipelines = first.unionByName(more).select("o_orderkey", "block", "items", "datasets", "o.*").filter("f IS NOT NULL")
     name = "concat('pl_', o_orderkey, CASE WHEN block = 0 THEN '' ELSE concat('_', block) END)"
     depends_on = f"""concat(
         transform(datasets, d -> concat('datasets/ds_', f * 14 + d)),
@@ -221,21 +221,20 @@ def resource_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def documents(rows: DataFrame) -> DataFrame:
     """Gather resource rows into template documents ``(template_id, part, template)``.
 
-    The first document of a template holds its name and all kinds that are not too large; a large kind is spread
-    over further documents.
+    A part is a range of ``KEYS`` keys, so parts rise with the key. The first part of a template holds its name.
     """
-    sizes = rows.groupBy("template_id", "seq").agg(F.sum(F.col("bytes").cast("bigint")).alias("n"))
-    big = written(oversized(sizes, "n", MAX_DOCUMENT_BYTES), "large-templates")
-    rows = with_part(rows, ["template_id", "seq"], big, F.pmod(F.xxhash64("seq", "key", "resource"), F.lit(2**62)))
-    items = F.expr("sort_array(collect_list(struct(seq, key, resource))) AS items")
-    gathered = rows.groupBy("template_id", "part").agg(items)
+    rows = rows.withColumn("part", F.expr(f"coalesce(key, 0L) div {KEYS}"))
+    gathered = rows.groupBy("template_id", "part").agg(
+        F.expr("sort_array(collect_list(struct(seq, key, resource))) AS items")
+    )
+    first = rows.groupBy("template_id").agg(F.min("part").alias("part")).withColumn("named", F.lit(True))
     name = (
         """concat('{"parameters":{"factoryName":{"type":"string","metadata":"name",',"""
         """ '"defaultValue":"factory_', template_id, '"}},')"""
     )
     body = "array_join(transform(items, i -> i.resource), ',')"
-    template = f"""concat(CASE WHEN part = 0 THEN {name} ELSE '{{' END, '"resources":[', {body}, ']}}')"""
-    return gathered.selectExpr("template_id", "part", f"{template} AS template")
+    template = f"""concat(CASE WHEN named THEN {name} ELSE '{{' END, '"resources":[', {body}, ']}}')"""
+    return gathered.join(first, ["template_id", "part"], "left").selectExpr("template_id", "part", f"{template} AS template")
 
 
 _built: dict[tuple[str, str], str] = {}
@@ -248,9 +247,8 @@ def _corpus_path(spark: SparkSession, sf_dir: str) -> str:
         key = (spark.sparkContext.applicationId, sf_dir)
         if key not in _built:
             path = fresh_path(spark, "corpus")
-            # Written between the steps, so that sizing and gathering read the rows instead of deriving them twice.
-            rows = resource_rows(spark, sf_dir).withColumn("bytes", F.octet_length("resource"))
-            rows.write.parquet(f"{path}/rows")
+            # Written between the steps, so that naming and gathering read the rows instead of deriving them twice.
+            resource_rows(spark, sf_dir).write.parquet(f"{path}/rows")
             documents(spark.read.parquet(f"{path}/rows")).write.parquet(f"{path}/templates")
             shredded = shred_resources(spark.read.parquet(f"{path}/templates"))
             # Sorted inside each task, so a filter on kind skips pages and row groups without a folder per kind,

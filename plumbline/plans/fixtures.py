@@ -40,7 +40,9 @@ def pipeline_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def status_changes(events: DataFrame) -> DataFrame:
     """One run per user with many status changes; also for a streaming input."""
-    return events.select(F.col("user_id").cast("string").alias("run_id"), status_of().alias("status"), "ts")
+    return events.select(
+        F.col("user_id").cast("string").alias("run_id"), status_of().alias("status"), _error_of().alias("error"), "ts"
+    )
 
 
 def user_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +60,7 @@ def user_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def activity_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _error_of() -> Column:
     code = F.get_json_object("props", "$.k").cast("int")
     error = F.to_json(
         F.struct(
@@ -67,11 +69,15 @@ def activity_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             _text("event ", "event_id").alias("message"),
         )
     )
+    return F.when(F.col("event_type") == "error", error)
+
+
+def activity_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("run_id"),
         _text("act_", "event_id").alias("activity_name"),
         F.col("event_type").alias("activity_type"),
-        F.when(F.col("event_type") == "error", error).alias("error"),
+        _error_of().alias("error"),
         "ts",
     )
 
@@ -171,11 +177,11 @@ def files_to_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(F.concat(_text("f_", "page_id"), ending).alias("name"))
 
 
-# Fixed value: shape of a parameterised connection text.
+# A text with placeholders of both forms, an unknown one, and one whose head is a known key.
 CONNECTION = (
-    "Integrated Security=False;Encrypt=True;Connection Timeout=30;"
-    "Data Source=@{linkedService().ServerInstance};Initial Catalog=@{linkedService().DatabaseName};"
-    "Password=@{linkedService().SQLPassword};Table=@dataset().DSTableName;Other=@{linkedService().Unknown}"
+    "host=@{linkedService().ServerInstance} db=@{linkedService().DatabaseName} key=@{linkedService().SQLPassword}"
+    " table=@dataset().DSTableName more=@dataset().DSTableNames note=@{linkedService().Note}"
+    " other=@{linkedService().Unknown}"
 )
 
 
@@ -185,6 +191,7 @@ def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("DatabaseName"), F.col("c_mktsegment"),
         F.lit("SQLPassword"), _text("p", "c_custkey"),
         F.lit("DSTable"), F.lit("wrong"),
+        F.lit("Note"), F.concat(F.lit("@dataset().DSTable of "), F.col("c_mktsegment")),
         F.lit("DSTableName"), F.col("c_name"),
     )
     return table(spark, sf_dir, "customer").select("c_custkey", F.lit(CONNECTION).alias("template"), params.alias("params"))

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-from plumbline.functions.constants import CHECKS, RUNNING
-from plumbline.plans.corpus import MAX_ACTIVITIES
+from plumbline.functions.constants import CHECKS, RUNNING, STILL_RUNNING, UNKNOWN_PIPELINE
 from plumbline.plans.fixtures import CONNECTION
-from plumbline.plans.queries import CUSTOMER_TEXT, RUN_DATE
+from plumbline.plans.queries import CUSTOMER_TEXT, RUN_DATE, TABLE_KEYS
 
 # The template corpus as relations: pl pipelines, act activities, ls linked services, ds data sets, tr triggers,
 # df data flows, ir integration runtimes; res all resources, dep all dependency targets.
-CORPUS = f"""
-big AS (SELECT l_orderkey, (count(*) + {MAX_ACTIVITIES - 1}) // {MAX_ACTIVITIES} AS parts FROM lineitem
-        GROUP BY l_orderkey HAVING count(*) > {MAX_ACTIVITIES}),
-cut AS (SELECT l.*, CASE WHEN parts IS NULL THEN 0 ELSE (l_partkey * 31 + l_suppkey * 17 + l_linenumber) % parts END AS block
-        FROM lineitem l LEFT JOIN big USING (l_orderkey)),
+CORPUS = """
+cut AS (SELECT *, l_linenumber // 1000 AS block FROM lineitem),
 ord AS (SELECT *, o_custkey // 10 AS f,
                lag(o_orderkey) OVER (PARTITION BY o_custkey // 10 ORDER BY o_orderkey) AS previous FROM orders),
-blocks AS (SELECT o_orderkey, unnest(range(coalesce(parts, 1))) AS block FROM orders LEFT JOIN big ON l_orderkey = o_orderkey),
+blocks AS (SELECT o_orderkey, 0 AS block FROM orders UNION SELECT l_orderkey, block FROM cut WHERE block > 0),
 pl AS (SELECT ord.*, block, 'pl_' || o_orderkey || CASE WHEN block = 0 THEN '' ELSE '_' || block END AS pname,
               CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 THEN ''
                    ELSE 'Order ' || o_orderkey END AS description,
@@ -145,10 +141,6 @@ def _log(sql: str) -> str:
     return f"WITH {LOG} {sql}"
 
 
-_ERROR_JSON = (
-    """'{"ActivityName":"' || activity_name || '","ActivityType":"' || activity_type || '","ErrorCode":"' || code"""
-    """ || '","ErrorType":"UserError","ErrorMessage":"' || message || '"}'"""
-)
 _LINES = "SELECT unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS value FROM documents"
 _WORDS = "SELECT word, count(*) AS count FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY word"
 _ORDER_LINES = f"""SELECT 'SO' || o_orderkey AS "SalesOrderNumber", count(*) AS "DetailLineCount" FROM orders
@@ -166,17 +158,7 @@ tree AS (SELECT parent || '/' || c_name AS path,
 """
 _FACTORIES = """SELECT DISTINCT c_custkey // 10 AS "DataFactoryId", {name} AS "DataFactoryName" FROM customer"""
 _STAGE_ROWS = """SELECT o_orderkey, CAST(o_orderkey % 7 + 1 AS INTEGER) AS "StageId", {enabled} AS "Enabled" FROM orders"""
-_NUMBERS = "(SELECT row_number() OVER () AS n FROM orders)"
-# The worker document with its members in name order.
-_WORKER = (
-    '{"name":"Wait #","properties":{"activities":[{"dependsOn":[],"name":"JustWait","type":"Wait",'
-    '"typeProperties":{"waitTimeInSeconds":{"type":"Expression","value":"@pipeline().parameters.WaitTime"}},'
-    '"userProperties":[]}],"annotations":["_Workers"],"description":"Perform test worker.",'
-    '"folder":{"name":"_Workers"},"parameters":{"WaitTime":{"defaultValue":5,"type":"int"}}}}'
-)
-_ALL_TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-).split()
+_NUMBERS = "(SELECT row_number() OVER (ORDER BY o_orderkey) AS n FROM orders)"
 _OBJECT_NAME = "CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE 'FK_' || c_name || '_x' END"
 
 
@@ -285,20 +267,23 @@ def _oracles() -> dict[str, str]:
            'UserError' AS "ErrorType", message AS "ErrorMessage" FROM errs WHERE code <> ''"""
     )
     o["r_activity_errors"] = _log(
-        f"""SELECT pipeline_name AS "PipelineName", status AS "PipelineStatus", u.run_id AS "RunId", a.n AS "ResponseCount",
-            a.bad AS "ResponseErrorCount", coalesce(p.page, 0) AS "ErrorPage", coalesce(p.list, '[]') AS "Errors"
-            FROM user_run u
-            JOIN (SELECT acts.run_id, count(*) AS n, count(*) FILTER (WHERE k > 0) AS bad FROM acts GROUP BY run_id) a USING (run_id)
-            LEFT JOIN (SELECT run_id, page, '[' || string_agg(j, ',' ORDER BY ts) || ']' AS list FROM (
-                         SELECT run_id, ts, {_ERROR_JSON} AS j,
-                                CASE WHEN n > 1000 THEN epoch_us(ts) % ((n + 999) // 1000) ELSE 0 END AS page
-                         FROM (SELECT *, count(*) OVER (PARTITION BY run_id) AS n FROM errs WHERE code <> ''))
-                       GROUP BY run_id, page) p USING (run_id)"""
+        """SELECT pipeline_name AS "PipelineName", status AS "PipelineStatus", u.run_id AS "RunId",
+           activity_name AS "ActivityName", activity_type AS "ActivityType", code AS "ErrorCode",
+           CASE WHEN code IS NOT NULL THEN 'UserError' END AS "ErrorType", message AS "ErrorMessage"
+           FROM user_run u LEFT JOIN (SELECT * FROM errs WHERE code <> '') e USING (run_id)"""
+    )
+    o["r_activity_error_counts"] = _log(
+        """SELECT pipeline_name AS "PipelineName", status AS "PipelineStatus", u.run_id AS "RunId", count(*) AS "ResponseCount",
+           count(*) FILTER (WHERE k > 0) AS "ResponseErrorCount"
+           FROM user_run u JOIN acts USING (run_id) GROUP BY ALL"""
     )
     o["r_running_gate"] = _log(
-        f"""SELECT l.pipeline_name, l.run_id AS this_run_id, coalesce(r.n, 0) AS "RunningCount", coalesce(r.n, 0) >= 1 AS blocked,
-            CASE WHEN r.n >= 1 THEN 'Provided pipeline name (' || l.pipeline_name || ') still has a run in progress or queued given the query range parameters set in the properties table.' END AS message
-            FROM (SELECT * FROM named JOIN latest USING (pipeline_name)) l
+        f"""SELECT l.pipeline_name, l.run_id AS this_run_id, l.known, coalesce(r.n, 0) AS "RunningCount",
+            coalesce(r.n, 0) >= 1 OR NOT l.known AS blocked,
+            CASE WHEN NOT l.known THEN replace('{UNKNOWN_PIPELINE}', '#', l.pipeline_name)
+                 WHEN r.n >= 1 THEN replace('{STILL_RUNNING}', '#', l.pipeline_name) END AS message
+            FROM (SELECT named.pipeline_name, coalesce(latest.run_id, '') AS run_id, latest.run_id IS NOT NULL AS known
+                  FROM named LEFT JOIN latest USING (pipeline_name)) l
             LEFT JOIN (SELECT runs.pipeline_name, count(*) AS n FROM runs JOIN latest USING (pipeline_name)
                        WHERE runs.status IN ({_RUNNING}) AND runs.run_id <> latest.run_id GROUP BY runs.pipeline_name) r
             USING (pipeline_name)"""
@@ -333,10 +318,10 @@ def _oracles() -> dict[str, str]:
     o["land_partitioned"] = """SELECT event_id, ts, CAST(year(ts) AS INTEGER) AS "Year", CAST(month(ts) AS INTEGER) AS "Month",
         CAST(day(ts) AS INTEGER) AS "Day", CAST(strftime(ts, '%I') AS INTEGER) AS "Hour" FROM events"""
     o["temp_view_sql"] = (
-        "SELECT lang, count(*) AS documents, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents WHERE n_chars >= 0 GROUP BY lang"
+        "SELECT lang, count(*) AS documents, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents WHERE n_chars >= 500 GROUP BY lang"
     )
     o["table_list"] = """SELECT n_name || '.' || c_name AS "TableName" FROM customer JOIN nation ON n_nationkey = c_nationkey
-        WHERE c_custkey % 2 = 0"""
+        WHERE c_custkey % 2 = 0 AND n_name = 'NATION_2'"""
 
     o["append_log_entries"] = """SELECT strftime(ts, '%d/%m/%Y %H:%M:%S') || '|' || CASE WHEN event_type = 'error' THEN 'start ' ELSE 'end ' END
         || event_id AS value FROM events"""
@@ -352,13 +337,15 @@ def _oracles() -> dict[str, str]:
     o["i_csv_to_table"] = o["st_landing_ingest"] = _CUSTOMER
     o["i_copy_table"] = "SELECT * FROM lineitem"
     o["i_copy_all_tables"] = " UNION ALL ".join(
-        f"""SELECT '{t}' AS "TableName", count(*) AS "Rows", 'Succeeded' AS "Status" FROM {t}""" for t in _ALL_TABLES
+        f"""SELECT '{t}' AS "TableName", count(*) AS "Rows", 'Succeeded' AS "Status", CAST(sum({k}) AS BIGINT) AS "KeySum" FROM {t}"""
+        for t, k in TABLE_KEYS.items()
     )
     filled = (
         CONNECTION.replace("@{linkedService().ServerInstance}", "' || 'srv' || c_nationkey || '")
         .replace("@{linkedService().DatabaseName}", "' || c_mktsegment || '")
         .replace("@{linkedService().SQLPassword}", "<redacted>")
-        .replace("@dataset().DSTableName", "' || c_name || '")
+        .replace("@dataset().DSTableName ", "' || c_name || ' ")
+        .replace("@{linkedService().Note}", "@dataset().DSTable of ' || c_mktsegment || '")
     )
     o["i_render_connection"] = f"SELECT c_custkey, '{filled}' AS rendered FROM customer"
     o["i_pick_linked_service"] = _corpus(
@@ -372,13 +359,9 @@ def _oracles() -> dict[str, str]:
     # Metadata tables
     o["rename_factory"] = _FACTORIES.format(name="'factory_renamed'")
     o["disable_stages"] = _STAGE_ROWS.format(enabled="o_orderkey % 7 + 1 <= 3")
-    o["clear_table"] = _STAGE_ROWS.format(enabled="true") + " WHERE false"
     o["generate_workers"] = f"""SELECT n AS "PipelineId", CAST(7 AS BIGINT) AS "DataFactoryId",
         CASE WHEN n <= 100 THEN 1 WHEN n <= 200 THEN 2 WHEN n <= 300 THEN 3 END AS "StageId", 'Wait ' || n AS "PipelineName",
         CAST(NULL AS INTEGER) AS "LogicalPredecessorId", true AS "Enabled" FROM {_NUMBERS}"""
-    o["generate_worker_params"] = f"""SELECT n AS "PipelineId", 'WaitTime' AS "ParameterName", '99' AS "ParameterValue" FROM {_NUMBERS}"""
-    o["generate_worker_documents"] = f"""SELECT 'Wait ' || n AS "PipelineName", replace('{_WORKER}', '#', CAST(n AS VARCHAR)) AS "Document"
-        FROM {_NUMBERS}"""
     o["drop_fk_statements"] = f"""SELECT 'ALTER TABLE SalesLT.' || c_name || ' DROP CONSTRAINT FK_' || c_name || '_x' AS "Statement"
         FROM customer WHERE c_custkey % 2 = 1"""
 
@@ -390,7 +373,12 @@ def _oracles() -> dict[str, str]:
         {target} AS target FROM (
             SELECT unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS start, value
             FROM events) GROUP BY start"""
-    o["st_run_status"] = o["st_run_status_batch"] = _log(f"SELECT run_id, status, last_updated FROM user_run WHERE status NOT IN ({_RUNNING})")
+    o["st_run_status"] = o["st_run_status_batch"] = _log(
+        f"""SELECT run_id, status, last_updated, CASE WHEN status <> 'Succeeded' THEN
+              '{{"errorCode":"' || e.code || '","failureType":"UserError","message":"' || e.message || '"}}' END AS "ErrorDetails"
+            FROM user_run LEFT JOIN (SELECT run_id, arg_min(code, ts) AS code, arg_min(message, ts) AS message
+                                     FROM errs GROUP BY run_id) e USING (run_id) WHERE status NOT IN ({_RUNNING})"""
+    )
 
     # Scalar functions
     hour = "o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER))"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,15 +27,22 @@ from plumbline.session import fresh_path
 from plumbline.sources import catalog, files
 from plumbline.streaming.autoscale import st_autoscale_target
 from plumbline.streaming.landing import st_landing_ingest
-from plumbline.streaming.run_status import st_run_status
+from plumbline.streaming.run_status import run_updates, st_run_status
 from plumbline.streaming.sink import latest_updates, write_updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-RUN_DATE = "1996-09-17"
+RUN_DATE = "1995-06-19"
 ARRIVAL = datetime(2020, 10, 20, 15, 30)
 CUSTOMER_TEXT = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
 
+# A key of each table, summed to compare contents.
+TABLE_KEYS = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
+    "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id", "embeddings": "vec_id",
+    "pages": "page_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id",
+}
+
 REGISTRY: dict[str, Query] = {}
 
 
@@ -60,15 +68,15 @@ def _on_resources(operator: Callable[[DataFrame], DataFrame], name: str | None =
 
 @register
 def read_templates(spark, sf):
-    """Documents written one per file, read back whole: factory name and number of resources of each."""
+    """Documents written as lines, many to a file, and read back: factory name and number of resources of each."""
     path = fresh_path(spark, "documents")
-    corpus.templates(spark, sf).write.partitionBy("template_id", "part").text(path)
-    read = files.read_templates(spark, path)
+    corpus.templates(spark, sf).select("template_id", "template").write.json(path)
+    read = files.read_template_lines(spark, path)
     name = F.get_json_object("template", "$.parameters.factoryName.defaultValue")
     resources = F.from_json("template", T.RESOURCES_DDL)["resources"]
     return (
         read.select(
-            F.regexp_extract("template_id", "template_id=([0-9]+)", 1).cast("bigint").alias("template_id"),
+            F.col("template_id").cast("bigint").alias("template_id"),
             name.alias("name"),
             F.size(resources).cast("bigint").alias("n"),
         )
@@ -192,8 +200,12 @@ def r_terminal_runs(spark, sf):
 
 @register
 def r_activity_errors(spark, sf):
-    errors = R.r_activity_errors(fx.user_runs(spark, sf), fx.activity_runs(spark, sf), fx.NOW, fx.DAYS)
-    return errors.withColumn("Errors", F.to_json("Errors"))
+    return R.r_activity_errors(fx.user_runs(spark, sf), fx.activity_runs(spark, sf), fx.NOW, fx.DAYS)
+
+
+@register
+def r_activity_error_counts(spark, sf):
+    return R.r_activity_error_counts(fx.user_runs(spark, sf), fx.activity_runs(spark, sf), fx.NOW, fx.DAYS)
 
 
 @register
@@ -342,8 +354,9 @@ def land_partitioned(spark, sf):
 
 @register
 def temp_view_sql(spark, sf):
-    sql = "SELECT lang, count(*) AS documents, sum(n_chars) AS chars FROM documents_view WHERE n_chars >= :low GROUP BY lang"
-    return catalog.temp_view_sql(table(spark, sf, "documents"), "documents_view", sql, low=0)
+    view = f"documents_{uuid.uuid4().hex}"
+    sql = f"SELECT lang, count(*) AS documents, sum(n_chars) AS chars FROM {view} WHERE n_chars >= :low GROUP BY lang"
+    return catalog.temp_view_sql(table(spark, sf, "documents"), view, sql, low=500)
 
 
 @register
@@ -359,7 +372,7 @@ def append_log_entries(spark, sf):
 
 @register
 def table_list(spark, sf):
-    return catalog.table_list(fx.objects(spark, sf), fx.schemas(spark, sf), F.lit(True))
+    return catalog.table_list(fx.objects(spark, sf), fx.schemas(spark, sf), "nation_2")
 
 
 # Ingestion --------------------------------------------------------------------------------------------------
@@ -404,8 +417,14 @@ def i_copy_all_tables(spark, sf):
     names = files.list_files(spark, sf, "*.parquet", recursive=False).select(
         F.regexp_replace("name", "[.]parquet$", "").alias("TableName")
     )
-    source = files.ParquetTables(spark, sf, ".parquet")
-    return I.i_copy_all_tables(spark, source, files.ParquetTables(spark, fresh_path(spark, "copies")), names)
+    """Outcome of each copy, with the sum of a key of what arrived."""
+    source, target = files.ParquetTables(spark, sf, ".parquet"), files.ParquetTables(spark, fresh_path(spark, "copies"))
+    outcomes = I.i_copy_all_tables(spark, source, target, names, strict=True)
+    sums = [
+        target.read(name).agg(F.lit(name).alias("TableName"), F.sum(key).cast("bigint").alias("KeySum"))
+        for name, key in TABLE_KEYS.items()
+    ]
+    return outcomes.join(reduce(DataFrame.unionByName, sums), "TableName")
 
 
 @register
@@ -439,30 +458,9 @@ def disable_stages(spark, sf):
     return M.disable_stages(fx.stages(spark, sf), 3)
 
 
-@register
-def clear_table(spark, sf):
-    return M.clear_table(fx.stages(spark, sf))
-
-
-def _workers(spark, sf) -> DataFrame:
-    return M.generate_workers(spark, fx.factories(spark, sf), "factory_7", table(spark, sf, "orders").count())
-
-
 @register
 def generate_workers(spark, sf):
-    return _workers(spark, sf)
-
-
-@register
-def generate_worker_params(spark, sf):
-    """Random digits have no SQL equivalent, so their shape is compared."""
-    params = M.generate_worker_params(_workers(spark, sf), seed=42)
-    return params.withColumn("ParameterValue", F.regexp_replace("ParameterValue", "[0-9]", "9"))
-
-
-@register
-def generate_worker_documents(spark, sf):
-    return M.generate_worker_documents(spark, table(spark, sf, "orders").count())
+    return M.generate_workers(table(spark, sf, "orders"), "o_orderkey", fx.factories(spark, sf), "factory_7")
 
 
 @register
@@ -472,22 +470,30 @@ def drop_fk_statements(spark, sf):
 
 @register
 def select_star(spark, sf):
-    fx.execution_log(spark, sf).createOrReplaceTempView("execution_log_view")
-    return catalog.select_star(spark, "execution_log_view")
+    view = f"execution_log_{uuid.uuid4().hex}"
+    fx.execution_log(spark, sf).createOrReplaceTempView(view)
+    return catalog.select_star(spark, view)
 
 
 # Streaming --------------------------------------------------------------------------------------------------
 
 
-def _event_stream(spark, sf) -> DataFrame:
-    schema = table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+def _event_stream(spark, sf, files_: int = 3) -> DataFrame:
+    """Events that arrive in several files in the order of time, one file per micro-batch."""
+    path, events = fresh_path(spark, "arrivals"), table(spark, sf, "events")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    bounds = [low + (high - low) * k / files_ for k in range(1, files_)]
+    for k in range(files_):
+        part = events if k == 0 else events.filter(F.col("ts") >= F.lit(bounds[k - 1]))
+        part = part if k == files_ - 1 else part.filter(F.col("ts") < F.lit(bounds[k]))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def _streamed(spark, stream: DataFrame, keys: list[str]) -> DataFrame:
+def _streamed(spark, stream: DataFrame, fold=None) -> DataFrame:
     path = fresh_path(spark, "stream")
-    write_updates(stream, f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    return latest_updates(spark.read.parquet(f"{path}/out"), keys)
+    write_updates(stream, f"{path}/out", f"{path}/checkpoint", fold=fold).awaitTermination()
+    return spark.read.parquet(f"{path}/out")
 
 
 def _plain_times(df: DataFrame) -> DataFrame:
@@ -502,7 +508,7 @@ def _samples(events: DataFrame) -> DataFrame:
 @register_as("st_autoscale_target")
 def autoscale_stream(spark, sf):
     stream = st_autoscale_target(_samples(_event_stream(spark, sf)), 300, "1 hour")
-    out = _plain_times(_streamed(spark, stream, ["window_start"]))
+    out = _plain_times(latest_updates(_streamed(spark, stream), ["window_start"]))
     return out.withColumn("target", F.round("target", 6))
 
 
@@ -514,13 +520,12 @@ def autoscale_batch(spark, sf):
 
 @register_as("st_run_status_batch")
 def run_status_batch(spark, sf):
-    return _plain_times(st_run_status(fx.status_changes(table(spark, sf, "events"))))
+    return _plain_times(st_run_status(run_updates(fx.status_changes(table(spark, sf, "events")))))
 
 
 @register_as("st_run_status")
 def run_status_stream(spark, sf):
-    stream = st_run_status(fx.status_changes(_event_stream(spark, sf)))
-    return _plain_times(_streamed(spark, stream, ["run_id"]))
+    return _plain_times(st_run_status(_streamed(spark, fx.status_changes(_event_stream(spark, sf)), run_updates)))
 
 
 @register_as("st_landing_ingest")
@@ -587,8 +592,9 @@ def sql_functions(spark, sf):
         SELECT o_orderkey,
                clean_name(concat("[concat(variables('factoryId'), '/pipelines/pl_", o_orderkey, "')]")) AS name,
                clean_type(concat('a/b/', o_orderpriority)) AS type,
-               CAST(run_date(nullif(date_format(o_orderdate, 'yyyy-MM-dd'), '1996-09-17')) AS TIMESTAMP_NTZ) AS run_date
+               CAST(run_date(nullif(date_format(o_orderdate, 'yyyy-MM-dd'), :run_date)) AS TIMESTAMP_NTZ) AS run_date
         FROM {orders}
         """,
+        args={"run_date": RUN_DATE},
         orders=table(spark, sf, "orders"),
     )

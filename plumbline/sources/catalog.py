@@ -11,15 +11,21 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def publish_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Drop and recreate a table; returns it. ``path`` keeps its files in a folder of the caller's choice."""
-    spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
+def publish_table(df: DataFrame, name: str, path: str | None = None, schema: str | None = None) -> DataFrame:
+    """Drop and recreate a table; returns it. ``path`` keeps its files in a folder of the caller's choice.
+
+    The table stands in the current schema, or in ``schema``, which is made if it is missing.
+    """
+    spark, full = df.sparkSession, quoted(name)
+    if schema:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(schema)}")
+        full = f"{quoted(schema)}.{full}"
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
     writer = df.write.mode("overwrite")
     if path:
         writer = writer.option("path", path)
-    writer.saveAsTable(quoted(name))
-    return spark.table(quoted(name))
+    writer.saveAsTable(full)
+    return spark.table(full)
 
 
 def publish_folder(spark: SparkSession, name: str, path: str) -> DataFrame:

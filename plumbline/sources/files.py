@@ -19,6 +19,11 @@ def read_templates(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("template_id"), F.col("value").alias("template"))
 
 
+def read_template_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row per line ``{"template_id": ..., "template": "<document>"}``: many documents to a file, splittable."""
+    return spark.read.schema("template_id STRING, template STRING").option("mode", "FAILFAST").json(path)
+
+
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 

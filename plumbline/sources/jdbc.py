@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from datetime import date
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.functions.constants import BULK_BATCH
@@ -15,7 +19,7 @@ def read_jdbc_table(
     column: str | None = None,
     partitions: int = 1,
 ) -> DataFrame:
-    """A database table; with a numeric ``column`` it is read by ``partitions`` parallel range queries.
+    """A database table; with a column of numbers, dates or times it is read by ``partitions`` parallel range queries.
 
     The database itself is asked for the range first (one row), so that no part is left with most of the table by a
     stale bound. Spark pushes filters and columns into the queries.
@@ -27,12 +31,13 @@ def read_jdbc_table(
     low, high = spark.read.jdbc(url, query, properties=properties).first()
     if low is None or low == high:
         return spark.read.jdbc(url, table, properties=properties)
+    dated = isinstance(low, date)  # a timestamp is one too
     return spark.read.jdbc(
         url,
         table,
         column=column,
-        lowerBound=int(low),
-        upperBound=int(high) + 1,
+        lowerBound=str(low) if dated else math.floor(Decimal(low)),
+        upperBound=str(high) if dated else math.floor(Decimal(high)) + 1,
         numPartitions=partitions,
         properties=properties,
     )
@@ -47,7 +52,10 @@ def write_jdbc_overwrite(
 
 
 class JdbcTables:
-    """A database, usable as source or target of a copy."""
+    """A database, usable as source or target of a copy.
+
+    A table is read in parts along its split column; one without any is refused, unless it is listed in ``small``.
+    """
 
     def __init__(
         self,
@@ -55,12 +63,15 @@ class JdbcTables:
         url: str,
         properties: dict[str, str] | None = None,
         split_columns: dict[str, str] | None = None,
-        partitions: int = 1,
+        partitions: int = 16,
+        small: tuple[str, ...] = (),
     ):
         self.spark, self.url, self.properties = spark, url, properties or {}
-        self.split_columns, self.partitions = split_columns or {}, partitions
+        self.split_columns, self.partitions, self.small = split_columns or {}, partitions, small
 
     def read(self, table: str) -> DataFrame:
+        if table not in self.split_columns and table not in self.small:
+            raise ValueError(f"{table} needs a split column")
         return read_jdbc_table(
             self.spark, self.url, table, self.properties, self.split_columns.get(table), self.partitions
         )

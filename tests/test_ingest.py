@@ -1,10 +1,10 @@
 """Readers, writers, ingestion, metadata tables and the workspace tree."""
 
-import json
 from datetime import datetime
 
 import pytest
-from conftest import resource, rows
+from conftest import SF, resource, rows
+from pyspark.sql import functions as F
 
 from plumbline.operators import ingest as I
 from plumbline.operators import metadata as M
@@ -191,25 +191,17 @@ def test_pick_linked_service_takes_the_last_and_hides_keys(corpus_of):
 
 def test_workers(spark):
     factories = spark.createDataFrame([(4, "other"), (9, "mine")], "DataFactoryId INT, DataFactoryName STRING")
-    workers = M.generate_workers(spark, factories, "mine", 301)
+    keys = spark.range(301).select((F.col("id") * 7 + 5).alias("key")).repartition(5)
+    workers = M.generate_workers(keys, "key", factories, "mine")
     per_stage = rows(workers.groupBy("StageId", "DataFactoryId", "Enabled").count())
     assert per_stage == [(1, 9, True, 100), (2, 9, True, 100), (3, 9, True, 100), (None, 9, True, 1)]
     assert workers.filter("PipelineId = 301").first().PipelineName == "Wait 301"
-    params = M.generate_worker_params(workers, seed=1)
-    assert params.filter("ParameterName = 'WaitTime' AND ParameterValue RLIKE '^[0-9]{2}$'").count() == 301
-
-
-def test_worker_documents_keep_the_template(spark):
-    documents = M.generate_worker_documents(spark, 3).collect()
-    want = json.loads(M.WORKER_TEMPLATE)
-    for n, row in enumerate(sorted(documents), start=1):
-        assert json.loads(row.Document) == {**want, "name": f"Wait {n}"}
+    assert sorted(tuple(r) for r in M.numbered(keys, "key").collect()) == [(7 * i + 5, i + 1) for i in range(301)]
 
 
 def test_table_changes(spark):
     stages = spark.createDataFrame([(3, True), (4, True), (5, False)], "StageId INT, Enabled BOOLEAN")
     assert rows(M.disable_stages(stages)) == [(3, True), (4, False), (5, False)]
-    assert M.clear_table(stages).count() == 0 and M.clear_table(stages).schema == stages.schema
 
 
 def test_workspace_tree_needs_listed_directories(spark):
@@ -233,13 +225,36 @@ def test_workspace_tree_needs_listed_directories(spark):
     ]
 
 
-def test_deep_tree_is_walked_whole_or_fails(spark):
+def test_deep_tree_is_walked_whole(spark):
     data = [(f"/{'/'.join(['d'] * (i + 1))}", "/" + "/".join(["d"] * i), "DIRECTORY", None) for i in range(30)]
     data.append((data[-1][0] + "/n", data[-1][0], "NOTEBOOK", "R"))
     items = spark.createDataFrame(data, "path STRING, parent STRING, object_type STRING, language STRING")
+    before = spark.conf.get("spark.sql.cteRecursionRowLimit")
     assert W.workspace_tree(items).count() == 1
-    with pytest.raises(Exception, match="RECURSION_LEVEL_LIMIT_EXCEEDED"):
-        W.workspace_tree(items, max_depth=10).count()
+    assert spark.conf.get("spark.sql.cteRecursionRowLimit") == before
+
+
+def test_cycle_is_an_error(spark):
+    data = [("/a", "/", "DIRECTORY", None), ("/b", "/a", "DIRECTORY", None), ("/a", "/b", "DIRECTORY", None)]
+    items = spark.createDataFrame(data, "path STRING, parent STRING, object_type STRING, language STRING")
+    with pytest.raises(ValueError, match="/a lies in a cycle"):
+        W.workspace_tree(items)
+
+
+def test_copies_can_be_strict(spark, tmp_path):
+    source, target = files.ParquetTables(spark, SF, ".parquet"), files.ParquetTables(spark, str(tmp_path / "copies"))
+    names = spark.createDataFrame([("region",), ("missing",)], "TableName STRING")
+    with pytest.raises(RuntimeError, match="missing: Failed"):
+        I.i_copy_all_tables(spark, source, target, names, strict=True)
+    assert target.read("region").count() == 5
+    with pytest.raises(ValueError, match="more than once"):
+        I.i_copy_all_tables(spark, source, target, names.union(names))
+
+
+def test_table_in_a_schema(spark, tmp_path):
+    published = catalog.publish_table(spark.range(3), "t", str(tmp_path / "t"), schema="made_here")
+    assert published.count() == 3 and spark.table("made_here.t").count() == 3
+    spark.sql("DROP SCHEMA made_here CASCADE")
 
 
 def test_scratch_folder_follows_the_session(spark):

@@ -76,35 +76,35 @@ def test_terminal_runs_carry_their_first_error(runs, activity_runs):
 
 
 def test_activity_errors(runs, activity_runs):
-    out = R.r_activity_errors(runs.filter("run_id IN ('r1', 'r5', 'r6')"), activity_runs, NOW).collect()
-    by_run = {r.RunId: r for r in out}
-    assert len(out) == 3
-    assert (by_run["r5"].ResponseCount, by_run["r5"].ResponseErrorCount) == (5, 2)
-    assert [tuple(e) for e in by_run["r5"].Errors] == [
-        ("second", "Copy", "7", "UserError", 'say "no"'),
-        ("third", "Lookup", "8", "UserError", "m"),
+    wanted = runs.filter("run_id IN ('r1', 'r5', 'r6')")
+    out = R.r_activity_errors(wanted, activity_runs, NOW).collect()
+    assert sorted((r.RunId, *r[3:]) for r in out if r.ErrorCode) == [
+        ("r5", "second", "Copy", "7", "UserError", 'say "no"'),
+        ("r5", "third", "Lookup", "8", "UserError", "m"),
     ]
-    assert (by_run["r1"].ResponseCount, by_run["r1"].Errors) == (1, [])
-    assert (by_run["r6"].ResponseCount, by_run["r6"].Errors) == (0, [])
+    assert sorted(r.RunId for r in out if not r.ErrorCode) == ["r1", "r6"]
+    counts = {r.RunId: (r.ResponseCount, r.ResponseErrorCount) for r in R.r_activity_error_counts(wanted, activity_runs, NOW).collect()}
+    assert counts == {"r1": (1, 0), "r5": (5, 2), "r6": (0, 0)}
     assert R.r_activity_error_rows(activity_runs, NOW).count() == 2
 
 
-def test_activity_errors_page_a_run_with_many(spark, runs, activity_runs, monkeypatch):
-    monkeypatch.setattr(R, "ERROR_PAGE", 10)
+@pytest.mark.parametrize("second", [0, 1])
+def test_activity_errors_of_a_run_with_many(spark, runs, second):
     from pyspark.sql import functions as F
 
-    many = spark.range(95).select(
+    many = spark.range(5000).select(
         F.lit("r5").alias("run_id"),
         F.concat(F.lit("act"), F.col("id").cast("string")).alias("activity_name"),
         F.lit("Copy").alias("activity_type"),
         F.lit('{"errorCode": "1"}').alias("error"),
-        (F.lit(ago(days=1)) + F.make_dt_interval(secs=F.col("id") / 1000000)).alias("ts"),
+        (F.lit(ago(days=1)) + F.make_dt_interval(secs=F.col("id") * second)).alias("ts"),
     )
-    out = R.r_activity_errors(runs.filter("run_id = 'r5'"), many, NOW).collect()
-    assert sorted(r.ErrorPage for r in out) == list(range(10))
-    assert {(r.ResponseCount, r.ResponseErrorCount) for r in out} == {(95, 95)}
-    assert sorted(e.ActivityName for r in out for e in r.Errors) == sorted(f"act{i}" for i in range(95))
-    assert max(len(r.Errors) for r in out) == 10
+    out = R.r_activity_errors(runs.filter("run_id = 'r5'"), many, NOW)
+    assert sorted(r.ActivityName for r in out.collect()) == sorted(f"act{i}" for i in range(5000))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+    counts = R.r_activity_error_counts(runs.filter("run_id = 'r5'"), many, NOW).first()
+    assert (counts.ResponseCount, counts.ResponseErrorCount) == (5000, 5000)
 
 
 def test_running_gate(spark, runs):
@@ -113,7 +113,12 @@ def test_running_gate(spark, runs):
     )
     known = runs.select("pipeline_name").distinct()
     out = R.r_running_gate(runs, requests, NOW, 7, known=known).collect()
-    assert {(r.pipeline_name, r.this_run_id): r.RunningCount for r in out} == {("a", "r2"): 1, ("a", "new"): 2, ("c", "r5"): 0}
+    assert {(r.pipeline_name, r.this_run_id): r.RunningCount for r in out} == {
+        ("a", "r2"): 1, ("a", "new"): 2, ("c", "r5"): 0, ("unknown", "x"): 0
+    }
+    assert [(r.known, r.blocked, r.message) for r in out if r.pipeline_name == "unknown"] == [
+        (False, True, "Provided pipeline name (unknown) is not known.")
+    ]
     message = next(r.message for r in out if r.this_run_id == "new")
     assert message.startswith("Provided pipeline name (a) still has a run in progress or queued")
     assert [r.message for r in out if not r.blocked] == [None]
@@ -128,6 +133,12 @@ def test_strict_gate_fails_the_job(spark, runs):
     assert rows(R.r_running_gate(runs, ("a", "r2"), NOW, 7).select("RunningCount", "blocked")) == [(1, True)]
 
 
+def test_strict_gate_fails_for_an_unknown_name(spark, runs):
+    known = runs.select("pipeline_name")
+    with pytest.raises(Exception, match="is not known"):
+        R.r_running_gate(runs, ("unknown", "x"), NOW, 7, known=known, strict=True).collect()
+
+
 def test_last_execution(spark):
     data = [(1, 1, 1, 5), (2, 2, 2, 1), (3, 2, 1, 9), (4, 2, 1, 3)]
     log = spark.createDataFrame(data, "LogId INT, LocalExecutionId INT, StageId INT, PipelineId INT").selectExpr(
@@ -138,7 +149,7 @@ def test_last_execution(spark):
 
 
 def test_property_lookup(spark):
-    properties = spark.createDataFrame([("a", "1"), ("b", "2")], "PropertyName STRING, PropertyValue STRING")
+    properties = spark.createDataFrame([("a", "1"), ("b", "3"), ("b", "2")], "PropertyName STRING, PropertyValue STRING")
     assert rows(R.r_property_lookup(properties, "b")) == [("b", "2")]
     wanted = spark.createDataFrame([("a",), ("c",)], "PropertyName STRING")
     assert rows(R.r_property_lookup(properties, wanted)) == [("a", "1"), ("c", None)]

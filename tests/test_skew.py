@@ -1,4 +1,4 @@
-"""The same oracles on tables where one key holds a third of the rows and the size limits are small."""
+"""The same oracles on tables where one key holds a third of the rows and documents span few keys."""
 
 import shutil
 
@@ -7,13 +7,12 @@ from compare import TABLES, compare, duck
 from conftest import SF, rows
 
 import __spark_entry__ as driver
-from plumbline.functions.skew import oversized, with_part, written
 from plumbline.plans import corpus
 
 HOT = {
     # One order with a third of the line items, one template with a third of the orders.
     "lineitem": """SELECT CASE WHEN row_number() OVER () % 3 = 0 THEN 5 ELSE l_orderkey END AS l_orderkey, l_partkey, l_suppkey,
-        l_linenumber, l_quantity, CAST(row_number() OVER () AS DOUBLE) AS l_extendedprice, l_discount, l_tax, l_returnflag,
+        CASE WHEN row_number() OVER () % 3 = 0 THEN row_number() OVER () ELSE l_linenumber END AS l_linenumber, l_quantity, CAST(row_number() OVER () AS DOUBLE) AS l_extendedprice, l_discount, l_tax, l_returnflag,
         l_linestatus, l_shipdate FROM lineitem""",
     "orders": "SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS o_custkey) FROM orders",
     "events": "SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 4 ELSE user_id END AS user_id) FROM events",
@@ -36,14 +35,14 @@ def skewed(tmp_path_factory):
 NAMES = [
     n
     for n in sorted(driver.queries())
-    if n.startswith(("t_", "c_", "g_", "r_", "shred", "redundant", "st_", "workspace", "read_templates", "c0", "c1", "c2", "land"))
+    if n.startswith(("t_", "c_", "g_", "r_", "i_pick", "i_render", "shred", "redundant", "st_", "workspace", "read_templates", "c0", "c1", "c2", "land"))
 ]
 
 
 @pytest.fixture(scope="module")
 def small_limits(spark):
     patch = pytest.MonkeyPatch()
-    patch.setattr(corpus, "MAX_DOCUMENT_BYTES", 32 * 1024)
+    patch.setattr(corpus, "KEYS", 100)
     yield
     patch.undo()
 
@@ -58,25 +57,11 @@ def test_hot_groups_were_split(spark, skewed, small_limits):
     sizes = corpus.templates(spark, skewed).selectExpr("template_id", "part", "length(template) AS n").collect()
     assert max(r.part for r in sizes) >= 5
     pipelines = corpus.resources(spark, skewed).filter("kind = 'pipelines' AND name LIKE '%/pl\\_5\\__%'")
-    assert pipelines.count() == 2
+    assert pipelines.count() == 6  # line numbers up to 6,000
     activities = spark.read.parquet(corpus._corpus_path(spark, skewed) + "/resources").selectExpr(
         "json_array_length(get_json_object(properties, '$.activities')) AS n"
     )
-    assert 0 < activities.agg({"n": "max"}).first()[0] < 1.5 * corpus.MAX_ACTIVITIES
-
-
-def test_with_part(spark):
-    from pyspark.sql import functions as F
-
-    df = spark.range(1000).select(F.when(F.col("id") < 900, 0).otherwise(F.col("id")).alias("k"), "id")
-    sizes = df.groupBy("k").agg(F.count("*").alias("n"))
-    big = written(oversized(sizes, "n", 100), "big")
-    assert [tuple(r) for r in big.collect()] == [(0, 9)]
-    parts = with_part(df, ["k"], big, F.col("id")).groupBy("k", "part").count().collect()
-    assert sum(r["count"] for r in parts) == 1000
-    assert sorted(r.part for r in parts if r.k == 0) == list(range(9))
-    assert all(r["count"] == 100 for r in parts if r.k == 0)
-    assert all(r.part == 0 for r in parts if r.k != 0)
+    assert 0 < activities.agg({"n": "max"}).first()[0] <= corpus.LINES
 
 
 def test_previous_key_across_blocks(spark, monkeypatch):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from plumbline.session import fresh_path
 from plumbline.streaming.autoscale import st_autoscale_target
 from plumbline.streaming.landing import st_landing_ingest
-from plumbline.streaming.run_status import st_run_status
+from plumbline.streaming.run_status import run_updates, st_run_status
 from plumbline.streaming.sink import latest_updates, write_updates
 
 START = datetime(2024, 1, 1)
@@ -51,29 +51,30 @@ def test_autoscale_stream_equals_batch(spark, samples):
     assert rows(streamed.select(*batch.columns)) == rows(batch)
 
 
-def test_late_status_does_not_replace_a_newer_one(spark):
-    data = [
-        ("r1", "Succeeded", START + timedelta(minutes=5)),
-        ("r1", "InProgress", START),
-        ("r2", "Queued", START),
-        ("r3", "InProgress", START),
+def test_status_follows_every_change(spark):
+    minute = lambda n: START + timedelta(minutes=n)
+    steps = [
+        [("r1", "Succeeded", None, minute(5)), ("r1", "InProgress", None, minute(0)), ("r2", "Queued", None, minute(0))],
+        # A late failure ends r2; an old status does not reopen r1.
+        [("r2", "Failed", "second", minute(1)), ("r1", "Queued", None, minute(-1)), ("r2", "Failed", "first", minute(0))],
+        # r1 goes on after it had ended.
+        [("r1", "InProgress", None, minute(10))],
     ]
-    late = [("r2", "Failed", START + timedelta(minutes=1)), ("r1", "Queued", START - timedelta(minutes=1))]
-    schema = "run_id STRING, status STRING, ts TIMESTAMP"
-    source, path = fresh_path(spark, "status"), fresh_path(spark, "out")
-    changes = spark.createDataFrame(data, schema)
-
-    def step():
-        stream = st_run_status(file_stream(spark, source, changes.schema))
-        write_updates(stream, f"{path}/out", f"{path}/cp").awaitTermination()
-        return rows(latest_updates(spark.read.parquet(f"{path}/out"), ["run_id"]).select("run_id", "status"))
-
-    changes.coalesce(1).write.mode("append").parquet(source)
-    assert step() == [("r1", "Succeeded")]
-    spark.createDataFrame(late, schema).coalesce(1).write.mode("append").parquet(source)
-    assert step() == [("r1", "Succeeded"), ("r2", "Failed")]
-    everything = spark.createDataFrame(data + late, schema)
-    assert rows(st_run_status(everything).select("run_id", "status")) == step()
+    want = [
+        [("r1", "Succeeded", None)],
+        [("r1", "Succeeded", None), ("r2", "Failed", "first")],
+        [("r2", "Failed", "first")],
+    ]
+    schema = "run_id STRING, status STRING, error STRING, ts TIMESTAMP"
+    source, path, seen = fresh_path(spark, "status"), fresh_path(spark, "out"), []
+    for rows_, ended in zip(steps, want, strict=True):
+        spark.createDataFrame(rows_, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = file_stream(spark, source, spark.createDataFrame([], schema).schema)
+        write_updates(stream, f"{path}/out", f"{path}/cp", fold=run_updates).awaitTermination()
+        columns = ("run_id", "status", "ErrorDetails")
+        assert rows(st_run_status(spark.read.parquet(f"{path}/out")).select(*columns)) == ended
+        seen += rows_
+        assert rows(st_run_status(run_updates(spark.createDataFrame(seen, schema))).select(*columns)) == ended
 
 
 def test_landing_takes_each_file_once(spark, tmp_path):

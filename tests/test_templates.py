@@ -26,11 +26,12 @@ def test_shred_keeps_order_text_and_kind(corpus_of):
     assert second.kind is None
 
 
-def test_malformed_documents_give_no_rows(spark):
+def test_malformed_documents_fail_or_are_named(spark):
     df = spark.createDataFrame([("a", "not json"), ("b", "{}"), ("c", None)], "template_id STRING, template STRING")
-    assert T.shred_resources(df).count() == 0
+    assert T.shred_resources(df, strict=False).count() == 0
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
-        T.shred_resources(df, strict=True).collect()
+        T.shred_resources(df).collect()
+    assert rows(T.unparsable_documents(df)) == [("a",), ("c",)]
     assert T.t_factory_name(df).count() == 0
 
 
