@@ -168,3 +168,68 @@ def op8_warc(spark, sf):
         "record_type",
         page_id("refers_to").alias("refers_to"),
     )
+
+
+ORACLES["op2_chat_tools"] = """
+WITH said AS (SELECT *, CAST(length(text) AS BIGINT) AS n, string_split(text, ' ')[1] AS word FROM conversations),
+calls AS (SELECT conv_id, turn, 'call_' || turn AS call_id, n, word, n % 17 = 0 AS broken,
+                 CASE n % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'lookup' ELSE 'unlisted' END AS tool,
+                 turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island
+          FROM said WHERE role = 'assistant'),
+chained AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) - 1 AS depth FROM calls),
+answers AS (SELECT conv_id, turn, 'call_' || (turn - 1) AS call_id, text FROM said WHERE role = 'user'),
+all_events AS (
+    SELECT c.conv_id, c.turn, 'call' AS kind, c.call_id, c.tool, c.depth,
+           CASE WHEN a.call_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+           CASE WHEN broken THEN 'malformed' WHEN c.tool = 'unlisted' THEN 'unknown tool'
+                WHEN c.tool = 'search' AND (n % 60 < 1 OR n % 60 > 40) THEN 'range:limit'
+                WHEN c.tool = 'lookup' AND word NOT IN ('The', 'In', 'De') THEN 'choice:query' ELSE '' END AS faults,
+           CASE WHEN broken THEN '{"content":' || to_json('{"query": ' || n)
+                ELSE '{"arguments":{"limit":' || (n % 60) || ',"query":' || to_json(word) || '}' END
+           || ',"id":"' || c.call_id || '","name":"' || c.tool || '","type":"call"}' AS json
+    FROM chained c LEFT JOIN answers a USING (conv_id, call_id)
+    UNION ALL
+    SELECT a.conv_id, a.turn, 'result', a.call_id, c.tool, c.depth,
+           CASE WHEN c.call_id IS NULL THEN 'orphan' ELSE 'linked' END, '',
+           '{"content":' || to_json(a.text) || ',"id":"' || a.call_id || '"' || coalesce(',"name":"' || c.tool || '"', '') || ',"type":"result"}'
+    FROM answers a LEFT JOIN chained c USING (conv_id, call_id))
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY coalesce(depth, 0), kind, turn) - 1 AS position,
+       kind, call_id, tool, depth, status, faults, json
+FROM all_events"""
+
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES["op1_jaccard_join"] = f"""
+WITH RECURSIVE worded AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [text] ELSE list_sort(list_distinct(
+             list_transform(range(1, greatest(1, len(w) - 4) + 1), k -> array_to_string(w[k:k + 4], ' ')))) END AS s, len(w) = 0 AS bare FROM worded),
+reps AS (SELECT s, bare, min(doc_id) AS rep, count(*) AS n_copies FROM sets GROUP BY s, bare),
+shingles AS (SELECT rep, unnest(s) AS x FROM reps WHERE NOT bare),
+common AS (SELECT a.rep AS a, b.rep AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.x = b.x AND a.rep <> b.rep GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN reps p ON p.rep = a JOIN reps q ON q.rep = b WHERE n >= 0.8 * (len(p.s) + len(q.s) - n)),
+reach(rep, other) AS (SELECT rep, rep FROM reps UNION SELECT reach.rep, b FROM reach JOIN links ON a = other),
+classes AS (SELECT rep, min(other) AS class_id FROM reach GROUP BY rep)
+SELECT doc_id, class_id, n_copies, coalesce(d.n, 0) AS n_links
+FROM sets JOIN reps USING (s, bare) JOIN classes USING (rep) LEFT JOIN (SELECT a AS rep, count(*) AS n FROM links GROUP BY a) d USING (rep)"""
+
+ORACLES["op5_decontamination"] = f"""
+WITH items AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),
+wanted AS (SELECT DISTINCT item, array_to_string(w[k:k + 9], ' ') AS phrase, least(len(w), 10) AS size
+           FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS k FROM items WHERE len(w) > 0)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+starts AS (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM docs CROSS JOIN (SELECT DISTINCT size FROM wanted) WHERE len(w) >= size),
+hits AS (SELECT r, k, wanted.size, item FROM starts JOIN wanted ON wanted.size = starts.size AND phrase = array_to_string(w[k:k + wanted.size - 1], ' ')),
+covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(k, k + size)) AS p FROM hits) GROUP BY r),
+found AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(f.n, 0) AS n_items,
+       sha256(coalesce(f.list, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered c USING (r) LEFT JOIN found f USING (r)"""
+
+ORACLES["op8_warc"] = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS p FROM pages),
+firsts AS (SELECT p, max(page_id) AS response FROM payloads WHERE strlen(p) >= 1000 GROUP BY p)
+SELECT page_id, strlen(p) AS payload_bytes, sha1(p) AS payload_digest,
+       CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response <> page_id THEN response END AS refers_to
+FROM payloads LEFT JOIN firsts USING (p)"""
