@@ -200,29 +200,42 @@ FROM all_events"""
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+def _leads(n: int) -> str:
+    """A word and the n - 1 words behind it in its text."""
+    return ", ".join(f"lead(w, {k}) OVER o AS w{k}" for k in range(1, n))
+
+
 ORACLES["op1_jaccard_join"] = f"""
-WITH RECURSIVE worded AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
-sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [text] ELSE list_sort(list_distinct(
-             list_transform(range(1, greatest(1, len(w) - 4) + 1), k -> array_to_string(w[k:k + 4], ' ')))) END AS s, len(w) = 0 AS bare FROM worded),
-reps AS (SELECT s, bare, min(doc_id) AS rep, count(*) AS n_copies FROM sets GROUP BY s, bare),
-shingles AS (SELECT rep, unnest(s) AS x FROM reps WHERE NOT bare),
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+tokens AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS p, len(ws) AS n FROM docs),
+runs AS (SELECT r, p, n, w, {_leads(5)} FROM tokens WINDOW o AS (PARTITION BY r ORDER BY p)),
+windows AS (SELECT DISTINCT r, concat_ws(' ', w, w1, w2, w3, w4) AS x FROM runs WHERE p <= greatest(1, n - 4)),
+sets AS (SELECT docs.r, doc_id, coalesce(md5(s), 'bare ' || text) AS s, coalesce(k, 0) AS k
+         FROM docs LEFT JOIN (SELECT r, string_agg(x, chr(10) ORDER BY x) AS s, count(*) AS k FROM windows GROUP BY r) USING (r)),
+reps AS (SELECT s, k, min(r) AS rep, min(doc_id) AS least, count(*) AS n_copies FROM sets GROUP BY s, k),
+shingles AS (SELECT r AS rep, x FROM windows WHERE r IN (SELECT rep FROM reps)),
 common AS (SELECT a.rep AS a, b.rep AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.x = b.x AND a.rep <> b.rep GROUP BY ALL),
-links AS (SELECT a, b FROM common JOIN reps p ON p.rep = a JOIN reps q ON q.rep = b WHERE n >= 0.8 * (len(p.s) + len(q.s) - n)),
+links AS (SELECT a, b FROM common JOIN reps p ON p.rep = a JOIN reps q ON q.rep = b WHERE 10 * n >= 8 * (p.k + q.k - n)),
 reach(rep, other) AS (SELECT rep, rep FROM reps UNION SELECT reach.rep, b FROM reach JOIN links ON a = other),
-classes AS (SELECT rep, min(other) AS class_id FROM reach GROUP BY rep)
+classes AS (SELECT reach.rep, min(o.least) AS class_id FROM reach JOIN reps o ON o.rep = other GROUP BY reach.rep)
 SELECT doc_id, class_id, n_copies, coalesce(d.n, 0) AS n_links
-FROM sets JOIN reps USING (s, bare) JOIN classes USING (rep) LEFT JOIN (SELECT a AS rep, count(*) AS n FROM links GROUP BY a) d USING (rep)"""
+FROM sets JOIN reps USING (s, k) JOIN classes USING (rep) LEFT JOIN (SELECT a AS rep, count(*) AS n FROM links GROUP BY a) d USING (rep)"""
+
+_PHRASE = "concat_ws(' ', w, " + ", ".join(f"CASE WHEN size > {k} THEN w{k} END" for k in range(1, 10)) + ")"
 
 ORACLES["op5_decontamination"] = f"""
-WITH items AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),
-wanted AS (SELECT DISTINCT item, array_to_string(w[k:k + 9], ' ') AS phrase, least(len(w), 10) AS size
-           FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS k FROM items WHERE len(w) > 0)),
-docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
-starts AS (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM docs CROSS JOIN (SELECT DISTINCT size FROM wanted) WHERE len(w) >= size),
-hits AS (SELECT r, k, wanted.size, item FROM starts JOIN wanted ON wanted.size = starts.size AND phrase = array_to_string(w[k:k + wanted.size - 1], ' ')),
-covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(k, k + size)) AS p FROM hits) GROUP BY r),
+WITH items AS (SELECT row_number() OVER () AS r, coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_WORDS.format("coalesce(text, '')")} AS ws FROM benchmark),
+item_tokens AS (SELECT r, item, unnest(ws) AS w, generate_subscripts(ws, 1) AS p, len(ws) AS n FROM items),
+item_runs AS (SELECT r, item, p, n, least(n, 10) AS size, w, {_leads(10)} FROM item_tokens WINDOW o AS (PARTITION BY r ORDER BY p)),
+wanted AS (SELECT DISTINCT item, size, {_PHRASE} AS phrase FROM item_runs WHERE p <= greatest(1, n - 9)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+tokens AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS p, len(ws) AS n FROM docs),
+runs AS (SELECT r, p, n, w, {_leads(10)} FROM tokens WINDOW o AS (PARTITION BY r ORDER BY p)),
+starts AS (SELECT r, p, size, {_PHRASE} AS phrase FROM runs JOIN (SELECT DISTINCT size FROM wanted) ON p + size <= n + 1),
+hits AS (SELECT r, p, size, item FROM starts JOIN wanted USING (size, phrase)),
+covered AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(p, p + size)) AS place FROM (SELECT DISTINCT r, p, size FROM hits)) GROUP BY r),
 found AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(f.n, 0) AS n_items,
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(f.n, 0) AS n_items,
        sha256(coalesce(f.list, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
 FROM docs LEFT JOIN covered c USING (r) LEFT JOIN found f USING (r)"""
 
