@@ -9,9 +9,9 @@ greatest depth.
 
 Texts with equal sets are one representative from the start. A bucket is joined by brute force when it is small, when
 splitting no longer makes it smaller (its members are alike), or at ``DEPTH``; large ones are cut into chunks, and
-each pair of chunks is a cell of its own, so no group is unbounded and no row is dropped. Members without a partner by
-the sampled values (at ``DOUBT`` standard errors below the threshold) leave; the others are compared exactly, on sets
-of 64-bit hashes. A pair counts in the first bucket it shares only, so links are counted without being written out:
+each pair of chunks is a cell of its own, so no group is unbounded and no row is dropped. Members of small buckets
+without a partner by the sampled values (at ``DOUBT`` standard errors below the threshold) leave; the others are
+compared exactly, on sets of 64-bit hashes. A pair counts in the first bucket it shares only, so links are counted without being written out:
 a cell returns the number of links per set and, to connect classes, at most one edge per set.
 
 Classes are the connected components of links, by alternating star contraction on stored edges. Sets are known by a
@@ -318,8 +318,10 @@ def links(docs: DataFrame, sets: DataFrame, n: int, threshold: float, recall: fl
     members = stored(buckets(sets, threshold, recall), "members")
     # Equal buckets come up in many runs: the first of them is enough, before and after members leave.
     members = _sized(members.select("bucket", "rep"))
-    likely = _by_cell(_cells(members).join(sets.select("rep", "sampled"), "rep"), _likely(threshold), "bucket bigint, rep bigint")
-    members = _sized(stored(likely.distinct(), "likely"))
+    # Members of a large bucket are alike and stay, so that only buckets of one cell are looked through here.
+    small, large = members.filter(F.col("size") <= SMALL), members.filter(F.col("size") > SMALL)
+    likely = _by_cell(_cells(small).join(sets.select("rep", "sampled"), "rep"), _likely(threshold), "bucket bigint, rep bigint")
+    members = _sized(stored(likely.unionByName(large.select("bucket", "rep")), "likely"))
     # Lists of bucket numbers as bytes: a few per run and rep.
     number = F.expr("unhex(array_join(transform(sort_array(collect_list(bucket)), b -> lpad(hex(b), 16, '0')), ''))")
     lists = members.groupBy("rep").agg(number.alias("buckets"))
