@@ -8,7 +8,8 @@ decoded together in numpy. Text outside such spans has one reading only, itself.
 
 The score knows words and word beginnings, by hash, of labelled texts. A feature counts when its share of toxic texts
 is beyond chance, given how many features were looked at; it then has the shrunk share as its probability, and a text
-has the probability that any of its words is toxic. Near copies among the labelled rows are counted once.
+has the probability that any of its words is toxic. Near copies among the labelled rows, classes of the
+Jaccard join, are counted once for each label; every other labelled row teaches.
 
 Bounds: the trigram table has 64^3 entries; labels are a sample of at most about ``LABELLED`` rows, chosen by hash;
 the model keeps the ``FEATURES`` features of the strongest evidence.
@@ -31,10 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm import jaccard_join
 from plumbline.llm.base import slices, stored, utf8
 from plumbline.llm.words import WORD_BYTES, Words, mix, words_of
 
 LABELLED = 200_000
+#: Near copies share this part of their runs of so many words.
+COPY_WORDS, COPY_SIMILARITY = 5, 0.8
 FEATURES = 50_000
 PREFIXES = (4, 5, 6, 7)
 #: Look-alikes and the letters they stand for: fixed values.
@@ -246,20 +250,16 @@ def _features(texts: list[str]) -> tuple[Words, np.ndarray, np.ndarray]:
     return words, np.concatenate(hashes), np.concatenate(owner)
 
 
-def _group_keys(rows: DataFrame) -> DataFrame:
-    """(doc_id, toxic, key): near copies nearly always share the smallest hash of their words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                words, _, _ = _features([_text(t).lower() for t in part.column("text")])
-                low = np.zeros(part.num_rows, np.uint64)
-                some = words.counts() > 0
-                if some.any():
-                    low[some] = np.minimum.reduceat(words.hash, words.first[:-1][some])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array(low.view(np.int64))], ["doc_id", "toxic", "key"])
-
-    return rows.mapInArrow(run, "doc_id bigint, toxic int, key bigint")
+def teaching_rows(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(toxic, text) of the rows of ``docs`` with a label, one of each class of near copies and label."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8("text").alias("text"))
+    # At most about LABELLED rows of two numbers: small enough to be sent to every executor.
+    rows = texts.join(F.broadcast(known), "doc_id").select(F.monotonically_increasing_id().alias("row"), "toxic", "text")
+    rows = stored(rows, "labelled")
+    classes = jaccard_join.jaccard_join(rows.select(F.col("row").alias("doc_id"), "text"), n=COPY_WORDS, threshold=COPY_SIMILARITY)
+    label = F.col("toxic") > 0
+    first = rows.join(classes.select(F.col("doc_id").alias("row"), "class_id"), "row").groupBy("class_id", label).agg(F.min("row").alias("row"))
+    return stored(rows.join(stored(first.select("row"), "teaching"), "row").select("toxic", "text"), "taught")
 
 
 def _feature_counts(rows: DataFrame, characters: np.ndarray) -> DataFrame:
@@ -293,12 +293,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     rows = known.count()
     if rows > LABELLED:  # a share of all hashes
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.lit(int((1 << 40) * LABELLED / rows)))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8("text").alias("text"))
-    # At most about LABELLED rows of two numbers: small enough to be sent to every executor.
-    keys = stored(_group_keys(texts.join(F.broadcast(known), "doc_id")), "groups")
-    chosen = keys.groupBy("key", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic")
-    sample = texts.join(F.broadcast(chosen), "doc_id")
-    sizes = {r["toxic"] > 0: r["n"] for r in chosen.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
+    sample = teaching_rows(docs, known)
+    sizes = {r["toxic"]: r["n"] for r in sample.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
     bad, good = sizes.get(True, 0), sizes.get(False, 0)
     if not bad or not good:
         return model

@@ -160,6 +160,18 @@ def test_held_out_toxicity(spark):
     assert len(wrong) <= 0.01 * len(found), wrong
 
 
+def test_all_but_near_copies_teach(spark):
+    """Texts that share words all teach; copies, also with one word changed, teach once for each label."""
+    random = np.random.default_rng(6)
+    texts = ["the of and " + " ".join(f"w{x}" for x in random.integers(0, 500, 40)) for _ in range(60)]
+    copies = [texts[0], texts[0] + " end", texts[1], texts[1].upper()]
+    rows = [(k, t, k % 2) for k, t in enumerate(texts)] + [(100 + k, t, k // 2) for k, t in enumerate(copies)] + [(200, texts[2], 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    found = toxicity.teaching_rows(docs, docs.select("doc_id", "toxic")).collect()
+    got = Counter((bytes(r["text"]).decode().lower().removesuffix(" end"), r["toxic"]) for r in found)
+    assert got == Counter({**{(t, k % 2): 1 for k, t in enumerate(texts)}, (texts[2], 1): 1})
+
+
 def test_no_labels(spark, odd_documents):
     model = toxicity.train(odd_documents, spark.createDataFrame([], "doc_id bigint, toxic int"))
     assert {r["toxicity"] for r in toxicity.rate(odd_documents, model).collect()} == {0.0}
