@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import jaccard_join
 from plumbline.llm.base import slices, stored, utf8
-from plumbline.llm.words import WORD_BYTES, Words, mix, words_of
+from plumbline.llm.words import Words, mix, words_of
 
 LABELLED = 200_000
 #: Near copies share this part of their runs of so many words.
@@ -44,20 +44,29 @@ PREFIXES = (4, 5, 6, 7)
 #: Look-alikes and the letters they stand for: fixed values.
 LOOK_ALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "*": "aeiou",
+    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l",
+    "*": "aeioubcdfghjklmnpqrstvwxyz",
 }
-#: Log costs of the channel: a look-alike for a letter, one kept as a break, a shortened run, dropped spaces.
-SUBSTITUTED, BROKEN, SHORTENED, JOINED = -1.0, -5.0, -2.0, -2.0
+#: Log costs of the channel: a look-alike for a letter, a star for a consonant, a look-alike kept as a break within a
+#: run, standing alone, as usual punctuation or markup around a run, as another sign there, a shortened run, dropped spaces.
+SUBSTITUTED, MASKED, BROKEN, ALONE, AROUND, OUTSIDE, SHORTENED, JOINED = -1.0, -2.5, -5.0, -2.0, -2.0, -6.0, -2.0, -2.0
 CACHED_WORDS = 400_000
 _SYMBOLS = 64
 _MARKS = "".join(re.escape(c) for c in LOOK_ALIKES)
-_NOT_LAST = "".join(c for c in LOOK_ALIKES if not c.isalnum())
-_SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*]{1,2}[^\W_]){3,}(?![^\W_])")  # single letters, spaced out
+_SIGNS = "".join(re.escape(c) for c in LOOK_ALIKES if not c.isalnum())
+#: Letters and look-alikes spaced out by any separators, one of them or a double one at a time, three at least.
+_APART = rf"(?<![^\W_])([^\W_]|[{_SIGNS}])\1?(?:(?:_|[^\w{_SIGNS}]){{1,2}}([^\W_]|[{_SIGNS}])\2?){{2,}}(?![^\W_])"
+#: The same with look-alikes as separators: one kind between letters, or stars among others.
+_STARRED = r"(?<![^\W_])[^\W_](?:[ .\-_*]{1,2}[^\W_]){3,}(?![^\W_])"
+_SIGNED = rf"(?<![^\W_])[^\W\d_]([{_SIGNS}])[^\W\d_](?:\3[^\W\d_])+(?![^\W_])"
+_SPACED = re.compile(f"{_APART}|{_STARRED}|{_SIGNED}")
 _RUN = re.compile(rf"[\w{_MARKS}]+")
-#: A look-alike before a letter, a digit or two at the end, a letter three times.
-_DISGUISE = re.compile(rf"[{_MARKS}][^\W\d_]|[^\W\d_][0-9]{{1,2}}$|([^\W\d_])\1\1")
-#: What any disguised word of a text holds; most texts have none.
-_HINT = re.compile(rf"[{_MARKS}][^\W\d_]|[^\W\d_][0-9]|([^\W\d_])\1\1")
+_OUTER = re.compile(rf"([{_SIGNS}]*)(.*?)([{_SIGNS}]*)", re.DOTALL)
+_THRICE = re.compile(r"([^\W\d_])\1\1")
+#: What any disguised word holds.
+_HINT = re.compile(rf"[{_MARKS}]|([^\W\d_])\1\1")
+#: Pairs that look like one letter when they stand spaced out.
+_PAIRS = {"nn": "m", "vv": "w"}
 
 
 @cache
@@ -108,40 +117,67 @@ def _text(value: pa.Scalar) -> str:
 Position = list[tuple[str, int, float]]  # readings of one character: text, symbol, cost
 
 
-def _readings(span: str) -> list[tuple[float, list[Position]]]:
-    """Lattices of a span, one for each way to treat its spaces and runs."""
+def _around(signs: str) -> float:
+    """Cost of signs at the begin or end of a run as what they are: by run for !, * and three of a kind, by sign for others."""
+    kinds = [m[0] for m in re.finditer(r"(.)\1*", signs)]
+    return sum(AROUND if k[0] in "!*" or len(k) > 2 else OUTSIDE * len(k) for k in kinds)
+
+
+def _readings(span: str) -> list[tuple[float, list[Position], bool]]:
+    """Lattices of a span, one for each way to treat its spaces, runs and outer signs, and whether parts stand alone."""
     symbol_of = _symbol_of()
 
-    def position(c: str) -> Position:
+    def position(c: str, kept: float = BROKEN) -> Position:
         letters = LOOK_ALIKES.get(c)
         if letters:
-            return [(x, int(symbol_of[ord(x)]), SUBSTITUTED) for x in letters] + [(c, 0, BROKEN)]
+            return [(x, int(symbol_of[ord(x)]), MASKED if c == "*" and x not in "aeiou" else SUBSTITUTED) for x in letters] + [(c, 0, kept)]
         return [(c, int(symbol_of[ord(c)]) if len(c) == 1 else 0, 0.0)]
 
-    out = []
-    spaced = _SPACED.fullmatch(span)
-    for text, cost in [(span, 0.0)] + ([(re.sub(r"[ .\-_*]+", "", span), JOINED)] if spaced else []):
-        forms = {text: cost}
+    def forms(text: str, cost: float) -> dict[str, float]:
+        found = {text: cost}
         for most in (2, 1):
-            forms.setdefault(re.sub(r"([^\W\d_])\1{2,}", lambda m, k=most: m[1] * k, text), cost + SHORTENED)
-        for form, total in forms.items():
-            broken = spaced and text == span
-            out.append((total, [[(c, 0, 0.0)] if broken and c in " .-_*" else position(c) for c in form]))
-    return out
+            found.setdefault(re.sub(r"([^\W\d_])\1{2,}", lambda m, k=most: m[1] * k, text), cost + SHORTENED)
+        return found
+
+    def lattices(found: dict[str, float]) -> list[tuple[float, list[Position], bool]]:
+        out = []
+        for form, cost in found.items():
+            out.append((cost, [position(c) for c in form], False))
+            lead, core, trail = _OUTER.fullmatch(form).groups()
+            if core and (lead or trail):
+                inner = [position(c) for c in core]
+                inner[0] = [(lead + x, *rest) for x, *rest in inner[0]]
+                inner[-1] = [(x + trail, *rest) for x, *rest in inner[-1]]
+                out.append((cost + _around(lead) + _around(trail), inner, False))
+        return out
+
+    if not _SPACED.fullmatch(span):
+        return lattices(forms(span, 0.0))
+    apart = re.fullmatch(_APART, span)
+    between = re.compile(rf"(?:_|[^\w{_SIGNS}])+" if apart else r"[\W_]+")
+    parts = between.split(span)
+    joined = forms("".join(parts), JOINED)
+    joined.setdefault("".join(p[:1] for p in parts), JOINED + SHORTENED)
+    joined.setdefault("".join(_PAIRS.get(p, p) for p in parts), JOINED + SUBSTITUTED)
+    out = [(0.0, [[(c, 0, 0.0)] if between.fullmatch(c) else position(c, ALONE) for c in span], True)]
+    return out + lattices(joined) + ([] if apart else lattices(forms(span, 0.0)))
 
 
 def decode(spans: list[str], model: np.ndarray) -> list[str]:
     """The likeliest reading of each span."""
-    lattices = [(k, cost, lattice) for k, span in enumerate(spans) for cost, lattice in _readings(span.lower())]
+    alone = model.copy()
+    alone[:, 0, 0] = 0.0  # breaks in a row are one break
+    lattices = [(k, *reading) for k, span in enumerate(spans) for reading in _readings(span.lower())]
     best: list[tuple[float, str]] = [(-np.inf, s) for s in spans]
     by_length = defaultdict(list)
     for entry in lattices:
-        by_length[len(entry[2])].append(entry)
-    for length, group in by_length.items():
-        step = max(1, 200_000 // length)
+        by_length[len(entry[2]), max(map(len, entry[2])) > 8, entry[3]].append(entry)
+    for (length, wide, parted), group in by_length.items():
+        step = max(1, min(200_000 // length, 100 if wide else 20_000))  # a wide lattice has 27 readings of a star
         for at in range(0, len(group), step):
             part = group[at : at + step]
-            for (k, cost, lattice), (score, path) in zip(part, _viterbi([g[2] for g in part], length, model), strict=True):
+            best_paths = _viterbi([g[2] for g in part], length, alone if parted else model)
+            for (k, cost, lattice, _), (score, path) in zip(part, best_paths, strict=True):
                 if cost + score > best[k][0]:
                     best[k] = cost + score, "".join(lattice[i][r][0] for i, r in enumerate(path))
     return [text for _, text in best]
@@ -189,19 +225,18 @@ class Model:
 _restored: dict[tuple[float, str], str] = {}
 
 
-def _spans(word: str) -> list[tuple[int, int]]:
-    """Parts of a word that may be disguised: runs of letters and look-alikes without symbols at their end."""
-    runs = ((m.start(), m.start() + len(m[0].rstrip(_NOT_LAST))) for m in _RUN.finditer(word))
-    return [(a, b) for a, b in runs if _DISGUISE.search(word[a:b])]
+def _disguised(run: str) -> bool:
+    """Whether a run holds a letter and a look-alike or a letter three times, or is made of several kinds of signs."""
+    if any(c in LOOK_ALIKES for c in run):
+        if any(c.isalpha() for c in run):
+            return True
+        return len(run) >= 3 and len(set(run)) >= 2 and not any(c.isalnum() or c == "_" for c in run)
+    return _THRICE.search(run) is not None
 
 
-def _with_single_letters(texts: list[str]) -> np.ndarray:
-    """Texts with three words of one letter or more; a disguise by blanks has that many at least."""
-    raw = [t.encode("utf-8", "replace") + b" " for t in texts]
-    inside = WORD_BYTES[np.frombuffer(b" " + b"".join(raw), np.uint8)] > 0
-    alone = inside[1:] & ~inside[:-1] & np.append(~inside[2:], True)
-    starts = np.cumsum([0, *(len(r) for r in raw[:-1])])
-    return np.flatnonzero(np.add.reduceat(alone.astype(np.int64), starts) >= 3)
+def _spans(word: str) -> list[tuple[int, int]]:
+    """Parts of a word that may be disguised: runs of letters and look-alikes."""
+    return [m.span() for m in _RUN.finditer(word) if _disguised(m[0])]
 
 
 def restore(texts: list[str], characters: np.ndarray) -> list[str]:
@@ -212,13 +247,14 @@ def restore(texts: list[str], characters: np.ndarray) -> list[str]:
         _restored.clear()
     model = float(characters[0, 0, 1])  # readings depend on the model
     low = [t.lower() for t in texts]
-    single = _with_single_letters(low)
-    spaced = list({s for k in single for s in _SPACED.findall(low[k])})
+    single = {k: {m[0] for m in _SPACED.finditer(t)} for k, t in enumerate(low)}
+    spaced = list(set().union(*single.values()))
     if spaced:
         reading = dict(zip(spaced, decode(spaced, characters), strict=True))
-        for k in single:
-            low[k] = _SPACED.sub(lambda m: reading[m[0]], low[k])
-    hinted = {k: {w for w in set(t.split()) if _HINT.search(w)} for k, t in enumerate(low) if _HINT.search(t)}
+        for k, found in single.items():
+            if found:
+                low[k] = _SPACED.sub(lambda m: reading[m[0]], low[k])
+    hinted = {k: {w for w in set(t.split()) if _HINT.search(w)} for k, t in enumerate(low)}
     new = [w for w in set().union(*hinted.values()) if (model, w) not in _restored]
     found = {w: _spans(w) for w in new}
     pieces = list({w[a:b] for w, spans in found.items() for a, b in spans})

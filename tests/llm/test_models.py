@@ -139,6 +139,17 @@ def test_restored_words(characters, text, clear):
     assert toxicity.restore([text], characters) == [clear]
 
 
+@pytest.mark.parametrize(
+    "text, clear",
+    [("a$$", "ass"), ("@$$", "ass"), ("idio+", "idiot"), ("scu*", "scum"), ("los€", "lose"), ("id107", "idiot"), ("sh1+", "shit"), ("a s s", "ass"),
+     ("s h ! t", "shit"), ("i d ! o t", "idiot"), ("s/c/u/m", "scum"), ("s c u nn", "scum"), ("s*c*u*m", "scum"),
+     ("idiot!!!", "idiot!!!"), ("**bold** text", "**bold** text"), ("1 2 3", "1 2 3"), ("a + b", "a + b"), ("$100 and 50%", "$100 and 50%")],
+)
+def test_look_alikes_in_any_place(characters, text, clear):
+    """Signs at an end, short and mixed spacing and any separator reach the lattice; plain text stays."""
+    assert toxicity.restore([text], characters) == [clear]
+
+
 def test_held_out_toxicity(spark):
     """On labels that follow from words, the words are found, plain or disguised."""
     bad = ["idiot", "moron", "scum", "loser", "trash"]
