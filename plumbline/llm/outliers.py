@@ -1,8 +1,10 @@
 """Quality rules: robust multivariate outliers, in DataFrame operations only.
 
 Every text gives a vector of transformed statistics. Per language and source, the minimum-covariance-determinant
-estimate of centre and scatter is found by concentration steps: from medians and absolute deviations, each step takes
-the share ``CORE`` of rows with the smallest Mahalanobis distances and estimates again. A step is two aggregations
+estimate of centre and scatter is found by concentration steps: each step takes the share ``CORE`` of rows with the
+smallest Mahalanobis distances and estimates again, until the determinant falls no more (at most ``STEPS``). Steps
+begin at the medians with three scatters, of absolute deviations alone and with correlations of spatial signs or of
+hyperbolic tangents, of which the first step takes the nearer half; the result of the least determinant stays. A step is two aggregations
 with partial results per task, over a stored table of vectors, so a language or source of any size is no hot spot.
 Distances come from a Cholesky factor, whose entries are columns of the small table of groups.
 
@@ -16,6 +18,8 @@ often as they occur. If no row passes the base rule, nothing is estimated and no
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +34,14 @@ VECTOR = {
     "v_lines": "log1p(n_dup_lines)",
     "v_repeats": "sqrt(try_divide(n_repeat_words, n_words))",
 }
-FLOOR = {"v_words": 0.3, "v_length": 0.1, "v_symbols": 0.3, "v_lines": 0.4, "v_repeats": 0.12}
-CORE, STEPS, LEAST = 0.75, 4, 100
+FLOOR = {"v_words": 0.15, "v_length": 0.05, "v_symbols": 0.15, "v_lines": 0.25, "v_repeats": 0.08}
+CORE, STEPS, LEAST = 0.75, 50, 100
+#: A determinant that falls by less, in its logarithm, has converged.
+SETTLED = 1e-9
 #: Parts of every group in joins of rows with group estimates, whose rows are repeated so often.
 PARTS = 64
-#: Quantiles of the chi-squared distribution with five degrees of freedom: the median, and the one of 0.999999.
-CHI2_MEDIAN, CUTOFF = 4.351, 35.89
+#: Quantiles of the chi-squared distribution with five degrees of freedom: the median, and the one of 0.999.
+CHI2_MEDIAN, CUTOFF = 4.351, 20.515
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -65,11 +71,15 @@ def statistics(docs: DataFrame) -> DataFrame:
     ).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows with a part, by their place in the table: equal rows are dealt out as well. To be stored before use."""
+    return rows.withColumn("_part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(PARTS)).cast("int"))
+
+
 def _with_estimates(rows: DataFrame, estimates: DataFrame, group: str) -> DataFrame:
     """Join rows with the estimates of their group, in parts, so that rows of one group meet in no single task."""
     parts = estimates.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns if c != group]), F.lit(PARTS)).cast("int")
-    return rows.withColumn("_part", part).join(parts, [group, "_part"]).drop("_part")
+    return rows.join(parts, [group, "_part"]).drop("_part")
 
 
 def _squared_distance(values: list[str]) -> Column:
@@ -93,36 +103,74 @@ def _factored(groups: DataFrame, values: list[str], floor: dict[str, float]) ->
             # The floor keeps every pivot above zero, up to rounding.
             value = F.sqrt(F.greatest(entry, F.lit(floor[name] ** 2 / 4))) if i == j else entry / F.col(f"l_{j}_{j}")
             groups = groups.withColumn(f"l_{i}_{j}", value)
+    groups = groups.withColumn("log_det", sum((F.log(f"l_{i}_{i}") for i in range(1, len(values))), F.log("l_0_0")))
     return stored(groups.drop(*[f"c_{i}_{j}" for i in range(len(values)) for j in range(i + 1)]), "scatter")
 
 
-def robust_scatter(rows: DataFrame, group: str, floor: dict[str, float], core: float = CORE, steps: int = STEPS) -> DataFrame:
-    """Centre and factor of each group of ``rows``, with ``scale``, which makes the median distance that of chi-squared."""
+def _starts(rows: DataFrame, group: str, floor: dict[str, float]) -> DataFrame:
+    """Three starts per group, all at the medians: scatter by absolute deviations, with different correlations."""
     values = list(floor)
+    pairs = [(i, j) for i in range(len(values)) for j in range(i)]
     median = {v: F.percentile_approx(v, 0.5).alias(f"m_{v}") for v in values}
     centre = stored(rows.groupBy(group).agg(*median.values()), "centre")
     spread = _with_estimates(rows, centre, group).groupBy(group).agg(
         *[F.first(f"m_{v}").alias(f"m_{v}") for v in values],
-        *[F.percentile_approx(F.abs(F.col(v) - F.col(f"m_{v}")), 0.5).alias(f"mad_{v}") for v in values],
+        *[(1.4826 * F.percentile_approx(F.abs(F.col(v) - F.col(f"m_{v}")), 0.5)).alias(f"s_{v}") for v in values],
     )
-    start = spread.select(
-        group,
-        *[f"m_{v}" for v in values],
-        *[(F.pow(1.4826 * F.col(f"mad_{v}"), 2) if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i, v in enumerate(values) for j in range(i + 1)],
-    )
-    found = _factored(start, values, floor)
-    for _ in range(steps):
-        distances = _with_estimates(rows, found, group).select(group, *values, _squared_distance(values).alias("_d"))
-        border = stored(distances.groupBy(group).agg(F.percentile_approx("_d", core, F.lit(1000)).alias("_border")), "border")
-        inner = _with_estimates(distances, border, group).filter("_d <= _border")
-        found = _factored(
-            inner.groupBy(group).agg(
+    spread = stored(spread, "spread")
+    z = [((F.col(v) - F.col(f"m_{v}")) / F.sqrt(F.col(f"s_{v}") ** 2 + floor[v] ** 2)).alias(f"z_{v}") for v in values]
+    scaled = _with_estimates(rows, spread, group).select(group, *z)
+    size = F.sqrt(sum((F.col(f"z_{v}") ** 2 for v in values[1:]), F.col(f"z_{values[0]}") ** 2))
+    sign = lambda v: F.coalesce(F.try_divide(f"z_{v}", "_size"), F.lit(0.0))
+    bent = lambda v: F.tanh(f"z_{v}")
+    alike = lambda x, y: F.coalesce(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)), F.lit(0.0))
+    found = scaled.withColumn("_size", size).groupBy(group).agg(
+        *[alike(f(values[i]), f(values[j])).alias(f"{k}_{i}_{j}") for k, f in (("sign", sign), ("bent", bent)) for i, j in pairs]
+    )
+    entry = lambda i, j, r: (F.col(f"s_{values[i]}") * F.col(f"s_{values[j]}") * r).alias(f"c_{i}_{j}")
+    kinds = [
+        F.struct(
+            F.lit(n).alias("_start"),
+            *[entry(i, i, F.lit(1.0)) for i in range(len(values))],
+            *[entry(i, j, F.col(f"{k}_{i}_{j}") if k else F.lit(0.0)) for i, j in pairs],
+        )
+        for n, k in enumerate((None, "sign", "bent"))
+    ]
+    return spread.join(found, group).select(group, *[f"m_{v}" for v in values], F.explode(F.array(*kinds)).alias("_kind")).select("*", "_kind.*").drop("_kind")
+
+
+def robust_scatter(rows: DataFrame, group: str, floor: dict[str, float], core: float = CORE, steps: int = STEPS) -> DataFrame:
+    """Centre and factor of each group of ``rows``, with ``scale``, which makes the median distance that of chi-squared."""
+    values, key = list(floor), [group, "_start"]
+    rows = rows if "_part" in rows.columns else stored(_dealt(rows), "dealt")
+    found = _factored(_starts(rows, group, floor), values, floor).withColumn("log_det", F.lit(float("inf")))
+    settled = []
+    for step in range(steps):
+        # From a start, the nearer half is taken first: outliers draw on medians and correlations as well.
+        share = core if step else 0.5
+        distances = _with_estimates(rows, found, group).select(*key, _squared_distance(values).alias("_d"))
+        border = stored(distances.groupBy(*key).agg(F.percentile_approx("_d", share, F.lit(1000)).alias("_border")), "border")
+        inner = _with_estimates(rows, found.join(border, key), group).filter(_squared_distance(values) <= F.col("_border"))
+        better = _factored(
+            inner.groupBy(*key).agg(
+                F.first("log_det").alias("_before"),
                 *[F.avg(v).alias(f"m_{v}") for v in values],
                 *[F.covar_pop(v, values[j]).alias(f"c_{i}_{j}") for i, v in enumerate(values) for j in range(i + 1)],
             ),
             values,
             floor,
         )
+        if not step:
+            found = better.withColumn("log_det", F.lit(float("inf"))).drop("_before")
+            continue
+        falls = F.col("log_det") < F.col("_before") - SETTLED
+        settled.append(better.filter(~falls).drop("_before"))
+        found = better.filter(falls).drop("_before")
+        if found.isEmpty():
+            break
+    ends = reduce(DataFrame.unionByName, settled, found)
+    best = F.min_by(F.struct(*[c for c in ends.columns if c not in key]), F.struct("log_det", "_start")).alias("_best")
+    found = stored(ends.groupBy(group).agg(best).select(group, "_best.*"), "best")
     typical = _with_estimates(rows, found, group).groupBy(group).agg(
         F.percentile_approx(_squared_distance(values), 0.5, F.lit(1000)).alias("_median"), F.count(F.lit(1)).alias("n_fitted")
     )
@@ -134,8 +182,8 @@ def judge(stats: DataFrame, least: int = LEAST, cutoff: float = CUTOFF) -> DataF
     """All rows of ``statistics`` with ``distance`` (squared, scaled) and ``kept``."""
     names = list(VECTOR)
     group = F.to_json(F.struct("lang", "source"))
-    rows = stored(stats.select("*", group.alias("_group"), *[F.expr(v).alias(k) for k, v in VECTOR.items()]), "vectors")
-    fit = rows.filter(~F.col("base_failed")).select("_group", *names)
+    rows = stored(_dealt(stats.select("*", group.alias("_group"), *[F.expr(v).alias(k) for k, v in VECTOR.items()])), "vectors")
+    fit = rows.filter(~F.col("base_failed")).select("_group", "_part", *names)
     own = robust_scatter(fit, "_group", FLOOR).filter(F.col("n_fitted") >= least)
     whole = robust_scatter(fit.withColumn("_group", F.lit("all")), "_group", FLOOR)
     groups = rows.select("_group").distinct().join(own, "_group", "left")

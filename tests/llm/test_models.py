@@ -223,6 +223,39 @@ def test_planted_outliers(spark):
     assert all(r["kept"] != (r["doc_id"] % 5 == 0) for r in found)
 
 
+STATISTICS = "doc_id bigint, lang string, source string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean"
+
+
+def test_outliers_of_one_statistic(spark):
+    """A row that deviates by one statistic alone goes, also where that statistic has no variance."""
+    random = np.random.default_rng(7)
+    rows = []
+    for k in range(500):
+        n = int(random.lognormal(6, 0.1))
+        rows.append((k, "en", "s", n, int(n * random.normal(5, 0.1)), 0, 0, 0, False))
+    odd = {"words": (4000, 20000, 0, 0, 0), "length": (400, 3200, 0, 0, 0), "symbols": (400, 2000, 40, 0, 0), "lines": (400, 2000, 0, 5, 0), "repeats": (400, 2000, 0, 0, 120)}
+    rows += [(1000 + k, "en", "s", *counts, False) for k, counts in enumerate(odd.values())]
+    found = {r["doc_id"]: r["kept"] for r in outliers.judge(spark.createDataFrame(rows, STATISTICS)).collect()}
+    assert [found[1000 + k] for k in range(len(odd))] == [False] * len(odd)
+    assert sum(found[k] for k in range(500)) >= 495
+
+
+def test_least_determinant_of_several_starts(spark):
+    """Strongly correlated rows with outliers across: the estimate is a fixed point no worse than from the diagonal start."""
+    random = np.random.default_rng(8)
+    x = random.multivariate_normal([0, 0], [[4, 3.9], [3.9, 4]], 300)
+    x[:70] = random.multivariate_normal([3, -3], [[0.1, 0], [0, 0.1]], 70)
+    floor = {"a": 0.05, "b": 0.05}
+    got = outliers.robust_scatter(spark.createDataFrame([("g", float(p), float(q)) for p, q in x], "grp string, a double, b double"), "grp", floor).first()
+    factor = np.array([[got["l_0_0"], 0], [got["l_1_0"], got["l_1_1"]]])
+    z = np.linalg.solve(factor, (x - [got["m_a"], got["m_b"]]).T)
+    d = (z * z).sum(axis=0)
+    core = x[d <= np.sort(d)[math.ceil(outliers.CORE * len(d)) - 1] + 1e-12]
+    assert np.allclose(core.mean(axis=0), [got["m_a"], got["m_b"]], atol=1e-6)
+    assert np.allclose(np.cov(core.T, bias=True) + 0.0025 * np.eye(2), factor @ factor.T, atol=1e-6)
+    assert not (d[:70] <= np.sort(d)[224]).any()
+
+
 def test_distance_is_mahalanobis(spark):
     """With steps done by numpy on the same rows, centre, scatter and distances are the same."""
     random = np.random.default_rng(5)
