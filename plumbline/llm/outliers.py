@@ -9,8 +9,9 @@ with partial results per task, over a stored table of vectors, so a language or
 Distances come from a Cholesky factor, whose entries are columns of the small table of groups.
 
 Scatter has a floor per statistic (``FLOOR``), because most texts have no symbols and no repeats at all and would
-otherwise make a single symbol an outlier. Groups of fewer than ``LEAST`` rows are judged by the estimate over all
-rows. A null language or source is a group value like any other.
+otherwise make a single symbol an outlier. By one law at all sizes, the estimate of n rows is mixed with the one above
+it, of the language over all rows and of the group over its language: its own has the weight n / (n + ``STRENGTH``), and
+the distance of both centres counts as scatter. A null language or source is a group value like any other.
 
 Null and empty texts have no words and fail the base rule. Ties of distance stay together. Repeated rows count as
 often as they occur. If no row passes the base rule, nothing is estimated and nothing is kept.
@@ -35,7 +36,9 @@ VECTOR = {
     "v_repeats": "sqrt(try_divide(n_repeat_words, n_words))",
 }
 FLOOR = {"v_words": 0.15, "v_length": 0.05, "v_symbols": 0.15, "v_lines": 0.25, "v_repeats": 0.08}
-CORE, STEPS, LEAST = 0.75, 50, 100
+CORE, STEPS = 0.75, 50
+#: So many rows weigh as much as the estimate above a group.
+STRENGTH = 10
 #: A determinant that falls by less, in its logarithm, has converged.
 SETTLED = 1e-9
 #: Parts of every group in joins of rows with group estimates, whose rows are repeated so often.
@@ -93,11 +96,11 @@ def _squared_distance(values: list[str]) -> Column:
     return sum((z * z for z in solved[1:]), solved[0] * solved[0])
 
 
-def _factored(groups: DataFrame, values: list[str], floor: dict[str, float]) -> DataFrame:
-    """Groups with the Cholesky factor of their scatter c_i_j, each variance raised by its floor."""
+def _factored(groups: DataFrame, values: list[str], floor: dict[str, float], raised: bool = False) -> DataFrame:
+    """Groups with the Cholesky factor of their scatter c_i_j, each variance raised by its floor if not ``raised`` before."""
     for i, name in enumerate(values):
         for j in range(i + 1):
-            entry = F.col(f"c_{i}_{j}") + (floor[name] ** 2 if i == j else 0.0)
+            entry = F.col(f"c_{i}_{j}") + (floor[name] ** 2 if i == j and not raised else 0.0)
             for k in range(j):
                 entry = entry - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
             # The floor keeps every pivot above zero, up to rounding.
@@ -178,19 +181,40 @@ def robust_scatter(rows: DataFrame, group: str, floor: dict[str, float], core: f
     return stored(found.join(typical, group).withColumn("scale", F.greatest(F.lit(1.0), F.col("_median") / CHI2_MEDIAN)).drop("_median"), "robust")
 
 
-def judge(stats: DataFrame, least: int = LEAST, cutoff: float = CUTOFF) -> DataFrame:
+def _mixed(above: DataFrame, own: DataFrame, values: list[str]) -> DataFrame:
+    """Estimates ``above`` (m_v and c_i_j by ``_key``), each mixed with the ``own`` one of its key, if there is one."""
+    names = [c for c in above.columns if c.startswith(("m_", "c_"))]
+    both = above.select(*[F.col(c).alias(f"up_{c}" if c in names else c) for c in above.columns]).join(own, "_key", "left")
+    weight = F.coalesce(F.col("n_fitted") / (F.col("n_fitted") + STRENGTH), F.lit(0.0))
+    mix = lambda c: weight * F.col(c) + (1 - weight) * F.col(f"up_{c}")
+    apart = lambda k: F.col(f"m_{values[k]}") - F.col(f"up_m_{values[k]}")
+    mixed = {c: mix(c) for c in names if c.startswith("m_")}
+    for i in range(len(values)):
+        for j in range(i + 1):
+            mixed[f"c_{i}_{j}"] = mix(f"c_{i}_{j}") + weight * (1 - weight) * apart(i) * apart(j)
+    kept = [c for c in above.columns if c not in names]
+    return stored(both.select(*kept, *[F.coalesce(e, f"up_{c}").alias(c) for c, e in mixed.items()]), "mixed")
+
+
+def judge(stats: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """All rows of ``statistics`` with ``distance`` (squared, scaled) and ``kept``."""
     names = list(VECTOR)
-    group = F.to_json(F.struct("lang", "source"))
-    rows = stored(_dealt(stats.select("*", group.alias("_group"), *[F.expr(v).alias(k) for k, v in VECTOR.items()])), "vectors")
-    fit = rows.filter(~F.col("base_failed")).select("_group", "_part", *names)
-    own = robust_scatter(fit, "_group", FLOOR).filter(F.col("n_fitted") >= least)
-    whole = robust_scatter(fit.withColumn("_group", F.lit("all")), "_group", FLOOR)
-    groups = rows.select("_group").distinct().join(own, "_group", "left")
-    # One row, of all rows' estimate, stands in for small groups.
-    columns = [c for c in own.columns if c != "_group"]
-    shared = whole.withColumn("_all", F.lit(1)).select("_all", *[F.col(c).alias(f"w_{c}") for c in columns])
-    filled = groups.withColumn("_all", F.lit(1)).join(shared, "_all", "left").select("_group", *[F.coalesce(c, f"w_{c}").alias(c) for c in columns])
-    judged = _with_estimates(rows, stored(filled, "groups"), "_group").withColumn("distance", _squared_distance(names) / F.col("scale"))
+    group = F.concat(F.lit("group "), F.to_json(F.struct("lang", "source"))).alias("_group")
+    lang = F.concat(F.lit("language "), F.to_json(F.struct("lang"))).alias("_lang")
+    rows = stored(_dealt(stats.select("*", group, lang, *[F.expr(v).alias(k) for k, v in VECTOR.items()])), "vectors")
+    # Every row counts in its group, its language and the whole.
+    levels = F.explode(F.array("_group", "_lang", F.lit("whole"))).alias("_group")
+    fit = stored(rows.filter(~F.col("base_failed")).select(levels, "_part", *names), "levels")
+    found = robust_scatter(fit, "_group", FLOOR)
+    entry = lambda i, j: F.col("scale") * sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(1, j + 1)), F.col(f"l_{i}_0") * F.col(f"l_{j}_0"))
+    entries = [entry(i, j).alias(f"c_{i}_{j}") for i in range(len(names)) for j in range(i + 1)]
+    own = stored(found.select(F.col("_group").alias("_key"), "n_fitted", *[f"m_{v}" for v in names], *entries), "moments")
+    groups = stored(rows.select("_group", "_lang").distinct(), "groups")
+    whole = own.filter("_key = 'whole'").drop("n_fitted").withColumnRenamed("_key", "_whole")
+    languages = groups.select(F.col("_lang").alias("_key"), F.lit("whole").alias("_whole")).distinct().join(whole, "_whole", "left").drop("_whole")
+    above = _mixed(languages, own, names).withColumnRenamed("_key", "_lang")
+    mixed = _mixed(groups.withColumnRenamed("_group", "_key").join(above, "_lang", "left").drop("_lang"), own, names)
+    estimates = _factored(mixed.withColumnRenamed("_key", "_group"), names, FLOOR, raised=True)
+    judged = _with_estimates(rows, estimates, "_group").withColumn("distance", _squared_distance(names))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(False))
     return judged.select(*stats.columns, "distance", kept.alias("kept"))

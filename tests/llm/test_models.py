@@ -256,6 +256,21 @@ def test_least_determinant_of_several_starts(spark):
     assert not (d[:70] <= np.sort(d)[224]).any()
 
 
+def test_group_size_is_no_switch(spark):
+    """Groups of 99 and 100 rows judge alike, and a rare language keeps its own rows and loses its outlier."""
+    random = np.random.default_rng(9)
+    n = np.exp(random.normal(6, 0.2, 700)).astype(int)
+    row = lambda k, lang, source, length: (k, lang, source, int(n[k % 700]), int(n[k % 700] * length), 0, 0, 0, False)
+    rows = [row(k, "en", "s", random.normal(5, 0.1)) for k in range(600)]
+    lengths = random.normal(7, 0.1, 100)
+    rows += [row(700 * c + k, "en", f"t{c}", lengths[k]) for c, size in ((1, 99), (2, 100)) for k in range(size)]
+    rows += [row(5000 + k, "xx", "s", random.normal(9, 0.2)) for k in range(40)] + [row(5040, "xx", "s", 20.0)]
+    found = {r["doc_id"]: r for r in outliers.judge(spark.createDataFrame(rows, STATISTICS)).collect()}
+    for k in range(99):
+        assert found[700 + k]["distance"] == pytest.approx(found[1400 + k]["distance"], rel=0.2, abs=0.3)
+    assert sum(found[5000 + k]["kept"] for k in range(40)) == 40 and not found[5040]["kept"]
+
+
 def test_distance_is_mahalanobis(spark):
     """With steps done by numpy on the same rows, centre, scatter and distances are the same."""
     random = np.random.default_rng(5)
