@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat_tools, ctw, decontaminate, jaccard_join, language_id, outliers, packing, sharding, toxicity, warc
+from plumbline.llm import chat_tools, ctw, decontaminate, jaccard_join, language_id, merkle, mixing, outliers, packing, ranked_search, sharding, toxicity, warc
 from plumbline.llm.base import remainder, table, utf8
 from plumbline.session import fresh_path
 
@@ -170,6 +170,32 @@ def op8_warc(spark, sf):
     )
 
 
+@register
+def op11_nra(spark, sf):
+    """The ten best documents of every benchmark item."""
+    return ranked_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=10)
+
+
+@register
+def op12_mixing(spark, sf):
+    """Copies of all documents, so that sources meet their shares of the words."""
+    return mixing.mix(table(spark, sf, "documents"), weights=(5, 2, 1), most=3)
+
+
+@register
+def op13_merkle(spark, sf):
+    """Proofs of all documents against the root of the manifest; of some, the number of characters is tampered with."""
+    docs = table(spark, sf, "documents")
+    columns = ["doc_id", "source", "lang", F.col("n_chars"), "text"]
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    other = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    claimed = merkle.leaf_digest(*columns[:3], other, columns[4])
+    leaves = docs.select(merkle.tree_of("lang").alias("tree"), "doc_id", merkle.leaf_digest(*columns).alias("leaf"), claimed.alias("claimed"))
+    return merkle.proofs(merkle.manifest(leaves), "claimed").select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 ORACLES["op2_chat_tools"] = """
 WITH said AS (SELECT *, CAST(length(text) AS BIGINT) AS n, string_split(text, ' ')[1] AS word FROM conversations),
 calls AS (SELECT conv_id, turn, 'call_' || turn AS call_id, n, word, n % 17 = 0 AS broken,
@@ -246,3 +272,57 @@ SELECT page_id, strlen(p) AS payload_bytes, sha1(p) AS payload_digest,
        CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN response <> page_id THEN response END AS refers_to
 FROM payloads LEFT JOIN firsts USING (p)"""
+
+ORACLES["op11_nra"] = f"""
+WITH items AS (SELECT row_number() OVER () AS i, item_id, {_WORDS.format("text")} AS ws FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark)),
+asked AS (SELECT DISTINCT i, item_id, unnest(ws) AS t FROM items),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+sizes AS (SELECT r, doc_id, CAST(len(ws) AS BIGINT) AS n FROM docs WHERE len(ws) > 0),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes),
+counts AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ws) AS t FROM docs) WHERE t IN (SELECT t FROM asked) GROUP BY r, t),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counts, corpus GROUP BY t, docs),
+scores AS (SELECT i, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words)))) AS BIGINT) AS score
+           FROM asked JOIN counts USING (t) JOIN weights USING (t) JOIN sizes USING (r), corpus GROUP BY i, item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0) WHERE rank <= 10"""
+
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || {0}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII text, bit by bit: the bytes go in as 256 + value, the steps over bits as 0."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [256 + ord(c), 0, 0, 0, 0, 0, 0, 0, 0]))"
+    shift = "CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda a, x: CASE WHEN x > 0 THEN xor(a, x - 256) ELSE {shift} END), 4294967295)"
+
+
+ORACLES["op13_merkle"] = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf("n_chars")} AS leaf,
+       CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS claimed FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM docs),
+nodes(tree, level, pos, n, h) AS (
+    SELECT tree, 0, pos, n, leaf FROM placed
+    UNION ALL SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+heads AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(level, pos, n, h) AS (
+    SELECT 0, pos, n, subroot FROM heads
+    UNION ALL SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY level, pos // 2, n),
+spot AS (SELECT row_number() OVER () AS r, doc_id, leaf, claimed, p.tree, p.pos, p.n, subroot, heads.pos AS head, heads.n AS heads FROM placed p JOIN heads USING (tree)),
+below(r, level, pos, n, proof, h) AS (
+    SELECT r, 0, pos, n, '', claimed FROM spot
+    UNION ALL
+    SELECT b.r, b.level + 1, b.pos // 2, (b.n + 1) // 2, b.proof || coalesce(s.h, ''),
+           sha256(CASE WHEN s.h IS NULL THEN b.h WHEN b.pos % 2 = 1 THEN s.h || b.h ELSE b.h || s.h END)
+    FROM below b JOIN spot USING (r) LEFT JOIN nodes s ON s.tree = spot.tree AND s.level = b.level AND s.pos = xor(b.pos, 1) WHERE b.n > 1),
+above(r, level, pos, n, proof, h) AS (
+    SELECT r, 0, head, heads, b.proof, b.h FROM below b JOIN spot USING (r) WHERE b.n = 1
+    UNION ALL
+    SELECT a.r, a.level + 1, a.pos // 2, (a.n + 1) // 2, a.proof || coalesce(s.h, ''),
+           sha256(CASE WHEN s.h IS NULL THEN a.h WHEN a.pos % 2 = 1 THEN s.h || a.h ELSE a.h || s.h END)
+    FROM above a LEFT JOIN tops s ON s.level = a.level AND s.pos = xor(a.pos, 1) WHERE a.n > 1)
+SELECT doc_id, leaf, subroot, t.h AS root, sha256(a.proof) AS proof_sha256, a.h AS folded_root, a.h = t.h AS verified
+FROM above a JOIN spot USING (r), (SELECT h FROM tops WHERE n = 1) t WHERE a.n = 1"""
