@@ -279,7 +279,8 @@ def tree_of(lang: Column | str) -> Column:
 def manifest(leaves: DataFrame, height: int = HEIGHT) -> Manifest:
     """Manifest over ``leaves`` (tree, doc_id, leaf, and further narrow columns), by doc_id in each tree."""
     order = [F.col("doc_id").asc_nulls_first(), F.col("leaf").asc()]
-    placed = stored(running(leaves.withColumn("_one", F.lit(1).cast("bigint")), "tree", order, "_one", "position").drop("_one"), "merkle-leaves")
+    narrow = stored(leaves.withColumn("_one", F.lit(1).cast("bigint")), "merkle-digests")  # texts are read once
+    placed = stored(running(narrow, "tree", order, "_one", "position").drop("_one"), "merkle-leaves")
     layers = build_manifest(placed.select("tree", "position", F.col("leaf").alias("digest")), height)
     roots = tree_roots(layers).select(F.lit(_TOP).alias("all"), "tree", F.col("root").alias("subroot"), F.lit(1).cast("bigint").alias("_one"))
     ranked = stored(running(roots, "all", [F.col("tree").asc()], "_one", "position"), "merkle-subroots")
