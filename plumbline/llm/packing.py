@@ -18,10 +18,10 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from plumbline.llm.base import slices, stored, utf8
 
 TIERS = (2048, 1024, 512, 256)
 BLOCK_TOKENS = 4_000_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 #: The split of a text before byte pairs are merged, as the public vocabulary defines it: a fixed value.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PROBE = "It's 12 o'clock,\n\n  naïve\tÜber-straße  東京 🙂!! x<|endoftext|>   end "
@@ -49,7 +49,8 @@ def _byte_of_character() -> dict[str, int]:
 class Encoder:
     """Ids of a byte-level vocabulary file, with the ids of recent words at hand.
 
-    A text whose blanks all stand alone splits at them without any effect on its ids, so most words are looked up.
+    A text whose blanks all stand alone splits at them without any effect on its ids, so most words are looked up. A
+    text that holds an added token goes to the tokenizer as it is. Ids are kept as bytes, 32 bits each.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,26 +58,26 @@ class Encoder:
         from tokenizers import Tokenizer
 
         byte = _byte_of_character()
-        special = {t["content"] for t in json.load(open(path, encoding="utf-8")).get("added_tokens", [])}
+        with open(path, encoding="utf-8") as file:
+            self._added = [t["content"] for t in json.load(file).get("added_tokens", [])]
         whole = Tokenizer.from_file(path)
-        whole.encode_special_tokens = True
-        vocabulary = {t: k for t, k in whole.get_vocab().items() if t not in special}
+        vocabulary = {t: k for t, k in whole.get_vocab().items() if t not in set(self._added)}
         ranks = {bytes(byte[c] for c in t): k for t, k in vocabulary.items()}
         fast = tiktoken.Encoding("byte-level", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        self._plain = fast.encode_ordinary
-        if self._plain(_PROBE) != whole.encode(_PROBE, add_special_tokens=False).ids:
-            self._plain = lambda text: whole.encode(text, add_special_tokens=False).ids
-        self._words: dict[str, list[int] | None] = {}
+        self._whole = lambda text: whole.encode(text, add_special_tokens=False).ids
+        self._plain = fast.encode_ordinary if fast.encode_ordinary(_PROBE) == self._whole(_PROBE) else self._whole
+        self._words: dict[str, bytes | None] = {}
 
-    def _learn(self, word: str) -> list[int] | None:
+    def _learn(self, word: str) -> bytes | None:
         known = self._words
         if len(known) >= CACHED_WORDS:
             known.clear()
-        ids = None if not word or word[0].isspace() or word[-1].isspace() else self._plain(" " + word)
-        known[word] = ids
-        return ids
+        known[word] = None if not word or word[0].isspace() or word[-1].isspace() else _packed(self._plain(" " + word))
+        return known[word]
 
     def __call__(self, text: str) -> np.ndarray:
+        if any(token in text for token in self._added):
+            return np.array(self._whole(text), np.uint32)
         first, *rest = text.split(" ")
         if rest and (not first or first[-1].isspace()):
             return np.array(self._plain(text), np.uint32)
@@ -84,7 +85,11 @@ class Encoder:
         ids = [known[w] if w in known else self._learn(w) for w in rest]
         if None in ids:
             return np.array(self._plain(text), np.uint32)
-        return np.fromiter(chain(self._plain(first), chain.from_iterable(ids)), np.uint32)
+        return np.frombuffer(b"".join([_packed(self._plain(first)), *ids]), np.uint32)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
 
 @lru_cache(2)
