@@ -11,8 +11,9 @@ is beyond chance, given how many features were looked at; it then has the shrunk
 has the probability that any of its words is toxic. Near copies among the labelled rows, classes of the
 Jaccard join, are counted once for each label; every other labelled row teaches.
 
-Bounds: the trigram table has 64^3 entries; labels are a sample of at most about ``LABELLED`` rows, chosen by hash;
-the model keeps the ``FEATURES`` features of the strongest evidence.
+Bounds: the trigram table has 64^3 entries; labels are a sample of at most about ``LABELLED`` rows, chosen by hash. The
+model keeps every feature with evidence. The evidence asked for is that of several toxic texts at least, so there are
+fewer such features than different words in the sample's toxic texts, whatever the size of the corpus.
 
 Null and empty texts have the base score, as has any text without known words. Rows with a null label teach nothing;
 without labels of both kinds every text has score 0. Repeated rows are scored each.
@@ -39,7 +40,6 @@ from plumbline.llm.words import Words, mix, words_of
 LABELLED = 200_000
 #: Near copies share this part of their runs of so many words.
 COPY_WORDS, COPY_SIMILARITY = 5, 0.8
-FEATURES = 50_000
 PREFIXES = (4, 5, 6, 7)
 #: Look-alikes and the letters they stand for: fixed values.
 LOOK_ALIKES = {
@@ -50,7 +50,7 @@ LOOK_ALIKES = {
 #: Log costs of the channel: a look-alike for a letter, a star for a consonant, a look-alike kept as a break within a
 #: run, standing alone, as usual punctuation or markup around a run, as another sign there, a shortened run, dropped spaces.
 SUBSTITUTED, MASKED, BROKEN, ALONE, AROUND, OUTSIDE, SHORTENED, JOINED = -1.0, -2.5, -5.0, -2.0, -2.0, -6.0, -2.0, -2.0
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 _SYMBOLS = 64
 _MARKS = "".join(re.escape(c) for c in LOOK_ALIKES)
 _SIGNS = "".join(re.escape(c) for c in LOOK_ALIKES if not c.isalnum())
@@ -343,7 +343,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     ).otherwise(0.0)
     strong = counts.filter((F.col("bad") > 0) & (share > model.base)).withColumn("gain", gain).filter(F.col("gain") > float(np.log(10.0 * looked_at)))
     shrunk = (F.col("bad") + 2 * model.base) / (F.col("bad") + F.col("good") + 2)
-    found = strong.withColumn("share", shrunk).filter("share >= 0.75").orderBy(F.desc("gain"), "feature").limit(FEATURES).toPandas()
+    found = strong.withColumn("share", shrunk).filter("share >= 0.75").select("feature", "share").toPandas()
     hashes = found["feature"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     model.features, model.share = hashes[order], found["share"].to_numpy(float)[order]

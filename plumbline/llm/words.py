@@ -9,19 +9,24 @@ import numpy as np
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = np.ones((2, 1), np.uint64)
+#: Powers kept for the process; more are made for one use.
+_KEPT = 1 << 21
 
 #: A-Z in lower case; every byte that is neither a digit, a letter nor part of a longer code point is 0.
 WORD_BYTES = np.array([b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 0 for b in range(256)], np.uint8)
 
 
 def _power_table(n: int) -> np.ndarray:
-    """Powers of the base and of its inverse modulo 2^64, by doubling; kept for the process."""
+    """Powers of the base and of its inverse modulo 2^64, by doubling."""
     global _powers
-    while _powers.shape[1] < n:
-        k = _powers.shape[1]
+    powers = _powers
+    while powers.shape[1] < n:
+        k = powers.shape[1]
         step = np.array([[pow(_BASE, k, 1 << 64)], [pow(_INVERSE, k, 1 << 64)]], np.uint64)
-        _powers = np.concatenate([_powers, _powers * step], axis=1)
-    return _powers
+        powers = np.concatenate([powers, powers[:, : n - k] * step], axis=1)
+        if powers.shape[1] <= _KEPT:
+            _powers = powers
+    return powers
 
 
 def mix(x: np.ndarray) -> np.ndarray:
