@@ -1,9 +1,10 @@
 """Language ID: multinomial naive Bayes over hashed character n-grams.
 
 The counts of all training texts are summed per language and hash slot, in numpy inside the tasks and then by Spark.
-The log-probability matrix, one row per slot and one column per language, is broadcast; both its sides have a fixed
-bound, ``SLOTS`` and ``MAX_LANGUAGES`` (more codes than there are languages; more labels than that are an error).
-A text is scored as a sparse vector of slot counts: rows of the matrix are gathered and summed per text.
+The log-probability matrix, one row per slot and one column per language, is broadcast in parts of at most ``SIDE``
+languages, so a part has a fixed bound and the number of languages has none. A text is scored as a sparse vector of slot
+counts: rows of the matrix are gathered and summed per text. Each part gives its best language and the sum of its
+probabilities, and the parts are put together in the row.
 
 Null, empty or letterless text: ``und`` with score 0. Rows without a language or text teach nothing. Without any
 training row every text is ``und``. Ties go to the alphabetically first language. Repeated rows count as often as
@@ -18,26 +19,36 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.base import slices, stored, utf8
 
 SLOTS = 1 << 16
 ORDERS = (1, 2, 3)
-MAX_LANGUAGES = 2048
+#: Languages of one part of the matrix: 128 MB.
+SIDE = 256
 SMOOTHING = 0.5
 UNDETERMINED = "und"
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 
 @dataclass
-class Model:
+class Part:
     languages: list[str]
     prior: np.ndarray  # log share of training texts, by language
     weight: np.ndarray  # log probability, language by slot; the last slot is zero
 
 
+@dataclass
+class Model:
+    parts: list[Part]  # languages in alphabetical order
+
+    @property
+    def languages(self) -> list[str]:
+        return [name for part in self.parts for name in part.languages]
+
+
 @cache
 def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
@@ -103,34 +114,35 @@ def train(docs: DataFrame) -> Model:
     rows = docs.select("text", F.col("lang").cast("string").alias("lang")).dropna()
     sums = _counts(rows.select(utf8("text").alias("text"), "lang")).groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     counts = stored(sums, "language-counts")
-    # One row per language before anything larger comes to the driver.
-    sizes = counts.filter("slot = -1").orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    languages = [r["lang"] for r in sizes]
-    total = np.zeros((len(languages), SLOTS))
-    if languages:
-        found = counts.filter("slot >= 0").toPandas()
+    sizes = counts.filter("slot = -1").orderBy("lang").collect()  # a name and a number for each language
+    texts, parts = sum(r["n"] for r in sizes), []
+    for at in range(0, len(sizes), SIDE):
+        some = sizes[at : at + SIDE]
+        languages = [r["lang"] for r in some]
+        inside = F.col("lang").between(languages[0], languages[-1])
+        found = counts.filter(inside & (F.col("slot") >= 0)).toPandas()  # at most SIDE * SLOTS rows
+        total = np.zeros((len(languages), SLOTS))
         total[found["lang"].map({v: k for k, v in enumerate(languages)}), found["slot"]] = found["n"]
-    weight = np.log(total + SMOOTHING) - np.log(total.sum(axis=1, keepdims=True) + SMOOTHING * SLOTS)
-    prior = np.log(np.array([r["n"] for r in sizes] or [1], float) / max(1, sum(r["n"] for r in sizes)))
-    return Model(languages, prior, np.hstack([weight, np.zeros((len(languages), 1))]))
+        weight = np.log(total + SMOOTHING) - np.log(total.sum(axis=1, keepdims=True) + SMOOTHING * SLOTS)
+        prior = np.log(np.array([r["n"] for r in some], float) / texts)
+        parts.append(Part(languages, prior, np.hstack([weight, np.zeros((len(languages), 1))])))
+    return Model(parts)
 
 
-def score(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Language and posterior probability of each text (bytes)."""
+def score(texts: pa.Array, part: Part) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best language of a part for each text (bytes), its log probability with the text, and that of all its languages.
+
+    A text without letters has none.
+    """
     if not len(texts):
-        return np.zeros(0, object), np.zeros(0)
+        return np.zeros(0, object), np.zeros(0), np.zeros(0)
     first, has_letter, slots = _grams(texts)
-    known = has_letter & bool(model.languages)
-    if not model.languages:
-        return np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts))
-    total = np.tile(model.prior, (len(texts), 1))
-    for k, column in enumerate(model.weight):
+    total = np.tile(part.prior, (len(texts), 1))
+    for k, column in enumerate(part.weight):
         total[:, k] += np.add.reduceat(sum(column.take(slot) for slot in slots), first)
-    best = total.argmax(axis=1)
-    share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-    return np.where(known, np.array(model.languages, object)[best], UNDETERMINED), np.where(known, share, 0.0)
+    best, most = total.argmax(axis=1), total.max(axis=1)
+    every = most + np.log(np.exp(total - most[:, None]).sum(axis=1))
+    return np.where(has_letter, np.array(part.languages, object)[best], None), most, every
 
 
 def identify(docs: DataFrame, model: Model, text: str | Column = "text") -> DataFrame:
@@ -138,17 +150,35 @@ def identify(docs: DataFrame, model: Model, text: str | Column = "text") -> Data
 
     The text itself is what the model sees; no other column is read.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("lang_pred string, lang_score double")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "lang_score")]
+    found = [_scored(docs.sparkSession, part)(utf8(text)) for part in model.parts]
+    if not found:
+        return docs.select(*rest, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("lang_score"))
+    rows = docs.select(*rest, F.array(*found).alias("_found"))
+    # Of equal parts the first has the alphabetically first language.
+    best = F.reduce(
+        "_found", F.get("_found", F.lit(0)), lambda a, x: F.when(x["most"] > a["most"], x).otherwise(a)
+    )
+    every = F.reduce("_found", F.lit(0.0), lambda a, x: a + F.exp(x["every"] - F.array_max(F.transform("_found", lambda y: y["every"]))))
+    top = F.array_max(F.transform("_found", lambda y: y["every"]))
+    share = F.exp(best["most"] - top) / every
+    named = best["lang"].isNotNull()
+    return rows.select(
+        *rest, F.coalesce(best["lang"], F.lit(UNDETERMINED)).alias("lang_pred"), F.when(named, share).otherwise(0.0).alias("lang_score")
+    )
+
+
+def _scored(spark: SparkSession, part: Part):
+    sent = spark.sparkContext.broadcast(part)
+
+    @F.pandas_udf("lang string, most double, every double")
     def predict(values):
         import pandas as pd
 
         out = []
         batch = pa.RecordBatch.from_arrays([pa.Array.from_pandas(values, type=pa.large_binary())], ["text"])
-        for part in slices(batch, "text"):
-            out.append(pd.DataFrame(dict(zip(("lang_pred", "lang_score"), score(part.column("text"), sent.value), strict=True))))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"lang_pred": [], "lang_score": []})
+        for rows in slices(batch, "text"):
+            out.append(pd.DataFrame(dict(zip(("lang", "most", "every"), score(rows.column("text"), sent.value), strict=True))))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"lang": [], "most": [], "every": []})
 
-    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "lang_score")]
-    return docs.select(*rest, predict(utf8(text)).alias("_found")).select(*rest, "_found.lang_pred", "_found.lang_score")
+    return predict
