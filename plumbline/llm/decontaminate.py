@@ -11,7 +11,7 @@ bounded however many items there are; with several chunks the index holds all te
 
 Words are runs of letters, digits and non-ASCII characters, A-Z in lower case. Terms are 64-bit hashes of words. Null
 and empty texts have no words and no hits; an item without words has no window and never occurs. Repeated rows of
-``docs`` are rows of their own; items of equal ids count once. Empty tables give no rows, or rows without hits.
+``docs`` are rows of their own; repeated items, and items of equal ids, count once. Empty tables give no rows, or rows without hits.
 """
 
 from __future__ import annotations
@@ -259,9 +259,9 @@ def _within(values: np.ndarray, anchors: np.ndarray, reach: int) -> np.ndarray:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_words, n_hit, spans and items of ``benchmark`` (item_id, text) found in it."""
-    _, size = volume(benchmark, "text")
+    test = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), utf8("text").alias("text")).distinct()
+    _, size = volume(test, "text")
     chunks = -(-size // CHUNK_BYTES) or 1
-    test = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), utf8("text").alias("text"))
     test = test.withColumn("chunk", F.pmod(F.xxhash64("item", "text"), F.lit(chunks)))
     index, parts = None, []
     for chunk in range(chunks):
