@@ -31,24 +31,57 @@ def test_held_out_accuracy(spark):
     assert sum(r["lang_pred"] == r["lang"] for r in rows) > 0.98 * len(rows)
 
 
-def test_scores_by_hand(spark):
-    """Sums over the n-grams of a text, one by one, give the same posterior as the gathered matrix."""
-    docs = spark.createDataFrame([(1, "der Hund und die Katze", "de"), (2, "the dog and the cat", "en"), (3, "", "en"), (4, None, "en")], "doc_id int, text string, lang string")
-    model = language_id.train(docs)
-    assert model.languages == ["de", "en"]
-    assert np.allclose(np.exp(model.prior), [1 / 3, 2 / 3])
-    import pyarrow as pa
-
-    text = "the Katze!"
-    _, _, slots = language_id._grams(pa.array([text.encode()], pa.large_binary()))
-    total = model.prior.copy()
-    for order in slots:
-        for slot in order:
-            if slot < language_id.SLOTS:
-                total = total + [w[slot] for w in model.weight]
-    share = np.exp(total - total.max()) / np.exp(total - total.max()).sum()
-    names, score = language_id.score(pa.array([text.encode()], pa.large_binary()), model)
-    assert names[0] == model.languages[int(share.argmax())] and np.isclose(score[0], share.max())
+def slot_by_hand(gram):
+    """The hash of an n-gram, of the last character first, in plain integers."""
+    value = sum(ord(c) * f for c, f in zip(reversed(gram), (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D), strict=False)) % 2**32
+    value = (value + len(gram) - 1) * 0x27D4EB2F % 2**32
+    value = (value ^ value >> 15) * 0x165667B1 % 2**32
+    return value >> 16
+
+
+def slots_by_hand(text):
+    """Counts of the slots of all n-grams of a text, one by one."""
+    plain = re.sub(r"\s+", " ", " " + "".join(c if c.isalpha() else " " for c in text.lower()))
+    return Counter(slot_by_hand(plain[k : k + n]) for n in (1, 2, 3) for k in range(len(plain) - n + 1))
+
+
+def posterior_by_hand(rows, texts):
+    """(language, probability) of each text by multinomial naive Bayes, from training rows (text, language)."""
+    langs = sorted({lang for _, lang in rows})
+    counts = {lang: sum((slots_by_hand(t) for t, own in rows if own == lang), Counter()) for lang in langs}
+    out = []
+    for text in texts:
+        if not any(c.isalpha() for c in text or ""):
+            out.append(("und", 0.0))
+            continue
+        total = np.array([
+            np.log(sum(own == lang for _, own in rows) / len(rows))
+            + sum(n * (np.log(counts[lang][s] + 0.5) - np.log(counts[lang].total() + 0.5 * 65536)) for s, n in slots_by_hand(text).items())
+            for lang in langs
+        ])
+        share = np.exp(total - total.max())
+        out.append((langs[int(share.argmax())], share.max() / share.sum()))
+    return out
+
+
+@pytest.mark.parametrize("side", [256, 1, 2])
+def test_scores_by_hand(spark, monkeypatch, side):
+    """Counts and posterior from plain n-grams; the matrix in one part and in many, with more labels than a part holds."""
+    monkeypatch.setattr(language_id, "SIDE", side)
+    rows = [("der Hund und die Katze", "de"), ("the dog and the cat", "en"), ("", "en"), ("El perro, 12 y el gato!", "es"), ("le chien  et le chat", "fr"), ("the the", "en"), ("ça été", "fr")]
+    docs = spark.createDataFrame([*rows, (None, "en"), ("x", None)], "text string, lang string")
+    texts = ["the Katze!", "", None, "123 !!", "perro chat", "Der the", "ÇA", "e", "x" * 500 + " the", "el le"]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = language_id.identify(asked, language_id.train(docs)).orderBy("doc_id").collect()
+    for r, (lang, share) in zip(found, posterior_by_hand(rows, texts), strict=True):
+        assert r["lang_pred"] == lang and np.isclose(r["lang_score"], share), r
+
+
+def test_many_labels(spark):
+    """More labels than one part of the matrix holds."""
+    docs = spark.range(700).selectExpr("id AS doc_id", "lpad(id, 4, '0') AS lang", "repeat(concat(translate(lpad(id, 3, '0'), '0123456789', 'abcdefghij'), ' '), 20) AS text")
+    found = language_id.identify(docs, language_id.train(docs))
+    assert found.filter("lang_pred = lang").count() > 690
 
 
 def test_no_training_rows(spark):
@@ -154,8 +187,7 @@ def test_ids_are_those_of_the_tokenizer():
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     whole, encode = Tokenizer.from_file(path), packing.encoder(path)
-    whole.encode_special_tokens = True
-    texts = ["", " ", "  a", "a  b", "a \n b", "it's  John's", "x\n\n y", " lead", "trail ", "<|endoftext|> a", "ß É 東京 🙂 　 z", "a\t b", "1 22 333,4", "a   b    c"]
+    texts = ["", " ", "  a", "a  b", "a \n b", "it's  John's", "x\n\n y", " lead", "trail ", "<|endoftext|> a", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>", "<|endoftext", "ß É 東京 🙂 　 z", "a\t b", "1 22 333,4", "a   b    c"]
     for text in texts + ["Hello world " * 50]:
         assert encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
@@ -177,8 +209,8 @@ def test_packing_round_trip(spark, odd_documents):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
-    docs = odd_documents.select("doc_id", "text")
+    marked = spark.createDataFrame([(900, "a <|endoftext|> b"), (901, "<|endoftext|>")], "doc_id bigint, text string")
+    docs = odd_documents.select("doc_id", "text").unionByName(marked)
     rows = packing.pack_documents(docs, path, with_ids=True).collect()
     sequences, tiers = {}, {}
     for r in rows:
