@@ -1,8 +1,9 @@
 """The 21 template checks: details, per-template summary and totals.
 
-Checks on a single resource are evaluated inside its row, so one scan and one JSON parse serve all of them and
-nothing is shuffled before the final count. Only checks 1, 12, 15 and 19 need the dependency graph: details read it in
-a branch of the narrow columns ``name, type, dependsOn``, the summary in the same pass. No check needs a join.
+Checks on a single resource are evaluated inside its row, so one scan serves all of them and nothing is shuffled before
+the final count. Checks on activities have a branch that reads nothing else, one row per activity. Only checks 1, 12, 15
+and 19 need the dependency graph: details read it in a branch of the narrow columns ``name, type, dependsOn``, the
+summary in the pass over resources. No check needs a join.
 
 Names are compared ignoring case, dependency conditions are not. "Missing" is null or empty, a missing array has
 length 0, and an unset batch count fails both check 9 and check 10.
@@ -15,14 +16,15 @@ the original's count, which is that of check 5.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.constants import CHECKS, DEFAULT_TIMEOUT, FOREACH_BATCH_MAXIMUM
 from plumbline.functions.text import clean_name, key_name
-from plumbline.operators.graph import mentions, of_kinds, redundant_resources
-from plumbline.operators.templates import ACTIVITY_DDL, resources_of_type, with_properties
+from plumbline.operators.graph import mentions, redundant_resources, untriggered_pipelines
+from plumbline.operators.templates import ACTIVITY_DDL, is_stored, resources_of_type, with_properties
 
 ALL = tuple(number for number, *_ in CHECKS)
 
@@ -52,27 +54,28 @@ def _impossible(rows: DataFrame) -> DataFrame:
     """Add the flag ``impossible`` of check 2 to rows with activities, near linear in their number.
 
     Activities are sorted by name and those of one name put together. They are sorted again with the failure list: a
-    name is in the list if the entry before it is the same name from there.
+    name is in the list if the entry before it is the same name from there. A pipeline without a failure list, the usual
+    case, is done before any of this.
     """
     waits_for = _UPSTREAM.format("Succeeded")
+    rows = rows.selectExpr("*", f"IF(exists(p.activities, a -> array_size(a.dependsOn) > 1), {_FAILED}, NULL) AS failed")
     rows = rows.selectExpr(
         "*",
-        f"{_FAILED} AS failed",
-        f"""sort_array(transform(coalesce(p.activities, from_json('[]', 'ARRAY<{ACTIVITY_DDL}>')),
-            a -> struct(lower(a.name) AS name, {waits_for} AS upstream))) AS sorted""",
+        f"""IF(coalesce(array_size(failed), 0) > 0, sort_array(transform(p.activities,
+            a -> struct(lower(a.name) AS name, {waits_for} AS upstream))), NULL) AS sorted""",
     )
     rows = rows.selectExpr(
         "*",
-        """filter(IF(array_size(sorted) = 0, CAST(array() AS ARRAY<INT>), sequence(0, array_size(sorted) - 1)),
-            i -> i = 0 OR NOT get(sorted, i).name <=> get(sorted, i - 1).name) AS starts""",
+        """IF(sorted IS NULL, NULL, filter(sequence(0, array_size(sorted) - 1),
+            i -> i = 0 OR NOT get(sorted, i).name <=> get(sorted, i - 1).name)) AS starts""",
     )
     named = """transform(starts, (s, k) -> struct(get(sorted, s).name AS name, true AS waits, flatten(transform(
         slice(sorted, s + 1, coalesce(get(starts, k + 1), array_size(sorted)) - s), x -> x.upstream)) AS upstream))"""
     listed = "transform(failed, n -> struct(n AS name, false AS waits, CAST(array() AS ARRAY<STRING>) AS upstream))"
-    rows = rows.selectExpr("*", f"sort_array(concat({listed}, {named})) AS together")
+    rows = rows.selectExpr("*", f"IF(sorted IS NULL, NULL, sort_array(concat({listed}, {named}))) AS together")
     succeeded = """transform(filter(together, (x, i) -> x.waits AND NOT get(together, i - 1).waits
                                              AND get(together, i - 1).name = x.name), x -> x.upstream)"""
-    overlap = f"coalesce(arrays_overlap(failed, array_compact(flatten({succeeded}))), false) AS impossible"
+    overlap = f"IF(sorted IS NULL, false, coalesce(arrays_overlap(failed, array_compact(flatten({succeeded}))), false)) AS impossible"
     return rows.selectExpr("*", overlap).drop("failed", "sorted", "starts", "together")
 
 
@@ -100,23 +103,22 @@ _MEMBERS = {
     "description STRING": {3, 6, 13, 16, 20},
     "folder STRUCT<name STRING>": {4, 17},
     "annotations ARRAY<STRING>": {5, 14, 18, 21},
-    f"activities ARRAY<{ACTIVITY_DDL}>": {2, 7, 8, 9, 10},
+    f"activities ARRAY<{ACTIVITY_DDL}>": {2},
     "type STRING": {11},
     "typeProperties MAP<STRING, STRING>": {11},
 }
 
 
 def _kinds_of(checks: set[int]) -> list[str]:
-    kinds = {kind for kind, rules in RESOURCE_RULES.items() if checks & rules.keys()}
-    if checks & ACTIVITY_RULES.keys():
-        kinds.add("pipelines")
-    return sorted(kinds)
+    return sorted(kind for kind, rules in RESOURCE_RULES.items() if checks & rules.keys())
 
 
 def _parsed(resources: DataFrame, checks: set[int]) -> DataFrame:
     """Resources with just the members that ``checks`` read."""
     ddl = ", ".join(member for member, users in _MEMBERS.items() if users & checks)
-    rows = with_properties(resources.select("template_id", "kind", "name", "type", "dependsOn", "properties"), ddl)
+    stored = [c for c in ("activities",) if c in resources.columns]
+    rows = resources.select("template_id", "kind", "name", "type", "dependsOn", "properties", *stored)
+    rows = with_properties(rows, ddl)
     if 2 in checks:
         rows = _impossible(rows)
     return rows
@@ -129,10 +131,14 @@ def _graph_check(checks: set[int]) -> tuple[tuple[str, ...], Column]:
     return tuple(wanted), F.expr(f"CASE {cases} END")
 
 
-def _graph_findings(resources: DataFrame, checks: set[int]) -> DataFrame:
-    kinds, number = _graph_check(checks)
+def _graph_findings(resources: DataFrame, checks: set[int], indirect: bool) -> DataFrame:
+    kinds, number = _graph_check(checks - {1} if indirect else checks)
+    found = [redundant_resources(resources, kinds)] if kinds else []
+    if indirect and 1 in checks:
+        found.append(untriggered_pipelines(resources))
+        _, number = _graph_check(checks)
     return (
-        redundant_resources(resources, kinds)
+        reduce(DataFrame.unionByName, found)
         .withColumn("k", F.lower("key"))
         .select(
             "template_id",
@@ -148,35 +154,44 @@ def _finding(check: int, condition: str, name: str, pipeline: str) -> str:
 
 
 def _row_findings(resources: DataFrame, checks: set[int]) -> DataFrame:
+    """Findings on resources themselves."""
     rows = _parsed(resources_of_type(resources, *_kinds_of(checks)), checks).withColumn("own_name", clean_name("name"))
-    found_here = [
+    found = [
         _finding(check, f"kind = '{kind}' AND {rule}", "own_name", "CAST(NULL AS STRING)")
         for kind, rules in RESOURCE_RULES.items()
         for check, rule in rules.items()
         if check in checks
     ]
-    found_inside = [_finding(n, rule, "a.name", "own_name") for n, rule in ACTIVITY_RULES.items() if n in checks]
-    lists = []
-    if found_here:
-        lists.append(f"array_compact(array({', '.join(found_here)}))")
-    if found_inside:
-        # No activities, no findings: a null list would void the whole concatenation.
-        none = f"from_json('[]', 'ARRAY<{ACTIVITY_DDL}>')"
-        lists.append(
-            f"flatten(transform(coalesce(p.activities, {none}), a -> array_compact(array({', '.join(found_inside)}))))"
-        )
-    return rows.selectExpr("template_id", f"inline(concat({', '.join(lists)}))")
+    return rows.selectExpr("template_id", f"inline(array_compact(array({', '.join(found)})))")
+
+
+def _activities(resources: DataFrame) -> DataFrame:
+    """One row ``a`` per activity, so that rules on activities run in generated code and not inside a lambda."""
+    rows = with_properties(resources_of_type(resources, "pipelines"), f"activities ARRAY<{ACTIVITY_DDL}>")
+    return rows.select("template_id", "name", F.explode("p.activities").alias("a"))
+
 
+def _activity_findings(resources: DataFrame, checks: set[int]) -> DataFrame:
+    found = [_finding(n, rule, "a.name", "own_name") for n, rule in ACTIVITY_RULES.items() if n in checks]
+    rows = _activities(resources).withColumn("own_name", clean_name("name"))
+    return rows.selectExpr("template_id", f"inline(array_compact(array({', '.join(found)})))")
 
-def c_details(resources: DataFrame, checks: Iterable[int] = ALL) -> DataFrame:
-    """One row per finding, with the pipeline of an activity."""
-    wanted, graph = set(checks), set(GRAPH_RULES.values())
+
+def c_details(resources: DataFrame, checks: Iterable[int] = ALL, indirect: bool = False) -> DataFrame:
+    """One row per finding, with the pipeline of an activity.
+
+    Check 1 names the pipelines that nothing depends on. With ``indirect`` it names those that no trigger starts, neither
+    directly nor through other pipelines, however long the way.
+    """
+    wanted, graph, inside = set(checks), set(GRAPH_RULES.values()), set(ACTIVITY_RULES)
     branches = []
-    if wanted - graph:
-        branches.append(_row_findings(resources, wanted - graph))
+    if wanted - graph - inside:
+        branches.append(_row_findings(resources, wanted - graph - inside))
+    if wanted & inside:
+        branches.append(_activity_findings(resources, wanted & inside))
     if wanted & graph:
-        branches.append(_graph_findings(resources, wanted))
-    findings = branches[0] if len(branches) == 1 else branches[0].unionByName(branches[1])
+        branches.append(_graph_findings(resources, wanted, indirect))
+    findings = reduce(DataFrame.unionByName, branches)
     return findings.selectExpr(
         "template_id",
         "CheckNo",
@@ -193,43 +208,54 @@ def _text_of(position: int) -> str:
     return f"element_at(array({', '.join(repr(check[position]) for check in CHECKS)}), CheckNo)"
 
 
-def _tallies() -> dict[int, str]:
-    """Findings of one parsed resource, by check."""
-    counts = {
-        check: f"CASE WHEN kind = '{kind}' AND {rule} THEN 1 ELSE 0 END"
-        for kind, rules in RESOURCE_RULES.items()
-        for check, rule in rules.items()
-    }
-    for check, rule in ACTIVITY_RULES.items():
-        inside = f"coalesce(array_size(filter(p.activities, a -> {rule})), 0)"
-        counts[check] = f"CASE WHEN kind = 'pipelines' THEN {inside} ELSE 0 END"
-    return dict(sorted(counts.items()))
+def _tallies(inside: bool) -> str:
+    """Findings of one parsed resource as (check, n), by the rules of its kind; with those on its activities if ``inside``."""
+    cases = []
+    for kind, rules in RESOURCE_RULES.items():
+        counts = [f"struct({check} AS c, CAST({rule} AS BIGINT) AS n)" for check, rule in rules.items()]
+        if inside and kind == "pipelines":
+            counts += [
+                f"struct({check} AS c, CAST(array_size(filter(p.activities, a -> {rule})) AS BIGINT) AS n)"
+                for check, rule in ACTIVITY_RULES.items()
+            ]
+        cases.append(f"WHEN '{kind}' THEN array({', '.join(counts)})")
+    return f"CASE kind {' '.join(cases)} END"
 
 
 def _counts(resources: DataFrame) -> DataFrame:
-    """Findings per template as one column per check, from one pass over the resources.
+    """Findings per template as one column per check, from a pass over the resources.
+
+    Activities of stored resources have a pass of their own, over their column alone; JSON text is parsed just once.
 
-    A resource gives an entry with its own findings, whose key is null, and one for every key it mentions. Entries
-    are summed by (template, key), which tells the keys that nothing depends on, and then by template. Every resource
-    takes part, so a template without findings keeps its row of zeros.
+    A resource gives a narrow entry for each check with a finding, whose key is null, one for every key it mentions,
+    and one for being there, so that a template without findings keeps its row of zeros. Entries are summed by
+    (template, key, check), which tells the keys that nothing depends on, and then by template.
     """
-    tallies, kinds = _tallies(), tuple(GRAPH_RULES)
-    rows = _parsed(resources, set(tallies))
-    own = ", ".join(f"CAST({sql} AS BIGINT) AS c{check}" for check, sql in tallies.items())
-    none = ", ".join(f"CAST(NULL AS BIGINT) AS c{check}" for check in tallies)
-    rows = rows.withColumn("mentioned", mentions()).selectExpr(
+    kinds, stored = tuple(GRAPH_RULES), is_stored(resources)
+    graph = " OR ".join(f"startswith(m.k, '{kind}')" for kind in kinds)
+    rows = _parsed(resources, set(ALL) - set(GRAPH_RULES.values()) - set(ACTIVITY_RULES))
+    rows = rows.withColumn("mentioned", mentions()).withColumn("tallies", F.expr(_tallies(inside=not stored)))
+    nothing = "CAST(NULL AS STRING) AS k, CAST(NULL AS BOOLEAN) AS own"
+    rows = rows.selectExpr(
         "template_id",
         f"""inline(concat(
-            array(struct(CAST(NULL AS STRING) AS k, CAST(NULL AS BOOLEAN) AS own, true AS row, {own})),
-            transform(mentioned, m -> struct(lower(m.key) AS k, m.own AS own, false AS row, {none}))))""",
+            array(struct({nothing}, 0 AS c, 0L AS n)),
+            transform(filter(transform(mentioned, m -> struct(lower(m.key) AS k, m.own AS own)), m -> {graph}),
+                      m -> struct(m.k AS k, m.own AS own, 0 AS c, 0L AS n)),
+            transform(filter(coalesce(tallies, array()), t -> t.n > 0), t -> struct({nothing}, t.c AS c, t.n AS n))))""",
     )
-    by_key = rows.filter(F.col("row") | of_kinds("k", kinds)).groupBy("template_id", "k").agg(
-        F.bool_and("own").alias("unused"), *[F.sum(f"c{check}").alias(f"c{check}") for check in tallies]
+    by_key = rows.groupBy("template_id", "k", "c").agg(F.bool_and("own").alias("unused"), F.sum("n").alias("n"))
+    _, number = _graph_check(set(ALL))
+    found = by_key.select(
+        "template_id",
+        F.when(F.col("k").isNull(), F.col("c")).when(F.col("unused"), number).otherwise(0).alias("c"),
+        F.when(F.col("k").isNull(), F.col("n")).otherwise(1).alias("n"),
     )
-    unused = [
-        F.count_if(F.col("unused") & F.startswith("k", F.lit(kind))).alias(f"c{check}") for kind, check in GRAPH_RULES.items()
-    ]
-    return by_key.groupBy("template_id").agg(*unused, *[F.sum(f"c{check}").alias(f"c{check}") for check in tallies])
+    if stored:
+        one = [f"CASE WHEN {rule} THEN struct({check} AS c, 1L AS n) END" for check, rule in ACTIVITY_RULES.items()]
+        found = found.unionByName(_activities(resources).selectExpr("template_id", f"inline(array_compact(array({', '.join(one)})))"))
+    sums = [F.sum(F.when(F.col("c") == check, F.col("n"))).alias(f"c{check}") for check in ALL]
+    return found.groupBy("template_id").agg(*sums)
 
 
 def c_summary(resources: DataFrame, as_written: bool = False, templates: DataFrame | None = None) -> DataFrame:

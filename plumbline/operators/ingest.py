@@ -20,6 +20,7 @@ from plumbline.functions.text import (
     log_line_time,
     redact,
 )
+from plumbline.operators.templates import with_properties
 from plumbline.sources.catalog import publish_table
 from plumbline.sources.files import read_csv_inferred, write_csv_quoted, write_parquet_roundtrip
 
@@ -133,9 +134,8 @@ def i_pick_linked_service(
     resources: DataFrame, service_type: str, members: tuple[str, ...] = LAKE_MEMBERS
 ) -> DataFrame:
     """The last linked service of a type in each template, with some members; secret ones are hidden."""
-    rows = resources.filter(F.col("kind") == "linkedservices").withColumn(
-        "p", F.from_json("properties", "type STRING, typeProperties MAP<STRING, STRING>")
-    )
+    services = resources.filter(F.col("kind") == "linkedservices")
+    rows = with_properties(services, "type STRING, typeProperties MAP<STRING, STRING>")
     values = [redact(F.lit(m), F.col("p.typeProperties")[m]).alias(m) for m in members]
     picked = (
         rows.filter(F.col("p.type") == service_type)

@@ -5,12 +5,21 @@ may span several rows with the same ``template_id``, as linked templates do; an
 them and only the first needs the ``parameters`` member.
 
 Member lookup is inner: a resource without the member a summary looks into has no row there.
+
+Resources come in two forms. Shredding gives ``properties`` as JSON text, which every query parses again.
+``store_resources`` keeps them as VARIANT in shredded files, where a query reads just the members it names, as columns.
+Elements of an array can't be read one by one from a VARIANT, so the activities of pipelines are a typed column beside
+it. All operators take either form.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, VariantType
 
 from plumbline.functions.constants import KINDS, TYPE_PREFIX
 from plumbline.functions.text import array_length, clean_name, cut_name, first_upper, replace_ci
@@ -69,9 +78,62 @@ def resources_of_type(resources: DataFrame, *kinds: str) -> DataFrame:
     return resources.filter(F.col("kind").isin([k.lower() for k in kinds]))
 
 
+def is_stored(resources: DataFrame) -> bool:
+    """Whether ``properties`` is a VARIANT, as ``store_resources`` writes it."""
+    return isinstance(resources.schema["properties"].dataType, VariantType)
+
+
+def with_variant(resources: DataFrame) -> DataFrame:
+    """``properties`` as VARIANT, null where the JSON text is no object, and ``activities`` of pipelines as typed column."""
+    activities = F.from_json("properties", f"activities ARRAY<{ACTIVITY_DDL}>")["activities"]
+    variant = F.when(F.startswith(F.ltrim("properties"), F.lit("{")), F.try_parse_json("properties"))
+    return resources.withColumns({"activities": F.when(F.col("kind") == "pipelines", activities), "properties": variant})
+
+
+@contextmanager
+def _shredding(spark: SparkSession) -> Iterator[None]:
+    """Write VARIANT columns as the columns that their values turn out to have."""
+    names = ("spark.sql.variant.writeShredding.enabled", "spark.sql.variant.inferShreddingSchema")
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name in names:
+            spark.conf.set(name, "true")
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def store_resources(resources: DataFrame, path: str) -> DataFrame:
+    """Write shredded resources with VARIANT properties and read them back.
+
+    Rows are sorted by kind inside each task, so a filter on kind skips pages and row groups without a folder per kind,
+    which would leave many small files, and values of one shape lie together. A VARIANT keeps the members of an object by
+    name: where the text as it was written matters, read the shredded resources themselves.
+    """
+    spark = resources.sparkSession
+    with _shredding(spark):
+        with_variant(resources).sortWithinPartitions("kind").write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def with_properties(resources: DataFrame, ddl: str) -> DataFrame:
-    """Replace the JSON text by a struct ``p`` holding just the declared members."""
-    return resources.withColumn("p", F.from_json("properties", ddl)).drop("properties")
+    """Replace the properties by a struct ``p`` holding just the declared members; ``p`` is null without properties."""
+    if not is_stored(resources):
+        return resources.withColumn("p", F.from_json("properties", ddl)).drop("properties")
+    members = []
+    for member in StructType.fromDDL(ddl):
+        if member.name == "activities":
+            value = F.col("activities")
+        else:
+            value = F.try_variant_get("properties", F.lit(f"$.{member.name}"), member.dataType.simpleString())
+        members.append(value.alias(member.name))
+    return resources.withColumn("p", F.when(F.col("properties").isNotNull(), F.struct(*members))).drop("properties", "activities")
+
+
+def properties_text(resources: DataFrame) -> Column:
+    """Properties as JSON text."""
+    return F.to_json("properties") if is_stored(resources) else F.col("properties")
 
 
 def shred_activities(resources: DataFrame) -> DataFrame:
@@ -114,12 +176,9 @@ def t_component_summary(resources: DataFrame, templates: DataFrame | None = None
     ``templates`` too to give it its activity row. One wide aggregate with map-side combine does the work; what
     follows sees one row per template and type.
     """
-    named = F.filter(
-        F.from_json("properties", "activities ARRAY<STRUCT<name STRING>>")["activities"],
-        lambda a: a["name"].isNotNull(),
-    )
+    named = F.filter("p.activities", lambda a: a["name"].isNotNull())
     activities = F.when(F.col("kind") == "pipelines", array_length(named)).otherwise(0)
-    counts = resources.groupBy("template_id", "type").agg(
+    counts = with_properties(resources, "activities ARRAY<STRUCT<name STRING>>").groupBy("template_id", "type").agg(
         F.count("*").alias("n"), F.sum(activities.cast("bigint")).alias("activities")
     )
     label = first_upper(replace_ci("type", TYPE_PREFIX, ""))
@@ -189,16 +248,14 @@ def t_activity_info(resources: DataFrame) -> DataFrame:
 
 def t_linked_service_info(resources: DataFrame) -> DataFrame:
     """A Key Vault secret anywhere in the properties text counts, whatever its case."""
-    vault = F.contains(F.lower("properties"), F.lit("azurekeyvaultsecret"))
-    return (
-        resources_of_type(resources, "linkedServices")
-        .filter(F.col("properties").isNotNull())
-        .select(
-            "template_id",
-            cut_name("name").alias("LinkedServiceName"),
-            F.get_json_object("properties", "$.type").alias("Type"),
-            F.when(vault, "Yes").otherwise("No").alias("UsingKeyVault"),
-        )
+    vault = F.contains(F.lower(properties_text(resources)), F.lit("azurekeyvaultsecret"))
+    rows = resources_of_type(resources, "linkedServices").filter(F.col("properties").isNotNull())
+    rows = with_properties(rows.withColumn("vault", vault), "type STRING")
+    return rows.select(
+        "template_id",
+        cut_name("name").alias("LinkedServiceName"),
+        F.col("p.type").alias("Type"),
+        F.when(F.col("vault"), "Yes").otherwise("No").alias("UsingKeyVault"),
     )
 
 

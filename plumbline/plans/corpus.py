@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.constants import TYPE_PREFIX
-from plumbline.operators.templates import shred_resources
+from plumbline.operators.templates import shred_resources, store_resources
 from plumbline.session import fresh_path
 
 # Line numbers per pipeline, and keys per document.
@@ -251,9 +251,7 @@ def _corpus_path(spark: SparkSession, sf_dir: str) -> str:
             resource_rows(spark, sf_dir).write.parquet(f"{path}/rows")
             documents(spark.read.parquet(f"{path}/rows")).write.parquet(f"{path}/templates")
             shredded = shred_resources(spark.read.parquet(f"{path}/templates"))
-            # Sorted inside each task, so a filter on kind skips pages and row groups without a folder per kind,
-            # which would leave many small files.
-            shredded.sortWithinPartitions("kind").write.parquet(f"{path}/resources")
+            store_resources(shredded, f"{path}/resources")
             _built[key] = path
         return _built[key]
 

@@ -226,6 +226,11 @@ def _oracles() -> dict[str, str]:
     o["redundant_resources"] = _corpus("SELECT f AS template_id, kind || '|' || name AS key FROM unused")
     for number in _FINDINGS:
         o[f"c{number:02d}"] = _corpus(_details(number))
+    o["c01_indirect"] = f"""WITH RECURSIVE {CORPUS},
+        started(f, name) AS (SELECT f, name FROM dep WHERE from_kind = 'triggers'
+                             UNION SELECT d.f, d.name FROM dep d JOIN started s ON d.f = s.f AND d.from_name = s.name
+                                   WHERE d.from_kind = 'pipelines' AND d.kind = 'pipelines')
+        {_details(1).replace(_FINDINGS[1], "SELECT DISTINCT f, pname AS name, NULL AS pipeline FROM pl ANTI JOIN started ON started.f = pl.f AND started.name = pname")}"""
     o["c_details"] = _corpus(_details(*_FINDINGS))
     o["c_summary"] = o["c_summary_from_documents"] = _corpus(_summary())
     o["c_summary_as_written"] = _corpus(_summary(as_written=True))
@@ -301,6 +306,7 @@ def _oracles() -> dict[str, str]:
 
     # Notebook queries
     o["n_order_line_count"] = _ORDER_LINES
+    o["n_order_line_count_bucketed"] = _ORDER_LINES
     o["n_order_line_count_sql"] = _ORDER_LINES + " ORDER BY 1"
     o["n_word_count"] = o["write_parquet_roundtrip"] = _WORDS + " ORDER BY 2 DESC, 1"
     o["n_word_count_repeated"] = f"SELECT * FROM ({_WORDS}) WHERE count > 1"
@@ -358,6 +364,7 @@ def _oracles() -> dict[str, str]:
 
     # Metadata tables
     o["rename_factory"] = _FACTORIES.format(name="'factory_renamed'")
+    o["replace_stages"] = _STAGE_ROWS.format(enabled="o_orderkey % 7 + 1 <= 3")
     o["disable_stages"] = _STAGE_ROWS.format(enabled="o_orderkey % 7 + 1 <= 3")
     o["generate_workers"] = f"""SELECT n AS "PipelineId", CAST(7 AS BIGINT) AS "DataFactoryId",
         CASE WHEN n <= 100 THEN 1 WHEN n <= 200 THEN 2 WHEN n <= 300 THEN 3 END AS "StageId", 'Wait ' || n AS "PipelineName",

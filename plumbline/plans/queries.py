@@ -34,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_DATE = "1995-06-19"
 ARRIVAL = datetime(2020, 10, 20, 15, 30)
+BUCKETS = 16
 CUSTOMER_TEXT = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
 
 # A key of each table, summed to compare contents.
@@ -152,6 +153,9 @@ _on_resources(lambda r: C.c_summary(r, as_written=True), "c_summary_as_written")
 _on_resources(lambda r: C.c_totals(C.c_summary(r)), "c_totals")
 
 
+_on_resources(lambda r: C.c_details(r, {1}, indirect=True), "c01_indirect")
+
+
 @register
 def c_summary_from_documents(spark, sf):
     """The whole checker from JSON documents, without the shredded table in between."""
@@ -250,6 +254,16 @@ def n_order_line_count_sql(spark, sf):
     return N.n_order_line_count_sql(fx.order_header(spark, sf), fx.order_detail(spark, sf), RUN_DATE)
 
 
+@register
+def n_order_line_count_bucketed(spark, sf):
+    """The same over tables that are bucketed by order, so that the join needs no exchange."""
+    header, detail = (
+        catalog.publish_table(df, f"{name}_{uuid.uuid4().hex}", fresh_path(spark, name), bucket_by="SalesOrderID", buckets=BUCKETS)
+        for name, df in (("header", fx.order_header(spark, sf)), ("detail", fx.order_detail(spark, sf)))
+    )
+    return N.n_order_line_count(header, detail, RUN_DATE)
+
+
 @register
 def n_word_count(spark, sf):
     return N.n_word_count(table(spark, sf, "documents"), "text")
@@ -414,10 +428,10 @@ def i_copy_table(spark, sf):
 
 @register
 def i_copy_all_tables(spark, sf):
+    """Outcome of each copy, with the sum of a key of what arrived."""
     names = files.list_files(spark, sf, "*.parquet", recursive=False).select(
         F.regexp_replace("name", "[.]parquet$", "").alias("TableName")
     )
-    """Outcome of each copy, with the sum of a key of what arrived."""
     source, target = files.ParquetTables(spark, sf, ".parquet"), files.ParquetTables(spark, fresh_path(spark, "copies"))
     outcomes = I.i_copy_all_tables(spark, source, target, names, strict=True)
     sums = [
@@ -435,7 +449,8 @@ def i_render_connection(spark, sf):
 
 @register
 def i_pick_linked_service(spark, sf):
-    return I.i_pick_linked_service(corpus.resources(spark, sf), "AzureBlobFS", ("url", "connectionString"))
+    """From documents, since members that are objects come out as they were written."""
+    return I.i_pick_linked_service(T.shred_resources(corpus.templates(spark, sf)), "AzureBlobFS", ("url", "connectionString"))
 
 
 @register
@@ -458,6 +473,15 @@ def disable_stages(spark, sf):
     return M.disable_stages(fx.stages(spark, sf), 3)
 
 
+@register
+def replace_stages(spark, sf):
+    """Stages disabled in place: only the partitions of the later stages are written again."""
+    path = fresh_path(spark, "stages")
+    fx.stages(spark, sf).write.partitionBy("StageId").parquet(path)
+    files.replace_partitions(spark, path, F.col("StageId") > 3, lambda rows: M.disable_stages(rows, 3), "StageId")
+    return spark.read.parquet(path).select("o_orderkey", "StageId", "Enabled")
+
+
 @register
 def generate_workers(spark, sf):
     return M.generate_workers(table(spark, sf, "orders"), "o_orderkey", fx.factories(spark, sf), "factory_7")
@@ -478,16 +502,16 @@ def select_star(spark, sf):
 # Streaming --------------------------------------------------------------------------------------------------
 
 
-def _event_stream(spark, sf, files_: int = 3) -> DataFrame:
-    """Events that arrive in several files in the order of time, one file per micro-batch."""
+def _event_stream(spark, sf, batches: int = 3, files_: int = 8) -> DataFrame:
+    """Events that arrive in the order of time, in ranges of ``files_`` files, a range per micro-batch."""
     path, events = fresh_path(spark, "arrivals"), table(spark, sf, "events")
     low, high = events.agg(F.min("ts"), F.max("ts")).first()
-    bounds = [low + (high - low) * k / files_ for k in range(1, files_)]
-    for k in range(files_):
+    bounds = [low + (high - low) * k / batches for k in range(1, batches)]
+    for k in range(batches):
         part = events if k == 0 else events.filter(F.col("ts") >= F.lit(bounds[k - 1]))
-        part = part if k == files_ - 1 else part.filter(F.col("ts") < F.lit(bounds[k]))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        part = part if k == batches - 1 else part.filter(F.col("ts") < F.lit(bounds[k]))
+        part.repartition(files_).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files_).parquet(path)
 
 
 def _streamed(spark, stream: DataFrame, fold=None) -> DataFrame:

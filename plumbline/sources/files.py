@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plumbline.functions.text import landing_parts, log_line
+from plumbline.session import fresh_path, written
 
 LANDING_COLUMNS = ("Year", "Month", "Day", "Hour")
 
@@ -48,8 +51,89 @@ def read_csv_inferred(
 def read_csv_multiline(
     spark: SparkSession, path: str, schema: StructType | str | None = None, **options: object
 ) -> DataFrame:
-    """Quoted CSV whose fields may hold line breaks. Such files cannot be split, so keep them many and small."""
-    return read_csv_inferred(spark, path, schema, multiLine=True, **options)
+    """Quoted CSV with a header line, whose fields may hold line breaks.
+
+    With ``schema``, a file is read by as many tasks as it has splits, see ``split_records``; a field that holds a quote
+    or a line break must be quoted. Without one, Spark infers it, and each file is a single task.
+    """
+    if schema is None:
+        return read_csv_inferred(spark, path, schema, multiLine=True, **options)
+    quote, escape, header = (str(options.get(k, v)) for k, v in (("quote", '"'), ("escape", "\\"), ("header", "true")))
+    records = split_records(spark, path, quote, escape, header=header.lower() == "true")
+    if isinstance(schema, StructType):
+        schema = schema.toDDL()
+    rest = {k: str(v) for k, v in options.items() if k != "header"}
+    return records.select(F.from_csv("record", schema, rest).alias("r")).select("r.*")
+
+
+_LINES = "file string, block bigint, n bigint, value string, quotes int, before int, even bigint, odd bigint"
+
+
+def split_records(spark: SparkSession, path: str, quote: str = '"', escape: str = "\\", header: bool = True) -> DataFrame:
+    """``(file, record)``: the records of quoted text files whose fields may hold line breaks, blank lines left out.
+
+    Files are read by splits. Each task counts the quotes of its lines; whether a line begins inside a field follows
+    from the number of quotes before it in its split, and from the parity of the splits before it, which is one row for
+    each split. A line that begins and ends outside of a field is a record as it is. Only the lines of longer records
+    are shuffled, by the place where the record begins.
+    """
+
+    def read(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        own, count, total, last = None, 0, 0, [-1, -1]
+        pattern = "" if escape == quote else re.escape(escape) + "[" + re.escape(escape) + re.escape(quote) + "]"
+        for batch in batches:
+            files, blocks = batch.column("file").to_pylist(), batch.column("block").to_pylist()
+            value = batch.column("value")
+            plain = pc.replace_substring_regex(value, pattern, "") if pattern else value
+            quotes = pc.count_substring(plain, quote).to_numpy(zero_copy_only=False)
+            cuts = [0, *[k for k in range(1, len(files)) if (files[k], blocks[k]) != (files[k - 1], blocks[k - 1])], len(files)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if (files[a], blocks[a]) != own:  # a split begins
+                    own, count, total, last = (files[a], blocks[a]), 0, 0, [-1, -1]
+                n = np.arange(count, count + b - a)
+                before = (total + np.cumsum(quotes[a:b]) - quotes[a:b]) % 2
+                # Where the record of a line begins, if the split begins outside of a field or inside one.
+                starts = [np.maximum(np.maximum.accumulate(np.where(before == p, n, -1)), last[p]) for p in (0, 1)]
+                count, total, last = count + b - a, (total + int(quotes[a:b].sum())) % 2, [int(s[-1]) for s in starts]
+                cells = [
+                    batch.column("file").slice(a, b - a), batch.column("block").slice(a, b - a), pa.array(n), value.slice(a, b - a),
+                    pa.array((quotes[a:b] % 2).astype(np.int32)), pa.array(before.astype(np.int32)), pa.array(starts[0]), pa.array(starts[1]),
+                ]
+                yield pa.RecordBatch.from_arrays(cells, [f.split()[0] for f in _names])
+
+    _names = _LINES.split(", ")
+    lines = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    lines = written(lines.mapInArrow(read, _LINES), "lines")
+    # One row for each split: does it begin inside a field, and where does the record begin that comes into it?
+    splits = lines.groupBy("file", "block").agg(F.sum("quotes").alias("q"), F.max("even").alias("even"), F.max("odd").alias("odd"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("inside", F.coalesce(F.sum("q").over(earlier), F.lit(0)) % 2)
+    begin = F.when(F.col("inside") == 0, F.col("even")).otherwise(F.col("odd"))
+    begin = F.when(begin >= 0, F.struct(F.col("block").alias("block"), begin.alias("n")))
+    splits = splits.withColumn("begin", begin).withColumn("came", F.last("begin", ignorenulls=True).over(earlier))
+    first = Window.partitionBy("file").orderBy("block")
+    splits = splits.select("file", "block", "inside", "came", (F.row_number().over(first) == 1).alias("first"))
+    rows = lines.join(splits, ["file", "block"])
+    opens = (F.col("before") + F.col("inside")) % 2 == 0
+    own = F.when(F.col("inside") == 0, F.col("even")).otherwise(F.col("odd"))
+    start = F.when(own >= 0, F.struct(F.col("block").alias("block"), own.alias("n"))).otherwise(F.col("came"))
+    rows = rows.select("file", "block", "n", "value", start.alias("start"), (opens & (F.col("quotes") == 0)).alias("whole"))
+    top = splits.filter("first").select("file", F.col("block").alias("top"))
+    whole = rows.filter("whole").select("file", "start", F.col("value").alias("record"))
+    parts = rows.filter("NOT whole").groupBy("file", "start")
+    joined = parts.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "n", "value"))), lambda x: x["value"]), "\n").alias("record"))
+    found = whole.unionByName(joined)
+    if header:
+        found = found.join(top, "file").filter((F.col("start.block") != F.col("top")) | (F.col("start.n") != 0))
+    record = F.regexp_replace("record", "\r$", "")
+    return found.select("file", record.alias("record")).filter(F.trim("record") != "")
 
 
 def write_csv_quoted(df: DataFrame, path: str, **options: object) -> None:
@@ -65,6 +149,23 @@ def write_parquet_roundtrip(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def replace_partitions(spark: SparkSession, path: str, touched: Column, change: Callable[[DataFrame], DataFrame], *partition_by: str) -> None:
+    """Rewrite the partitions of a Parquet folder that ``touched`` selects by its partition columns; no other file changes.
+
+    ``change`` gets the rows of these partitions and gives their new rows, in the same partitions. They are staged in the
+    scratch folder first, so the path that is read is never the path being written, and a failure before the swap leaves
+    the folder as it was. A partition that has no rows left keeps its old ones; delete its folder instead.
+    """
+    schema = spark.read.parquet(path).schema
+    staged = fresh_path(spark, "staged")
+    changed = change(spark.read.schema(schema).parquet(path).filter(touched))
+    changed.write.partitionBy(*partition_by).parquet(staged)
+    rows = spark.read.schema(schema).parquet(staged)
+    if not rows.isEmpty():
+        dealt = rows.hint("rebalance", *partition_by)
+        dealt.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
 def list_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
     """Files of a folder: ``path, name, length, modificationTime``. Contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)

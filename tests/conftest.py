@@ -21,15 +21,17 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture
-def corpus_of(spark):
-    """Shredded resources of hand-made documents: ``corpus_of({"a": [resource, ...]})``."""
-    from plumbline.operators.templates import shred_resources
+@pytest.fixture(params=["text", "variant"])
+def corpus_of(spark, request):
+    """Shredded resources of hand-made documents: ``corpus_of({"a": [resource, ...]})``, in both forms of properties."""
+    from plumbline.operators.templates import shred_resources, with_variant
 
     def build(documents, shred=True):
         rows = [(key, json.dumps({"resources": value})) for key, value in documents.items()]
         df = spark.createDataFrame(rows, "template_id STRING, template STRING")
-        return shred_resources(df) if shred else df
+        if not shred:
+            return df
+        return with_variant(shred_resources(df)) if request.param == "variant" else shred_resources(df)
 
     return build
 

@@ -21,7 +21,7 @@ def test_shred_keeps_order_text_and_kind(corpus_of):
     )
     first, second = r.orderBy("ordinal").collect()
     assert (first.ordinal, first.kind, first.dependsOn) == (0, "pipelines", [])
-    assert json.loads(first.properties) == {"x": {"y": [1, 2]}}
+    assert json.loads(r.select(T.properties_text(r)).first()[0]) == {"x": {"y": [1, 2]}}
     assert str(first.apiVersion) == "2018-06-01"
     assert second.kind is None
 
