@@ -100,6 +100,18 @@ def representatives(docs: DataFrame, n: int) -> DataFrame:
     return by_slices(rows, "text", each, "doc_id bigint, rep bigint, size int, sampled binary")
 
 
+def rep_of(n: int):
+    """The hash of a text's set of shingles, as ``representatives`` gives it."""
+
+    @F.pandas_udf("bigint")
+    def compute(texts: pd.Series) -> pd.Series:
+        batch = pa.RecordBatch.from_arrays([pa.Array.from_pandas(texts, type=pa.large_binary())], ["text"])
+        found = [_sets(part, n)[2] for part in slices(batch, "text")]
+        return pd.Series(np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64))
+
+    return compute
+
+
 def shingles_of(docs: DataFrame, n: int, reps: DataFrame) -> DataFrame:
     """(rep, shingles) of the sets in ``reps``, once each. A bitmap keeps most other texts out of the shuffle."""
     bit = F.pmod(F.col("rep"), F.lit(FILTER_BITS))
@@ -272,6 +284,30 @@ def _likely(threshold: float) -> Callable[[dict], list[np.ndarray]]:
     return each
 
 
+def _estimated(threshold: float) -> Callable[[dict], list[np.ndarray]]:
+    """Edges that connect the members of a cell whose sampled values agree as those of sets at the threshold do."""
+    least = threshold * WIDTH - math.sqrt(threshold * (1 - threshold) * WIDTH)
+
+    def each(cell: dict) -> list[np.ndarray]:
+        rep = cell["rep"]
+        values = np.frombuffer(b"".join(cell["sampled"]), np.uint32).reshape(-1, WIDTH)
+        low, high, _ = _sides(cell["chunk"])
+        equal = np.zeros((len(low), len(high)), np.int16)
+        for k in range(WIDTH):
+            equal += values[low, k][:, None] == values[high, k][None, :]
+        a, b = np.nonzero(equal >= least)
+        x, y = _forest(low[a], high[b], len(rep))
+        return [rep[x], rep[y]]
+
+    return each
+
+
+def sampled_edges(sets: DataFrame, threshold: float, recall: float = RECALL) -> DataFrame:
+    """Edges (a, b) that connect the sets (rep, sampled) that are alike by their sampled values, whose texts are not read."""
+    members = _sized(stored(buckets(sets, threshold, recall), "members").select("bucket", "rep"))
+    return _by_cell(_cells(members).join(sets, "rep"), _estimated(threshold), "a bigint, b bigint")
+
+
 def _linked(threshold: float) -> Callable[[dict], list[np.ndarray]]:
     """Links per set of a cell, and edges that connect what is linked in it; an edge has 0 links, a count no edge (rep twice)."""
 
@@ -393,11 +429,5 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float
     chosen = named.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "rep")).alias("_kept"))
     chosen = stored(chosen.select(F.col("_kept.rep").alias("_rep"), F.col("_kept.least").alias("_least")), "kept")
 
-    @F.pandas_udf("bigint")
-    def rep_of(texts: pd.Series) -> pd.Series:
-        batch = pa.RecordBatch.from_arrays([pa.Array.from_pandas(texts, type=pa.large_binary())], ["text"])
-        found = [_sets(part, n)[2] for part in slices(batch, "text")]
-        return pd.Series(np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64))
-
-    rows = docs.select(whole_rows(docs), rep_of(utf8("text")).alias("_rep")).join(chosen, "_rep")
+    rows = docs.select(whole_rows(docs), rep_of(n)(utf8("text")).alias("_rep")).join(chosen, "_rep")
     return rows.filter(F.col("_doc.doc_id").cast("bigint").eqNullSafe(F.col("_least"))).dropDuplicates(["_rep"]).select("_doc.*")

@@ -3,13 +3,13 @@
 Disguise is written as a lattice. A span that mixes letters with look-alike characters, repeats a letter three times
 or more, or spaces out single letters has several readings: each look-alike stands for its letters or for a break,
 runs are kept or shortened to two or one, spaces are kept or dropped. Viterbi search finds the reading that is
-likeliest under the channel's costs and a character trigram model of the whole corpus; all spans of a slice are
-decoded together in numpy. Text outside such spans has one reading only, itself.
+likeliest under the channel's costs and a character trigram model of the whole corpus; spans of one shape in a slice
+are decoded together in numpy. Text outside such spans has one reading only, itself.
 
 The score knows words and word beginnings, by hash, of labelled texts. A feature counts when its share of toxic texts
 is beyond chance, given how many features were looked at; it then has the shrunk share as its probability, and a text
-has the probability that any of its words is toxic. Near copies among the labelled rows, classes of the
-Jaccard join, are counted once for each label; every other labelled row teaches.
+has the probability that any of its words is toxic. Near copies among the labelled rows, classes by
+their minhash values, are counted once for each label; every other labelled row teaches.
 
 Bounds: the trigram table has 64^3 entries; labels are a sample of at most about ``LABELLED`` rows, chosen by hash. The
 model keeps every feature with evidence. The evidence asked for is that of several toxic texts at least, so there are
@@ -37,7 +37,7 @@ from plumbline.llm import jaccard_join
 from plumbline.llm.base import slices, stored, utf8
 from plumbline.llm.words import Words, mix, words_of
 
-LABELLED = 200_000
+LABELLED = 50_000
 #: Near copies share this part of their runs of so many words.
 COPY_WORDS, COPY_SIMILARITY = 5, 0.8
 PREFIXES = (4, 5, 6, 7)
@@ -169,11 +169,12 @@ def decode(spans: list[str], model: np.ndarray) -> list[str]:
     alone[:, 0, 0] = 0.0  # breaks in a row are one break
     lattices = [(k, *reading) for k, span in enumerate(spans) for reading in _readings(span.lower())]
     best: list[tuple[float, str]] = [(-np.inf, s) for s in spans]
-    by_length = defaultdict(list)
+    by_shape = defaultdict(list)
     for entry in lattices:
-        by_length[len(entry[2]), max(map(len, entry[2])) > 8, entry[3]].append(entry)
-    for (length, wide, parted), group in by_length.items():
-        step = max(1, min(200_000 // length, 100 if wide else 20_000))  # a wide lattice has 27 readings of a star
+        wide = tuple(i for i, position in enumerate(entry[2]) if len(position) > 8)  # a star has 27 readings
+        by_shape[len(entry[2]), wide, entry[3]].append(entry)
+    for (length, wide, parted), group in by_shape.items():
+        step = max(1, (100 if len(wide) > 1 else 2_000) if wide else 200_000 // length)
         for at in range(0, len(group), step):
             part = group[at : at + step]
             best_paths = _viterbi([g[2] for g in part], length, alone if parted else model)
@@ -185,23 +186,35 @@ def decode(spans: list[str], model: np.ndarray) -> list[str]:
 
 def _viterbi(lattices: list[list[Position]], length: int, model: np.ndarray) -> Iterator[tuple[float, list[int]]]:
     """Best score and path of lattices of one length; the state is the pair of the last two readings."""
-    b, width = len(lattices), max(len(p) for lattice in lattices for p in lattice)
-    symbol, cost = np.zeros((b, length, width), np.int64), np.full((b, length, width), -np.inf, np.float32)
-    for x, lattice in enumerate(lattices):
-        for y, position in enumerate(lattice):
+    b, symbols, costs = len(lattices), [], []
+    for column in zip(*lattices, strict=True):  # as wide as its widest position
+        width = max(map(len, column))
+        symbol, cost = np.zeros((b, width), np.int64), np.full((b, width), -np.inf, np.float32)
+        for x, position in enumerate(column):
             for z, (_, s, c) in enumerate(position):
-                symbol[x, y, z], cost[x, y, z] = s, c
-    # The begin is a position of its own with one reading, the break.
-    before = np.zeros((b, 1), np.int64)
-    state = (model[0, 0, symbol[:, 0]] + cost[:, 0])[:, None, :]
+                symbol[x, z], cost[x, z] = s, c
+        symbols.append(symbol)
+        costs.append(cost)
+    # The begin and the end are positions of their own with one reading, the break.
+    symbols.append(np.zeros((b, 1), np.int64))
+    costs.append(np.zeros((b, 1), np.float32))
+    before, here = symbols[-1], symbols[0]
+    state = (model[0, 0, here] + costs[0])[:, None, :]
     back = []
     for i in range(1, length + 1):
-        after = symbol[:, i] if i < length else np.zeros((b, 1), np.int64)
-        price = cost[:, i] if i < length else np.zeros((b, 1), np.float32)
-        total = state[..., None] + model[before[:, :, None, None], symbol[:, i - 1][:, None, :, None], after[:, None, None, :]]
-        back.append(total.argmax(axis=1))
-        state = total.max(axis=1) + price[:, None, :]
-        before = symbol[:, i - 1]
+        after = symbols[i]
+        most, chosen = None, np.zeros((b, here.shape[1], after.shape[1]), np.uint8)
+        for p in range(before.shape[1]):
+            total = state[:, p, :, None] + model[before[:, p, None, None], here[:, :, None], after[:, None, :]]
+            if most is None:
+                most = total
+            else:
+                better = total > most
+                most = np.where(better, total, most)
+                chosen[better] = p
+        back.append(chosen)
+        state = most + costs[i][:, None, :]
+        before, here = here, after
     rows = np.arange(b)
     last = state[:, :, 0].argmax(axis=1)
     score = state[rows, last, 0]
@@ -254,8 +267,10 @@ def restore(texts: list[str], characters: np.ndarray) -> list[str]:
         for k, found in single.items():
             if found:
                 low[k] = _SPACED.sub(lambda m: reading[m[0]], low[k])
-    hinted = {k: {w for w in set(t.split()) if _HINT.search(w)} for k, t in enumerate(low)}
-    new = [w for w in set().union(*hinted.values()) if (model, w) not in _restored]
+    words = [set(t.split()) for t in low]
+    marked = {w for w in set().union(*words) if _HINT.search(w)}
+    hinted = {k: found & marked for k, found in enumerate(words)}
+    new = [w for w in marked if (model, w) not in _restored]
     found = {w: _spans(w) for w in new}
     pieces = list({w[a:b] for w, spans in found.items() for a, b in spans})
     clear = dict(zip(pieces, decode(pieces, characters), strict=True))
@@ -287,15 +302,21 @@ def _features(texts: list[str]) -> tuple[Words, np.ndarray, np.ndarray]:
 
 
 def teaching_rows(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """(toxic, text) of the rows of ``docs`` with a label, one of each class of near copies and label."""
+    """(toxic, text) of the rows of ``docs`` with a label, one of each class of near copies and label.
+
+    Near copies are told by their sampled values alone, so texts are stored once, when it is known which of them teach.
+    """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8("text").alias("text"))
     # At most about LABELLED rows of two numbers: small enough to be sent to every executor.
-    rows = texts.join(F.broadcast(known), "doc_id").select(F.monotonically_increasing_id().alias("row"), "toxic", "text")
-    rows = stored(rows, "labelled")
-    classes = jaccard_join.jaccard_join(rows.select(F.col("row").alias("doc_id"), "text"), n=COPY_WORDS, threshold=COPY_SIMILARITY)
-    label = F.col("toxic") > 0
-    first = rows.join(classes.select(F.col("doc_id").alias("row"), "class_id"), "row").groupBy("class_id", label).agg(F.min("row").alias("row"))
-    return stored(rows.join(stored(first.select("row"), "teaching"), "row").select("toxic", "text"), "taught")
+    rows = texts.join(F.broadcast(known), "doc_id")
+    sampled = stored(jaccard_join.representatives(rows, COPY_WORDS), "labelled")
+    sets = stored(sampled.groupBy("rep").agg(F.first("sampled").alias("sampled"), F.first("size").alias("size")), "labelled-sets")
+    roots = jaccard_join.components(jaccard_join.sampled_edges(sets.filter("size > 0").select("rep", "sampled"), COPY_SIMILARITY))
+    named = sampled.select("doc_id", "rep").join(F.broadcast(known), "doc_id").join(roots, F.col("rep") == F.col("node"), "left")
+    first = named.groupBy(F.coalesce("root", "rep"), F.col("toxic") > 0).agg(F.min(F.struct("doc_id", "rep")).alias("first"))
+    first = stored(first.select("first.doc_id", "first.rep").distinct(), "teaching")
+    own = rows.withColumn("rep", jaccard_join.rep_of(COPY_WORDS)("text")).join(F.broadcast(first), ["doc_id", "rep"])
+    return stored(own.dropDuplicates(["doc_id", "rep"]).select("toxic", "text"), "taught")
 
 
 def _feature_counts(rows: DataFrame, characters: np.ndarray) -> DataFrame:
