@@ -267,9 +267,11 @@ def restore(texts: list[str], characters: np.ndarray) -> list[str]:
         for k, found in single.items():
             if found:
                 low[k] = _SPACED.sub(lambda m: reading[m[0]], low[k])
-    words = [set(t.split()) for t in low]
-    marked = {w for w in set().union(*words) if _HINT.search(w)}
-    hinted = {k: found & marked for k, found in enumerate(words)}
+    every: set[str] = set()
+    for text in low:
+        every.update(text.split())
+    marked = {w for w in every if _HINT.search(w)}
+    hinted = {k: marked.intersection(text.split()) for k, text in enumerate(low)}
     new = [w for w in marked if (model, w) not in _restored]
     found = {w: _spans(w) for w in new}
     pieces = list({w[a:b] for w, spans in found.items() for a, b in spans})
@@ -325,7 +327,7 @@ def _feature_counts(rows: DataFrame, characters: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text"):
                 words, hashes, owner = _features(restore([_text(t) for t in part.column("text")], sent.value))
                 text = words.text_of()[owner]
                 order = np.lexsort((text, hashes))
