@@ -100,16 +100,9 @@ def representatives(docs: DataFrame, n: int) -> DataFrame:
     return by_slices(rows, "text", each, "doc_id bigint, rep bigint, size int, sampled binary")
 
 
-def rep_of(n: int):
-    """The hash of a text's set of shingles, as ``representatives`` gives it."""
-
-    @F.pandas_udf("bigint")
-    def compute(texts: pd.Series) -> pd.Series:
-        batch = pa.RecordBatch.from_arrays([pa.Array.from_pandas(texts, type=pa.large_binary())], ["text"])
-        found = [_sets(part, n)[2] for part in slices(batch, "text")]
-        return pd.Series(np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64))
-
-    return compute
+def set_hashes(batch: pa.RecordBatch, n: int) -> np.ndarray:
+    """The hash of each text's set of shingles, as ``representatives`` gives it."""
+    return _sets(batch, n)[2].view(np.int64)
 
 
 def shingles_of(docs: DataFrame, n: int, reps: DataFrame) -> DataFrame:
@@ -429,5 +422,11 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float
     chosen = named.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "rep")).alias("_kept"))
     chosen = stored(chosen.select(F.col("_kept.rep").alias("_rep"), F.col("_kept.least").alias("_least")), "kept")
 
-    rows = docs.select(whole_rows(docs), rep_of(n)(utf8("text")).alias("_rep")).join(chosen, "_rep")
+    @F.pandas_udf("bigint")
+    def rep_of(texts: pd.Series) -> pd.Series:
+        batch = pa.RecordBatch.from_arrays([pa.Array.from_pandas(texts, type=pa.large_binary())], ["text"])
+        found = [set_hashes(part, n) for part in slices(batch, "text")]
+        return pd.Series(np.concatenate(found) if found else np.zeros(0, np.int64))
+
+    rows = docs.select(whole_rows(docs), rep_of(utf8("text")).alias("_rep")).join(chosen, "_rep")
     return rows.filter(F.col("_doc.doc_id").cast("bigint").eqNullSafe(F.col("_least"))).dropDuplicates(["_rep"]).select("_doc.*")

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import jaccard_join
-from plumbline.llm.base import slices, stored, utf8
+from plumbline.llm.base import by_slices, slices, stored, utf8
 from plumbline.llm.words import Words, mix, words_of
 
 LABELLED = 50_000
@@ -316,9 +316,22 @@ def teaching_rows(docs: DataFrame, known: DataFrame) -> DataFrame:
     roots = jaccard_join.components(jaccard_join.sampled_edges(sets.filter("size > 0").select("rep", "sampled"), COPY_SIMILARITY))
     named = sampled.select("doc_id", "rep").join(F.broadcast(known), "doc_id").join(roots, F.col("rep") == F.col("node"), "left")
     first = named.groupBy(F.coalesce("root", "rep"), F.col("toxic") > 0).agg(F.min(F.struct("doc_id", "rep")).alias("first"))
-    first = stored(first.select("first.doc_id", "first.rep").distinct(), "teaching")
-    own = rows.withColumn("rep", jaccard_join.rep_of(COPY_WORDS)("text")).join(F.broadcast(first), ["doc_id", "rep"])
-    return stored(own.dropDuplicates(["doc_id", "rep"]).select("toxic", "text"), "taught")
+    # Rows that occur once, nearly all, are taken where they lie; only repeated rows have to meet.
+    times = sampled.groupBy("doc_id", "rep").agg(F.count(F.lit(1)).alias("times"))
+    first = stored(first.select("first.doc_id", "first.rep").distinct().join(times, ["doc_id", "rep"]), "teaching")
+    own = _with_rep(rows).join(F.broadcast(first), ["doc_id", "rep"])
+    once, often = own.filter("times = 1"), own.filter("times > 1").dropDuplicates(["doc_id", "rep"])
+    return stored(once.unionByName(often).select("toxic", "text"), "taught")
+
+
+def _with_rep(rows: DataFrame) -> DataFrame:
+    """(doc_id, toxic, text) with ``rep``, the hash of the text's set of shingles."""
+
+    def each(part: pa.RecordBatch) -> pa.RecordBatch:
+        rep = jaccard_join.set_hashes(part, COPY_WORDS)
+        return pa.RecordBatch.from_arrays([*part.columns, pa.array(rep)], ["doc_id", "toxic", "text", "rep"])
+
+    return by_slices(rows.select("doc_id", "toxic", "text"), "text", each, "doc_id bigint, toxic int, text binary, rep bigint")
 
 
 def _feature_counts(rows: DataFrame, characters: np.ndarray) -> DataFrame:
