@@ -166,7 +166,7 @@ def _oracles() -> dict[str, str]:
     o: dict[str, str] = {}
 
     # Templates
-    o["read_templates"] = _corpus(
+    o["read_template_lines"] = o["read_templates"] = _corpus(
         "SELECT f AS template_id, 'factory_' || f AS factory_name, count(*) AS resources FROM res GROUP BY f"
     )
     o["shred_resources"] = _corpus(

@@ -67,23 +67,29 @@ def _on_resources(operator: Callable[[DataFrame], DataFrame], name: str | None =
 # Template documents, summaries, graph and checks ------------------------------------------------------------
 
 
+def _named_documents(read: DataFrame) -> DataFrame:
+    """Factory name and number of resources of each template."""
+    name = F.get_json_object("template", "$.parameters.factoryName.defaultValue")
+    resources = F.from_json("template", T.RESOURCES_DDL)["resources"]
+    rows = read.select(F.col("template_id").cast("bigint").alias("template_id"), name.alias("name"), F.size(resources).cast("bigint").alias("n"))
+    return rows.groupBy("template_id").agg(F.max("name").alias("factory_name"), F.sum("n").alias("resources"))
+
+
 @register
 def read_templates(spark, sf):
-    """Documents written as lines, many to a file, and read back: factory name and number of resources of each."""
+    """Documents written as files of their own and read back whole."""
+    path = fresh_path(spark, "documents")
+    corpus.templates(spark, sf).select("template_id", "part", "template").write.partitionBy("template_id", "part").text(path)
+    read = files.read_templates(spark, path)
+    return _named_documents(read.withColumn("template_id", F.regexp_extract("template_id", "template_id=([0-9]+)", 1)))
+
+
+@register
+def read_template_lines(spark, sf):
+    """Documents written as lines, many to a file, and read back."""
     path = fresh_path(spark, "documents")
     corpus.templates(spark, sf).select("template_id", "template").write.json(path)
-    read = files.read_template_lines(spark, path)
-    name = F.get_json_object("template", "$.parameters.factoryName.defaultValue")
-    resources = F.from_json("template", T.RESOURCES_DDL)["resources"]
-    return (
-        read.select(
-            F.col("template_id").cast("bigint").alias("template_id"),
-            name.alias("name"),
-            F.size(resources).cast("bigint").alias("n"),
-        )
-        .groupBy("template_id")
-        .agg(F.max("name").alias("factory_name"), F.sum("n").alias("resources"))
-    )
+    return _named_documents(files.read_template_lines(spark, path))
 
 
 @register
