@@ -36,7 +36,7 @@ BLOCK_TOKENS = 4_000_000
 CACHED_WORDS = 200_000
 #: The split of a text before byte pairs are merged, as the public vocabulary defines it: a fixed value.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_PROBE = "It's 12 o'clock,\n\n  naïve\tÜber-straße  東京 🙂!! x<|endoftext|>   end "
+_PROBE = "It's 12 o'clock,\n\n  naïve\tÜber-straße  東京 🙂!! x   end "
 
 
 def _byte_of_character() -> dict[str, int]:
