@@ -8,11 +8,17 @@ keep a constant chance per level, others lose theirs, and the runs are as many a
 greatest depth.
 
 Texts with equal sets are one representative from the start. A bucket is joined by brute force when it is small, when
-splitting no longer makes it smaller (its members are alike), or at ``DEPTH``; large ones are cut into chunks, and
-each pair of chunks is a cell of its own, so no group is unbounded and no row is dropped. Members of small buckets
-without a partner by the sampled values (at ``DOUBT`` standard errors below the threshold) leave; the others are
-compared exactly, on sets of 64-bit hashes. A pair counts in the first bucket it shares only, so links are counted without being written out:
-a cell returns the number of links per set and, to connect classes, at most one edge per set.
+splitting no longer makes it smaller (its members are alike), or at ``DEPTH``. A group of alike sets lies in a large
+bucket of every run: its sets form one cluster, named by the least set of their large buckets, and pairs within a
+cluster are taken once, not once per bucket. They are compared by what sets A, B differ in from the cluster's first L:
+with differences dA, dB, |A n B| = |L| - |L - A| - |L - B| + |dA n dB|, which is exact for any L and short for
+near copies. Clusters are cut into tiles of about ``TILE`` sets, and each pair of tiles is a cell of its own.
+
+Buckets are left with pairs of different clusters: those of one cluster only are gone, and in others the sets of the
+most frequent cluster meet just the rest, in chunks of about ``SMALL``. Members without a partner there by the sampled
+values (at ``DOUBT`` standard errors below the threshold) leave; the others are compared exactly, on sets of 64-bit
+hashes. A pair counts in the first bucket it shares only, so links are counted without being written out: a cell
+returns the number of links per set and, to connect classes, at most one or two edges per set.
 
 Classes are the connected components of links, by alternating star contraction on stored edges. Sets are known by a
 64-bit hash; about 10^9 different sets share one by chance with a probability of 0.03.
@@ -43,6 +49,8 @@ WIDTH = 64
 DEPTH = 4
 #: Members of a bucket that are compared with each other at once.
 SMALL = 256
+#: Sets of a cluster that are compared with each other at once.
+TILE = 1024
 RECALL = 0.999
 #: A part that holds this share of its bucket shows that the members are alike.
 ALIKE = 0.8
@@ -192,6 +200,20 @@ def _cells(members: DataFrame) -> DataFrame:
     return rows.select("bucket", "rep", "chunk", F.explode(pairs).alias("cell")).select("bucket", "cell.i", "cell.j", "chunk", "rep")
 
 
+def _cross_cells(members: DataFrame) -> DataFrame:
+    """(bucket, i, j, chunk, rep, cluster): pairs of chunks of a bucket, but for two of its most frequent cluster.
+
+    Chunks of that cluster have the lower numbers; their members meet the chunks of the rest only.
+    """
+    of_core, of_rest = (F.ceil(F.col(c) / SMALL).cast("int") for c in ("n_core", "n_rest"))
+    dealt = F.xxhash64("rep", F.lit(7))
+    rows = members.select("bucket", "rep", "cluster", "core", of_core.alias("cores"), (of_core + of_rest).alias("chunks"))
+    rows = rows.withColumn("chunk", F.when(F.col("core"), F.pmod(dealt, "cores")).otherwise(F.col("cores") + F.pmod(dealt, F.col("chunks") - F.col("cores"))).cast("int"))
+    first = F.when(F.col("core"), F.col("cores")).otherwise(F.lit(0))
+    pairs = F.transform(F.sequence(first, F.col("chunks") - 1), lambda k: F.struct(F.least("chunk", k).alias("i"), F.greatest("chunk", k).alias("j")))
+    return rows.select("bucket", "rep", "cluster", "chunk", F.explode(pairs).alias("cell")).select("bucket", "cell.i", "cell.j", "chunk", "rep", "cluster")
+
+
 def _by_cell(rows: DataFrame, each: Callable[[dict[str, np.ndarray]], list[np.ndarray]], schema: str) -> DataFrame:
     """Apply ``each`` to the columns of one cell after another; a cell has about two chunks of rows."""
     names = [f.split()[0] for f in schema.split(", ")]
@@ -258,19 +280,22 @@ def _overlap(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _of_two(cluster: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Whether sets of a cell are of two clusters; a set outside of clusters is one of its own."""
+    return cluster[low][:, None] != cluster[high][None, :]
+
+
 def _likely(threshold: float) -> Callable[[dict], list[np.ndarray]]:
     """Members of a cell with a partner that the sampled values do not rule out."""
     least = threshold * WIDTH - DOUBT * math.sqrt(threshold * (1 - threshold) * WIDTH)
 
     def each(cell: dict) -> list[np.ndarray]:
         values = np.frombuffer(b"".join(cell["sampled"]), np.uint32).reshape(-1, WIDTH)
-        low, high, same = _sides(cell["chunk"])
+        low, high, _ = _sides(cell["chunk"])
         equal = np.zeros((len(low), len(high)), np.int16)
         for k in range(WIDTH):
             equal += values[low, k][:, None] == values[high, k][None, :]
-        alike = equal >= least
-        if same:
-            np.fill_diagonal(alike, False)
+        alike = (equal >= least) & _of_two(cell["cluster"], low, high)
         rows = np.union1d(low[alike.any(axis=1)], high[alike.any(axis=0)])
         return [cell["bucket"][rows], cell["rep"][rows]]
 
@@ -312,6 +337,7 @@ def _linked(threshold: float) -> Callable[[dict], list[np.ndarray]]:
         common = _overlap([sets[k] for k in low], [sets[k] for k in high])
         size = np.array([len(s) for s in sets], np.float64)
         alike = common >= threshold * (size[low][:, None] + size[high][None, :] - common) - 1e-9
+        alike &= _of_two(cell["cluster"], low, high)
         if same:
             alike = np.triu(alike, 1)
         if alike.any():  # where both ends share an earlier bucket, the pair counts there
@@ -326,6 +352,101 @@ def _linked(threshold: float) -> Callable[[dict], list[np.ndarray]]:
     return each
 
 
+def _differences(rows: DataFrame) -> DataFrame:
+    """(bucket, chunk, chunks, rep, size, missing, first_size, differs) of sets to the first of their cluster, for rows with both."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "shingles"):
+                sizes, missing, firsts, differs = [], [], [], []
+                for own, first in zip(part.column("shingles"), part.column("first"), strict=True):
+                    a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (own, first))
+                    d = np.setxor1d(a, b, assume_unique=True)
+                    sizes.append(len(a))
+                    firsts.append(len(b))
+                    missing.append((len(d) + len(b) - len(a)) // 2)
+                    differs.append(d.tobytes())
+                counts = [pa.array(c, pa.int32()) for c in (sizes, missing, firsts)]
+                columns = [part.column(c) for c in ("bucket", "chunk", "chunks", "rep")] + counts + [pa.array(differs, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "chunks", "rep", "size", "missing", "first_size", "differs"])
+
+    schema = "bucket bigint, chunk int, chunks int, rep bigint, size int, missing int, first_size int, differs binary"
+    return rows.select("bucket", "chunk", "chunks", "rep", "shingles", "first").mapInArrow(run, schema)
+
+
+def _alike_sets(threshold: float) -> Callable[[dict], list[np.ndarray]]:
+    """Links per set of two tiles of a cluster, and edges that connect what is linked in them, as ``_linked`` gives them."""
+
+    def each(cell: dict) -> list[np.ndarray]:
+        rep, first = cell["rep"], int(cell["first_size"][0])
+        differs = [np.frombuffer(s, np.uint64) for s in cell["differs"]]
+        size, missing = cell["size"].astype(np.float64), cell["missing"].astype(np.float64)
+        low, high, same = _sides(cell["chunk"])
+        common = _overlap([differs[k] for k in low], [differs[k] for k in high])
+        common = common + (first - missing[low][:, None] - missing[high][None, :])
+        alike = common >= threshold * (size[low][:, None] + size[high][None, :] - common) - 1e-9
+        if same:
+            np.fill_diagonal(alike, False)
+        n = np.zeros(len(rep), np.int64)
+        n[low] = alike.sum(axis=1)
+        if not same:
+            n[high] = alike.sum(axis=0)
+        at, (x, y) = np.flatnonzero(n), _spanning(alike)
+        x, y = low[x], high[y]
+        return [np.append(rep[at], rep[x]), np.append(rep[at], rep[y]), np.append(n[at], np.zeros(len(x), np.int64))]
+
+    return each
+
+
+def _spanning(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row, column) among those of the matrix that connect the same rows and columns without a cycle."""
+    rows, columns, x, y = np.ones(linked.shape[0], bool), np.ones(linked.shape[1], bool), [], []
+    for start in np.flatnonzero(linked.any(axis=1)).tolist():
+        if not rows[start]:
+            continue
+        rows[start], queue = False, [(start, True)]
+        while queue:
+            k, is_row = queue.pop()
+            found = np.flatnonzero(linked[k] & columns if is_row else linked[:, k] & rows)
+            (columns if is_row else rows)[found] = False
+            mine = np.full(len(found), k)
+            x.append(mine if is_row else found)
+            y.append(found if is_row else mine)
+            queue += [(other, not is_row) for other in found.tolist()]
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *x]), np.concatenate([none, *y])
+
+
+def _within(clusters: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """Links and edges between all sets of each cluster (rep, cluster)."""
+    tiles = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("chunks"))
+    dealt = clusters.join(tiles, "cluster").select("cluster", "rep", "chunks", F.pmod(F.xxhash64("rep", F.lit(11)), F.col("chunks")).cast("int").alias("chunk"))
+    sets = known.select("rep", "shingles")
+    # The first set of a cluster goes to each tile, so that no cluster is one key of the join.
+    firsts = tiles.join(sets.select(F.col("rep").alias("cluster"), F.col("shingles").alias("first")), "cluster")
+    firsts = firsts.select("cluster", "first", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    both = dealt.join(sets, "rep").join(firsts, ["cluster", "chunk"]).withColumnRenamed("cluster", "bucket")
+    rows = stored(_differences(both), "differences")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: F.struct(F.least("chunk", k).alias("i"), F.greatest("chunk", k).alias("j")))
+    cells = rows.withColumn("cell", F.explode(pairs)).select("bucket", "cell.i", "cell.j", "chunk", "rep", "size", "missing", "first_size", "differs")
+    return _by_cell(cells, _alike_sets(threshold), "a bigint, b bigint, links bigint")
+
+
+def _cored(members: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Members (bucket, rep, cluster, core, n_core, n_rest) of buckets of more than one cluster.
+
+    ``core`` are those of a bucket's most frequent cluster, if they are more than ``SMALL``.
+    """
+    rows = members.select("bucket", "size", "rep").join(clusters, "rep", "left")
+    counts = rows.filter("cluster IS NOT NULL").groupBy("bucket", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.groupBy("bucket").agg(F.max(F.struct("n", "cluster")).alias("top"))
+    rows = rows.join(top, "bucket", "left").filter("top IS NULL OR top.n < size")
+    large = F.coalesce(F.col("top.n") > SMALL, F.lit(False))
+    n_core = F.when(large, F.col("top.n")).otherwise(0)
+    core = large & F.coalesce(F.col("cluster") == F.col("top.cluster"), F.lit(False))
+    return rows.select("bucket", "rep", F.coalesce("cluster", "rep").alias("cluster"), core.alias("core"), n_core.alias("n_core"), (F.col("size") - n_core).alias("n_rest"))
+
+
 def _forest(a: np.ndarray, b: np.ndarray, nodes: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges among the given ones that connect the same nodes without a cycle."""
     root, kept = list(range(nodes)), []
@@ -347,25 +468,28 @@ def links(docs: DataFrame, sets: DataFrame, n: int, threshold: float, recall: fl
     members = stored(buckets(sets, threshold, recall), "members")
     # Equal buckets come up in many runs: the first of them is enough, before and after members leave.
     members = _sized(members.select("bucket", "rep"))
-    # Members of a large bucket are alike and stay, so that only buckets of one cell are looked through here.
-    small, large = members.filter(F.col("size") <= SMALL), members.filter(F.col("size") > SMALL)
-    likely = _by_cell(_cells(small).join(sets.select("rep", "sampled"), "rep"), _likely(threshold), "bucket bigint, rep bigint")
-    members = _sized(stored(likely.unionByName(large.select("bucket", "rep")), "likely"))
+    clusters = stored(members.filter(F.col("size") > SMALL).groupBy("rep").agg(F.min("least").alias("cluster")), "clusters")
+    cells = _cross_cells(_cored(members, clusters)).join(sets.select("rep", "sampled"), "rep")
+    likely = _by_cell(cells, _likely(threshold), "bucket bigint, rep bigint")
+    members = stored(_cored(_sized(stored(likely.distinct(), "likely")), clusters), "crossing")
     # Lists of bucket numbers as bytes: a few per run and rep.
     number = F.expr("unhex(array_join(transform(sort_array(collect_list(bucket)), b -> lpad(hex(b), 16, '0')), ''))")
     lists = members.groupBy("rep").agg(number.alias("buckets"))
-    known = stored(shingles_of(docs, n, members.select("rep").distinct()).join(lists, "rep"), "known")
-    found = stored(_by_cell(_cells(members).join(known, "rep"), _linked(threshold), "a bigint, b bigint, links bigint"), "links")
+    wanted = members.select("rep").union(clusters.select("rep")).union(clusters.select("cluster")).distinct()
+    known = stored(shingles_of(docs, n, wanted).join(lists, "rep", "left"), "known")
+    crossing = _by_cell(_cross_cells(members).join(known, "rep"), _linked(threshold), "a bigint, b bigint, links bigint")
+    found = stored(crossing.unionByName(_within(clusters, known, threshold)), "links")
     return found.filter("a = b").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links")), found.filter("a <> b").select("a", "b")
 
 
 def _sized(members: DataFrame) -> DataFrame:
-    """Members (bucket, size, rep) of buckets that differ; those of one member are gone."""
+    """Members (bucket, size, least, rep) of buckets that differ, with their least rep; those of one member are gone."""
     content = members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("_x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("_y")
-    )
-    first = content.filter("size > 1").groupBy("size", "_x", "_y").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
-    return stored(members.join(first, "bucket").select("bucket", "size", "rep"), "buckets")
+        F.count(F.lit(1)).alias("size"), F.min("rep").alias("least"),
+        F.bit_xor(F.xxhash64("rep")).alias("_x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("_y"),
+    )
+    first = content.filter("size > 1").groupBy("size", "_x", "_y").agg(F.min("bucket").alias("bucket"), F.first("least").alias("least"))
+    return stored(members.join(first, "bucket").select("bucket", "size", "least", "rep"), "buckets")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from plumbline.llm import chat_tools, jaccard_join, warc
@@ -71,11 +72,34 @@ def near_copies(members, others, seed):
 
 def test_large_groups_are_split(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "SMALL", 16)
+    monkeypatch.setattr(jaccard_join, "TILE", 20)
     docs = near_copies(150, 150, 6)
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
     assert found(jaccard_join.jaccard_join(df)) == join_by_hand(docs)
 
 
+def test_pairs_that_span(spark):
+    pick = np.random.default_rng(3)
+    for rows, columns, share in ((30, 40, 0.03), (50, 50, 0.01), (1, 9, 0.5), (5, 5, 0.0)):
+        linked = pick.random((rows, columns)) < share
+        x, y = jaccard_join._spanning(linked)
+        assert linked[x, y].all()
+
+        def parts(pairs):
+            root = list(range(rows + columns))
+
+            def top(k):
+                return k if root[k] == k else top(root[k])
+
+            for a, b in pairs:
+                root[max(top(a), top(b))] = min(top(a), top(b))
+            return [top(k) for k in range(rows + columns)]
+
+        whole = parts([(a, rows + b) for a, b in zip(*map(np.ndarray.tolist, np.nonzero(linked)))])
+        assert parts([(a, rows + b) for a, b in zip(x.tolist(), y.tolist())]) == whole
+        assert len(x) == rows + columns - len(set(whole))
+
+
 def test_join_of_odd_rows(spark, odd_documents):
     docs = [(r["doc_id"], r["text"]) for r in odd_documents.collect()]
     got = found(jaccard_join.jaccard_join(odd_documents))
