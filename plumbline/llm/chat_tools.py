@@ -1,17 +1,25 @@
-"""Chat formatting: tool calls and their results, linked, ordered, validated and serialised; DataFrame operations only.
+"""Chat formatting: whole conversations with tool calls and results linked, ordered, validated and serialised; DataFrame operations only.
 
-Calls and results are joined by (conversation, identifier). The first call and the first result of an identifier, by
-turn and place in the message, are the ones linked; others are duplicates. A call may name one call that must come
-before it; depths in the forest of these are found by pointer doubling, so long chains take few rounds. The order
-of a conversation is topological: by depth, every result behind its call, then by turn. Positions are numbered by one
-range partitioning of all events, so a conversation of any length is spread over many tasks.
+Every turn is an event with its whole text, and so is every call. Calls and results are joined by (conversation,
+identifier). The first call and the first result of an identifier, by turn and place in the message, are the ones
+linked; others are duplicates. A call may name any number of calls that must come before it. Its depth is the longest
+path to it over a stored table of edges: along calls with one predecessor pointers are doubled, so long chains take few
+rounds; calls where paths meet are solved when all of their predecessors are, a round for each on the longest path.
+
+The order of a conversation is topological and as close to its turns as that allows: an event stands at the latest
+turn of itself and all that must come before it, there by depth, and a message before calls, calls before results.
+Positions are numbered by one range partitioning of narrow rows, so a conversation of any length is spread over many
+tasks; texts are joined by row afterwards.
 
 Arguments are parsed as JSON and checked against the parameters of their tool. Canonical JSON has sorted keys and no
 blanks; absent members are left out.
 
-Statuses: linked, unanswered (call), orphan (result without a call), duplicate, unidentified (null identifier). A call
-in or behind a cycle has no depth, status cyclic, and stands last. Null arguments are malformed; a null tool is
-unknown. Null conversations are one conversation. Repeated rows are duplicates of each other. No events, no rows.
+Statuses: linked, unanswered (call), orphan (result without a call), duplicate, unidentified (null identifier), plain
+(message). A call in or behind a cycle has no depth, status cyclic, and stands last. Predecessors
+that are null or no call of the conversation are passed over, repeated ones count once, and a call behind itself is a
+cycle. Null arguments are malformed; a null
+tool is unknown. Null conversations are one conversation. A null role or text is left out of the JSON. Repeated rows are
+duplicates of each other, or messages of their own. No messages, no rows.
 """
 
 from __future__ import annotations
@@ -27,33 +35,39 @@ _KEY = ["conv", "call_id"]
 
 
 def events(messages: DataFrame) -> DataFrame:
-    """One row per call and result of ``messages``.
+    """One row per call, per result, and per other message of ``messages``.
 
-    ``messages``: conv_id, turn, role, text, calls (array of id, name, arguments and after) and call_id, the
-    identifier that a message of the role ``tool`` answers.
+    ``messages``: conv_id, turn, role, text, calls (array of id, name, arguments and after, an array of identifiers) and
+    call_id, the identifier that a message of the role ``tool`` answers.
     """
-    rows = messages.select("conv_id", "turn", "role", "text", "calls", "call_id")
     conv = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("null")).alias("conv")
-    calls = rows.select("conv_id", conv, "turn", F.posexplode("calls").alias("idx", "call")).select(
-        "conv_id", "conv", "turn", "idx", F.lit("call").alias("kind"), F.col("call.id").alias("call_id"),
-        F.col("call.name").alias("tool"), F.col("call.arguments").alias("body"), F.col("call.after").alias("after"),
+    none = lambda kind: F.lit(None).cast(kind)
+    result = F.coalesce(F.col("role") == "tool", F.lit(False))
+    said = F.struct(
+        F.lit(0).alias("idx"), F.when(result, "result").otherwise("message").alias("kind"), F.when(result, F.col("call_id")).alias("call_id"),
+        none("string").alias("tool"), F.when(~result, F.col("role")).alias("role"), F.col("text").alias("body"), none("array<string>").alias("after"),
     )
-    results = rows.filter(F.col("role") == "tool").select(
-        "conv_id", conv, "turn", F.lit(0).alias("idx"), F.lit("result").alias("kind"), "call_id",
-        F.lit(None).cast("string").alias("tool"), F.col("text").alias("body"), F.lit(None).cast("string").alias("after"),
+    called = F.transform(
+        F.coalesce("calls", F.array().cast(messages.schema["calls"].dataType)),
+        lambda c, k: F.struct(
+            k.alias("idx"), F.lit("call").alias("kind"), c["id"].alias("call_id"), c["name"].alias("tool"), none("string").alias("role"),
+            c["arguments"].alias("body"), c["after"].cast("array<string>").alias("after"),
+        ),
     )
-    return stored(calls.unionByName(results).withColumn("row", F.monotonically_increasing_id()), "events")
+    rows = messages.select("conv_id", conv, "turn", F.explode(F.concat(F.array(said), called)).alias("event"))
+    return stored(rows.select("conv_id", "conv", "turn", "event.*").withColumn("row", F.monotonically_increasing_id()), "events")
 
 
 def _linked(found: DataFrame) -> DataFrame:
-    """Events with their status and the tool of the call that a result answers."""
-    place = F.struct("turn", "idx", "row", "tool", "after")
+    """Calls and results with their status and the tool of the call that a result answers."""
+    place = F.struct("turn", "idx", "row", "tool")
     first = found.filter("call_id IS NOT NULL").groupBy(*_KEY).agg(
         *[F.min(F.when(F.col("kind") == k, place)).alias(f"first_{k}") for k in ("call", "result")]
     )
     own = F.when(F.col("kind") == "call", F.col("first_call.row")).otherwise(F.col("first_result.row"))
     status = (
-        F.when(F.col("call_id").isNull(), "unidentified")
+        F.when(F.col("kind") == "message", "plain")
+        .when(F.col("call_id").isNull(), "unidentified")
         .when(F.col("first_call").isNull(), "orphan")
         .when(own != F.col("row"), "duplicate")
         .when(F.col("first_result").isNull(), "unanswered")
@@ -64,20 +78,60 @@ def _linked(found: DataFrame) -> DataFrame:
 
 
 def _depths(linked: DataFrame) -> DataFrame:
-    """(conv, call_id, depth) of every identifier with a call; depth is null in and behind cycles."""
-    calls = linked.filter("kind = 'call' AND status IN ('linked', 'unanswered')").select(*_KEY, "after")
-    calls = stored(calls, "calls")
-    above = calls.select("conv", F.col("call_id").alias("up"))
-    at = calls.select(*_KEY, F.col("after").alias("up")).join(above.withColumn("known", F.lit(True)), ["conv", "up"], "left")
-    at = at.select(*_KEY, F.when(F.col("known"), F.col("up")).alias("up"), F.when(F.col("known"), 1).otherwise(0).cast("bigint").alias("depth"))
-    at, reach = stored(at, "depths"), 1
+    """(conv, call_id, depth, latest) of every identifier with a call: longest path and latest turn; null in and behind cycles."""
+    calls = stored(linked.filter("kind = 'call' AND status IN ('linked', 'unanswered')").select(*_KEY, "turn", "after"), "calls")
+    named = calls.select(*_KEY, F.explode(F.array_distinct("after")).alias("up"))
+    edges = stored(named.join(calls.select("conv", F.col("call_id").alias("up")), ["conv", "up"]).select(*_KEY, "up"), "edges")
+    count = edges.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n"), F.min("up").alias("up"))
+    # Pointers end at heads, calls without or with several predecessors. ``latest`` is that of the way, the head excluded.
+    at = calls.select(*_KEY, "turn").join(count, _KEY, "left")
+    single = F.coalesce(F.col("n") == 1, F.lit(False))
+    at = at.select(
+        *_KEY, "turn", F.when(single, F.col("up")).otherwise(F.col("call_id")).alias("head"), (~single).alias("ended"),
+        F.when(single, 1).otherwise(0).cast("bigint").alias("steps"), F.col("turn").alias("latest"), F.coalesce("n", F.lit(0)).alias("n"),
+    )
+    heads = stored(at.filter("ended"), "heads")
+    at, reach = stored(at.drop("turn", "n"), "pointers"), 1
     most = calls.groupBy("conv").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    while reach <= most and not at.filter("up IS NOT NULL").isEmpty():
-        parent = at.select("conv", F.col("call_id").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"))
-        open_, done = at.filter("up IS NOT NULL"), at.filter("up IS NULL")
-        open_ = open_.join(parent, ["conv", "up"]).select(*_KEY, F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"))
-        at, reach = stored(done.unionByName(open_), "depths"), reach * 2
-    return at.select(*_KEY, F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
+    while True:
+        up = at.select("conv", F.col("call_id").alias("head"), F.col("head").alias("_head"), F.col("ended").alias("_ended"), F.col("steps").alias("_steps"), F.col("latest").alias("_latest"))
+        moved = at.filter("NOT ended").join(up, ["conv", "head"]).select(
+            *_KEY, F.col("_head").alias("head"), F.col("_ended").alias("ended"),
+            (F.col("steps") + F.col("_steps")).alias("steps"), F.greatest("latest", "_latest").alias("latest"),
+        )
+        at, reach = stored(at.filter("ended").unionByName(moved), "pointers"), reach * 2
+        if reach > most or at.filter("NOT ended").isEmpty():
+            break
+    # Heads with several predecessors wait until the heads of all of these are solved.
+    ways = at.filter("ended").select("conv", F.col("call_id").alias("up"), "head", F.col("steps").alias("_steps"), F.col("latest").alias("_latest"))
+    ways = stored(edges.join(heads.filter("n > 1").select(*_KEY, "turn", "n"), _KEY).join(ways, ["conv", "up"]), "ways")
+    solved = stored(heads.filter("n = 0").select(*_KEY, F.lit(0).cast("bigint").alias("depth"), F.col("turn").alias("latest")), "solved")
+    fresh = solved
+    while not ways.isEmpty():
+        above = fresh.select("conv", F.col("call_id").alias("head"), F.col("depth").alias("_depth"), F.col("latest").alias("_above"))
+        tried = ways.join(above, ["conv", "head"], "left")
+        # A way whose head is solved now holds its length and turn, and has no head any more.
+        known = F.col("_depth").isNotNull()
+        ways = stored(
+            tried.select(
+                *_KEY, "up", "turn", "n", F.when(~known, F.col("head")).alias("head"),
+                (F.col("_steps") + F.coalesce("_depth", F.lit(0))).alias("_steps"),
+                F.when(known, F.greatest("_latest", "_above")).otherwise(F.col("_latest")).alias("_latest"),
+            ), "ways",
+        )
+        state = ways.groupBy(*_KEY, "n").agg(
+            F.count("head").alias("waiting"), F.count(F.lit(1)).alias("found"), F.max("_steps").alias("_steps"), F.greatest(F.max("turn"), F.max("_latest")).alias("latest")
+        )
+        done = state.filter("waiting = 0 AND found = n").select(*_KEY, (F.col("_steps") + 1).alias("depth"), "latest")
+        fresh = stored(done, "fresh")
+        if fresh.isEmpty():
+            break
+        solved = solved.unionByName(fresh)
+        ways = ways.join(fresh.select(*_KEY), _KEY, "left_anti")
+    solved = stored(solved, "solved")
+    above = solved.select("conv", F.col("call_id").alias("head"), F.col("depth").alias("_depth"), F.col("latest").alias("_above"))
+    found = at.filter("ended").join(above, ["conv", "head"]).select(*_KEY, (F.col("steps") + F.col("_depth")).alias("depth"), F.greatest("latest", "_above").alias("latest"))
+    return calls.select(*_KEY).join(found, _KEY, "left")
 
 
 def _positions(rows: DataFrame, order: list[str]) -> DataFrame:
@@ -139,13 +193,19 @@ def format_tool_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
 
     ``schemas`` has a row per parameter: tool, param, type, required, minimum, maximum, choices.
     """
-    linked = stored(_linked(events(messages)), "linked")
+    found = events(messages)
+    linked = stored(_linked(found.drop("body", "role")), "linked")
     depths = _depths(linked).withColumn("placed", F.lit(True))
     rows = linked.join(depths, _KEY, "left")
-    cyclic = F.col("placed") & F.col("depth").isNull()
-    rows = rows.withColumn("status", F.when(F.coalesce(cyclic, F.lit(False)), "cyclic").otherwise(F.col("status")))
-    rows = rows.withColumn("_depth", F.when(F.col("status") == "cyclic", F.lit(1 << 40)).otherwise(F.coalesce("depth", F.lit(0))))
-    ordered = _positions(rows.select("conv_id", "conv", "turn", "idx", "kind", "call_id", "tool_of_call", "body", "depth", "status", "_depth", "row"), ["_depth", "kind", "turn", "idx", "row"])
+    cyclic = F.coalesce(F.col("placed") & F.col("depth").isNull(), F.lit(False))
+    rows = rows.withColumn("status", F.when(cyclic, "cyclic").otherwise(F.col("status")))
+    rows = rows.select(
+        "conv_id", "conv", "turn", "idx", "kind", "call_id", "tool_of_call", "depth", "status", "row",
+        cyclic.alias("_last"), F.when(~cyclic, F.greatest("turn", "latest")).alias("_turn"), F.coalesce("depth", F.lit(0)).alias("_depth"),
+        F.expr("CASE kind WHEN 'message' THEN 0 WHEN 'call' THEN 1 ELSE 2 END").alias("_kind"),
+    )
+    ordered = _positions(rows, ["_last", "_turn", "_depth", "_kind", "turn", "idx", "row"])
+    ordered = ordered.join(found.select("row", "role", "body"), "row")
     shape = F.struct("param", "type", "required", "minimum", "maximum", "choices")
     tools = schemas.groupBy(F.col("tool").alias("tool_of_call")).agg(F.sort_array(F.collect_list(shape)).alias("parameters"))  # of a schema
     checked = ordered.join(tools, "tool_of_call", "left")
@@ -158,6 +218,7 @@ def format_tool_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
         F.when(~call | parsed.isNull(), F.col("body")).alias("content"),
         F.col("call_id").alias("id"),
         F.col("tool_of_call").alias("name"),
+        "role",
         F.col("kind").alias("type"),
     )
     return checked.select(

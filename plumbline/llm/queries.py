@@ -34,23 +34,22 @@ TOOL_SCHEMAS = (
     ("search", "limit", "integer", True, 1.0, 40.0, None),
     ("search", "query", "string", True, None, None, None),
     ("lookup", "limit", "integer", False, 0.0, None, None),
-    ("lookup", "query", "string", True, None, None, ["The", "In", "De"]),
+    ("lookup", "mode", "string", True, None, None, ["exact", "near"]),
+    ("lookup", "query", "string", True, None, None, None),
 )
 
 
 def tool_messages(conversations: DataFrame) -> DataFrame:
-    """Assistant turns as tool calls, each after the call two turns before, and user turns as answers to the turn before."""
+    """Assistant turns with a tool call for their whole text, after the calls of two turns before; user turns but the first answer the turn before."""
     tool = "CASE length(text) % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'lookup' ELSE 'unlisted' END"
-    query = "split(text, ' ')[0]"
+    mode = "CASE length(text) % 4 WHEN 0 THEN 'exact' WHEN 1 THEN 'near' ELSE 'far' END"
     arguments = f"""CASE WHEN length(text) % 17 = 0 THEN concat('{{"query": ', length(text))
-        ELSE concat('{{"query": ', to_json(named_struct('q', {query})), ', "limit": ', length(text) % 60, '}}') END"""
-    arguments = arguments.replace(f"to_json(named_struct('q', {query}))", f"regexp_extract(to_json(named_struct('q', {query})), '^.\"q\":(.*).$', 1)")
-    call = f"""named_struct('id', concat('call_', turn), 'name', {tool}, 'arguments', {arguments},
-        'after', CASE WHEN turn >= 2 THEN concat('call_', turn - 2) END)"""
+        ELSE to_json(named_struct('query', text, 'mode', CASE WHEN {tool} = 'lookup' THEN {mode} END, 'limit', length(text) % 60)) END"""
+    call = f"named_struct('id', concat('call_', turn), 'name', {tool}, 'arguments', {arguments}, 'after', array(concat('call_', turn - 2)))"
     return conversations.select(
         "conv_id",
         "turn",
-        F.when(F.col("role") == "user", "tool").otherwise(F.col("role")).alias("role"),
+        F.when((F.col("role") == "user") & (F.col("turn") > 0), "tool").otherwise(F.col("role")).alias("role"),
         "text",
         F.expr(f"CASE WHEN role = 'assistant' THEN array({call}) END").alias("calls"),
         F.expr("CASE WHEN role = 'user' THEN concat('call_', turn - 1) END").alias("call_id"),
@@ -59,7 +58,7 @@ def tool_messages(conversations: DataFrame) -> DataFrame:
 
 @register
 def op2_chat_tools(spark, sf):
-    """Calls and results of all conversations: linked, in topological order, validated, as canonical JSON."""
+    """All turns, calls and results of all conversations: linked, in topological order, validated, as canonical JSON."""
     kinds = "tool string, param string, type string, required boolean, minimum double, maximum double, choices array<string>"
     found = chat_tools.format_tool_calls(tool_messages(table(spark, sf, "conversations")), spark.createDataFrame(TOOL_SCHEMAS, kinds))
     return found.withColumn("faults", F.array_join("faults", ","))
@@ -197,29 +196,34 @@ def op13_merkle(spark, sf):
 
 
 ORACLES["op2_chat_tools"] = """
-WITH said AS (SELECT *, CAST(length(text) AS BIGINT) AS n, string_split(text, ' ')[1] AS word FROM conversations),
-calls AS (SELECT conv_id, turn, 'call_' || turn AS call_id, n, word, n % 17 = 0 AS broken,
+WITH said AS (SELECT *, CAST(length(text) AS BIGINT) AS n, role = 'user' AND turn > 0 AS is_result FROM conversations),
+calls AS (SELECT conv_id, turn, 'call_' || turn AS call_id, n, text, n % 17 = 0 AS broken,
+                 CASE n % 4 WHEN 0 THEN 'exact' WHEN 1 THEN 'near' ELSE 'far' END AS mode,
                  CASE n % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'lookup' ELSE 'unlisted' END AS tool,
                  turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island
           FROM said WHERE role = 'assistant'),
 chained AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) - 1 AS depth FROM calls),
-answers AS (SELECT conv_id, turn, 'call_' || (turn - 1) AS call_id, text FROM said WHERE role = 'user'),
+answers AS (SELECT conv_id, turn, 'call_' || (turn - 1) AS call_id, text FROM said WHERE is_result),
 all_events AS (
-    SELECT c.conv_id, c.turn, 'call' AS kind, c.call_id, c.tool, c.depth,
-           CASE WHEN a.call_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+    SELECT conv_id, turn, 'message' AS kind, 0 AS place, NULL AS call_id, NULL AS tool, NULL AS depth, 'plain' AS status, '' AS faults,
+           '{' || coalesce('"content":' || to_json(text) || ',', '') || coalesce('"role":' || to_json(role) || ',', '') || '"type":"message"}' AS json
+    FROM said WHERE NOT is_result
+    UNION ALL
+    SELECT c.conv_id, c.turn, 'call', 1, c.call_id, c.tool, c.depth, CASE WHEN a.call_id IS NULL THEN 'unanswered' ELSE 'linked' END,
            CASE WHEN broken THEN 'malformed' WHEN c.tool = 'unlisted' THEN 'unknown tool'
                 WHEN c.tool = 'search' AND (n % 60 < 1 OR n % 60 > 40) THEN 'range:limit'
-                WHEN c.tool = 'lookup' AND word NOT IN ('The', 'In', 'De') THEN 'choice:query' ELSE '' END AS faults,
+                WHEN c.tool = 'lookup' AND mode = 'far' THEN 'choice:mode' ELSE '' END,
            CASE WHEN broken THEN '{"content":' || to_json('{"query": ' || n)
-                ELSE '{"arguments":{"limit":' || (n % 60) || ',"query":' || to_json(word) || '}' END
-           || ',"id":"' || c.call_id || '","name":"' || c.tool || '","type":"call"}' AS json
+                ELSE '{"arguments":{"limit":' || (n % 60) || CASE WHEN c.tool = 'lookup' THEN ',"mode":"' || mode || '"' ELSE '' END
+                     || ',"query":' || to_json(c.text) || '}' END
+           || ',"id":"' || c.call_id || '","name":"' || c.tool || '","type":"call"}'
     FROM chained c LEFT JOIN answers a USING (conv_id, call_id)
     UNION ALL
-    SELECT a.conv_id, a.turn, 'result', a.call_id, c.tool, c.depth,
+    SELECT a.conv_id, a.turn, 'result', 2, a.call_id, c.tool, c.depth,
            CASE WHEN c.call_id IS NULL THEN 'orphan' ELSE 'linked' END, '',
            '{"content":' || to_json(a.text) || ',"id":"' || a.call_id || '"' || coalesce(',"name":"' || c.tool || '"', '') || ',"type":"result"}'
     FROM answers a LEFT JOIN chained c USING (conv_id, call_id))
-SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY coalesce(depth, 0), kind, turn) - 1 AS position,
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, place) - 1 AS position,
        kind, call_id, tool, depth, status, faults, json
 FROM all_events"""
 

@@ -6,7 +6,7 @@ import corpus_pipeline
 from plumbline.llm.base import table
 from plumbline.llm.queries import REGISTRY
 
-ROWS = {"op2_chat_tools": 6, "op8_warc": 8}
+ROWS = {"op2_chat_tools": 12, "op8_warc": 8}
 DOCUMENTS = [n for n in REGISTRY if n not in (*ROWS, "op9_packing", "op11_nra")]
 
 

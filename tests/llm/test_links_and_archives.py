@@ -135,7 +135,7 @@ def test_runs():
 
 # Chat tools
 
-MESSAGES = "conv_id bigint, turn bigint, role string, text string, calls array<struct<id:string,name:string,arguments:string,after:string>>, call_id string"
+MESSAGES = "conv_id bigint, turn bigint, role string, text string, calls array<struct<id:string,name:string,arguments:string,after:array<string>>>, call_id string"
 SCHEMAS = [
     ("weather", "city", "string", True, None, None, ["Oslo", "Rome"]),
     ("weather", "days", "integer", False, 1.0, 7.0, None),
@@ -150,7 +150,11 @@ def formatted(spark, messages):
 
 
 def call(name, arguments, after=None, tool="weather"):
-    return (name, tool, arguments, after)
+    return (name, tool, arguments, [after] if isinstance(after, str) else after)
+
+
+def first_call(rows):
+    return next(r for r in rows if r["kind"] == "call")
 
 
 def test_linking_and_order(spark):
@@ -182,9 +186,58 @@ def test_long_chain(spark):
     order = random.Random(8).sample(range(90), 90)
     calls = [call(names[k], "{}", names[k - 1] if k else None) for k in order]
     rows = formatted(spark, [(1, t, "assistant", None, [c], None) for t, c in enumerate(calls)])
+    rows = [r for r in rows if r["kind"] == "call"]
     assert [r["call_id"] for r in rows] == names and [r["depth"] for r in rows] == list(range(90))
 
 
+def test_several_predecessors(spark):
+    """Diamonds, chains between them, cycles and what hangs behind these, against the longest path by hand."""
+    pick = random.Random(12)
+    above, messages = {}, []
+    for conv in range(4):
+        for k in range(30):
+            others = [j for j in range(30) if j < k or (conv == 3 and pick.random() < 0.3)]
+            above[conv, k] = pick.sample(others, min(len(others), pick.choice([0, 1, 1, 1, 2, 3])))
+        for t, k in enumerate(pick.sample(range(30), 30)):
+            names = [f"c{j}" for j in above[conv, k]]
+            messages.append((conv, t, "assistant", None, [call(f"c{k}", "{}", [*names, *names[:1], "gone", None])], None))
+            if pick.random() < 0.5:
+                messages.append((conv, 40 + t, "tool", "answer", None, f"c{k}"))
+    depth, open_ = {}, set(above)
+    while ready := {n for n in open_ if all((n[0], j) in depth for j in above[n])}:
+        depth |= {n: max((depth[n[0], j] + 1 for j in above[n]), default=0) for n in ready}
+        open_ -= ready
+    assert open_ and max(depth.values()) > 5
+    rows = formatted(spark, messages)
+    calls = {(r["conv_id"], int(r["call_id"][1:])): r for r in rows if r["kind"] == "call"}
+    assert {n: r["depth"] for n, r in calls.items()} == {n: depth.get(n) for n in above}
+    assert {n for n, r in calls.items() if r["status"] == "cyclic"} == open_
+    for n in depth:
+        assert all(calls[n[0], j]["position"] < calls[n]["position"] for j in above[n])
+    for r in rows:
+        if r["kind"] == "result":
+            assert r["position"] > calls[r["conv_id"], int(r["call_id"][1:])]["position"] or r["status"] == "cyclic"
+
+
+def test_whole_conversations(spark):
+    """Every turn is a row with its whole text, in the order of turns where nothing speaks against it."""
+    long = "word " * 5000
+    rows = formatted(
+        spark,
+        [
+            (1, 0, "system", "be kind", None, None),
+            (1, 1, "user", long, None, None),
+            (1, 2, "assistant", "let me see", [call("a", '{"city": "Oslo"}')], None),
+            (1, 3, "tool", "rain", None, "a"),
+            (1, 4, "assistant", None, None, None),
+            (1, 5, None, "", None, None),
+        ],
+    )
+    assert [r["kind"] for r in rows] == ["message", "message", "message", "call", "result", "message", "message"]
+    assert [json.loads(r["json"]).get("content") for r in rows] == ["be kind", long, "let me see", None, "rain", None, ""]
+    assert [json.loads(r["json"]).get("role") for r in rows] == ["system", "user", "assistant", None, None, "assistant", None]
+
+
 @pytest.mark.parametrize(
     "arguments, faults",
     [
@@ -200,13 +253,15 @@ def test_long_chain(spark):
     ],
 )
 def test_validation(spark, arguments, faults):
-    row = formatted(spark, [(1, 0, "assistant", None, [call("a", arguments)], None)])[0]
+    row = formatted(spark, [(1, 0, "assistant", None, [call("a", arguments)], None)])
+    row = first_call(row)
     assert row["faults"] == faults
 
 
 def test_canonical_json(spark):
     text = '{"tags" : ["b", "a"], "days": 2,\n "city":"Röme \\"x\\"", "nested": {"z": 1, "a": {"y": null, "b": true}}}'
-    row = formatted(spark, [(1, 0, "assistant", None, [call("a", text)], None)])[0]
+    row = formatted(spark, [(1, 0, "assistant", None, [call("a", text)], None)])
+    row = first_call(row)
     want = {"arguments": json.loads(text), "id": "a", "name": "weather", "type": "call"}
     assert row["json"] == json.dumps(want, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
