@@ -6,8 +6,9 @@ of its children's, so the prediction mixes the estimates of all depths from 0 to
 training texts and stay fixed while texts are scored. A text ends with an end symbol, so the probabilities of all
 texts sum to one.
 
-How it runs: texts are dealt to blocks of some megabytes by a hash of the row. Each block asks for its distinct
-(DEPTH + 1)-byte strings and words, along with their training counts, in one packed row per bucket of keys. A bucket
+How it runs: texts are dealt to blocks of some megabytes by a hash of the row, and keys to buckets; the numbers of
+both, and of tasks, grow with the volume of text. Each block asks for its distinct (DEPTH + 1)-byte strings and words,
+found by sorting (words by 64-bit hashes, which tell the words of one block apart), along with their training counts, in one packed row per bucket of keys. A bucket
 merges what all blocks counted, row by row, so that it never holds more than its distinct keys; the trees are
 weighted inside the buckets, which share two-byte contexts; and each block gets its answers back and scores its
 texts. Nothing that grows with the corpus is broadcast or collected; the driver sees the nodes of depth 0 and 1 only,
@@ -22,6 +23,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import groupby
 
 import numpy as np
@@ -32,15 +34,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.base import as_arrays, shuffle_width, slices, stored, utf8, volume
-from plumbline.llm.words import mix
+from plumbline.llm.words import mix, words_of
 
 DEPTH = 5
 #: Bytes of text per block; a block's counts are a small multiple of it.
 BLOCK_BYTES = 8 << 20
+#: Bytes of text per bucket of keys; the distinct keys of a bucket are a small part of it.
+BUCKET_BYTES = 64 << 20
 #: Neither byte occurs in UTF-8.
 BEGIN, END = 0xFE, 0xFF
 _GRAM, _WORD = 0, 1
 _END_TOKEN = b" "  # never a word
+#: A-Z in lower case, white space 0; byte 0 is part of a word and stands as one that does not occur in UTF-8.
+_TOKEN_BYTES = np.array([0 if b == 32 or 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b or END for b in range(256)], np.uint8)
 
 
 def _strings(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,10 +65,6 @@ def _strings(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return value[keep].astype(np.int64), first - DEPTH * np.arange(len(n))
 
 
-def _words(text: bytes) -> list[bytes]:
-    return [*text.lower().split(), _END_TOKEN]
-
-
 def _pack(values: np.ndarray) -> bytes:
     """Numbers by byte plane, compressed: high bytes of sorted or small numbers cost next to nothing."""
     return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes())
@@ -92,28 +94,79 @@ def _by_bucket(kind: int, keys: np.ndarray | list[bytes], buckets: int) -> Itera
     return zip(found.tolist(), np.split(order, first[1:]), strict=True)
 
 
-def _block_keys(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """Distinct strings and words of a block, both in order, with their counts in its training texts."""
-    grams, words, learned = [], set(), Counter()
+@dataclass
+class _Block:
+    """What a block's texts hold, text after text."""
+
+    strings: np.ndarray  # of all texts
+    first: np.ndarray  # the first string of each text
+    words: list[bytes]  # distinct, in order, the end token among them
+    word: np.ndarray  # which of ``words`` each word is; end tokens have no entry
+    text: np.ndarray  # the text of each word
+    size: np.ndarray  # bytes of each text
+    end: int  # which of ``words`` the end token is
+
+
+def _read_block(rows: pa.Table) -> _Block:
+    strings, first, word, text, size = [], [], [], [], []
+    known: dict[int, int] = {}
+    names, n_strings, n_texts = [_END_TOKEN], 0, 0
     for batch in rows.combine_chunks().to_batches():
         for part in slices(batch, "text"):
-            learn = part.column("learn").to_numpy(zero_copy_only=False).astype(bool)
-            value, first = _strings(*as_arrays(part.column("text")))
-            weight = np.repeat(learn, np.diff(np.append(first, len(value))))
-            found, inverse = np.unique(value, return_inverse=True)
-            grams.append((found, np.bincount(inverse, weights=weight, minlength=len(found))))
-            for text, own in zip(part.column("text"), learn, strict=True):
-                (learned if own else words).update(_words(bytes(text.as_buffer())))
-    keys, inverse = np.unique(np.concatenate([g for g, _ in grams]), return_inverse=True)
-    n = np.bincount(inverse, weights=np.concatenate([c for _, c in grams]), minlength=len(keys)).astype(np.int64)
-    names = sorted(words.union(learned))
-    return keys, n, names, np.array([learned[w] for w in names], np.int64)
+            data, at = as_arrays(part.column("text"))
+            value, begin = _strings(data, at)
+            found = words_of(data, at, _TOKEN_BYTES)
+            hashes, sample, inverse = np.unique(found.hash, return_index=True, return_inverse=True)
+            low = data.tobytes().lower()
+            for h, start, stop in zip(hashes.tolist(), found.start[sample].tolist(), found.end[sample].tolist(), strict=True):
+                if h not in known:
+                    known[h] = len(names)
+                    names.append(low[start:stop])
+            strings.append(value)
+            first.append(begin + n_strings)
+            word.append(np.fromiter((known[h] for h in hashes.tolist()), np.int32, len(hashes))[inverse])
+            text.append((found.text_of() + n_texts).astype(np.int32))
+            size.append(np.diff(at))
+            n_strings, n_texts = n_strings + len(value), n_texts + part.num_rows
+    order = sorted(range(len(names)), key=names.__getitem__)
+    place = np.empty(len(names), np.int32)
+    place[order] = np.arange(len(names), dtype=np.int32)
+    strings, first, word, text, size = (np.concatenate(x) for x in (strings, first, word, text, size))
+    return _Block(strings, first, [names[k] for k in order], place[word], text, size, int(place[0]))
+
+
+def _distinct(ordered: np.ndarray) -> np.ndarray:
+    """Positions where a new value begins."""
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+
+
+def _look_up(keys: np.ndarray, values: np.ndarray, strings: np.ndarray) -> np.ndarray:
+    """The values of strings that are all among ``keys``, which are in order.
+
+    A string of six bytes and its place among 65,536 fit one number, so that plain sorts do for an order of places.
+    """
+    out = np.empty(len(strings), values.dtype)
+    for start in range(0, len(strings), 1 << 16):
+        part = strings[start : start + (1 << 16)].astype(np.uint64)
+        placed = np.sort((part << np.uint64(16)) | np.arange(len(part), dtype=np.uint64))
+        own = (placed >> np.uint64(16)).astype(np.int64)
+        fresh = _distinct(own)
+        found = values[np.searchsorted(keys, own[fresh])]
+        out[start + (placed & np.uint64(0xFFFF)).astype(np.int64)] = np.repeat(found, np.diff(np.append(fresh, len(own))))
+    return out
 
 
 def _ask(rows: pa.Table, buckets: int) -> pa.Table:
-    grams, gram_counts, words, word_counts = _block_keys(rows)
+    """Distinct strings and words of a block, both in order, with their counts in its training texts, by bucket."""
+    block, learn = _read_block(rows), rows["learn"].to_numpy().astype(bool)
+    marked = (block.strings << 1) | np.repeat(learn, np.diff(np.append(block.first, len(block.strings))))
+    marked.sort()
+    fresh = _distinct(marked >> 1)
+    grams, gram_counts = marked[fresh] >> 1, np.add.reduceat(marked & 1, fresh)
+    word_counts = np.bincount(block.word[learn[block.text]], minlength=len(block.words)).astype(np.int64)
+    word_counts[block.end] = learn.sum()
     out = []
-    for kind, keys, counts in ((_GRAM, grams, gram_counts), (_WORD, words, word_counts)):
+    for kind, keys, counts in ((_GRAM, grams, gram_counts), (_WORD, block.words, word_counts)):
         for bucket, at in _by_bucket(kind, keys, buckets):
             own = keys[at] if kind == _GRAM else [keys[k] for k in at]
             out.append((rows["block"][0].as_py(), kind, bucket, _pack_keys(kind, own), _pack(counts[at])))
@@ -263,29 +316,26 @@ def _string_logs(keys: np.ndarray, n: np.ndarray, top: np.ndarray, low: np.ndarr
 
 def _score_block(rows: pa.Table, answers: pa.Table, buckets: int, tokens: int, vocabulary: int) -> pa.Table:
     """Scores of a block's texts from the answers to what it asked for."""
-    keys, _, words, _ = _block_keys(rows)
-    logs, counts = np.zeros(len(keys)), np.zeros(len(words), np.int64)
+    block = _read_block(rows)
+    ordered = np.sort(block.strings)
+    keys = ordered[_distinct(ordered)]
+    del ordered
+    logs, counts = np.zeros(len(keys)), np.zeros(len(block.words), np.int64)
     packed = {(a["kind"], a["bucket"]): a["n"] for a in answers.to_pylist()}
-    for kind, own, values in ((_GRAM, keys, logs), (_WORD, words, counts)):
+    for kind, own, values in ((_GRAM, keys, logs), (_WORD, block.words, counts)):
         for bucket, at in _by_bucket(kind, own, buckets):
             values[at] = _unpack(packed[kind, bucket], values.dtype.type)
-    cost = np.log10((counts + 0.1) / (tokens + 0.1 * (vocabulary + 1))).tolist()
-    value_of = dict(zip(words, zip(cost, (counts > 0).tolist(), strict=True), strict=True))
-    out: list[list] = [[], [], [], [], []]
-    for batch in rows.combine_chunks().to_batches():
-        for part in slices(batch, "text"):
-            data, at = as_arrays(part.column("text"))
-            value, first = _strings(data, at)
-            found, inverse = np.unique(value, return_inverse=True)
-            out[0] += np.add.reduceat(logs[np.searchsorted(keys, found)][inverse], first).tolist()
-            out[1] += np.diff(at).tolist()
-            for text in part.column("text"):
-                own = [value_of[w] for w in _words(bytes(text.as_buffer()))]
-                out[2].append(sum(c for c, _ in own))
-                out[3].append(len(own))
-                out[4].append(sum(k for _, k in own))
+    cost = np.log10((counts + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
+    texts = len(block.size)
+    out = (
+        np.add.reduceat(_look_up(keys, logs, block.strings), block.first),
+        block.size,
+        np.bincount(block.text, weights=cost[block.word], minlength=texts) + cost[block.end],
+        np.bincount(block.text, minlength=texts) + 1,
+        np.bincount(block.text, weights=counts[block.word] > 0, minlength=texts) + (counts[block.end] > 0),
+    )
     kinds = (pa.float64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-    columns = {c: pa.array(x, t) for c, x, t in zip(("score", "bytes", "base", "n", "known"), out, kinds, strict=True)}
+    columns = {c: pa.array(x.astype(t.to_pandas_dtype()), t) for c, x, t in zip(("score", "bytes", "base", "n", "known"), out, kinds, strict=True)}
     return pa.table({"doc_id": rows["doc_id"], "learn": pc.equal(rows["learn"], True), **columns})
 
 
@@ -300,9 +350,10 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
     blocks = max(shuffle_width(spark), -(-size // BLOCK_BYTES))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(learn, F.lit(False)).alias("learn"), utf8(text).alias("text"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    buckets = max(64, shuffle_width(spark))
+    rows = rows.repartition(blocks, "block")  # a task holds a few blocks, whatever the volume
+    buckets = max(64, shuffle_width(spark), -(-size // BUCKET_BYTES))
     asked = stored(rows.groupBy("block").applyInArrow(lambda t: _ask(t, buckets), _PACKED), "asked", "kind")
-    together = lambda df: df.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket", "block")
+    together = lambda df: df.repartition(buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket", "block")
     merged = stored(together(asked.select("block", "kind", "bucket", "keys", "n")).mapInArrow(_merge, _PACKED), "counted", "kind")
     merged = merged.select("block", "kind", "bucket", "keys", "n")
     grams, words = merged.filter(F.col("kind") == _GRAM), merged.filter(F.col("kind") == _WORD)
@@ -332,7 +383,7 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
     values = grams.mapInArrow(logs, _PACKED).unionByName(words)
     questions = asked.select("block", "kind", "bucket", "keys", F.lit(b"").alias("n"))
     answers = together(values.unionByName(questions)).mapInArrow(_answer, _PACKED)
-    scored = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    scored = rows.groupBy("block").cogroup(answers.repartition(blocks, "block").groupBy("block")).applyInArrow(
         lambda own, found: _score_block(own, found, buckets, n, v),
         "doc_id bigint, learn boolean, score double, bytes bigint, base double, n bigint, known bigint",
     )
