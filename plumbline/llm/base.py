@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -59,6 +60,14 @@ def utf8(column: Column | str) -> Column:
     return F.coalesce(value.cast("string"), F.lit("")).cast("binary")
 
 
+def release() -> None:
+    """Give memory that a worker no longer uses back to the machine; workers are used again by other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed pages otherwise
+    if trim:
+        trim(0)
+
+
 def as_arrays(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a binary column and the n + 1 offsets of its values, without a copy where Arrow allows it."""
     if isinstance(column, pa.ChunkedArray):

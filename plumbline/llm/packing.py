@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.base import slices, stored, utf8
+from plumbline.llm.base import release, slices, stored, utf8
 
 TIERS = (2048, 1024, 512, 256)
 BLOCK_TOKENS = 4_000_000
@@ -169,6 +169,7 @@ def pack_documents(
         raise ValueError("tiers are falling powers of two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # what earlier stages left in this worker
         encode, task, rank = encoder(vocabulary), TaskContext.get().partitionId(), dict.fromkeys((*tiers, 0), 0)
 
         def flush(keys: list, ids: list[np.ndarray]) -> pa.RecordBatch:
@@ -198,6 +199,8 @@ def pack_documents(
                     keys, ids, held = [], [], 0
         if keys:
             yield flush(keys, ids)
+        keys, ids = [], []
+        release()
 
     schema = _PIECES + ", ids array<int>" * with_ids
     rows = docs.select(F.col("doc_id").cast("bigint"), utf8("text").alias("text"))
