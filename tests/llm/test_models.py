@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from plumbline.llm import ctw, outliers, toxicity
@@ -95,6 +96,25 @@ def test_probabilities_sum_to_one():
     assert (10.0 ** logs[(asked >> 8) == context]).sum() == pytest.approx(1)
 
 
+def test_strings_are_looked_up_in_any_number():
+    strings = np.random.default_rng(3).integers(0, 1 << 20, 200_000) << 28 | 0xFF
+    keys = np.unique(strings)
+    values = np.random.default_rng(4).random(len(keys))
+    assert np.array_equal(ctw._look_up(keys, values, strings), values[np.searchsorted(keys, strings)])
+    assert ctw._look_up(keys, values, strings[:1]).tolist() == [values[keys.searchsorted(strings[0])]]
+
+
+def test_words_of_a_block():
+    texts = [b"One two\x00 ONE\x0b\xc3\x89", b"", b" \t\n", b"two\x00\xc3\xa9 two " * 3, b"x" * 3_000_000]
+    rows = pa.table({"text": pa.array(texts, pa.binary())})
+    block = ctw._read_block(rows)
+    assert block.words == sorted(block.words) and block.words[block.end] == b" "
+    for k, text in enumerate(texts):
+        assert [block.words[w] for w in block.word[block.text == k]] == text.lower().split()
+    assert block.size.tolist() == [len(t) for t in texts]
+    assert np.diff([*block.first, len(block.strings)]).tolist() == [len(t) + 1 for t in texts]
+
+
 def test_word_baseline(spark):
     sf = "/root/testdata/sf0.001"
     docs = {r["doc_id"]: (r["text"] or "").encode() for r in table(spark, sf, "documents").collect()}
