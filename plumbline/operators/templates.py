@@ -14,15 +14,13 @@ it. All operators take either form.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, VariantType
 
 from plumbline.functions.constants import KINDS, TYPE_PREFIX
 from plumbline.functions.text import array_length, clean_name, cut_name, first_upper, replace_ci
+from plumbline.session import SMALL_TASKS, settings
 
 RESOURCES_DDL = (
     "resources ARRAY<STRUCT<name STRING, type STRING, apiVersion STRING, dependsOn ARRAY<STRING>, properties STRING>>"
@@ -90,18 +88,8 @@ def with_variant(resources: DataFrame) -> DataFrame:
     return resources.withColumns({"activities": F.when(F.col("kind") == "pipelines", activities), "properties": variant})
 
 
-@contextmanager
-def _shredding(spark: SparkSession) -> Iterator[None]:
-    """Write VARIANT columns as the columns that their values turn out to have."""
-    names = ("spark.sql.variant.writeShredding.enabled", "spark.sql.variant.inferShreddingSchema")
-    before = {name: spark.conf.get(name, None) for name in names}
-    try:
-        for name in names:
-            spark.conf.set(name, "true")
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+# VARIANT columns are written as the columns that their values turn out to have.
+_SHREDDING = {"spark.sql.variant.writeShredding.enabled": "true", "spark.sql.variant.inferShreddingSchema": "true"}
 
 
 def store_resources(resources: DataFrame, path: str) -> DataFrame:
@@ -109,11 +97,12 @@ def store_resources(resources: DataFrame, path: str) -> DataFrame:
 
     Rows are sorted by kind inside each task, so a filter on kind skips pages and row groups without a folder per kind,
     which would leave many small files, and values of one shape lie together. A VARIANT keeps the members of an object by
-    name: where the text as it was written matters, read the shredded resources themselves.
+    name: where the text as it was written matters, read the shredded resources themselves. The sort holds the rows of a
+    task, about thirty times what it reads, so tasks read little at a time and nothing is spilled.
     """
     spark = resources.sparkSession
-    with _shredding(spark):
-        with_variant(resources).sortWithinPartitions("kind").write.parquet(path)
+    with settings(spark, _SHREDDING | SMALL_TASKS):
+        with_variant(resources).sortWithinPartitions("kind").write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -7,8 +7,8 @@ oracle computes from the base tables.
 
 A pipeline holds a range of line numbers of its order, and a document a range of keys of its template, with parts that
 rise with the key. Both follow from the row alone, so no size is measured and a group holds no more than the distinct
-keys of its range. Documents and shredded resources
-are written once per application and input folder to the shared scratch folder and read from there, so an
+keys of its range. Rows are dealt to a number of tasks that rises with theirs, so what a task sorts and gathers stays in
+memory and nothing is spilled. Documents and shredded resources are written once per application and input folder to the shared scratch folder and read from there, so an
 executor lost later costs no rebuild.
 """
 
@@ -24,13 +24,16 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.constants import TYPE_PREFIX
 from plumbline.operators.templates import shred_resources, store_resources
-from plumbline.session import fresh_path
+from plumbline.session import SMALL_TASKS, fresh_path, settings
 
 # Line numbers per pipeline, and keys per document.
 LINES = 1000
 KEYS = 1 << 20
 # Least number of consecutive order keys per block when the previous order of a template is looked up.
 KEY_BLOCK = 4096
+# Rows a task gathers on average: orders and line items, and resources.
+LINE_ROWS = 1 << 17
+RESOURCE_ROWS = 1 << 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +63,11 @@ def _rows(df: DataFrame, template_id: str, seq: int, key: str, resource: str) ->
     )
 
 
+def _dealt(rows: DataFrame, n: int, per_task: int, *keys: str) -> DataFrame:
+    """``n`` rows dealt by ``keys`` to tasks of ``per_task`` on average, however many the session asks for."""
+    return rows.repartition(-(-n // per_task) or 1, *keys)
+
+
 def _previous_key(rows: DataFrame, group: str, key: str) -> DataFrame:
     """``previous``: the next lower ``key`` of the same group.
 
@@ -132,11 +140,13 @@ def pipeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = F.coalesce(F.col("l_linenumber") >= LINES, F.lit(False))
 
     orders = table(spark, sf_dir, "orders").drop("o_orderdate").withColumn("f", F.expr("o_custkey div 10"))
+    n = lines.count() + orders.count()
     orders = _previous_key(orders, "f", "o_orderkey")
     orders = orders.selectExpr(
         "o_orderkey", "0L AS block", "struct(f, previous, o_orderstatus, o_totalprice, o_orderpriority) AS o"
     )
-    first = _gathered(lines.filter(~later).unionByName(orders, allowMissingColumns=True))
+    together = lines.filter(~later).unionByName(orders, allowMissingColumns=True)
+    first = _gathered(_dealt(together, n, LINE_ROWS, "o_orderkey", "block"))
     # The row number is of the line item alone: the order's own row comes last in its block.
     missing = F.lit(None).cast(orders.schema["o"].dataType).alias("o")
     more = _gathered(lines.filter(later).select("*", missing)).drop("o").join(orders.drop("block"), "o_orderkey")
@@ -224,7 +234,7 @@ def documents(rows: DataFrame) -> DataFrame:
     A part is a range of ``KEYS`` keys, so parts rise with the key. The first part of a template holds its name.
     """
     rows = rows.withColumn("part", F.expr(f"coalesce(key, 0L) div {KEYS}"))
-    gathered = rows.groupBy("template_id", "part").agg(
+    gathered = _dealt(rows, rows.count(), RESOURCE_ROWS, "template_id", "part").groupBy("template_id", "part").agg(
         F.expr("sort_array(collect_list(struct(seq, key, resource))) AS items")
     )
     first = rows.groupBy("template_id").agg(F.min("part").alias("part")).withColumn("named", F.lit(True))
@@ -248,8 +258,12 @@ def _corpus_path(spark: SparkSession, sf_dir: str) -> str:
         if key not in _built:
             path = fresh_path(spark, "corpus")
             # Written between the steps, so that naming and gathering read the rows instead of deriving them twice.
-            resource_rows(spark, sf_dir).write.parquet(f"{path}/rows")
-            documents(spark.read.parquet(f"{path}/rows")).write.parquet(f"{path}/templates")
+            # Row groups are small, so that a large file of rows is read by many tasks.
+            rows = resource_rows(spark, sf_dir).write.option("compression", "zstd").option("parquet.block.size", 8 << 20)
+            rows.parquet(f"{path}/rows")
+            with settings(spark, SMALL_TASKS):
+                gathered = documents(spark.read.parquet(f"{path}/rows"))
+                gathered.write.option("compression", "zstd").parquet(f"{path}/templates")
             shredded = shred_resources(spark.read.parquet(f"{path}/templates"))
             store_resources(shredded, f"{path}/resources")
             _built[key] = path

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,22 @@ def local_session(cores: str = "8", name: str = "plumbline", memory: str = "12g"
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for what is written inside the block."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+# A task that sorts or holds whole documents reads so much of its compressed input that this stays in memory.
+SMALL_TASKS = {"spark.sql.files.maxPartitionBytes": "16m"}
+
 _local_roots: dict[str, str] = {}
 
 

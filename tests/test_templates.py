@@ -142,3 +142,25 @@ def test_graph_ignores_case_and_counts_used_triggers(corpus_of):
     ]
     assert rows(G.redundant_resources(r, ("pipelines",))) == [("a", "pipelines|P1")]
     assert G.g_resources(r).count() == 7
+
+
+def test_tasks_of_the_corpus_follow_its_rows(spark, monkeypatch):
+    """What a task sorts and gathers is bounded by rows, however few partitions the session asks for."""
+    from plumbline.plans import corpus
+
+    monkeypatch.setattr(corpus, "RESOURCE_ROWS", 50)
+    df = spark.range(1000).selectExpr("id % 97 AS template_id", "0 AS seq", "id AS key", "'{}' AS resource")
+    gathered = corpus.documents(df)
+    counts = [len(part) for part in gathered.rdd.glom().collect()]
+    assert len(counts) == 20 and sum(counts) == 97 and sum(n > 0 for n in counts) > 15
+
+
+def test_storing_reads_little_in_a_task(spark, tmp_path):
+    """Rows are sorted whole, so a large folder is read in small tasks, and settings are put back."""
+    df = spark.createDataFrame([(f"t{k}", json.dumps({"resources": [resource("datasets", f"d{k}")]})) for k in range(40)], "template_id STRING, template STRING")
+    df.repartition(40).write.parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes", None)
+    stored = T.store_resources(T.shred_resources(spark.read.parquet(str(tmp_path / "in"))), str(tmp_path / "out"))
+    assert stored.count() == 40 and spark.conf.get("spark.sql.files.maxPartitionBytes", None) == before
+    # A file counts as 4 MB at least, so 16 MB are four files a task at most.
+    assert len(list((tmp_path / "out").glob("part-*"))) >= len(list((tmp_path / "in").glob("part-*"))) / 4
