@@ -435,9 +435,7 @@ def i_copy_table(spark, sf):
 @register
 def i_copy_all_tables(spark, sf):
     """Outcome of each copy, with the sum of a key of what arrived."""
-    names = files.list_files(spark, sf, "*.parquet", recursive=False).select(
-        F.regexp_replace("name", "[.]parquet$", "").alias("TableName")
-    )
+    names = files.list_tables(spark, sf, ".parquet")
     source, target = files.ParquetTables(spark, sf, ".parquet"), files.ParquetTables(spark, fresh_path(spark, "copies"))
     outcomes = I.i_copy_all_tables(spark, source, target, names, strict=True)
     sums = [

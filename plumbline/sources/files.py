@@ -176,6 +176,16 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None, recursiv
     )
 
 
+def list_tables(spark: SparkSession, root: str, suffix: str) -> DataFrame:
+    """``TableName`` of each table of a folder, whether it is one file or a folder of files."""
+    folder = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/") + "/"
+    path = F.col("path")
+    below = path.substr(F.instr(path, folder) + len(folder), F.length(path))
+    first = F.split_part(below, F.lit("/"), F.lit(1))
+    names = list_files(spark, root, f"*{suffix}").select(first.alias("name")).filter(F.endswith("name", F.lit(suffix)))
+    return names.select(F.col("name").substr(F.lit(1), F.length("name") - len(suffix)).alias("TableName")).distinct()
+
+
 def with_landing_columns(df: DataFrame, now: datetime, hour24: bool = False) -> DataFrame:
     moment = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
     return df.withColumns(landing_parts(moment, hour24))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from plumbline.operators import ingest as I
 from plumbline.operators import metadata as M
 from plumbline.operators import workspace as W
+from plumbline.plans import queries
 from plumbline.session import fresh_path, scratch_root
 from plumbline.sources import catalog, files, jdbc
 
@@ -261,3 +262,15 @@ def test_scratch_folder_follows_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     assert shared is None or scratch_root(spark).startswith(shared)
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_tables_that_are_folders_are_copied(spark, tmp_path):
+    import __spark_entry__ as driver
+
+    root = tmp_path / "tables.parquet"
+    for name in queries.TABLE_KEYS:
+        spark.read.parquet(f"{SF}/{name}.parquet").repartition(2).write.parquet(str(root / f"{name}.parquet"))
+    names = files.list_tables(spark, f"file:{root}/", ".parquet")
+    assert sorted(r.TableName for r in names.collect()) == sorted(queries.TABLE_KEYS)
+    copied = rows(driver.queries()["i_copy_all_tables"](spark, str(root)))
+    assert len(copied) == 14 and copied == rows(driver.queries()["i_copy_all_tables"](spark, SF))
