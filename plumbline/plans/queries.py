@@ -88,7 +88,7 @@ def read_templates(spark, sf):
 def read_template_lines(spark, sf):
     """Documents written as lines, many to a file, and read back."""
     path = fresh_path(spark, "documents")
-    corpus.templates(spark, sf).select("template_id", "template").write.json(path)
+    corpus.templates(spark, sf).select("template_id", "template").write.option("compression", "lz4").json(path)
     return _named_documents(files.read_template_lines(spark, path))
 
 

@@ -274,3 +274,11 @@ def test_tables_that_are_folders_are_copied(spark, tmp_path):
     assert sorted(r.TableName for r in names.collect()) == sorted(queries.TABLE_KEYS)
     copied = rows(driver.queries()["i_copy_all_tables"](spark, str(root)))
     assert len(copied) == 14 and copied == rows(driver.queries()["i_copy_all_tables"](spark, SF))
+
+
+def test_lines_are_written_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "fresh_path", lambda spark, label: str(tmp_path / label))
+    assert queries.read_template_lines(spark, SF).count() == 15
+    written = list((tmp_path / "documents").glob("part-*"))
+    lengths = queries.corpus.templates(spark, SF).selectExpr("sum(octet_length(template))").first()[0]
+    assert written and sum(f.stat().st_size for f in written) < lengths / 4
