@@ -1,5 +1,6 @@
 """Readers, writers, ingestion, metadata tables and the workspace tree."""
 
+import json
 from datetime import datetime
 
 import pytest
@@ -276,6 +277,17 @@ def test_tables_that_are_folders_are_copied(spark, tmp_path):
     assert len(copied) == 14 and copied == rows(driver.queries()["i_copy_all_tables"](spark, SF))
 
 
+def test_each_document_is_a_file_of_its_own(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "fresh_path", lambda spark, label: str(tmp_path / label))
+    monkeypatch.setattr(queries.corpus, "templates", lambda spark, sf: spark.createDataFrame(
+        [(t, p, json.dumps({"resources": [{"name": "n"}] * (p + 1)})) for t in (1, 2) for p in (0, 1, 2)],
+        "template_id BIGINT, part BIGINT, template STRING"))
+    read = queries.read_templates(spark, SF)
+    assert rows(read.select("template_id", "resources")) == [(1, 6), (2, 6)]
+    assert len(list((tmp_path / "documents").rglob("*.txt"))) == 6
+    assert not list((tmp_path / "documents").rglob("part=*"))  # one folder for each template, none for each document
+
+
 def test_lines_are_written_compressed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(queries, "fresh_path", lambda spark, label: str(tmp_path / label))
     assert queries.read_template_lines(spark, SF).count() == 15
