@@ -81,7 +81,7 @@ def read_templates(spark, sf):
     path = fresh_path(spark, "documents")
     with settings(spark, SMALL_TASKS):  # the rows of a task are sorted by their folders
         one = corpus.templates(spark, sf).select("template_id", "template").write.option("maxRecordsPerFile", 1)
-        one.partitionBy("template_id").text(path)
+        one.partitionBy("template_id").option("compression", "lz4").text(path)
     read = files.read_templates(spark, path)
     return _named_documents(read.withColumn("template_id", F.regexp_extract("template_id", "template_id=([0-9]+)", 1)))
 

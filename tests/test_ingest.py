@@ -284,7 +284,7 @@ def test_each_document_is_a_file_of_its_own(spark, tmp_path, monkeypatch):
         "template_id BIGINT, part BIGINT, template STRING"))
     read = queries.read_templates(spark, SF)
     assert rows(read.select("template_id", "resources")) == [(1, 6), (2, 6)]
-    assert len(list((tmp_path / "documents").rglob("*.txt"))) == 6
+    assert len(list((tmp_path / "documents").rglob("part-*.lz4"))) == 6
     assert not list((tmp_path / "documents").rglob("part=*"))  # one folder for each template, none for each document
 
 
