@@ -31,9 +31,12 @@ LINES = 1000
 KEYS = 1 << 20
 # Least number of consecutive order keys per block when the previous order of a template is looked up.
 KEY_BLOCK = 4096
-# Rows a task gathers on average: orders and line items, and resources.
-LINE_ROWS = 1 << 17
+# Rows a task gathers on average: orders, orders with line items, and resources.
+ORDER_ROWS = 1 << 17
+LINE_ROWS = 1 << 16
 RESOURCE_ROWS = 1 << 15
+# A task that deals written rows to others holds what it reads, which is about thirty times as much as in the file.
+ROW_TASKS = {"spark.sql.files.maxPartitionBytes": "2m"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,8 +78,9 @@ def _previous_key(rows: DataFrame, group: str, key: str) -> DataFrame:
     window finds the neighbour, and the first key of a block takes the largest key of the block before it. Blocks are
     about as wide as there are blocks, so neither window sees more than the square root of the largest key.
     """
-    width = max(KEY_BLOCK, math.isqrt(rows.agg(F.max(key)).first()[0] or 0))
-    blocks = rows.withColumn("block", F.expr(f"{key} div {width}"))
+    largest, n = rows.agg(F.max(key), F.count("*")).first()
+    width = max(KEY_BLOCK, math.isqrt(largest or 0))
+    blocks = _dealt(rows.withColumn("block", F.expr(f"{key} div {width}")), n, ORDER_ROWS, group, "block")
     last = blocks.groupBy(group, "block").agg(F.max(key).alias("last"))
     before = last.select(
         group, "block", F.lag("last").over(Window.partitionBy(group).orderBy("block")).alias("before")
@@ -192,6 +196,7 @@ def dataset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trigger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").filter("event_type = 'signup'")
     orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS event_id", "o_custkey")
+    orders = _dealt(orders, orders.count(), ORDER_ROWS, "event_id")
     properties = """named_struct(
         'type', CASE WHEN value < 50 THEN 'ScheduleTrigger' ELSE 'TumblingWindowTrigger' END,
         'runtimeState', CASE WHEN user_id % 2 = 0 THEN 'Started' ELSE 'Stopped' END,
@@ -259,9 +264,11 @@ def _corpus_path(spark: SparkSession, sf_dir: str) -> str:
             path = fresh_path(spark, "corpus")
             # Written between the steps, so that naming and gathering read the rows instead of deriving them twice.
             # Row groups are small, so that a large file of rows is read by many tasks.
-            rows = resource_rows(spark, sf_dir).write.option("compression", "zstd").option("parquet.block.size", 8 << 20)
-            rows.parquet(f"{path}/rows")
+            # Tasks that deal rows to more than 200 others keep them until their end, so every one of them reads little.
             with settings(spark, SMALL_TASKS):
+                rows = resource_rows(spark, sf_dir).write.option("compression", "zstd").option("parquet.block.size", 1 << 20)
+                rows.parquet(f"{path}/rows")
+            with settings(spark, ROW_TASKS):
                 gathered = documents(spark.read.parquet(f"{path}/rows"))
                 gathered.write.option("compression", "zstd").parquet(f"{path}/templates")
             shredded = shred_resources(spark.read.parquet(f"{path}/templates"))

@@ -47,7 +47,7 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
 
 
 # A task that sorts or holds whole documents reads so much of its compressed input that this stays in memory.
-SMALL_TASKS = {"spark.sql.files.maxPartitionBytes": "16m"}
+SMALL_TASKS = {"spark.sql.files.maxPartitionBytes": "4m"}
 
 _local_roots: dict[str, str] = {}
 

@@ -72,3 +72,32 @@ def test_previous_key_across_blocks(spark, monkeypatch):
     df = spark.range(300).select((F.xxhash64("id") % 4).alias("g"), "id").filter(F.xxhash64("id", F.lit(1)) % 3 != 0)
     plain = df.withColumn("previous", F.lag("id").over(Window.partitionBy("g").orderBy("id")))
     assert rows(corpus._previous_key(df, "g", "id").select("g", "id", "previous")) == rows(plain)
+
+
+def test_tasks_that_look_up_previous_keys_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(corpus, "KEY_BLOCK", 7)
+    monkeypatch.setattr(corpus, "ORDER_ROWS", 50)
+    df = spark.range(2000).selectExpr("id % 5 AS g", "id")
+    found = corpus._previous_key(df, "g", "id")
+    counts = [len(part) for part in found.rdd.glom().collect()]
+    assert sum(counts) == 2000 and max(counts) <= 200
+    assert rows(found.filter("id < 10").select("id", "previous")) == [(k, None if k < 5 else k - 5) for k in range(10)]
+
+
+def test_corpus_is_built_from_small_splits(spark, monkeypatch, tmp_path):
+    """Tasks that deal rows to many others keep what they read: files are read in small splits of small row groups."""
+    import pyarrow.parquet as pq
+
+    seen = []
+    plain = corpus.settings
+    monkeypatch.setattr(corpus, "settings", lambda session, values: (seen.append(values), plain(session, values))[1])
+    monkeypatch.setattr(corpus, "_built", {})
+    monkeypatch.setattr(corpus, "fresh_path", lambda session, label: str(tmp_path / label))
+    wide = "array_join(transform(sequence(1, 20), k -> sha2(concat(id, '-', k), 512)), '')"
+    many = spark.range(0, 6000, 1, 1).selectExpr("id % 9 AS template_id", "0 AS seq", "id AS key", f"concat('{{\"name\":\"', {wide}, '\"}}') AS resource")
+    monkeypatch.setattr(corpus, "resource_rows", lambda session, sf_dir: many)
+    path = corpus._corpus_path(spark, "made-up")
+    assert [int(v["spark.sql.files.maxPartitionBytes"].rstrip("m")) <= 4 for v in seen] == [True, True]
+    [rows_file] = (tmp_path / "corpus" / "rows").glob("part-*")
+    meta = pq.ParquetFile(rows_file).metadata
+    assert meta.num_rows == 6000 and meta.num_row_groups > 1 and spark.read.parquet(f"{path}/resources").count() == 6000
