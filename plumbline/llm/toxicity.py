@@ -25,7 +25,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,8 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import jaccard_join
-from plumbline.llm.base import by_slices, slices, stored, utf8
-from plumbline.llm.words import Words, mix, words_of
+from plumbline.llm.base import by_slices, release, slices, stored, utf8
+from plumbline.llm.words import Words, mix, words_and_prefixes
 
 LABELLED = 50_000
 #: Near copies share this part of their runs of so many words.
@@ -69,6 +69,39 @@ _HINT = re.compile(rf"[{_MARKS}]|([^\W\d_])\1\1")
 _PAIRS = {"nn": "m", "vv": "w"}
 
 
+#: Classes of a code point: letter, mark or digit; look-alike; sign among these; break between spaced letters; the same
+#: when starred; letter that counts when it stands three times; space.
+_ALNUM, _MARK, _SIGN, _BREAK, _STAR_BREAK, _LETTER, _SPACE = (np.uint8(1 << k) for k in range(7))
+
+
+@cache
+def _class_of() -> np.ndarray:
+    """Classes of each code point, as regular expressions and ``str.split`` see them."""
+    every = "".join(map(chr, range(0x110000)))
+    out = np.full(0x110000, _BREAK, np.uint8)
+    for pattern, classes in ((r"[^\W_]+", _ALNUM), (r"[^\W\d_]+", _ALNUM | _LETTER), (r"\s+", _BREAK | _SPACE)):
+        for m in re.finditer(pattern, every):
+            out[m.start() : m.end()] = classes
+    for c in LOOK_ALIKES:
+        out[ord(c)] |= _MARK
+        if not c.isalnum():
+            out[ord(c)] = out[ord(c)] & ~_BREAK | _SIGN
+    for c in " .-_*":
+        out[ord(c)] |= _STAR_BREAK
+    return out
+
+
+def _points(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of texts that are put together with line ends around them, their classes, and where each text begins.
+
+    Some line ends follow the last text, so that a look ahead stays inside.
+    """
+    joined = "\n" + "\n".join(texts) + "\n" * 8
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    begin = np.cumsum([1] + [len(t) + 1 for t in texts])[:-1]
+    return points, _class_of()[points], begin
+
+
 @cache
 def _symbol_of() -> np.ndarray:
     """Symbol of each code point: 0 for all but letters, 1 to 26 for a to z, other letters shared out."""
@@ -123,16 +156,18 @@ def _around(signs: str) -> float:
     return sum(AROUND if k[0] in "!*" or len(k) > 2 else OUTSIDE * len(k) for k in kinds)
 
 
-def _readings(span: str) -> list[tuple[float, list[Position], bool]]:
-    """Lattices of a span, one for each way to treat its spaces, runs and outer signs, and whether parts stand alone."""
+@lru_cache(10_000)
+def _position(c: str, kept: float = BROKEN) -> Position:
+    """Readings of one character; the list is shared."""
     symbol_of = _symbol_of()
+    letters = LOOK_ALIKES.get(c)
+    if letters:
+        return [(x, int(symbol_of[ord(x)]), MASKED if c == "*" and x not in "aeiou" else SUBSTITUTED) for x in letters] + [(c, 0, kept)]
+    return [(c, int(symbol_of[ord(c)]), 0.0)]
 
-    def position(c: str, kept: float = BROKEN) -> Position:
-        letters = LOOK_ALIKES.get(c)
-        if letters:
-            return [(x, int(symbol_of[ord(x)]), MASKED if c == "*" and x not in "aeiou" else SUBSTITUTED) for x in letters] + [(c, 0, kept)]
-        return [(c, int(symbol_of[ord(c)]) if len(c) == 1 else 0, 0.0)]
 
+def _readings(span: str) -> list[tuple[float, list[Position], bool]]:
+    """Lattices of a span, one for each way to treat its spaces, runs and outer signs, and whether parts stand alone."""
     def forms(text: str, cost: float) -> dict[str, float]:
         found = {text: cost}
         for most in (2, 1):
@@ -142,10 +177,10 @@ def _readings(span: str) -> list[tuple[float, list[Position], bool]]:
     def lattices(found: dict[str, float]) -> list[tuple[float, list[Position], bool]]:
         out = []
         for form, cost in found.items():
-            out.append((cost, [position(c) for c in form], False))
+            out.append((cost, [_position(c) for c in form], False))
             lead, core, trail = _OUTER.fullmatch(form).groups()
             if core and (lead or trail):
-                inner = [position(c) for c in core]
+                inner = [_position(c) for c in core]
                 inner[0] = [(lead + x, *rest) for x, *rest in inner[0]]
                 inner[-1] = [(x + trail, *rest) for x, *rest in inner[-1]]
                 out.append((cost + _around(lead) + _around(trail), inner, False))
@@ -159,7 +194,7 @@ def _readings(span: str) -> list[tuple[float, list[Position], bool]]:
     joined = forms("".join(parts), JOINED)
     joined.setdefault("".join(p[:1] for p in parts), JOINED + SHORTENED)
     joined.setdefault("".join(_PAIRS.get(p, p) for p in parts), JOINED + SUBSTITUTED)
-    out = [(0.0, [[(c, 0, 0.0)] if between.fullmatch(c) else position(c, ALONE) for c in span], True)]
+    out = [(0.0, [[(c, 0, 0.0)] if between.fullmatch(c) else _position(c, ALONE) for c in span], True)]
     return out + lattices(joined) + ([] if apart else lattices(forms(span, 0.0)))
 
 
@@ -168,20 +203,20 @@ def decode(spans: list[str], model: np.ndarray) -> list[str]:
     alone = model.copy()
     alone[:, 0, 0] = 0.0  # breaks in a row are one break
     lattices = [(k, *reading) for k, span in enumerate(spans) for reading in _readings(span.lower())]
-    best: list[tuple[float, str]] = [(-np.inf, s) for s in spans]
+    best: list[tuple[float, int, str]] = [(-np.inf, 0, s) for s in spans]
     by_shape = defaultdict(list)
-    for entry in lattices:
+    for order, entry in enumerate(lattices):  # of equal readings the first one counts, whatever else is decoded
         wide = tuple(i for i, position in enumerate(entry[2]) if len(position) > 8)  # a star has 27 readings
-        by_shape[len(entry[2]), wide, entry[3]].append(entry)
+        by_shape[len(entry[2]), wide, entry[3]].append((*entry, -order))
     for (length, wide, parted), group in by_shape.items():
         step = max(1, (100 if len(wide) > 1 else 2_000) if wide else 200_000 // length)
         for at in range(0, len(group), step):
             part = group[at : at + step]
             best_paths = _viterbi([g[2] for g in part], length, alone if parted else model)
-            for (k, cost, lattice, _), (score, path) in zip(part, best_paths, strict=True):
-                if cost + score > best[k][0]:
-                    best[k] = cost + score, "".join(lattice[i][r][0] for i, r in enumerate(path))
-    return [text for _, text in best]
+            for (k, cost, lattice, _, order), (score, path) in zip(part, best_paths, strict=True):
+                if (cost + score, order) > best[k][:2]:
+                    best[k] = cost + score, order, "".join(lattice[i][r][0] for i, r in enumerate(path))
+    return [text for *_, text in best]
 
 
 def _viterbi(lattices: list[list[Position]], length: int, model: np.ndarray) -> Iterator[tuple[float, list[int]]]:
@@ -238,6 +273,63 @@ class Model:
 _restored: dict[tuple[float, str], str] = {}
 
 
+def _spaced(texts: list[str]) -> dict[int, list[tuple[int, int]]]:
+    """Where ``_SPACED`` matches, by text.
+
+    A match is looked for only where one can begin: at a single or double character between breaks that is followed by
+    another one, or at a letter, a sign, a letter and the sign again.
+    """
+    points, classes, begin = _points(texts)
+    n = len(points) - 8
+    alnum, sign = classes & _ALNUM != 0, classes & _SIGN != 0
+
+    def ahead(x: np.ndarray, k: int) -> np.ndarray:
+        return x[1 + k : n + k]
+
+    gap, twice = classes & _BREAK != 0, points[:-1] == points[1:]
+    short = np.zeros(len(points), bool)
+    short[:-2] = (alnum | sign)[:-2] & (gap[1:-1] | (twice[:-1] & gap[2:]))
+    starred = np.zeros(len(points), bool)
+    starred[:-1] = alnum[:-1] & (classes[1:] & _STAR_BREAK != 0)
+    may = ahead(short, 0) & (ahead(short, 2) | ahead(short, 3) | ahead(short, 4))
+    may |= ahead(starred, 0) & (ahead(starred, 2) | ahead(starred, 3))
+    may |= ahead(alnum, 0) & ahead(sign, 1) & ahead(alnum, 2) & (ahead(points, 1) == ahead(points, 3))
+    may &= ~alnum[: n - 1]
+    at = np.flatnonzero(may) + 1
+    owner = np.searchsorted(begin, at, "right") - 1
+    found: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for k, i in zip(owner.tolist(), (at - begin[owner]).tolist(), strict=True):
+        if found[k] and i < found[k][-1][1]:
+            continue
+        if m := _SPACED.match(texts[k], i):
+            found[k].append(m.span())
+    return {k: spans for k, spans in found.items() if spans}
+
+
+def _hinted(texts: list[str]) -> dict[int, list[tuple[int, int]]]:
+    """Where words lie that hold what ``_HINT`` looks for, by text."""
+    points, classes, begin = _points(texts)
+    hint = classes & _MARK != 0
+    hint[:-2] |= (classes[:-2] & _LETTER != 0) & (points[:-2] == points[1:-1]) & (points[1:-1] == points[2:])
+    space = classes & _SPACE != 0
+    start, end = np.flatnonzero(space[:-1] & ~space[1:]) + 1, np.flatnonzero(~space[:-1] & space[1:]) + 1
+    word = np.unique(np.searchsorted(start, np.flatnonzero(hint), "right") - 1)
+    start, end = start[word], end[word]
+    owner = np.searchsorted(begin, start, "right") - 1
+    found: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for k, a, b in zip(owner.tolist(), (start - begin[owner]).tolist(), (end - begin[owner]).tolist(), strict=True):
+        found[k].append((a, b))
+    return found
+
+
+def _replaced(text: str, spans: list[tuple[int, int]], reading: dict[str, str]) -> str:
+    out, at = [], 0
+    for a, b in spans:
+        out += [text[at:a], reading[text[a:b]]]
+        at = b
+    return "".join([*out, text[at:]])
+
+
 def _disguised(run: str) -> bool:
     """Whether a run holds a letter and a look-alike or a letter three times, or is made of several kinds of signs."""
     if any(c in LOOK_ALIKES for c in run):
@@ -260,32 +352,23 @@ def restore(texts: list[str], characters: np.ndarray) -> list[str]:
         _restored.clear()
     model = float(characters[0, 0, 1])  # readings depend on the model
     low = [t.lower() for t in texts]
-    single = {k: {m[0] for m in _SPACED.finditer(t)} for k, t in enumerate(low)}
-    spaced = list(set().union(*single.values()))
+    single = _spaced(low)
+    spaced = list({low[k][a:b] for k, spans in single.items() for a, b in spans})
     if spaced:
         reading = dict(zip(spaced, decode(spaced, characters), strict=True))
-        for k, found in single.items():
-            if found:
-                low[k] = _SPACED.sub(lambda m: reading[m[0]], low[k])
-    every: set[str] = set()
-    for text in low:
-        every.update(text.split())
-    marked = {w for w in every if _HINT.search(w)}
-    hinted = {k: marked.intersection(text.split()) for k, text in enumerate(low)}
+        for k, spans in single.items():
+            low[k] = _replaced(low[k], spans, reading)
+    hinted = _hinted(low)
+    marked = {low[k][a:b] for k, spans in hinted.items() for a, b in spans}
     new = [w for w in marked if (model, w) not in _restored]
     found = {w: _spans(w) for w in new}
     pieces = list({w[a:b] for w, spans in found.items() for a, b in spans})
     clear = dict(zip(pieces, decode(pieces, characters), strict=True))
     for word, spans in found.items():
-        out, at = [], 0
-        for a, b in spans:
-            out += [word[at:a], clear[word[a:b]]]
-            at = b
-        _restored[model, word] = "".join([*out, word[at:]])
-    for k, words in hinted.items():
-        changed = {w: r for w in words if (r := _restored[model, w]) != w}
-        if changed:
-            low[k] = re.sub(r"\S+", lambda m, c=changed: c.get(m[0], m[0]), low[k])
+        _restored[model, word] = _replaced(word, spans, clear)
+    seen = {w: _restored[model, w] for w in marked}
+    for k, spans in hinted.items():
+        low[k] = _replaced(low[k], spans, seen)
     return low
 
 
@@ -293,12 +376,10 @@ def _features(texts: list[str]) -> tuple[Words, np.ndarray, np.ndarray]:
     """Words of the texts, and the features: hash and word of each."""
     raw = [t.encode("utf-8", "replace") for t in texts]
     data, at = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-    words = words_of(data, at)
+    words, prefixes = words_and_prefixes(data, at, PREFIXES)
     hashes, owner = [words.hash], [np.arange(len(words.hash))]
-    for k in PREFIXES:
-        cut = words_of(data, at, longest=k)
-        long = np.flatnonzero(words.end - words.start > k)
-        hashes.append(mix(cut.hash[long] + np.uint64(k)))
+    for k, (long, cut) in zip(PREFIXES, prefixes, strict=True):
+        hashes.append(mix(cut + np.uint64(k)))
         owner.append(long)
     return words, np.concatenate(hashes), np.concatenate(owner)
 
@@ -411,13 +492,13 @@ def rate(docs: DataFrame, model: Model, text: str | Column = "text") -> DataFram
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def predict(values: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def predict(values: pa.Array) -> pa.Array:
+        release()  # what earlier stages and batches left in this worker
         out = []
-        batch = pa.RecordBatch.from_arrays([pa.Array.from_pandas(values, type=pa.large_binary())], ["text"])
-        for part in slices(batch, "text"):
+        for part in slices(pa.RecordBatch.from_arrays([values], ["text"]), "text"):
             out.append(score([_text(t) for t in part.column("text")], sent.value))
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+        return pa.array(np.concatenate(out) if out else np.zeros(0))
 
     rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "toxicity"]
     return docs.select(*rest, predict(utf8(text)).alias("toxicity"))

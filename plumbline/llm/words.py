@@ -50,13 +50,18 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD_BYTES, longest: int | None = None) -> Words:
+def words_of(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD_BYTES) -> Words:
     """Words of texts that lie one after the other in ``data``; ``kind`` maps a byte to what is hashed, 0 between words.
 
-    With ``longest``, only so many bytes of a word are hashed.
-
     Equal words have equal hashes; different ones collide with a probability of about length / 2^64.
     """
+    return words_and_prefixes(data, offsets, (), kind)[0]
+
+
+def words_and_prefixes(
+    data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...], kind: np.ndarray = WORD_BYTES
+) -> tuple[Words, list[tuple[np.ndarray, np.ndarray]]]:
+    """``words_of``, and for each of ``lengths`` in bytes the index of the words longer than it and the hashes of their beginnings."""
     low = kind[data]
     inside = low != 0
     n = len(low)
@@ -67,13 +72,19 @@ def words_of(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD_BYTE
     last = inside.copy()
     last[:-1] &= ~inside[1:] | begins[1:n]
     start, end = np.flatnonzero(fresh), np.flatnonzero(last) + 1
-    if longest:
-        end = np.minimum(end, start + longest)
     powers = _power_table(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(low.astype(np.uint64) * powers[0, :n], out=total[1:])
-    value = (total[end] - total[start]) * powers[1, start]
-    return Words(start, end, mix(value + (end - start).astype(np.uint64)), np.searchsorted(start, offsets))
+
+    def hashes(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        value = (total[end] - total[start]) * powers[1, start]
+        return mix(value + (end - start).astype(np.uint64))
+
+    prefixes = []
+    for k in lengths:
+        long = np.flatnonzero(end - start > k)
+        prefixes.append((long, hashes(start[long], start[long] + k)))
+    return Words(start, end, hashes(start, end), np.searchsorted(start, offsets)), prefixes
 
 
 def hash_word(word: bytes) -> int:

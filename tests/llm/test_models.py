@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -10,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from plumbline.llm import ctw, outliers, toxicity
+from plumbline.llm import ctw, outliers, toxicity, words
 from plumbline.llm.base import table
 from plumbline.llm.queries import REGISTRY
 
@@ -170,6 +171,34 @@ def test_look_alikes_in_any_place(characters, text, clear):
     assert toxicity.restore([text], characters) == [clear]
 
 
+def test_places_of_disguise_are_those_of_the_patterns():
+    """Places are looked up in arrays; the regular expressions say what they have to be."""
+    chance = random.Random(5)
+    pieces = [*"abii0123@$!|*_.-,; ", "\n", "\u00a0", "\u00e9", "\u0301", "\u00b2", "\u0663", "\U0001d552", "zzz", "a b c", "x.y.z", "p*q*r", "f$u$n"]
+    texts = ["", " ", "aaa", "a b c", "s p  a.c_e d"] + ["".join(chance.choices(pieces, k=chance.randrange(40))).lower() for _ in range(3000)]
+    spaced, hinted = toxicity._spaced(texts), toxicity._hinted(texts)
+    assert len(spaced) > 500 and len(hinted) > 500
+    for k, text in enumerate(texts):
+        assert spaced.get(k, []) == [m.span() for m in toxicity._SPACED.finditer(text)]
+        assert hinted.get(k, []) == [m.span() for m in re.finditer(r"\S+", text) if toxicity._HINT.search(m[0])]
+
+
+def test_readings_do_not_depend_on_what_else_is_decoded(characters):
+    """Of equally likely readings the first one counts, in whatever order and company spans are decoded."""
+    spans = [f"{a}!! {b}{c}!!" for a in ("e", "o", "h", "n", "t") for b in "aeo" for c in (".", ",", "")]
+    spans += ["p*q*r", "h.e.l.l.o", "f r e e", "$$ $ $", "a1 b1 c1"]
+    alone = [toxicity.decode([s], characters)[0] for s in spans]
+    assert toxicity.decode(spans, characters) == alone
+    assert toxicity.decode(spans[::-1], characters) == alone[::-1]
+
+
+def test_prefixes_hash_like_the_words_they_are():
+    data = "abcdef abc, ABCDE \u00e9\u00e9\u00e9 x abcdef".encode()
+    whole, [(long, found)] = words.words_and_prefixes(np.frombuffer(data, np.uint8), np.array([0, 15, len(data)]), (4,))
+    assert (whole.end - whole.start).tolist() == [6, 3, 3, 2, 6, 1, 6] and long.tolist() == [0, 4, 6]
+    assert [int(h) for h in found] == [words.hash_word(data[a : a + 4].lower()) for a in whole.start[long]]
+
+
 def test_held_out_toxicity(spark):
     """On labels that follow from words, the words are found, plain or disguised."""
     bad = ["idiot", "moron", "scum", "loser", "trash"]
