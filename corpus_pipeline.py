@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import decontaminate, jaccard_join, language_id, packing, toxicity
 from plumbline.llm.base import stored, table, whole_rows
+from plumbline.session import settings
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -59,9 +60,14 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
+#: Rows sent to Python at once. Stages hand on whole rows, so executors hold a batch of them several times over.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each on what the one before kept."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    with settings(spark, BATCHES):
+        for name, stage in STAGES[:-1]:
+            docs = stored(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

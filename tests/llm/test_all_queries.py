@@ -43,3 +43,20 @@ def test_pipeline_on_empty_tables(spark, odd_folder):
 
 def test_pipeline_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "language", "near_duplicates", "decontamination", "packing"]
+
+
+def test_pipeline_sends_small_batches(spark, monkeypatch):
+    """Batches of whole rows are small while a stage runs, and the setting is put back."""
+    import corpus_pipeline
+
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+
+    def stage(session, docs, sf_dir):
+        seen.append(int(session.conf.get(name)))
+        return docs
+
+    before = spark.conf.get(name, None)
+    monkeypatch.setattr(corpus_pipeline, "table", lambda session, sf_dir, kind: session.range(10))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", stage), ("last", lambda session, docs, sf_dir: docs)])
+    assert corpus_pipeline.run(spark, "made-up").count() == 10
+    assert seen == [2000] and spark.conf.get(name, None) == before
