@@ -103,7 +103,7 @@ def by_slices(df: DataFrame, column: str, each: Callable[[pa.RecordBatch], pa.Re
         for batch in batches:
             for part in slices(batch, column):
                 yield each(part)
-        pa.default_memory_pool().release_unused()  # workers are used again by other stages
+        release()  # workers are used again by other stages
 
     return df.mapInArrow(run, schema)
 

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.base import as_arrays, slices, stored, utf8, volume
+from plumbline.llm.base import as_arrays, release, slices, stored, utf8, volume
 from plumbline.llm.words import words_of
 
 CHUNK_BYTES = 4 << 20
@@ -93,6 +93,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None) -> DataFr
                     ["segment", "doc_ids", "first", "terms", "bounds", "positions"],
                 )
                 number += 1
+        release()  # workers are used again by other stages
 
     rows = docs.select(F.col("doc_id").cast("bigint"), utf8("text").alias("text"))
     return stored(rows.mapInArrow(run, SEGMENTS), "segments")

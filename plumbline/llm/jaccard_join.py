@@ -36,13 +36,12 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.base import as_arrays, by_slices, slices, stored, utf8, whole_rows
+from plumbline.llm.base import as_arrays, by_slices, release, slices, stored, utf8, whole_rows
 from plumbline.llm.words import mix, windows, words_of
 
 WIDTH = 64
@@ -546,11 +545,13 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float
     chosen = named.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "rep")).alias("_kept"))
     chosen = stored(chosen.select(F.col("_kept.rep").alias("_rep"), F.col("_kept.least").alias("_least")), "kept")
 
-    @F.pandas_udf("bigint")
-    def rep_of(texts: pd.Series) -> pd.Series:
-        batch = pa.RecordBatch.from_arrays([pa.Array.from_pandas(texts, type=pa.large_binary())], ["text"])
-        found = [set_hashes(part, n) for part in slices(batch, "text")]
-        return pd.Series(np.concatenate(found) if found else np.zeros(0, np.int64))
+    @F.arrow_udf("bigint")
+    def rep_of(texts: pa.Array) -> pa.Array:
+        release()  # what earlier stages and batches left in this worker
+        found = [set_hashes(part, n) for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text")]
+        return pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))
 
+    # The join asks for values that are not null: that must not become a filter below with an evaluation of its own.
+    rep_of = rep_of.asNondeterministic()
     rows = docs.select(whole_rows(docs), rep_of(utf8("text")).alias("_rep")).join(chosen, "_rep")
     return rows.filter(F.col("_doc.doc_id").cast("bigint").eqNullSafe(F.col("_least"))).dropDuplicates(["_rep"]).select("_doc.*")

@@ -22,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.base import slices, stored, utf8
+from plumbline.llm.base import release, slices, stored, utf8
 
 SLOTS = 1 << 16
 ORDERS = (1, 2, 3)
 #: Languages of one part of the matrix: 128 MB.
 SIDE = 256
 SMOOTHING = 0.5
+#: Bytes of text scored at once: the arrays for it are about fifty times as large.
+SCORED_BYTES = 1 << 18
 UNDETERMINED = "und"
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
@@ -105,6 +107,8 @@ def _counts(docs: DataFrame) -> DataFrame:
                 [pa.array([language] * len(at), pa.string()), pa.array(np.where(at > SLOTS, -1, at)), pa.array(total[at])],
                 ["lang", "slot", "n"],
             )
+        sums.clear()
+        release()
 
     return docs.mapInArrow(run, "lang string, slot bigint, n bigint")
 
@@ -145,6 +149,15 @@ def score(texts: pa.Array, part: Part) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return np.where(has_letter, np.array(part.languages, object)[best], None), most, every
 
 
+def scores(texts: pa.Array, part: Part) -> pa.Array:
+    """``score`` of all texts, as structs, in slices of bounded size."""
+    out = [score(texts[:0], part)]
+    for rows in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text", SCORED_BYTES):
+        out.append(score(rows.column("text"), part))
+    columns = [pa.array(np.concatenate(c), t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.float64(), pa.float64()), strict=True)]
+    return pa.StructArray.from_arrays(columns, ["lang", "most", "every"])
+
+
 def identify(docs: DataFrame, model: Model, text: str | Column = "text") -> DataFrame:
     """All rows and columns of ``docs`` with ``lang_pred`` and ``lang_score``; columns of these names are replaced.
 
@@ -171,14 +184,9 @@ def identify(docs: DataFrame, model: Model, text: str | Column = "text") -> Data
 def _scored(spark: SparkSession, part: Part):
     sent = spark.sparkContext.broadcast(part)
 
-    @F.pandas_udf("lang string, most double, every double")
-    def predict(values):
-        import pandas as pd
-
-        out = []
-        batch = pa.RecordBatch.from_arrays([pa.Array.from_pandas(values, type=pa.large_binary())], ["text"])
-        for rows in slices(batch, "text"):
-            out.append(pd.DataFrame(dict(zip(("lang", "most", "every"), score(rows.column("text"), sent.value), strict=True))))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"lang": [], "most": [], "every": []})
+    @F.arrow_udf("lang string, most double, every double")
+    def predict(values: pa.Array) -> pa.Array:
+        release()  # what earlier stages and batches left in this worker
+        return scores(values, sent.value)
 
     return predict

@@ -113,6 +113,12 @@ def test_one_row_of_each_group_stays(spark, odd_documents):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c, _, _ in join_by_hand(docs)})
 
 
+def test_texts_are_read_once_to_keep_one(spark, odd_documents):
+    """A second evaluation needs a second Python worker for each task, and workers stay."""
+    plan = jaccard_join.keep_one(odd_documents)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_components(spark):
     pick = random.Random(7)
     edges = [(k, k + 1) for k in range(300)] + [(pick.randrange(1000, 2000), pick.randrange(1000, 2000)) for _ in range(600)] + [(5000, 6000 + k) for k in range(50)] + [(9, 9)]

@@ -2,11 +2,13 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import SF
 
@@ -64,6 +66,21 @@ def posterior_by_hand(rows, texts):
     return out
 
 
+def test_scoring_holds_little_at_once():
+    """A batch takes no more than its slices do, whatever its size, and no copy as Python values."""
+    draw = np.random.default_rng(3)
+    part = language_id.Part(["a", "b"], np.log([0.4, 0.6]), np.hstack([draw.normal(size=(2, language_id.SLOTS)), np.zeros((2, 1))]))
+    texts = pa.array([b"" if k % 9 == 0 else f"text {k} some words ".encode() * (k % 97) for k in range(4000)], pa.binary())
+    language_id.scores(texts[:10], part)
+    tracemalloc.start()
+    got = language_id.scores(texts, part)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 32 << 20
+    whole = [x.tolist() for x in language_id.score(texts, part)]
+    assert [list(r.values()) for r in got.to_pylist()] == [list(r) for r in zip(*whole, strict=True)]
+
+
 @pytest.mark.parametrize("side", [256, 1, 2])
 def test_scores_by_hand(spark, monkeypatch, side):
     """Counts and posterior from plain n-grams; the matrix in one part and in many, with more labels than a part holds."""
