@@ -8,8 +8,8 @@ oracle computes from the base tables.
 A pipeline holds a range of line numbers of its order, and a document a range of keys of its template, with parts that
 rise with the key. Both follow from the row alone, so no size is measured and a group holds no more than the distinct
 keys of its range. Rows are dealt to a number of tasks that rises with theirs, so what a task sorts and gathers stays in
-memory and nothing is spilled. Documents and shredded resources are written once per application and input folder to the shared scratch folder and read from there, so an
-executor lost later costs no rebuild.
+memory and nothing is spilled. Documents and shredded resources are written once per application and input folder, each
+when it is first read, to the shared scratch folder and read from there, so an executor lost later costs no rebuild.
 """
 
 from __future__ import annotations
@@ -253,11 +253,12 @@ def documents(rows: DataFrame) -> DataFrame:
 
 
 _built: dict[tuple[str, str], str] = {}
+_shredded: set[str] = set()
 _lock = threading.Lock()
 
 
-def _corpus_path(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of the written corpus; built on first use in an application."""
+def _corpus_path(spark: SparkSession, sf_dir: str, shredded: bool = True) -> str:
+    """Folder of the written corpus; built on first use in an application, without ``shredded`` the documents alone."""
     with _lock:
         key = (spark.sparkContext.applicationId, sf_dir)
         if key not in _built:
@@ -271,18 +272,21 @@ def _corpus_path(spark: SparkSession, sf_dir: str) -> str:
             with settings(spark, ROW_TASKS):
                 gathered = documents(spark.read.parquet(f"{path}/rows"))
                 gathered.write.option("compression", "zstd").parquet(f"{path}/templates")
-            shredded = shred_resources(spark.read.parquet(f"{path}/templates"))
-            store_resources(shredded, f"{path}/resources")
             _built[key] = path
-        return _built[key]
+        path = _built[key]
+        if shredded and path not in _shredded:
+            store_resources(shred_resources(spark.read.parquet(f"{path}/templates")), f"{path}/resources")
+            _shredded.add(path)
+        return path
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    shredded = name == "resources"
     try:
-        return spark.read.parquet(f"{_corpus_path(spark, sf_dir)}/{name}")
+        return spark.read.parquet(f"{_corpus_path(spark, sf_dir, shredded)}/{name}")
     except AnalysisException:  # the scratch folder was cleared meanwhile
         _built.pop((spark.sparkContext.applicationId, sf_dir), None)
-        return spark.read.parquet(f"{_corpus_path(spark, sf_dir)}/{name}")
+        return spark.read.parquet(f"{_corpus_path(spark, sf_dir, shredded)}/{name}")
 
 
 def templates(spark: SparkSession, sf_dir: str) -> DataFrame:

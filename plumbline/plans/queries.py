@@ -23,7 +23,7 @@ from plumbline.operators import workspace as W
 from plumbline.plans import corpus
 from plumbline.plans import fixtures as fx
 from plumbline.plans.corpus import table
-from plumbline.session import SMALL_TASKS, fresh_path, settings
+from plumbline.session import fresh_path
 from plumbline.sources import catalog, files
 from plumbline.streaming.autoscale import st_autoscale_target
 from plumbline.streaming.landing import st_landing_ingest
@@ -79,9 +79,7 @@ def _named_documents(read: DataFrame) -> DataFrame:
 def read_templates(spark, sf):
     """Documents written as files of their own and read back whole."""
     path = fresh_path(spark, "documents")
-    with settings(spark, SMALL_TASKS):  # the rows of a task are sorted by their folders
-        one = corpus.templates(spark, sf).select("template_id", "template").write.option("maxRecordsPerFile", 1)
-        one.partitionBy("template_id").option("compression", "lz4").text(path)
+    files.write_documents(corpus.templates(spark, sf), path, "template_id", "template")
     read = files.read_templates(spark, path)
     return _named_documents(read.withColumn("template_id", F.regexp_extract("template_id", "template_id=([0-9]+)", 1)))
 

@@ -74,6 +74,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def mounted_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder that any process opens at this path, or none if Hadoop does not take it for a mounted file system."""
+    sc = spark.sparkContext
+    of = sc._jvm.org.apache.hadoop.fs.Path(path)
+    uri = of.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(of).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared scratch folder and read back, so that later steps do not go back to what made the rows."""
     path = fresh_path(df.sparkSession, label)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+import shutil
 from collections.abc import Callable
 from datetime import datetime
 
@@ -11,9 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plumbline.functions.text import landing_parts, log_line
-from plumbline.session import fresh_path, written
+from plumbline.session import SMALL_TASKS, fresh_path, mounted_folder, settings, written
 
 LANDING_COLUMNS = ("Year", "Month", "Day", "Hour")
+# Whole documents handed to a Python worker at once.
+DOCUMENT_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256"}
 
 
 def read_templates(spark: SparkSession, path: str) -> DataFrame:
@@ -22,6 +26,54 @@ def read_templates(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("template_id"), F.col("value").alias("template"))
 
 
+def write_documents(df: DataFrame, path: str, key: str, text: str) -> None:
+    """Each row as a compressed file of its own: ``text`` and a line break, below a path that holds ``<key>=<number>``.
+
+    On a mounted file system Hadoop starts two ``chmod`` processes for each file it creates, and the driver renames the
+    files one after another. There Python workers write the files, each attempt of a task to a hidden folder, and the
+    driver renames the folders of the attempts that ended well. In other stores Spark's writer makes a folder for each key.
+    """
+    rows, folder = df.select(key, text), mounted_folder(df.sparkSession, path)
+    if folder is None:
+        with settings(df.sparkSession, SMALL_TASKS):  # the rows of a task are sorted by their folders
+            one = rows.write.option("maxRecordsPerFile", 1)
+            one.partitionBy(key).option("compression", "lz4").text(path)
+        return
+    attempts = f"{folder}/_temporary"
+
+    def write(batches):
+        import os
+        import uuid
+
+        import pyarrow as pa
+
+        own, n, block = uuid.uuid4().hex, 0, 1 << 16
+        os.mkdir(f"{attempts}/{own}")
+        for batch in batches:
+            for k, value in zip(*batch.columns, strict=True):
+                name = k.as_py() if k.is_valid else "__HIVE_DEFAULT_PARTITION__"
+                plain = (value.as_buffer().to_pybytes() if value.is_valid else b"") + b"\n"
+                with open(f"{attempts}/{own}/part-{n:05d}-{key}={name}.txt.lz4", "xb") as f:
+                    # Blocks of Hadoop's codec: plain length, compressed length, bytes.
+                    for at in range(0, len(plain), block):
+                        some = plain[at : at + block]
+                        packed = pa.compress(some, codec="lz4_raw", asbytes=True)
+                        f.write(len(some).to_bytes(4, "big") + len(packed).to_bytes(4, "big") + packed)
+                n += 1
+        if n:
+            yield pa.RecordBatch.from_pydict({"folder": [own]})
+
+    os.makedirs(folder)  # an error if it is there
+    os.mkdir(attempts)
+    try:
+        with settings(df.sparkSession, {**SMALL_TASKS, **DOCUMENT_BATCH}):
+            ended = rows.mapInArrow(write, "folder string").collect()
+        for n, attempt in enumerate(ended):
+            os.rename(f"{attempts}/{attempt.folder}", f"{folder}/task-{n:05d}")
+    finally:
+        shutil.rmtree(attempts, ignore_errors=True)
+
+
 def read_template_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per line ``{"template_id": ..., "template": "<document>"}``: many documents to a file, splittable."""
     return spark.read.schema("template_id STRING, template STRING").option("mode", "FAILFAST").json(path)

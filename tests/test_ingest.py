@@ -294,3 +294,48 @@ def test_lines_are_written_compressed(spark, tmp_path, monkeypatch):
     written = list((tmp_path / "documents").glob("part-*"))
     lengths = queries.corpus.templates(spark, SF).selectExpr("sum(octet_length(template))").first()[0]
     assert written and sum(f.stat().st_size for f in written) < lengths / 4
+
+
+def test_documents_of_a_task_share_a_folder(spark, tmp_path, monkeypatch):
+    """Hadoop starts a process for each file and folder it makes here; the documents come without either."""
+    monkeypatch.setattr(queries, "fresh_path", lambda spark, label: str(tmp_path / label))
+    made = spark.range(0, 300, 1, 3).selectExpr("id AS template_id", "'{\"resources\": [{\"name\": \"n\"}]}' AS template")
+    monkeypatch.setattr(queries.corpus, "templates", lambda spark, sf: made)
+    assert rows(queries.read_templates(spark, SF)) == sorted(((k, None, 1) for k in range(300)), key=repr)
+    written = [f for f in (tmp_path / "documents").rglob("*") if f.is_file()]
+    assert len(written) == 300 and len({f.parent for f in written}) == 3
+    assert {f.suffix for f in written} == {".lz4"}  # no check sums beside them
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_documents_come_back_whole(spark, tmp_path, monkeypatch, mounted):
+    if not mounted:
+        monkeypatch.setattr(files, "mounted_folder", lambda spark, path: None)
+    texts = ["é" * 100_000, "".join(map(chr, range(1, 0xD800))) * 5, "{}", "a\n b\r\n", "", None]
+    made = spark.createDataFrame([(k % 4, t) for k, t in enumerate(texts)], "template_id BIGINT, template STRING")
+    files.write_documents(made, str(tmp_path / "d"), "template_id", "template")
+    read = files.read_templates(spark, str(tmp_path / "d")).selectExpr("regexp_extract(template_id, 'template_id=([0-9]+)', 1)", "template")
+    assert rows(read) == sorted(((str(k % 4), (t or "") + "\n") for k, t in enumerate(texts)), key=repr)
+    with pytest.raises(Exception, match="(?i)exists"):
+        files.write_documents(made, str(tmp_path / "d"), "template_id", "template")
+    files.write_documents(made.limit(0), str(tmp_path / "none"), "template_id", "template")
+    assert files.read_templates(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_documents_of_a_failed_job_are_not_read(spark, tmp_path):
+    broken = "if(id = 150, raise_error('broken'), 'x')"
+    made = spark.range(0, 200, 1, 2).selectExpr("id AS template_id", f"{broken} AS template")
+    with pytest.raises(Exception, match="broken"):
+        files.write_documents(made, str(tmp_path / "d"), "template_id", "template")
+    assert files.read_templates(spark, str(tmp_path / "d")).count() == 0
+
+
+def test_documents_are_not_shredded_before_resources_are_read(spark, tmp_path, monkeypatch):
+    corpus = queries.corpus
+    monkeypatch.setattr(corpus, "_built", {})
+    monkeypatch.setattr(corpus, "fresh_path", lambda spark, label: str(tmp_path / label))
+    assert corpus.templates(spark, SF).count() == 15
+    assert (tmp_path / "corpus" / "templates").exists() and not (tmp_path / "corpus" / "resources").exists()
+    resources = corpus.resources(spark, SF)
+    documents = corpus.templates(spark, SF).selectExpr("sum(json_array_length(get_json_object(template, '$.resources')))")
+    assert resources.count() == documents.first()[0] > 0
