@@ -79,9 +79,11 @@ def _named_documents(read: DataFrame) -> DataFrame:
 def read_templates(spark, sf):
     """Documents written as files of their own and read back whole."""
     path = fresh_path(spark, "documents")
-    files.write_documents(corpus.templates(spark, sf), path, "template_id", "template")
-    read = files.read_templates(spark, path)
-    return _named_documents(read.withColumn("template_id", F.regexp_extract("template_id", "template_id=([0-9]+)", 1)))
+    tasks = files.write_documents(corpus.templates(spark, sf), path, "template_id", "template")
+    # Spark counts a small file as 4 MB, so small splits would make a task for every few documents.
+    read = files.read_templates(spark, path).coalesce(max(tasks, 4 * spark.sparkContext.defaultParallelism))
+    number = F.regexp_extract("template_id", "template_id=(-?[0-9]+)", 1)
+    return _named_documents(read.withColumn("template_id", F.nullif(number, F.lit(""))))  # no number: no key
 
 
 @register

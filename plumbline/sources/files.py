@@ -26,8 +26,10 @@ def read_templates(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("template_id"), F.col("value").alias("template"))
 
 
-def write_documents(df: DataFrame, path: str, key: str, text: str) -> None:
-    """Each row as a compressed file of its own: ``text`` and a line break, below a path that holds ``<key>=<number>``.
+def write_documents(df: DataFrame, path: str, key: str, text: str) -> int:
+    """Each row as a compressed file of its own: ``text`` and a line break, at a path that holds ``<key>=<number>``.
+
+    Returns the number of tasks that wrote them.
 
     On a mounted file system Hadoop starts two ``chmod`` processes for each file it creates, and the driver renames the
     files one after another. There Python workers write the files, each attempt of a task to a hidden folder, and the
@@ -38,7 +40,7 @@ def write_documents(df: DataFrame, path: str, key: str, text: str) -> None:
         with settings(df.sparkSession, SMALL_TASKS):  # the rows of a task are sorted by their folders
             one = rows.write.option("maxRecordsPerFile", 1)
             one.partitionBy(key).option("compression", "lz4").text(path)
-        return
+            return rows.rdd.getNumPartitions()
     attempts = f"{folder}/_temporary"
 
     def write(batches):
@@ -70,6 +72,7 @@ def write_documents(df: DataFrame, path: str, key: str, text: str) -> None:
             ended = rows.mapInArrow(write, "folder string").collect()
         for n, attempt in enumerate(ended):
             os.rename(f"{attempts}/{attempt.folder}", f"{folder}/task-{n:05d}")
+        return len(ended)
     finally:
         shutil.rmtree(attempts, ignore_errors=True)
 

@@ -1,6 +1,7 @@
 """Readers, writers, ingestion, metadata tables and the workspace tree."""
 
 import json
+import re
 from datetime import datetime
 
 import pytest
@@ -11,7 +12,7 @@ from plumbline.operators import ingest as I
 from plumbline.operators import metadata as M
 from plumbline.operators import workspace as W
 from plumbline.plans import queries
-from plumbline.session import fresh_path, scratch_root
+from plumbline.session import fresh_path, scratch_root, settings
 from plumbline.sources import catalog, files, jdbc
 
 DIRTY = 'Field1,Fiel2,Field3,Field4\n"abc","abc","abc","abc"\n"abc","ab\nc","a\nbc","abc"\n"abc","abc","abc","abc"\n'
@@ -307,6 +308,30 @@ def test_documents_of_a_task_share_a_folder(spark, tmp_path, monkeypatch):
     assert {f.suffix for f in written} == {".lz4"}  # no check sums beside them
 
 
+@pytest.mark.parametrize("mounted", [True, False])
+def test_small_splits_make_no_task_for_each_document(spark, tmp_path, monkeypatch, mounted):
+    if not mounted:
+        monkeypatch.setattr(files, "mounted_folder", lambda spark, path: None)
+    monkeypatch.setattr(queries, "fresh_path", lambda spark, label: str(tmp_path / label))
+    made = spark.range(0, 100, 1, 3).selectExpr("id AS template_id", "'{\"resources\": []}' AS template")
+    monkeypatch.setattr(queries.corpus, "templates", lambda spark, sf: made)
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "1m"}):
+        read = queries.read_templates(spark, SF)
+        assert read.count() == 100
+        plan = read._jdf.queryExecution().executedPlan().toString()
+    assert [int(n) <= 4 * 4 for n in re.findall(r"Coalesce (\d+)", plan)] == [True]
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_documents_without_a_key_are_read(spark, tmp_path, monkeypatch, mounted):
+    if not mounted:
+        monkeypatch.setattr(files, "mounted_folder", lambda spark, path: None)
+    monkeypatch.setattr(queries, "fresh_path", lambda spark, label: str(tmp_path / label))
+    monkeypatch.setattr(queries.corpus, "templates", lambda spark, sf: spark.createDataFrame(
+        [(t, json.dumps({"resources": [{}]})) for t in (None, None, -3, 0, 7)], "template_id BIGINT, template STRING"))
+    assert rows(queries.read_templates(spark, SF)) == sorted([(None, None, 2), (-3, None, 1), (0, None, 1), (7, None, 1)], key=repr)
+
+
 @pytest.mark.parametrize("mounted", [True, False])
 def test_documents_come_back_whole(spark, tmp_path, monkeypatch, mounted):
     if not mounted:
